@@ -19,10 +19,13 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from loanmart.session import cut_lineage
+from loanmart.session import materialize, scratch_path
+
+
+DUPLICATE_KEY_MESSAGE = "merge batch has a duplicate key:"
 
 
 class DuplicateKeyError(ValueError):
@@ -40,11 +43,33 @@ def assert_unique_keys(batch: DataFrame, keys: Sequence[str]) -> None:
         raise DuplicateKeyError(f"batch has duplicate key {dup[0].asDict()}")
 
 
+def guard_unique(batch: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``batch`` unchanged, but evaluating it fails if a non-NULL key occurs twice.
+
+    The check rides along with whatever job evaluates the batch (one shuffle
+    by key), so no separate job is spent on it.
+    """
+    keys = list(keys)
+    not_null = F.lit(True)
+    for k in keys:
+        not_null = not_null & F.col(k).isNotNull()
+    n = "__key_rows"
+    ok = F.when(not_null & (F.col(n) > 1),
+                F.raise_error(F.concat(F.lit(f"{DUPLICATE_KEY_MESSAGE} "),
+                                       F.to_json(F.struct(*keys))))).otherwise(F.lit(True))
+    return (batch.withColumn(n, F.count(F.lit(1)).over(Window.partitionBy(*keys)))
+            .where(ok).drop(n))
+
+
 def upsert(target: DataFrame, batch: DataFrame, keys: Sequence[str], check_unique: bool = True) -> DataFrame:
-    """Merge ``batch`` into ``target`` by ``keys`` (update matched, insert new)."""
+    """Merge ``batch`` into ``target`` by ``keys`` (update matched, insert new).
+
+    With ``check_unique`` evaluating the result fails on a duplicate batch
+    key (see :func:`guard_unique`); pass ``False`` for a batch already guarded.
+    """
     keys = list(keys)
     if check_unique:
-        assert_unique_keys(batch, keys)
+        batch = guard_unique(batch, keys)
     kept = target.join(batch.select(*keys), keys, "left_anti")
     return kept.unionByName(batch, allowMissingColumns=True)
 
@@ -79,47 +104,59 @@ def month_of(col: str) -> F.Column:
 
 def merge_into_partitions(spark: SparkSession, target_path: str, batch: DataFrame,
                           keys: Sequence[str], date_col: str, partition_col: str = "payment_month",
-                          cluster_by: Sequence[str] = (), first_run: bool = False) -> list:
+                          cluster_by: Sequence[str] = (), first_run: bool = False) -> None:
     """Merge ``batch`` into the month-partitioned Parquet table at ``target_path``.
 
     Only months that receive batch rows, or that hold an old version of a
     batch key, are rewritten (dynamic partition overwrite). The new content of
-    those months is checkpointed first, so the overwrite never reads the files
-    it replaces. Returns the rewritten months.
+    those months is first written to the shared scratch folder, so the
+    overwrite never reads the files it replaces. Rows are clustered within
+    each month by ``cluster_by`` (min/max statistics then skip row groups).
     """
     keys = list(keys)
-    staged = batch.withColumn(partition_col, month_of(date_col))
 
-    def write(df: DataFrame) -> None:
+    def write(df: DataFrame, path: str, mode: str = "overwrite") -> None:
         out = df
         if cluster_by:
             out = out.repartition(partition_col).sortWithinPartitions(*cluster_by)
-        (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy(partition_col).parquet(target_path))
+        (out.write.mode(mode).option("partitionOverwriteMode", "dynamic")
+         .partitionBy(partition_col).parquet(path))
 
+    # The batch is read by several jobs below; write it once (duplicate keys fail here).
+    staged = materialize(guard_unique(batch, keys).withColumn(partition_col, month_of(date_col)),
+                         "merge_batch")
     if first_run:
-        assert_unique_keys(staged, keys)
-        write(staged)
-        return [r[0] for r in staged.select(partition_col).distinct().collect()]
+        write(staged, target_path)
+        return
 
-    assert_unique_keys(staged, keys)
-    target = spark.read.parquet(target_path)
+    target = spark.read.option("mergeSchema", "true").parquet(target_path)
     # Months holding an old version of a batch key (reads key + month columns only).
     batch_keys = staged.select(*keys)
     old_months = target.join(batch_keys, keys, "left_semi").select(partition_col)
     months = [r[0] for r in staged.select(partition_col).union(old_months).distinct().collect()]
     if not months:
-        return []
+        return
     affected = target.where(F.col(partition_col).isin(months))
     kept = affected.join(batch_keys, keys, "left_anti")
-    new_content = cut_lineage(kept.unionByName(staged, allowMissingColumns=True))
-    present = {r[0] for r in new_content.select(partition_col).distinct().collect()}
-    write(new_content)
+    scratch = scratch_path(spark, "merge_months")
+    write(kept.unionByName(staged, allowMissingColumns=True), scratch)
+    new_content = spark.read.option("mergeSchema", "true").parquet(scratch)
+    present = _partition_values(new_content, partition_col)
+    write(new_content, target_path)
     # A month emptied by the merge (its only rows moved away) is removed.
     for m in months:
-        if m not in present:
+        if str(m) not in present:
             _delete_partition(spark, target_path, partition_col, m)
-    return months
+
+
+def _partition_values(df: DataFrame, col: str) -> set[str]:
+    """Partition values present in a partitioned table, from its file listing (no job)."""
+    out = set()
+    for f in df.inputFiles():
+        for part in f.split("/"):
+            if part.startswith(col + "="):
+                out.add(part.split("=", 1)[1])
+    return out
 
 
 def _delete_partition(spark: SparkSession, root: str, col: str, value) -> None:

@@ -60,13 +60,19 @@ def calendar_bounds(spark: SparkSession, start: dt.date = CALENDAR_START,
     return spark.range(1).select(F.lit(start).alias("start"), F.lit(end).alias("end"))
 
 
-def data_calendar_bounds(dates: list[Column], tables: list[DataFrame]) -> DataFrame:
+def data_calendar_bounds(dates: list[list[Column]], tables: list[DataFrame]) -> DataFrame:
     """One row (start, end) spanning whole years around every date in ``tables``.
 
-    ``dates[i]`` is a date column of ``tables[i]``; each table contributes its
-    min/max through a partial aggregate, so only the date columns are scanned.
+    ``dates[i]`` are date columns of ``tables[i]``; each table contributes its
+    min/max through one partial aggregate, so only the date columns are scanned.
     """
-    parts = [t.agg(F.min(d).alias("lo"), F.max(d).alias("hi")) for d, t in zip(dates, tables)]
+    def lo(ds):
+        return F.min(ds[0]) if len(ds) == 1 else F.least(*[F.min(d) for d in ds])
+
+    def hi(ds):
+        return F.max(ds[0]) if len(ds) == 1 else F.greatest(*[F.max(d) for d in ds])
+
+    parts = [t.agg(lo(ds).alias("lo"), hi(ds).alias("hi")) for ds, t in zip(dates, tables)]
     u = parts[0]
     for x in parts[1:]:
         u = u.unionByName(x)

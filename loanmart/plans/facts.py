@@ -93,9 +93,13 @@ def incremental_runs(sources: Sequence[tuple[DataFrame, RunParams]], cut: Callab
     target = None
     for k, (bucketed, p) in enumerate(sources):
         cols = columns_per_run[k] if columns_per_run else FCT_PAYMENT_COLUMNS
-        batch = payments_increment(bucketed, target, p, lookback_days, cols)
-        target = batch if target is None else up.upsert(target, batch, [PAYMENT_KEY])
+        batch = up.guard_unique(payments_increment(bucketed, target, p, lookback_days, cols),
+                                [PAYMENT_KEY])
         if cut is not None:
+            batch = cut(batch)
+        target = batch if target is None else up.upsert(target, batch, [PAYMENT_KEY],
+                                                         check_unique=False)
+        if cut is not None and k < len(sources) - 1:
             target = cut(target)
     return target
 

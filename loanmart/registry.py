@@ -48,9 +48,24 @@ def canonical(df: DataFrame, drop=STAMPS) -> DataFrame:
     return df.select(*cols)
 
 
+_MODEL_CACHE: dict[tuple, Models] = {}
+
+
 def _models(spark: SparkSession, sf_dir: str, params: RunParams = DEFAULT) -> Models:
+    """The model graph for ``sf_dir``, shared by the queries of one session.
+
+    Stateful tables (the bureau history built by the snapshot runs) and tables
+    written for multi-reader queries are then built once per session, as they
+    would exist in the warehouse, instead of once per query.
+    """
     apply_conf(spark)
-    return Models(spark, sf_dir, params)
+    key = (spark.sparkContext.applicationId, id(spark), sf_dir.rstrip("/"), params)
+    m = _MODEL_CACHE.get(key)
+    if m is None:
+        if len(_MODEL_CACHE) >= 8:
+            _MODEL_CACHE.pop(next(iter(_MODEL_CACHE)))
+        m = _MODEL_CACHE[key] = Models(spark, sf_dir, params)
+    return m
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -396,7 +411,14 @@ def q_customer_360(spark, sf_dir):
 
 # --- data quality ---------------------------------------------------------------------------
 
-def _quality_tables(m: Models) -> dict[str, DataFrame]:
+_SUITE_TABLES = ["raw_customers", "raw_applications", "raw_originations", "raw_payments",
+                 "raw_credit_bureau", "dim_customers", "dim_products", "dim_date", "fct_applications",
+                 "fct_originations", "fct_payments", "customer_360"]
+
+
+def _quality_tables(m: Models, kinds: set[str] | None = None) -> dict[str, DataFrame]:
+    """Tables of the suite, each written once before the checks read it."""
+    m.write_tables(_SUITE_TABLES)
     return {
         "raw_customers": m.raw.customers, "raw_applications": m.raw.applications,
         "raw_originations": m.raw.originations, "raw_payments": m.raw.payments,

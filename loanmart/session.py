@@ -71,10 +71,24 @@ def _is_uuid(s: str) -> bool:
         return False
 
 
+def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
+    """Write ``df`` once as a Parquet table under the shared checkpoint folder
+    and return a DataFrame reading it back.
+
+    Cuts the lineage in one pass (``DataFrame.checkpoint`` evaluates its plan
+    twice: once to count, once to write), stores columnar data that later
+    scans can prune, and survives executor loss because the files live in the
+    shared folder rather than on an executor.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared checkpoint folder (survives executor loss)."""
-    checkpoint_root(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Lineage cut used between the runs of a stateful load (see :func:`materialize`)."""
+    return materialize(df, "cut")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
