@@ -70,7 +70,7 @@ def upsert(target: DataFrame, batch: DataFrame, keys: Sequence[str], check_uniqu
     keys = list(keys)
     if check_unique:
         batch = guard_unique(batch, keys)
-    kept = target.join(batch.select(*keys), keys, "left_anti")
+    kept = target.join(batch.select(*keys), keys, "left_anti").select(*target.columns)
     return kept.unionByName(batch, allowMissingColumns=True)
 
 
