@@ -84,7 +84,7 @@ def applications_outcome(stg_applications: DataFrame, stg_originations: DataFram
 
 
 def payments_bucketed(stg_payments: DataFrame, buckets: DataFrame, p: RunParams = DEFAULT,
-                      bucket_rows: int | None = SEED_ROWS["buckets"]) -> DataFrame:
+                      bucket_rows: int | None = SEED_ROWS["buckets"], carry: tuple[str, ...] = ()) -> DataFrame:
     """Each payment classified into its days-past-due bucket (inner range join).
 
     Payments whose days past due fall in no bucket (early: negative; unpaid:
@@ -99,5 +99,6 @@ def payments_bucketed(stg_payments: DataFrame, buckets: DataFrame, p: RunParams
         "payment_method", "days_past_due", "is_on_time_payment",
         "bucket_code", "bucket_name", "is_delinquent", "severity_order",
         flag(F.col("is_delinquent") == "Y").alias("is_delinquent_payment"),
+        *carry,
         F.lit(p.run_ts).cast("timestamp").alias("dbt_loaded_at"),
     )

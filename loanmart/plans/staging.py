@@ -97,7 +97,8 @@ def stg_originations(raw: DataFrame, p: RunParams = DEFAULT) -> DataFrame:
     )
 
 
-def stg_payments(raw: DataFrame, p: RunParams = DEFAULT) -> DataFrame:
+def stg_payments(raw: DataFrame, p: RunParams = DEFAULT, carry: tuple[str, ...] = ()) -> DataFrame:
+    """``carry``: extra input columns passed through unchanged (e.g. a delivery time)."""
     due_d = F.col("due_date").cast("date")
     pay_d = F.col("payment_date").cast("date")
     paid = money("paid_amount_ars")
@@ -115,6 +116,7 @@ def stg_payments(raw: DataFrame, p: RunParams = DEFAULT) -> DataFrame:
         "payment_method",
         days_between(pay_d, due_d).alias("days_past_due"),
         flag(pay_d <= due_d).alias("is_on_time_payment"),
+        *carry,
         _stamp(p),
     )
 

@@ -379,6 +379,46 @@ def q_payments_lookback(spark, sf_dir):
     return canonical(facts.payments_increment(s_src, target, s_p))
 
 
+def _delivery_ctes() -> str:
+    """DuckDB: bucketed delivery k = run-k source rows that appeared or changed in window k;
+    the table keeps, per key, the latest delivered version that has a bucket."""
+    prev = dt.date(1, 1, 1)
+    parts = []
+    for k, d in enumerate(RUNS, start=1):
+        chg = batches.PAYMENT_CHANGES.replace("{run_date}", d.isoformat()).replace(
+            "{from_date}", prev.isoformat()).replace("{raw_payments}", "raw_payments")
+        O.cte(f"dlv{k}", (f"inc_bk{k}", "raw_payments"),
+              f"select *, {k} as k from inc_bk{k} where payment_id in ({chg})")
+        parts.append(f"select * from dlv{k}")
+        prev = d
+    O.cte("dlv_latest", tuple(f"dlv{k}" for k in range(1, len(RUNS) + 1)), f"""
+select * exclude (rn, k) from (
+  select *, row_number() over (partition by payment_id order by k desc) as rn
+  from ({' union all '.join(parts)}) u) r
+where rn = 1""")
+    return "dlv_latest"
+
+
+@register("payments_stream", O.sql_for(_cast_sql(f"""(
+select {O.FCT_PAYMENT_SELECT}, cast(date_trunc('month', payment_date) as date) as payment_month
+from {_delivery_ctes()})""", _PAY_MONEY, ("severity_order",)), ("dlv_latest",)))
+def q_payments_stream(spark, sf_dir):
+    """Payment deliveries (one per yearly window) streamed from a landing folder by a
+    file-source stream; each micro-batch keeps the latest delivered version per key and
+    is merged into the month-partitioned fact. Returns the table after the stream."""
+    from loanmart.streaming import payments_stream as ps
+    m = _models(spark, sf_dir)
+    landing = scratch_path(spark, "landing_payments")
+    target = scratch_path(spark, "fct_payments_stream")
+    ps.write_deliveries(spark, m.payment_source_table, RUNS, landing)
+    q = ps.start_payment_load(spark, ps.payment_stream(spark, landing), target,
+                              scratch_path(spark, "stream_checkpoint"), m.buckets, m.p)
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise RuntimeError(str(q.exception()))
+    return canonical(spark.read.option("mergeSchema", "true").parquet(target))
+
+
 # --- customer 360 ------------------------------------------------------------------------
 
 @register("apps_summary", _oracle("apps_summary", ints=("approved_applications", "rejected_applications",

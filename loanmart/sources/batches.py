@@ -77,6 +77,14 @@ where rn = 1{cond}"""
 # unpaid) + (installment_number % 4) days. Corrections arrive one day after
 # the row itself: amount +1.00 on one slice of rows; on another slice, a
 # payment made on the 1st of a month is re-dated to the previous day.
+PAYMENT_ARRIVALS = """
+select *,
+  coalesce(payment_date, due_date) + cast(installment_number % 4 as int) as arrival,
+  (origination_id % 7 = 3 and installment_number % 4 = 2) as amount_fix,
+  (origination_id % 5 = 1 and installment_number % 4 = 0 and payment_date is not null
+   and extract(day from payment_date) = 1) as date_fix
+from {raw_payments}"""
+
 PAYMENT_SOURCE = """
 select payment_id, origination_id, customer_id, installment_number, due_date,
   case when date_fix and arrival + 1 < date '{run_date}' then payment_date - 1 else payment_date end as payment_date,
@@ -84,15 +92,18 @@ select payment_id, origination_id, customer_id, installment_number, due_date,
   case when amount_fix and arrival + 1 < date '{run_date}'
        then paid_amount_ars + cast(1.00 as decimal(4,2)) else paid_amount_ars end as paid_amount_ars,
   payment_method
-from (select *,
-        coalesce(payment_date, due_date) + cast(installment_number % 4 as int) as arrival,
-        (origination_id % 7 = 3 and installment_number % 4 = 2) as amount_fix,
-        (origination_id % 5 = 1 and installment_number % 4 = 0 and payment_date is not null
-         and extract(day from payment_date) = 1) as date_fix
-      from {raw_payments}) s
+from (""" + PAYMENT_ARRIVALS + """) s
 where arrival < date '{run_date}'
 """
 
+# Keys that appear or are corrected in [from_date, run_date).
+PAYMENT_CHANGES = """
+select payment_id
+from (""" + PAYMENT_ARRIVALS + """) s
+where (arrival >= date '{from_date}' and arrival < date '{run_date}')
+   or ((amount_fix or date_fix) and arrival + 1 >= date '{from_date}' and arrival + 1 < date '{run_date}')
+"""
+
 
 def payment_source(spark: SparkSession, raw_payments: DataFrame, run_date: dt.date) -> DataFrame:
     return spark.sql(PAYMENT_SOURCE.replace("{run_date}", run_date.isoformat()),
@@ -102,3 +113,10 @@ def payment_source(spark: SparkSession, raw_payments: DataFrame, run_date: dt.da
 def payment_source_sql(run_date: dt.date) -> str:
     return PAYMENT_SOURCE.replace("{run_date}", run_date.isoformat()).replace(
         "{raw_payments}", "raw_payments")
+
+
+def payment_changes_between(spark: SparkSession, raw_payments: DataFrame, from_date: dt.date | None,
+                            run_date: dt.date) -> DataFrame:
+    start = (from_date or dt.date(1, 1, 1)).isoformat()
+    sql = PAYMENT_CHANGES.replace("{run_date}", run_date.isoformat()).replace("{from_date}", start)
+    return spark.sql(sql, raw_payments=raw_payments)
