@@ -88,3 +88,19 @@ def test_deleted_keys(spark):
     h = run(spark, [[(1, 500, T(1)), (2, 1, T(1))], [(1, 510, T(2))]])
     got = [(r.customer_id, r.dbt_valid_to) for r in scd2.deleted_keys(h, "customer_id").collect()]
     assert got == [(2, T(21))]
+
+
+def test_score_monthly_month_ends(spark):
+    from loanmart.plans import metrics
+    b1 = [(1, 700, dt.datetime(2024, 2, 29)), (2, 600, dt.datetime(2024, 2, 10))]
+    b2 = [(1, 800, dt.datetime(2024, 4, 15))]
+    h = scd2.replay([(spark.createDataFrame(b1, SCHEMA), dt.datetime(2024, 3, 1)),
+                     (spark.createDataFrame(b2, SCHEMA), dt.datetime(2024, 4, 16))],
+                    "customer_id", "report_date")
+    got = sorted((r.month_end, r.bureau_risk_tier, r.customers, r.avg_bureau_score)
+                 for r in metrics.score_monthly(h).collect())
+    # key 2 deleted at the 2024-04-16 run: valid at the end of Feb and Mar only
+    feb, mar, apr = dt.date(2024, 2, 29), dt.date(2024, 3, 31), dt.date(2024, 4, 30)
+    assert got == [(feb, "HIGH_RISK", 1, 600.0), (feb, "MEDIUM_RISK", 1, 700.0),
+                   (mar, "HIGH_RISK", 1, 600.0), (mar, "MEDIUM_RISK", 1, 700.0),
+                   (apr, "LOW_RISK", 1, 800.0)]
