@@ -58,10 +58,20 @@ def initial_history(batch: DataFrame, key: str, updated_at: str) -> DataFrame:
 def merge(history: DataFrame, batch: DataFrame, key: str, updated_at: str,
           run_ts: dt.datetime, invalidate_hard_deletes: bool = True) -> DataFrame:
     """Apply one source batch to a type-2 history; returns the new history."""
-    cols = [c for c in history.columns if c not in META]
     closed = history.where(F.col("dbt_valid_to").isNotNull())
     open_ = history.where(F.col("dbt_valid_to").isNull())
+    return closed.unionByName(merge_open(open_, batch, key, updated_at, run_ts, invalidate_hard_deletes))
 
+
+def merge_open(open_: DataFrame, batch: DataFrame, key: str, updated_at: str,
+               run_ts: dt.datetime, invalidate_hard_deletes: bool = True) -> DataFrame:
+    """Merge one batch into the *open* versions only.
+
+    Returns the versions this run touches or keeps open: open versions left
+    unchanged, versions it closes, and versions it opens. Closed versions of
+    earlier runs are not read, so a run costs O(keys), not O(history).
+    """
+    cols = [c for c in open_.columns if c not in META]
     h = open_.alias("h")
     s = batch.select(*cols).alias("s")
     j = h.join(s, F.col(f"h.{key}") == F.col(f"s.{key}"), "full_outer")
@@ -93,9 +103,7 @@ def merge(history: DataFrame, batch: DataFrame, key: str, updated_at: str,
         s_upd.alias("dbt_valid_from"),
         F.lit(None).cast("timestamp").alias("dbt_valid_to"),
     ))
-    merged_open = j.select(F.inline(F.filter(F.array(old_version, new_version),
-                                             lambda v: v.isNotNull())))
-    return closed.unionByName(merged_open)
+    return j.select(F.inline(F.filter(F.array(old_version, new_version), lambda v: v.isNotNull())))
 
 
 def current(history: DataFrame) -> DataFrame:
@@ -113,20 +121,30 @@ def replay(batches: Sequence[tuple[DataFrame, dt.datetime]], key: str, updated_a
            invalidate_hard_deletes: bool = True, cut=None) -> DataFrame:
     """Run the snapshot over batches in order and return the final history.
 
-    ``cut`` (e.g. :func:`loanmart.session.cut_lineage`) materialises each
-    intermediate history, as a scheduled job would by writing its table; the
-    history is read twice per merge (open and closed split), so without a cut
-    the plan would grow with every batch.
+    The history is kept as two parts, as a scheduled job would store it:
+    closed versions (append-only: each run adds the versions it closed) and
+    open versions (rewritten by each run). ``cut`` (e.g.
+    :func:`loanmart.session.cut_lineage`) writes each run's output once, so a
+    run reads only the open versions and its plan does not grow with the
+    number of runs.
     """
-    history = None
+    closed_parts: list[DataFrame] = []
+    open_ = None
     for batch, run_ts in batches:
-        if history is None:
-            history = initial_history(batch, key, updated_at)
+        if open_ is None:
+            step = initial_history(batch, key, updated_at)
         else:
-            history = merge(history, batch, key, updated_at, run_ts, invalidate_hard_deletes)
+            step = merge_open(open_, batch, key, updated_at, run_ts, invalidate_hard_deletes)
         if cut is not None:
-            history = cut(history)
-    return history
+            step = cut(step)
+        closed_parts.append(step.where(F.col("dbt_valid_to").isNotNull()))
+        open_ = step.where(F.col("dbt_valid_to").isNull())
+    if open_ is None:
+        raise ValueError("no batches")
+    out = open_
+    for part in closed_parts:
+        out = part.unionByName(out)
+    return out
 
 
 def deleted_keys(history: DataFrame, key: str) -> DataFrame:

@@ -61,16 +61,23 @@ def guard_unique(batch: DataFrame, keys: Sequence[str]) -> DataFrame:
             .where(ok).drop(n))
 
 
-def upsert(target: DataFrame, batch: DataFrame, keys: Sequence[str], check_unique: bool = True) -> DataFrame:
+def upsert(target: DataFrame, batch: DataFrame, keys: Sequence[str], check_unique: bool = True,
+           batch_rows: int | None = None, max_broadcast_rows: int = 0) -> DataFrame:
     """Merge ``batch`` into ``target`` by ``keys`` (update matched, insert new).
 
     With ``check_unique`` evaluating the result fails on a duplicate batch
     key (see :func:`guard_unique`); pass ``False`` for a batch already guarded.
+    When the batch row count is known and within ``max_broadcast_rows``, the
+    batch keys are broadcast so the (large) target is filtered in place
+    instead of being shuffled; otherwise both sides shuffle on the key.
     """
     keys = list(keys)
     if check_unique:
         batch = guard_unique(batch, keys)
-    kept = target.join(batch.select(*keys), keys, "left_anti").select(*target.columns)
+    batch_keys = batch.select(*keys)
+    if batch_rows is not None and batch_rows <= max_broadcast_rows:
+        batch_keys = F.broadcast(batch_keys)
+    kept = target.join(batch_keys, keys, "left_anti").select(*target.columns)
     return kept.unionByName(batch, allowMissingColumns=True)
 
 
@@ -104,7 +111,8 @@ def month_of(col: str) -> F.Column:
 
 def merge_into_partitions(spark: SparkSession, target_path: str, batch: DataFrame,
                           keys: Sequence[str], date_col: str, partition_col: str = "payment_month",
-                          cluster_by: Sequence[str] = (), first_run: bool = False) -> None:
+                          cluster_by: Sequence[str] = (), first_run: bool = False,
+                          max_broadcast_rows: int = 0) -> None:
     """Merge ``batch`` into the month-partitioned Parquet table at ``target_path``.
 
     Only months that receive batch rows, or that hold an old version of a
@@ -131,7 +139,10 @@ def merge_into_partitions(spark: SparkSession, target_path: str, batch: DataFram
 
     target = spark.read.option("mergeSchema", "true").parquet(target_path)
     # Months holding an old version of a batch key (reads key + month columns only).
+    # A bounded batch is broadcast, so the target's key column is never shuffled.
     batch_keys = staged.select(*keys)
+    if max_broadcast_rows and staged.count() <= max_broadcast_rows:
+        batch_keys = F.broadcast(batch_keys)
     old_months = target.join(batch_keys, keys, "left_semi").select(partition_col)
     months = [r[0] for r in staged.select(partition_col).union(old_months).distinct().collect()]
     if not months:

@@ -95,10 +95,13 @@ def incremental_runs(sources: Sequence[tuple[DataFrame, RunParams]], cut: Callab
         cols = columns_per_run[k] if columns_per_run else FCT_PAYMENT_COLUMNS
         batch = up.guard_unique(payments_increment(bucketed, target, p, lookback_days, cols),
                                 [PAYMENT_KEY])
+        rows = None
         if cut is not None:
             batch = cut(batch)
-        target = batch if target is None else up.upsert(target, batch, [PAYMENT_KEY],
-                                                         check_unique=False)
+            rows = batch.count()  # written batch: a metadata-cheap count
+        target = batch if target is None else up.upsert(target, batch, [PAYMENT_KEY], check_unique=False,
+                                                         batch_rows=rows,
+                                                         max_broadcast_rows=p.max_broadcast_rows)
         if cut is not None and k < len(sources) - 1:
             target = cut(target)
     return target
@@ -114,7 +117,8 @@ def incremental_runs_partitioned(spark: SparkSession, target_path: str,
         target = spark.read.option("mergeSchema", "true").parquet(target_path) if exists else None
         batch = payments_increment(bucketed, target, p, lookback_days)
         up.merge_into_partitions(spark, target_path, batch, [PAYMENT_KEY], "payment_date",
-                                 PAYMENT_PARTITION, PAYMENT_CLUSTER, first_run=not exists)
+                                 PAYMENT_PARTITION, PAYMENT_CLUSTER, first_run=not exists,
+                                 max_broadcast_rows=p.max_broadcast_rows)
         exists = True
     return spark.read.option("mergeSchema", "true").parquet(target_path)
 

@@ -94,7 +94,7 @@ def start_payment_load(spark: SparkSession, stream: DataFrame, target_path: str,
         exists = _table_exists(spark, target_path)
         up.merge_into_partitions(spark, target_path, fct, [facts.PAYMENT_KEY], "payment_date",
                                  facts.PAYMENT_PARTITION, facts.PAYMENT_CLUSTER,
-                                 first_run=not exists)
+                                 first_run=not exists, max_broadcast_rows=p.max_broadcast_rows)
 
     w = (stream.writeStream.foreachBatch(process)
          .option("checkpointLocation", checkpoint_location)
