@@ -28,21 +28,6 @@ from loanmart.session import materialize, scratch_path
 DUPLICATE_KEY_MESSAGE = "merge batch has a duplicate key:"
 
 
-class DuplicateKeyError(ValueError):
-    pass
-
-
-def assert_unique_keys(batch: DataFrame, keys: Sequence[str]) -> None:
-    """Fail when a key occurs twice in the batch (one aggregation over the batch keys)."""
-    not_null = F.lit(True)
-    for k in keys:
-        not_null = not_null & F.col(k).isNotNull()
-    dup = (batch.select(*keys).where(not_null)
-           .groupBy(*keys).count().where(F.col("count") > 1).limit(1).collect())
-    if dup:
-        raise DuplicateKeyError(f"batch has duplicate key {dup[0].asDict()}")
-
-
 def guard_unique(batch: DataFrame, keys: Sequence[str]) -> DataFrame:
     """``batch`` unchanged, but evaluating it fails if a non-NULL key occurs twice.
 
@@ -123,20 +108,24 @@ def merge_into_partitions(spark: SparkSession, target_path: str, batch: DataFram
     """
     keys = list(keys)
 
-    def write(df: DataFrame, path: str, mode: str = "overwrite") -> None:
+    def write(df: DataFrame, path: str, cluster: bool) -> None:
         out = df
-        if cluster_by:
-            out = out.repartition(partition_col).sortWithinPartitions(*cluster_by)
-        (out.write.mode(mode).option("partitionOverwriteMode", "dynamic")
+        if cluster and cluster_by:
+            # Range partitioning on (month, cluster keys): every month is split
+            # over several tasks (a month holding most rows is not one task) and
+            # each file covers a narrow key range, which row-group statistics skip.
+            out = out.repartitionByRange(partition_col, *cluster_by).sortWithinPartitions(
+                partition_col, *cluster_by)
+        (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy(partition_col).parquet(path))
 
-    # The batch is read by several jobs below; write it once (duplicate keys fail here).
-    staged = materialize(guard_unique(batch, keys).withColumn(partition_col, month_of(date_col)),
-                         "merge_batch")
     if first_run:
-        write(staged, target_path)
+        write(guard_unique(batch, keys).withColumn(partition_col, month_of(date_col)), target_path, True)
         return
 
+    # The batch is read by several jobs below; write it once (duplicate keys fail here).
+    staged = materialize(guard_unique(batch, keys).withColumn(partition_col, month_of(date_col)),
+                         "merge_batch")
     target = spark.read.option("mergeSchema", "true").parquet(target_path)
     # Months holding an old version of a batch key (reads key + month columns only).
     # A bounded batch is broadcast, so the target's key column is never shuffled.
@@ -150,10 +139,10 @@ def merge_into_partitions(spark: SparkSession, target_path: str, batch: DataFram
     affected = target.where(F.col(partition_col).isin(months))
     kept = affected.join(batch_keys, keys, "left_anti")
     scratch = scratch_path(spark, "merge_months")
-    write(kept.unionByName(staged, allowMissingColumns=True), scratch)
+    write(kept.unionByName(staged, allowMissingColumns=True), scratch, False)
     new_content = spark.read.option("mergeSchema", "true").parquet(scratch)
     present = _partition_values(new_content, partition_col)
-    write(new_content, target_path)
+    write(new_content, target_path, True)
     # A month emptied by the merge (its only rows moved away) is removed.
     for m in months:
         if str(m) not in present:

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import datetime as dt
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -121,17 +120,3 @@ def incremental_runs_partitioned(spark: SparkSession, target_path: str,
                                  max_broadcast_rows=p.max_broadcast_rows)
         exists = True
     return spark.read.option("mergeSchema", "true").parquet(target_path)
-
-
-def run_dates_between(first: dt.date, last: dt.date, month: int = 1, day: int = 2) -> list[dt.date]:
-    """Yearly run dates (default: every 2 January) from ``first`` to ``last`` inclusive."""
-    out = []
-    y = first.year
-    while True:
-        d = dt.date(y, month, day)
-        if d > last:
-            break
-        if d >= first:
-            out.append(d)
-        y += 1
-    return out

@@ -208,7 +208,6 @@ def q_applications_outcome(spark, sf_dir):
 
 
 _PAY_MONEY = ("due_amount_ars", "paid_amount_ars", "payment_variance_ars")
-_PAY_INTS = ("dpd_min", "dpd_max", "severity_order")
 
 
 @register("payments_bucketed", _oracle("payments_bucketed", money=_PAY_MONEY, ints=("severity_order",)))
@@ -325,7 +324,7 @@ where rn = 1""")
 
 _run_ctes(RUNS, "inc")
 _INC_FINAL = _merge_chain_sql("inc", len(RUNS))
-_PAY_FACT_MONEY = _PAY_MONEY
+
 _run_ctes(EVOLUTION_RUNS, "evo")
 _EVO_FINAL = _merge_chain_sql("evo", 2, [EVOLUTION_FIRST_COLUMNS, facts.FCT_PAYMENT_COLUMNS])
 _run_ctes((LOOKBACK_TARGET_RUN, LOOKBACK_SOURCE_RUN), "lb")

@@ -1,6 +1,5 @@
 """Each assertion kind with one planted violation, fused report == row-level forms."""
 
-import datetime as dt
 
 from loanmart.operators import assertions as A
 

@@ -3,7 +3,6 @@
 import datetime as dt
 from decimal import Decimal
 
-import pytest
 
 from loanmart.params import RunParams
 from loanmart.plans import customer360 as c360
