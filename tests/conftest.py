@@ -16,8 +16,10 @@ def spark():
 
     from loanmart.session import apply_conf, checkpoint_root
 
+    import tempfile
     s = (SparkSession.builder.master("local[*]")
          .config("spark.sql.shuffle.partitions", "8")
+         .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="loanmart-warehouse-"))
          .config("spark.ui.enabled", "false")
          .config("spark.sql.session.timeZone", "UTC")
          .getOrCreate())
