@@ -10,9 +10,10 @@ Failure counts follow the usual generic-test definitions:
 * ``rule``              number of rows violating a row predicate
 
 :func:`failure_report` evaluates a whole suite with few passes: per table,
-all not-null / accepted-values checks share one aggregation, all uniqueness
-checks share one shuffle (keys stacked as (check, value)), and each foreign
-key is checked on pre-aggregated distinct child keys (skew-free, small join).
+all not-null and rule checks share one aggregation; accepted-values checks
+shuffle only the rows holding an unaccepted value; all uniqueness checks share
+one shuffle (keys stacked as (check, value)); and each foreign key is checked
+on pre-aggregated distinct child keys (skew-free, small join).
 """
 
 from __future__ import annotations
@@ -132,14 +133,11 @@ class _TableBuilder:
 
 
 def _scan_counts(t: TableChecks, checks: list[Check]) -> DataFrame | None:
-    """not_null, accepted_values and rule checks of one table in one aggregation."""
+    """not_null and rule checks of one table in one aggregation (no shuffle of rows)."""
     aggs = []
     for c in checks:
-        col = F.col(c.columns[0]) if c.columns else None
         if c.kind == "not_null":
-            aggs.append(F.count(F.when(col.isNull(), F.lit(1))).alias(c.name))
-        elif c.kind == "accepted_values":
-            aggs.append(F.count_distinct(F.when(~col.isin(list(c.values)), col)).alias(c.name))
+            aggs.append(F.count(F.when(F.col(c.columns[0]).isNull(), F.lit(1))).alias(c.name))
         elif c.kind == "rule":
             aggs.append(F.count(F.when(~c.predicate, F.lit(1))).alias(c.name))
     if not aggs:
@@ -150,6 +148,23 @@ def _scan_counts(t: TableChecks, checks: list[Check]) -> DataFrame | None:
         for c in checks])))
 
 
+def _accepted_counts(t: TableChecks, checks: list[Check]) -> DataFrame | None:
+    """Accepted-values checks of one table: only rows with an unaccepted value are
+    stacked as (check, value) and shuffled; distinct values are counted per check."""
+    if not checks:
+        return None
+    stacked = [F.when(~F.col(c.columns[0]).isin(list(c.values)),
+                      F.struct(F.lit(c.name).alias("assertion"),
+                               F.col(c.columns[0]).cast("string").alias("v")))
+               for c in checks]
+    bad = t.df.select(F.inline(F.filter(F.array(*stacked), lambda s: s.isNotNull())))
+    per_check = (bad.groupBy("assertion", "v").agg(F.count(F.lit(1)).alias("n"))
+                 .groupBy("assertion").agg(F.count(F.lit(1)).alias("failures")))
+    names = t.df.sparkSession.createDataFrame([(c.name,) for c in checks], "assertion string")
+    return (names.join(per_check, "assertion", "left")
+            .select("assertion", F.coalesce(F.col("failures"), F.lit(0)).cast("bigint").alias("failures")))
+
+
 def _unique_counts(t: TableChecks, checks: list[Check]) -> DataFrame | None:
     """All uniqueness checks of one table through one shuffle on (check, key)."""
     if not checks:
@@ -187,10 +202,11 @@ def failure_report(suite: Suite) -> DataFrame:
     """One row per assertion: (assertion, failures)."""
     parts: list[DataFrame] = []
     for t in suite.tables.values():
-        scan = [c for c in t.checks if c.kind in ("not_null", "accepted_values", "rule")]
+        scan = [c for c in t.checks if c.kind in ("not_null", "rule")]
+        accepted = [c for c in t.checks if c.kind == "accepted_values"]
         uniq = [c for c in t.checks if c.kind in ("unique", "unique_combination")]
         rels = [c for c in t.checks if c.kind == "relationships"]
-        for part in (_scan_counts(t, scan), _unique_counts(t, uniq)):
+        for part in (_scan_counts(t, scan), _accepted_counts(t, accepted), _unique_counts(t, uniq)):
             if part is not None:
                 parts.append(part)
         parts.extend(_relationship_count(t, c) for c in rels)
