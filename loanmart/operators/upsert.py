@@ -139,8 +139,9 @@ def merge_into_partitions(spark: SparkSession, target_path: str, batch: DataFram
     affected = target.where(F.col(partition_col).isin(months))
     kept = affected.join(batch_keys, keys, "left_anti")
     scratch = scratch_path(spark, "merge_months")
-    write(kept.unionByName(staged, allowMissingColumns=True), scratch, False)
-    new_content = spark.read.option("mergeSchema", "true").parquet(scratch)
+    merged = kept.unionByName(staged, allowMissingColumns=True)
+    write(merged, scratch, False)
+    new_content = spark.read.schema(merged.schema).parquet(scratch)
     present = _partition_values(new_content, partition_col)
     write(new_content, target_path, True)
     # A month emptied by the merge (its only rows moved away) is removed.

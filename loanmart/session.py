@@ -83,7 +83,8 @@ def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    # the schema is known: reading it back needs no schema-inference job
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
