@@ -171,11 +171,12 @@ def _unique_counts(t: TableChecks, checks: list[Check]) -> DataFrame | None:
         return None
     stacked = []
     for c in checks:
+        # keys as array<string>: one type for single and composite keys, and a
+        # NULL element stays distinct from any value
+        k = F.array(*[F.col(x).cast("string") for x in c.columns])
         if c.kind == "unique":
-            k = F.col(c.columns[0]).cast("string")
             keep = F.col(c.columns[0]).isNotNull()
         else:  # combination: NULLs take part in the grouping
-            k = F.to_json(F.struct(*[F.col(x) for x in c.columns]))
             keep = F.lit(True)
         stacked.append(F.when(keep, F.struct(F.lit(c.name).alias("assertion"), k.alias("k"))))
     keys = t.df.select(F.inline(F.filter(F.array(*stacked), lambda s: s.isNotNull())))

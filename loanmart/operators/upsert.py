@@ -144,10 +144,12 @@ def merge_into_partitions(spark: SparkSession, target_path: str, batch: DataFram
     new_content = spark.read.schema(merged.schema).parquet(scratch)
     present = _partition_values(new_content, partition_col)
     write(new_content, target_path, True)
-    # A month emptied by the merge (its only rows moved away) is removed.
+    # A month emptied by the merge (its only rows moved away) is overwritten
+    # with no rows, so it contributes nothing to later reads.
     for m in months:
         if str(m) not in present:
-            _delete_partition(spark, target_path, partition_col, m)
+            empty = new_content.drop(partition_col).where(F.lit(False))
+            empty.write.mode("overwrite").parquet(f"{target_path.rstrip('/')}/{partition_col}={m}")
 
 
 def _partition_values(df: DataFrame, col: str) -> set[str]:
@@ -158,11 +160,3 @@ def _partition_values(df: DataFrame, col: str) -> set[str]:
             if part.startswith(col + "="):
                 out.add(part.split("=", 1)[1])
     return out
-
-
-def _delete_partition(spark: SparkSession, root: str, col: str, value) -> None:
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/{col}={value}")
-    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if fs.exists(path):
-        fs.delete(path, True)

@@ -37,6 +37,7 @@ class Models:
         self.sf_dir = sf_dir
         self.p = params
         self.raw = RawTables(spark, sf_dir)
+        self._written: set[str] = set()
 
     def write_tables(self, names: list[str]) -> None:
         """Write the named tables once and use the written copies from then on.
@@ -47,11 +48,14 @@ class Models:
         in dependency order so later models build on earlier written ones.
         """
         for n in names:
+            if n in self._written:
+                continue
             if n in self.raw._cache or n.startswith("raw_") and n != "raw_credit_bureau" \
                     or n in ("lineitem", "customer", "orders", "events"):
                 self.raw._cache[n] = materialize(self.raw.get(n), n)
             else:
                 self.__dict__[n] = materialize(getattr(self, n), n)
+            self._written.add(n)
 
     # --- raw bureau as a sequence of daily feed states ----------------------
     def bureau_batches(self) -> list[tuple[DataFrame, dt.datetime]]:

@@ -22,6 +22,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.errors import AnalysisException
 from pyspark.sql.streaming import StreamingQuery
 
 from loanmart.operators import upsert as up
@@ -104,7 +105,8 @@ def start_payment_load(spark: SparkSession, stream: DataFrame, target_path: str,
 
 
 def _table_exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return fs.exists(p)
+    try:
+        spark.read.parquet(path).schema  # resolving the path fails if nothing was written yet
+        return True
+    except AnalysisException:
+        return False
