@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from loanmart.functions.columns import avg_exact, count_if_true, first_match
+from loanmart.operators.broadcast import broadcast_if_small
 from loanmart.params import DEFAULT, RunParams
 from loanmart.plans.intermediate import ENRICHED_SCORE_ELSE, ENRICHED_SCORE_TIERS
 
@@ -89,11 +90,12 @@ def vintage_cohort(fct_payments: DataFrame, fct_originations: DataFrame) -> Data
 
 
 def product_funnel(fct_applications: DataFrame, fct_originations: DataFrame,
-                   dim_products: DataFrame) -> DataFrame:
+                   dim_products: DataFrame, product_rows: int | None = None,
+                   max_broadcast_rows: int = 100_000) -> DataFrame:
     """Applications -> approvals -> originations by product, with mean ticket.
 
-    The product dimension is a catalogue created on the driver (a handful of
-    rows), so it is broadcast.
+    The product dimension is broadcast when its row count (known for the
+    seeded catalogue, else counted) is within ``max_broadcast_rows``.
     """
     a = fct_applications.groupBy("product_code").agg(
         F.count(F.lit(1)).alias("applications"),
@@ -104,7 +106,8 @@ def product_funnel(fct_applications: DataFrame, fct_originations: DataFrame,
         F.count(F.lit(1)).alias("originations"),
         F.sum("approved_amount_ars").alias("granted_amount_ars"),
         avg_exact("approved_amount_ars").alias("avg_ticket_ars"))
-    d = F.broadcast(dim_products.select("product_code", "product_name", "product_type", "risk_tier"))
+    d, _ = broadcast_if_small(dim_products.select("product_code", "product_name", "product_type", "risk_tier"),
+                              max_broadcast_rows, product_rows)
     j = a.join(o, "product_code", "full_outer").join(d, "product_code", "left")
     return j.select(
         "product_code", "product_name", "product_type", "risk_tier",
@@ -258,7 +261,9 @@ from j left join dim_products_all d on j.product_code = d.product_code""")
     @register("product_funnel", O.sql_for("select * from product_funnel", ("product_funnel",)))
     def q_product_funnel(spark, sf_dir):
         m = models(spark, sf_dir)
-        return canonical(product_funnel(m.fct_applications, m.fct_originations, m.dim_products))
+        from loanmart.sources.seeds import SEED_ROWS
+        return canonical(product_funnel(m.fct_applications, m.fct_originations, m.dim_products,
+                                        SEED_ROWS["products"], m.p.max_broadcast_rows))
 
     tiers = (" ".join(f"when bureau_score >= {t} then '{lab}'" for t, lab in ENRICHED_SCORE_TIERS))
     O.cte("score_monthly", ("bureau_scd2",), f"""
