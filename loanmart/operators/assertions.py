@@ -25,13 +25,6 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-REPORT_SCHEMA = T.StructType([
-    T.StructField("assertion", T.StringType(), False),
-    T.StructField("failures", T.LongType(), False),
-])
-
 
 # --- row-level forms (what a failing test shows) ---------------------------
 

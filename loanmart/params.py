@@ -7,7 +7,7 @@ both are parameters here so a run is reproducible.
 from __future__ import annotations
 
 import datetime as dt
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 
 @dataclass(frozen=True)
@@ -20,8 +20,6 @@ class RunParams:
     mask_pii: bool = True
     # rows per side under which a lookup may be broadcast.
     max_broadcast_rows: int = 100_000
-    # extra knobs for callers; kept hashable.
-    extra: tuple = field(default_factory=tuple)
 
 
 DEFAULT = RunParams()
