@@ -14,9 +14,6 @@ SESSION_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
-    # coalesce shuffle output by size (advisory 64 MB), not to a fixed task count:
-    # no floods of tiny tasks, and partitions of a sane size at any scale
-    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.ui.enabled": "false",
 }
