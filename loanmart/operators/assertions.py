@@ -12,8 +12,8 @@ Failure counts follow the usual generic-test definitions:
 :func:`failure_report` evaluates a whole suite with few passes: per table,
 all not-null and rule checks share one aggregation; accepted-values checks
 shuffle only the rows holding an unaccepted value; all uniqueness checks share
-one shuffle (keys stacked as (check, value)); and each foreign key is checked
-on pre-aggregated distinct child keys (skew-free, small join).
+one shuffle (keys stacked as (check, value)); and foreign keys are checked
+on pre-aggregated distinct child keys (skew-free), one anti-join per parent.
 """
 
 from __future__ import annotations
@@ -180,21 +180,38 @@ def _unique_counts(t: TableChecks, checks: list[Check]) -> DataFrame | None:
             .select("assertion", F.coalesce(F.col("failures"), F.lit(0)).cast("bigint").alias("failures")))
 
 
-def _relationship_count(t: TableChecks, c: Check) -> DataFrame:
-    """Child keys are pre-aggregated (one row per distinct key with its row
-    count) before the anti-join, so a hot key cannot skew the join."""
-    col = c.columns[0]
-    child = (t.df.where(F.col(col).isNotNull()).groupBy(F.col(col).alias("__k"))
-             .agg(F.count(F.lit(1)).alias("__n")))
-    parent = c.parent.select(F.col(c.parent_field).alias("__k")).distinct()
-    missing = child.join(parent, "__k", "left_anti")
-    return missing.agg(F.coalesce(F.sum("__n"), F.lit(0)).cast("bigint").alias("failures")).select(
-        F.lit(c.name).alias("assertion"), "failures")
+def _relationship_counts(items: list[tuple[TableChecks, Check]]) -> DataFrame:
+    """Foreign-key checks that share one parent (same DataFrame and key).
+
+    Child keys are pre-aggregated per check (one row per distinct key with its
+    row count), so a hot key cannot skew the join; all children of the parent
+    are stacked and anti-joined with the parent's distinct keys once, so a
+    large dimension is shuffled once per suite, not once per check.
+    """
+    parent_field = items[0][1].parent_field
+    parent = items[0][1].parent
+    ptype = parent.schema[parent_field].dataType
+    children = []
+    for t, c in items:
+        k = F.col(c.columns[0])
+        if t.df.schema[c.columns[0]].dataType != ptype:
+            k = k.cast(ptype)
+        children.append(t.df.where(F.col(c.columns[0]).isNotNull()).groupBy(k.alias("__k"))
+                        .agg(F.count(F.lit(1)).alias("__n"))
+                        .select(F.lit(c.name).alias("assertion"), "__k", "__n"))
+    child = reduce(DataFrame.unionByName, children)
+    keys = parent.select(F.col(parent_field).alias("__k")).distinct()
+    counts = (child.join(keys, "__k", "left_anti").groupBy("assertion")
+              .agg(F.sum("__n").alias("failures")))
+    names = parent.sparkSession.createDataFrame([(c.name,) for _, c in items], "assertion string")
+    return (names.join(counts, "assertion", "left")
+            .select("assertion", F.coalesce(F.col("failures"), F.lit(0)).cast("bigint").alias("failures")))
 
 
 def failure_report(suite: Suite) -> DataFrame:
     """One row per assertion: (assertion, failures)."""
     parts: list[DataFrame] = []
+    rel_groups: OrderedDict[tuple, list] = OrderedDict()
     for t in suite.tables.values():
         scan = [c for c in t.checks if c.kind in ("not_null", "rule")]
         accepted = [c for c in t.checks if c.kind == "accepted_values"]
@@ -203,7 +220,9 @@ def failure_report(suite: Suite) -> DataFrame:
         for part in (_scan_counts(t, scan), _accepted_counts(t, accepted), _unique_counts(t, uniq)):
             if part is not None:
                 parts.append(part)
-        parts.extend(_relationship_count(t, c) for c in rels)
+        for c in rels:
+            rel_groups.setdefault((id(c.parent), c.parent_field), []).append((t, c))
+    parts.extend(_relationship_counts(items) for items in rel_groups.values())
     if not parts:
         raise ValueError("empty suite")
     return reduce(DataFrame.unionByName, parts)

@@ -30,3 +30,15 @@ def test_clean_table_reports_zero(spark):
     s = A.Suite()
     s.table("t", df).unique("id", "u").not_null("code", "n").accepted_values("code", ["a", "b"], "a")
     assert {r.failures for r in A.failure_report(s).collect()} == {0}
+
+
+def test_relationships_grouped_by_parent(spark):
+    parent = spark.createDataFrame([(1, "a"), (2, "b"), (3, "a")], "pid bigint, kind string")
+    c1 = spark.createDataFrame([(1,), (4,), (4,), (None,)], "fk bigint")
+    c2 = spark.createDataFrame([(2,), (5,)], "fk int")  # other key type: compared after a cast
+    s = A.Suite()
+    s.table("c1", c1).relationships("fk", parent, "pid", "p", "r1")
+    s.table("c2", c2).relationships("fk", parent, "pid", "p", "r2")
+    s.table("c2", c2).relationships("fk", parent.where("kind = 'a'"), "pid", "p_a", "r3")
+    got = {r.assertion: r.failures for r in A.failure_report(s).collect()}
+    assert got == {"r1": 2, "r2": 1, "r3": 2}
