@@ -97,7 +97,8 @@ def incremental_runs(sources: Sequence[tuple[DataFrame, RunParams]], cut: Callab
         rows = None
         if cut is not None:
             batch = cut(batch)
-            rows = batch.count()  # written batch: a metadata-cheap count
+            if target is not None:
+                rows = batch.count()  # written batch: a cheap count, decides the broadcast
         target = batch if target is None else up.upsert(target, batch, [PAYMENT_KEY], check_unique=False,
                                                          batch_rows=rows,
                                                          max_broadcast_rows=p.max_broadcast_rows)
