@@ -28,8 +28,23 @@ select p.page_id, p.payload_bytes, p.payload_digest,
 from p join f using (payload_digest)
 """
 
+def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
+    """A public tokenizer's vocabulary file, as installed on every machine."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids and decoded text of every document, as counts and digests."""
+    from loanmart.llm.bpe import encode_digests
+
+    return encode_digests(read_table(spark, sf_dir, "documents"), tokenizer_path())
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_warc": op6_warc,
+    "op9_bpe": op9_bpe,
 }
 
 ORACLE_SQL: dict[str, str] = {"op6_warc": OP6_SQL}
