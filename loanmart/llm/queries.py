@@ -28,6 +28,13 @@ select p.page_id, p.payload_bytes, p.payload_digest,
 from p join f using (payload_digest)
 """
 
+def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of all documents and of their edited texts, with likenesses."""
+    from loanmart.llm.fingerprints import edited_fingerprints
+
+    return edited_fingerprints(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
     """A public tokenizer's vocabulary file, as installed on every machine."""
     import public_tokenizers
@@ -43,6 +50,7 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_fingerprints": op3_fingerprints,
     "op6_warc": op6_warc,
     "op9_bpe": op9_bpe,
 }
