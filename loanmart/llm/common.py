@@ -8,7 +8,11 @@ a run of characters.
 
 from __future__ import annotations
 
+import os
+import shutil
+import tempfile
 from collections.abc import Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -25,6 +29,16 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Let Python workers import this package: as a py-file, unless PYTHONPATH already has it."""
+    root = str(Path(__file__).resolve().parents[2])
+    sc = spark.sparkContext
+    if root in os.environ.get("PYTHONPATH", "").split(os.pathsep) or getattr(sc, "_loanmart_shipped", False):
+        return
+    sc.addPyFile(shutil.make_archive(os.path.join(tempfile.mkdtemp(prefix="loanmart-py-"), "loanmart_pkg"), "zip", root, "loanmart"))
+    sc._loanmart_shipped = True
+
+
 def crc_bucket(col, n: int):
     """crc32 of an id as text, modulo n (a NULL id counts as the empty text)."""
     return (F.crc32(F.coalesce(F.col(col).cast("string"), F.lit("")).cast("binary")) % n).cast("int")

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from loanmart.llm.common import read_table
+from loanmart.llm.common import read_table, ship_package
 
 
 def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -35,6 +35,13 @@ def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return edited_fingerprints(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of all documents."""
+    from loanmart.llm.toxicity import score_documents
+
+    return score_documents(read_table(spark, sf_dir, "documents").select("doc_id", "text"), read_table(spark, sf_dir, "labels").select("doc_id", "toxic"))
+
+
 def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
     """A public tokenizer's vocabulary file, as installed on every machine."""
     import public_tokenizers
@@ -49,10 +56,21 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_digests(read_table(spark, sf_dir, "documents"), tokenizer_path())
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+def _ready(query):
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ship_package(spark)
+        return query(spark, sf_dir)
+
+    return run
+
+
+_PLAIN = {
     "op3_fingerprints": op3_fingerprints,
     "op6_warc": op6_warc,
+    "op7_toxicity": op7_toxicity,
     "op9_bpe": op9_bpe,
 }
 
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {k: _ready(f) for k, f in _PLAIN.items()}
+
 ORACLE_SQL: dict[str, str] = {"op6_warc": OP6_SQL}
