@@ -27,7 +27,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loanmart.llm.common import offsets_of, segment_arange, span_hashes, text_blocks
+from loanmart.llm.common import offsets_of, schema_with, segment_arange, span_hashes, text_blocks
 
 #: GPT-2 pre-tokenizer pattern of ByteLevel(use_regex=True) (fixed by the format).
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -323,7 +323,7 @@ def encode_text(text: str, vocab: Vocabulary) -> np.ndarray:
 def encode(docs: DataFrame, path: str, text: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """``keep`` columns, ``ids`` (array of int) and ``decoded`` (text of those ids) of every row."""
     picked = docs.select(*keep, F.col(text).alias("_text"))
-    schema = picked.drop("_text").schema.add("ids", "array<int>").add("decoded", "string")
+    schema = schema_with(picked.drop("_text"), "ids array<int>, decoded string")
 
     def run(batches):
         store = TokenStore(vocabulary(path))
@@ -339,7 +339,7 @@ def encode(docs: DataFrame, path: str, text: str = "text", keep: tuple[str, ...]
 def encode_digests(docs: DataFrame, path: str, text: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """``keep`` columns, n_tokens, ids_sha256 and decoded_sha256: the encoding without its ids."""
     picked = docs.select(*keep, F.col(text).alias("_text"))
-    schema = picked.drop("_text").schema.add("n_tokens", "long").add("ids_sha256", "string").add("decoded_sha256", "string")
+    schema = schema_with(picked.drop("_text"), "n_tokens long, ids_sha256 string, decoded_sha256 string")
 
     def run(batches):
         store = TokenStore(vocabulary(path))

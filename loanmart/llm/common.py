@@ -18,6 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from loanmart.session import materialize, scratch_path  # noqa: F401  (re-exported)
 
@@ -39,6 +40,11 @@ def ship_package(spark: SparkSession) -> None:
     sc._loanmart_shipped = True
 
 
+def schema_with(df: DataFrame, more: str) -> StructType:
+    """Columns of df, then those of a DDL list."""
+    return StructType([*df.schema.fields, *StructType.fromDDL(more).fields])
+
+
 def crc_bucket(col, n: int):
     """crc32 of an id as text, modulo n (a NULL id counts as the empty text)."""
     return (F.crc32(F.coalesce(F.col(col).cast("string"), F.lit("")).cast("binary")) % n).cast("int")

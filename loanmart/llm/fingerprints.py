@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loanmart.llm.common import materialize, offsets_of, shuffle_partitions, span_hashes, text_blocks
+from loanmart.llm.common import offsets_of, schema_with, shuffle_partitions, span_hashes, text_blocks
 
 #: Chunk sizes in bytes: least, normal, greatest.
 LEAST, NORMAL, MOST = 12, 28, 112
@@ -126,7 +126,7 @@ def fingerprint(docs: DataFrame, text: str = "text", keep: tuple[str, ...] = ("d
                 prints = Prints(batch.column("_text").slice(lo, hi - lo))
                 yield pa.RecordBatch.from_arrays([*(batch.column(c).slice(lo, hi - lo) for c in keep), pa.array([prints.text(i) for i in range(len(prints))], pa.string())], [*keep, "fingerprint"])
 
-    return picked.mapInArrow(run, picked.drop("_text").schema.add("fingerprint", "string"))
+    return picked.mapInArrow(run, schema_with(picked.drop("_text"), "fingerprint string"))
 
 
 # ------------------------------------------------- each document and the one after it

@@ -9,6 +9,13 @@ from pyspark.sql import DataFrame, SparkSession
 from loanmart.llm.common import read_table, ship_package
 
 
+def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Languages of all documents and pages (doc_id or page_id is NULL)."""
+    from loanmart.llm.language import identify_all
+
+    return identify_all(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "pages"))
+
+
 def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Archives of all pages, written, read back and resolved."""
     from loanmart.llm.warc import warc_round_trip
@@ -56,6 +63,13 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_digests(read_table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Expected grade, tail probability and selection of all documents."""
+    from loanmart.llm.quality import grade_documents
+
+    return grade_documents(read_table(spark, sf_dir, "documents").select("doc_id", "text"), read_table(spark, sf_dir, "labels"))
+
+
 def _ready(query):
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         ship_package(spark)
@@ -66,9 +80,11 @@ def _ready(query):
 
 _PLAIN = {
     "op3_fingerprints": op3_fingerprints,
+    "op4_language": op4_language,
     "op6_warc": op6_warc,
     "op7_toxicity": op7_toxicity,
     "op9_bpe": op9_bpe,
+    "op10_quality": op10_quality,
 }
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {k: _ready(f) for k, f in _PLAIN.items()}
