@@ -35,6 +35,13 @@ select p.page_id, p.payload_bytes, p.payload_digest,
 from p join f using (payload_digest)
 """
 
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Windows of benchmark items found in all documents."""
+    from loanmart.llm.decontamination import report
+
+    return report(read_table(spark, sf_dir, "documents").select("doc_id", "text"), read_table(spark, sf_dir, "benchmark").select("item_id", "text"))
+
+
 def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of all documents and of their edited texts, with likenesses."""
     from loanmart.llm.fingerprints import edited_fingerprints
@@ -49,6 +56,13 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_documents(read_table(spark, sf_dir, "documents").select("doc_id", "text"), read_table(spark, sf_dir, "labels").select("doc_id", "toxic"))
 
 
+def op8_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licences of all documents."""
+    from loanmart.llm.licenses import scan_licences
+
+    return scan_licences(read_table(spark, sf_dir, "documents"))
+
+
 def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
     """A public tokenizer's vocabulary file, as installed on every machine."""
     import public_tokenizers
@@ -79,10 +93,12 @@ def _ready(query):
 
 
 _PLAIN = {
+    "op2_decontamination": op2_decontamination,
     "op3_fingerprints": op3_fingerprints,
     "op4_language": op4_language,
     "op6_warc": op6_warc,
     "op7_toxicity": op7_toxicity,
+    "op8_licences": op8_licences,
     "op9_bpe": op9_bpe,
     "op10_quality": op10_quality,
 }
