@@ -16,6 +16,13 @@ def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify_all(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "pages"))
 
 
+def op5_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of near-duplicate documents."""
+    from loanmart.llm.jaccard import jaccard_components
+
+    return jaccard_components(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Archives of all pages, written, read back and resolved."""
     from loanmart.llm.warc import warc_round_trip
@@ -96,6 +103,7 @@ _PLAIN = {
     "op2_decontamination": op2_decontamination,
     "op3_fingerprints": op3_fingerprints,
     "op4_language": op4_language,
+    "op5_jaccard": op5_jaccard,
     "op6_warc": op6_warc,
     "op7_toxicity": op7_toxicity,
     "op8_licences": op8_licences,
