@@ -170,6 +170,9 @@ class TokenStore:
         self.ids = np.zeros(0, np.int32)
         self.lengths = np.zeros(0, np.int64)
 
+    def encode(self, data: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        return self.vocab.encode_words(data, lengths)
+
     def add(self, hashes: np.ndarray, block_of: np.ndarray, words_of) -> np.ndarray:
         """Number of each distinct hash; words_of(block, places) gives the bytes of some of them."""
         if len(self.hashes) > MAX_WORDS:
@@ -184,7 +187,7 @@ class TokenStore:
         if len(new):
             new = new[np.argsort(block_of[new], kind="stable")]
             parts = [words_of(k, new[block_of[new] == k]) for k in np.unique(block_of[new]).tolist()]
-            flat, counts = self.vocab.encode_words(*map(np.concatenate, zip(*parts)))
+            flat, counts = self.encode(*map(np.concatenate, zip(*parts)))
             out[new] = len(self.lengths) + np.arange(len(new))
             self.ids = np.concatenate([self.ids, flat])
             self.lengths = np.concatenate([self.lengths, counts])
@@ -194,6 +197,18 @@ class TokenStore:
         return out
 
 
+class SpacedWordStore(TokenStore):
+    """Ids of distinct words, each encoded as a space and the word."""
+
+    def encode(self, data: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        bounds = offsets_of(lengths + 1)
+        spaced = np.full(bounds[-1], 0x20, np.uint8)
+        spaced[np.repeat(bounds[:-1] + 1, lengths) + segment_arange(lengths)] = data
+        starts = split_words(spaced, bounds)
+        ids, counts = self.vocab.encode_words(spaced, np.diff(np.append(starts, len(spaced))))
+        return ids, np.diff(offsets_of(counts)[np.append(np.searchsorted(starts, bounds[:-1]), len(starts))])
+
+
 @functools.cache
 def _classes() -> np.ndarray:
     """Class of every code point: 0 white space, 1 letter, 2 number, 3 anything else."""

@@ -42,6 +42,13 @@ select p.page_id, p.payload_bytes, p.payload_digest,
 from p join f using (payload_digest)
 """
 
+def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log-probabilities of all documents."""
+    from loanmart.llm.lm_scoring import score_documents
+
+    return score_documents(read_table(spark, sf_dir, "documents").select("doc_id", "text"), tokenizer_path())
+
+
 def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Windows of benchmark items found in all documents."""
     from loanmart.llm.decontamination import report
@@ -100,6 +107,7 @@ def _ready(query):
 
 
 _PLAIN = {
+    "op1_lm_scoring": op1_lm_scoring,
     "op2_decontamination": op2_decontamination,
     "op3_fingerprints": op3_fingerprints,
     "op4_language": op4_language,
