@@ -2,23 +2,29 @@
 
 History columns: the tracked columns, plus
 
-* ``dbt_scd_id``     md5 of key and version timestamp
+* ``dbt_scd_id``     md5 of key and start of validity
 * ``dbt_updated_at`` the source's update timestamp of the version
-* ``dbt_valid_from`` start of validity (= update timestamp)
+* ``dbt_valid_from`` start of validity (the update timestamp, but for returning keys)
 * ``dbt_valid_to``   end of validity, NULL for the open (current) version
 
 Rules for one batch (the batch has at most one row per key):
 
-* key with no open version (new, or returning after a delete) -> open a version;
-* open version and the batch row is newer -> close it at the new timestamp and
-  open a new version; not newer -> nothing changes (other columns are not compared);
+* new key -> open a version at its update timestamp;
+* open version and the batch row is newer (update timestamp past the version's
+  ``dbt_updated_at``) -> close it at the new timestamp and open a new version;
+  not newer -> nothing changes (other columns are not compared);
 * open version whose key is missing from the batch -> closed at the run time
   (hard delete), when ``invalidate_hard_deletes`` is on;
+* key that returns after a delete -> a version opens at its update timestamp if
+  that is past the delete, else at the run time: validity intervals of one key
+  never overlap, and ``dbt_scd_id`` (key and start of validity) stays unique;
 * closed versions are never touched.
 
-Only open versions are shuffled: the history is split by ``dbt_valid_to IS
-NULL`` (pushed to the scan), open versions are full-outer-joined with the
-batch on the key, and closed versions are appended unchanged.
+A stored history (:func:`run_snapshot`) is one Parquet table partitioned by run
+and by open / closed. A run writes its own partition only: the versions it
+closed and all versions open after it. Current versions are the open partition
+of the newest run, so reading them is one scan after any number of runs, and
+running a run again gives the same files.
 """
 
 from __future__ import annotations
@@ -26,7 +32,8 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -60,34 +67,35 @@ def merge(history: DataFrame, batch: DataFrame, key: str, updated_at: str,
     """Apply one source batch to a type-2 history; returns the new history."""
     closed = history.where(F.col("dbt_valid_to").isNotNull())
     open_ = history.where(F.col("dbt_valid_to").isNull())
-    return closed.unionByName(merge_open(open_, batch, key, updated_at, run_ts, invalidate_hard_deletes))
+    return closed.unionByName(merge_open(open_, closed, batch, key, updated_at, run_ts, invalidate_hard_deletes))
 
 
-def merge_open(open_: DataFrame, batch: DataFrame, key: str, updated_at: str,
+def merge_open(open_: DataFrame, closed: DataFrame, batch: DataFrame, key: str, updated_at: str,
                run_ts: dt.datetime, invalidate_hard_deletes: bool = True) -> DataFrame:
     """Merge one batch into the *open* versions only.
 
     Returns the versions this run touches or keeps open: open versions left
-    unchanged, versions it closes, and versions it opens. Closed versions of
-    earlier runs are not read, so a run costs O(keys), not O(history).
+    unchanged, versions it closes, and versions it opens. Of the closed versions
+    only key and end of validity are read, for batch keys without an open version.
     """
     cols = [c for c in open_.columns if c not in META]
+    unmatched = batch.select(key).join(open_.select(key), key, "left_anti")
+    gone = (closed.select(key, "dbt_valid_to").join(unmatched, key, "left_semi")
+            .groupBy(key).agg(F.max("dbt_valid_to").alias("__gone_at")))
     h = open_.alias("h")
-    s = batch.select(*cols).alias("s")
+    s = batch.select(*cols).join(gone, key, "left").alias("s")
     j = h.join(s, F.col(f"h.{key}") == F.col(f"s.{key}"), "full_outer")
 
     h_key, s_key = F.col(f"h.{key}"), F.col(f"s.{key}")
-    s_upd = F.col(f"s.{updated_at}").cast("timestamp")
-    newer = s_upd > F.col("h.dbt_valid_from")
+    s_upd, gone_at = F.col(f"s.{updated_at}").cast("timestamp"), F.col("s.__gone_at")
+    newer = s_upd > F.col("h.dbt_updated_at")
     run = F.lit(run_ts).cast("timestamp")
+    opens_at = (F.when(h_key.isNotNull(), F.greatest(s_upd, F.col("h.dbt_valid_from")))
+                .when(gone_at.isNull() | (s_upd >= gone_at), s_upd).otherwise(run))
 
+    close_at = F.when(s_key.isNotNull() & newer, opens_at)
     if invalidate_hard_deletes:
-        close_at = (F.when(s_key.isNull(), run)
-                    .when(newer, s_upd)
-                    .otherwise(F.lit(None).cast("timestamp")))
-    else:
-        close_at = F.when(s_key.isNotNull() & newer, s_upd).otherwise(
-            F.lit(None).cast("timestamp"))
+        close_at = F.when(s_key.isNull(), run).otherwise(close_at)
 
     old_version = F.when(h_key.isNotNull(), F.struct(
         *[F.col(f"h.{c}").alias(c) for c in cols],
@@ -98,12 +106,14 @@ def merge_open(open_: DataFrame, batch: DataFrame, key: str, updated_at: str,
     ))
     new_version = F.when(s_key.isNotNull() & (h_key.isNull() | newer), F.struct(
         *[F.col(f"s.{c}").alias(c) for c in cols],
-        _scd_id(s_key, s_upd).alias("dbt_scd_id"),
+        _scd_id(s_key, opens_at).alias("dbt_scd_id"),
         s_upd.alias("dbt_updated_at"),
-        s_upd.alias("dbt_valid_from"),
+        opens_at.alias("dbt_valid_from"),
         F.lit(None).cast("timestamp").alias("dbt_valid_to"),
     ))
-    return j.select(F.inline(F.filter(F.array(old_version, new_version), lambda v: v.isNotNull())))
+    # a version that would end where it starts is replaced by its successor
+    return j.select(F.inline(F.filter(F.array(old_version, new_version), lambda v: v.isNotNull() & (
+        v["dbt_valid_to"].isNull() | (v["dbt_valid_to"] > v["dbt_valid_from"])))))
 
 
 def current(history: DataFrame) -> DataFrame:
@@ -118,35 +128,77 @@ def as_of(history: DataFrame, ts: Column) -> DataFrame:
 
 
 def replay(batches: Sequence[tuple[DataFrame, dt.datetime]], key: str, updated_at: str,
-           invalidate_hard_deletes: bool = True, cut=None) -> DataFrame:
-    """Run the snapshot over batches in order and return the final history.
-
-    The history is kept as two parts, as a scheduled job would store it:
-    closed versions (append-only: each run adds the versions it closed) and
-    open versions (rewritten by each run). ``cut`` (e.g.
-    :func:`loanmart.session.cut_lineage`) writes each run's output once, so a
-    run reads only the open versions and its plan does not grow with the
-    number of runs.
-    """
-    closed_parts: list[DataFrame] = []
-    open_ = None
-    for batch, run_ts in batches:
-        if open_ is None:
-            step = initial_history(batch, key, updated_at)
-        else:
-            step = merge_open(open_, batch, key, updated_at, run_ts, invalidate_hard_deletes)
-        if cut is not None:
-            step = cut(step)
-        closed_parts.append(step.where(F.col("dbt_valid_to").isNotNull()))
-        open_ = step.where(F.col("dbt_valid_to").isNull())
-    if open_ is None:
+           invalidate_hard_deletes: bool = True) -> DataFrame:
+    """Apply batches in order within one plan and return the final history."""
+    if not batches:
         raise ValueError("no batches")
-    out = open_
-    for part in closed_parts:
-        out = part.unionByName(out)
+    out = None
+    for batch, run_ts in batches:
+        out = (initial_history(batch, key, updated_at) if out is None
+               else merge(out, batch, key, updated_at, run_ts, invalidate_hard_deletes))
     return out
 
 
+# --- stored history -----------------------------------------------------------
+
+RUN, IS_OPEN = "snapshot_run", "is_open"
+
+
+def run_id(run_ts: dt.datetime) -> str:
+    """Partition value of a run; sorts in time order."""
+    return run_ts.strftime("%Y%m%dT%H%M%S")
+
+
+def _stored(spark: SparkSession, root: str, schema: T.StructType | None) -> DataFrame | None:
+    reader = spark.read
+    if schema is not None:
+        reader = reader.schema(T.StructType([*schema.fields, T.StructField(RUN, T.StringType()),
+                                             T.StructField(IS_OPEN, T.BooleanType())]))
+    try:
+        return reader.parquet(root)
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
+
+
+def run_snapshot(root: str, batch: DataFrame, key: str, updated_at: str, run_ts: dt.datetime,
+                 invalidate_hard_deletes: bool = True) -> None:
+    """One scheduled run: merge the batch into the history stored under ``root``.
+
+    Reads the newest run before ``run_ts``; replaces what an earlier attempt at
+    this run wrote.
+    """
+    spark = batch.sparkSession
+    this = run_id(run_ts)
+    first = initial_history(batch, key, updated_at)
+    stored = _stored(spark, root, first.schema)
+    before = stored.where(F.col(RUN) < this) if stored is not None else None
+    last = before.agg(F.max(RUN)).first()[0] if before is not None else None
+    if last is None:
+        step = first
+    else:
+        open_ = before.where((F.col(RUN) == last) & F.col(IS_OPEN)).drop(RUN, IS_OPEN)
+        closed = before.where(~F.col(IS_OPEN)).drop(RUN, IS_OPEN)
+        step = merge_open(open_, closed, batch, key, updated_at, run_ts, invalidate_hard_deletes)
+    (step.withColumn(IS_OPEN, F.col("dbt_valid_to").isNull())
+     .write.mode("overwrite").partitionBy(IS_OPEN).parquet(f"{root.rstrip('/')}/{RUN}={this}"))
+
+
+def stored_history(spark: SparkSession, root: str, schema: T.StructType | None = None) -> DataFrame:
+    """The whole history: closed versions of all runs and the open ones of the newest."""
+    stored = _stored(spark, root, schema)
+    last = stored.agg(F.max(RUN)).first()[0]
+    return stored.where(~F.col(IS_OPEN) | (F.col(RUN) == last)).drop(RUN, IS_OPEN)
+
+
+def stored_open(spark: SparkSession, root: str, schema: T.StructType | None = None) -> DataFrame:
+    """Current versions: one scan of the newest run's open partition."""
+    stored = _stored(spark, root, schema)
+    last = stored.agg(F.max(RUN)).first()[0]
+    return stored.where((F.col(RUN) == last) & F.col(IS_OPEN)).drop(RUN, IS_OPEN)
+
+
 def deleted_keys(history: DataFrame, key: str) -> DataFrame:
     """Last version of every key that has no open version (deleted at the source).
 

@@ -120,19 +120,18 @@ def product_funnel(fct_applications: DataFrame, fct_originations: DataFrame,
     )
 
 
-def score_monthly(history: DataFrame) -> DataFrame:
-    """Bureau score by month end: each customer's version valid at the end of the month.
+def score_monthly(history: DataFrame, p: RunParams = DEFAULT) -> DataFrame:
+    """Bureau score by month end up to the month of ``p.as_of``: each customer's
+    version valid at the end of the month.
 
     Every version is expanded to the month ends its validity can cover
     (bounded by its own length), then filtered exactly — no join, so the
-    cost is linear in the history.
+    cost is linear in the history. Versions that start after that month are left out.
     """
-    # last instant any version covers (a scalar subquery, evaluated once)
-    horizon = history.agg(F.max(F.greatest(
-        F.col("dbt_valid_from"), F.coalesce(F.col("dbt_valid_to"), F.col("dbt_valid_from"))))).scalar()
-    end = F.coalesce(F.col("dbt_valid_to"), horizon)
-    month_starts = F.sequence(F.trunc(F.to_date("dbt_valid_from"), "month"), F.trunc(F.to_date(end), "month"),
-                              F.expr("interval 1 month"))
+    last = F.last_day(F.lit(p.as_of).cast("date"))
+    end = F.least(F.to_date(F.coalesce("dbt_valid_to", last.cast("timestamp"))), last)
+    month_starts = F.sequence(F.trunc(F.to_date("dbt_valid_from"), "month"), F.trunc(end, "month"), F.expr("interval 1 month"))
+    history = history.where(F.to_date("dbt_valid_from") <= last)
     x = (history.select("customer_id", "bureau_score", "dbt_valid_from", "dbt_valid_to",
                         F.explode(month_starts).alias("month_start"))
          .withColumn("month_end", F.last_day("month_start")))
@@ -267,11 +266,9 @@ from j left join dim_products_all d on j.product_code = d.product_code""")
 
     tiers = (" ".join(f"when bureau_score >= {t} then '{lab}'" for t, lab in ENRICHED_SCORE_TIERS))
     O.cte("score_monthly", ("bureau_scd2",), f"""
-with h as (select last_day(cast(max(greatest(dbt_valid_from, coalesce(dbt_valid_to, dbt_valid_from))) as date)) as hz
-           from bureau_scd2),
-m as (select last_day(cast(d as date)) as month_end
-      from h, unnest(generate_series(
-        (select cast(date_trunc('month', min(dbt_valid_from)) as date) from bureau_scd2), hz,
+with m as (select last_day(cast(d as date)) as month_end
+      from unnest(generate_series(
+        (select cast(date_trunc('month', min(dbt_valid_from)) as date) from bureau_scd2), last_day({O.AS_OF}),
         interval 1 month)) t(d)),
 v as (select m.month_end, s.bureau_score from m join bureau_scd2 s
       on s.dbt_valid_from < cast(m.month_end + 1 as timestamp)

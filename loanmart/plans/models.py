@@ -8,6 +8,7 @@ node (Spark can then reuse its exchanges).
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,7 +18,7 @@ from loanmart.operators import scd2
 from loanmart.params import DEFAULT, RunParams
 from loanmart.plans import customer360 as c360
 from loanmart.plans import dims, facts, intermediate, staging
-from loanmart.session import cut_lineage, materialize
+from loanmart.session import materialize, scratch_path
 from loanmart.sources import batches, seeds
 from loanmart.sources.raw_fixtures import RawTables
 
@@ -58,10 +59,13 @@ class Models:
             self._written.add(n)
 
     # --- raw bureau as a sequence of daily feed states ----------------------
+    @cached_property
+    def bureau_days(self) -> list[dt.date]:
+        return batches.bureau_days(self.raw.bureau_feed)
+
     def bureau_batches(self) -> list[tuple[DataFrame, dt.datetime]]:
-        days = batches.BUREAU_BATCH_DAYS
-        return [(batches.bureau_batch(self.spark, self.raw.bureau_feed, d, with_deletes=(i == len(days) - 1)),
-                 batches.bureau_run_ts(d)) for i, d in enumerate(days)]
+        return [(batches.bureau_batch(self.spark, self.raw.bureau_feed, d, batches.BUREAU_AWAY.get(k)),
+                 batches.bureau_run_ts(d)) for k, d in enumerate(self.bureau_days, start=1)]
 
     @cached_property
     def raw_credit_bureau(self) -> DataFrame:
@@ -90,12 +94,23 @@ class Models:
         return staging.stg_credit_bureau(self.raw_credit_bureau, self.p)
 
     # --- history ------------------------------------------------------------
+    @cached_property
+    def bureau_snapshot(self) -> str:
+        """Folder of the stored history after every feed day has been snapshotted."""
+        root = scratch_path(self.spark, "bureau_snapshot")
+        for batch, ts in self.bureau_batches():
+            scd2.run_snapshot(root, snapshot_input(batch), "customer_id", "report_date", ts)
+        return root
+
     @cached_property
     def bureau_history(self) -> DataFrame:
-        """Type-2 history after every feed day has been snapshotted."""
-        runs = [(snapshot_input(b), ts) for b, ts in self.bureau_batches()]
-        return scd2.replay(runs, "customer_id", "report_date", invalidate_hard_deletes=True,
-                           cut=cut_lineage)
+        """Type-2 history of the bureau reports."""
+        return scd2.stored_history(self.spark, self.bureau_snapshot)
+
+    @cached_property
+    def bureau_open(self) -> DataFrame:
+        """Current versions of the bureau reports."""
+        return scd2.stored_open(self.spark, self.bureau_snapshot)
 
     # --- seeds ----------------------------------------------------------------
     @cached_property
@@ -109,7 +124,7 @@ class Models:
     # --- intermediate ---------------------------------------------------------
     @cached_property
     def customers_enriched(self) -> DataFrame:
-        return intermediate.customers_enriched(self.stg_customers, self.bureau_history, self.p)
+        return intermediate.customers_enriched(self.stg_customers, self.bureau_open, self.p)
 
     @cached_property
     def applications_outcome(self) -> DataFrame:
@@ -165,9 +180,15 @@ class Models:
         src = batches.payment_source(self.spark, self.payment_source_table, run_date)
         return intermediate.payments_bucketed(staging.stg_payments(src, self.p), self.buckets, self.p)
 
-    def payment_runs(self, run_dates=batches.PAYMENT_RUN_DATES) -> list[tuple[DataFrame, RunParams]]:
+    @cached_property
+    def payment_run_dates(self) -> list[dt.date]:
+        return batches.payment_run_dates(self.spark, self.payment_source_table)
+
+    def payment_runs(self, runs: Sequence[int] | None = None) -> list[tuple[DataFrame, RunParams]]:
+        """(bucketed payments as of the run, run parameters) of the numbered runs (from 1; default all)."""
         out = []
-        for d in run_dates:
+        for k in runs or range(1, len(self.payment_run_dates) + 1):
+            d = self.payment_run_dates[k - 1]
             p = RunParams(as_of=d, run_ts=dt.datetime.combine(d, dt.time(6)), mask_pii=self.p.mask_pii,
                           max_broadcast_rows=self.p.max_broadcast_rows)
             out.append((self.bucketed_as_of(d), p))

@@ -9,7 +9,6 @@ produces the same types.
 
 from __future__ import annotations
 
-import datetime as dt
 from collections.abc import Callable
 from functools import reduce
 
@@ -185,7 +184,7 @@ def q_bureau_scd2_deletes(spark, sf_dir):
 
 @register("bureau_current", _oracle("bureau_current", money=_BUREAU_MONEY, ints=_BUREAU_INTS))
 def q_bureau_current(spark, sf_dir):
-    return canonical(intermediate.bureau_current(_models(spark, sf_dir).bureau_history))
+    return canonical(intermediate.bureau_current(_models(spark, sf_dir).bureau_open))
 
 
 # --- intermediate ----------------------------------------------------------------
@@ -276,18 +275,20 @@ def q_fct_payments(spark, sf_dir):
 
 # --- incremental payment runs -----------------------------------------------------------
 
-RUNS = batches.PAYMENT_RUN_DATES
-LOOKBACK_TARGET_RUN = RUNS[3]
-LOOKBACK_SOURCE_RUN = RUNS[4]
-EVOLUTION_RUNS = (RUNS[3], RUNS[-1])
+RUNS = tuple(range(1, batches.PAYMENT_RUNS + 1))
+LOOKBACK_RUNS = (4, 5)  # table loaded at the first, source read at the second
+EVOLUTION_RUNS = (4, RUNS[-1])
 EVOLUTION_FIRST_COLUMNS = [c for c in facts.FCT_PAYMENT_COLUMNS
                            if c not in ("payment_method", "payment_variance_ars")]
 
 
-def _run_ctes(dates, prefix: str) -> None:
+O.cte("payment_bounds", ("raw_payments",), batches.PAYMENT_BOUNDS.replace("{raw_payments}", "raw_payments"))
+
+
+def _run_ctes(runs, prefix: str) -> None:
     """DuckDB CTEs <prefix>_bk<k>: the bucketed payment view at each run date."""
-    for k, d in enumerate(dates, start=1):
-        O.cte(f"{prefix}_src{k}", ("raw_payments",), batches.payment_source_sql(d))
+    for k, run in enumerate(runs, start=1):
+        O.cte(f"{prefix}_src{k}", ("raw_payments", "payment_bounds"), batches.payment_source_sql(run))
         O.cte(f"{prefix}_stg{k}", (f"{prefix}_src{k}",), O.stg_payments_sql(f"{prefix}_src{k}"))
         O.cte(f"{prefix}_bk{k}", (f"{prefix}_stg{k}", "buckets"), O.payments_bucketed_sql(f"{prefix}_stg{k}"))
 
@@ -327,7 +328,7 @@ _INC_FINAL = _merge_chain_sql("inc", len(RUNS))
 
 _run_ctes(EVOLUTION_RUNS, "evo")
 _EVO_FINAL = _merge_chain_sql("evo", 2, [EVOLUTION_FIRST_COLUMNS, facts.FCT_PAYMENT_COLUMNS])
-_run_ctes((LOOKBACK_TARGET_RUN, LOOKBACK_SOURCE_RUN), "lb")
+_run_ctes(LOOKBACK_RUNS, "lb")
 
 
 @register("payments_upsert", O.sql_for(
@@ -373,7 +374,7 @@ def q_payments_lookback(spark, sf_dir):
     """Rows one incremental run loads: source at the later run date, dated within
     3 days of the newest payment of the table loaded at the earlier run date."""
     m = _models(spark, sf_dir)
-    (t_src, t_p), (s_src, s_p) = m.payment_runs((LOOKBACK_TARGET_RUN, LOOKBACK_SOURCE_RUN))
+    (t_src, t_p), (s_src, s_p) = m.payment_runs(LOOKBACK_RUNS)
     target = facts.fct_payments(t_src, t_p)
     return canonical(facts.payments_increment(s_src, target, s_p))
 
@@ -381,15 +382,11 @@ def q_payments_lookback(spark, sf_dir):
 def _delivery_ctes() -> str:
     """DuckDB: bucketed delivery k = run-k source rows that appeared or changed in window k;
     the table keeps, per key, the latest delivered version that has a bucket."""
-    prev = dt.date(1, 1, 1)
     parts = []
-    for k, d in enumerate(RUNS, start=1):
-        chg = batches.PAYMENT_CHANGES.replace("{run_date}", d.isoformat()).replace(
-            "{from_date}", prev.isoformat()).replace("{raw_payments}", "raw_payments")
-        O.cte(f"dlv{k}", (f"inc_bk{k}", "raw_payments"),
-              f"select *, {k} as k from inc_bk{k} where payment_id in ({chg})")
+    for k in RUNS:
+        O.cte(f"dlv{k}", (f"inc_bk{k}", "raw_payments", "payment_bounds"),
+              f"select *, {k} as k from inc_bk{k} where payment_id in ({batches.payment_changes_sql(k)})")
         parts.append(f"select * from dlv{k}")
-        prev = d
     O.cte("dlv_latest", tuple(f"dlv{k}" for k in range(1, len(RUNS) + 1)), f"""
 select * exclude (rn, k) from (
   select *, row_number() over (partition by payment_id order by k desc) as rn
@@ -409,7 +406,7 @@ def q_payments_stream(spark, sf_dir):
     m = _models(spark, sf_dir)
     landing = scratch_path(spark, "landing_payments")
     target = scratch_path(spark, "fct_payments_stream")
-    ps.write_deliveries(spark, m.payment_source_table, RUNS, landing)
+    ps.write_deliveries(spark, m.payment_source_table, m.payment_run_dates, landing)
     q = ps.start_payment_load(spark, ps.payment_stream(spark, landing), target,
                               scratch_path(spark, "stream_checkpoint"), m.buckets, m.p)
     q.awaitTermination()

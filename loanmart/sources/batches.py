@@ -5,8 +5,9 @@ load need the raw tables *as they were at successive run times*; these
 statements give exactly that, in the raw schemas, and nothing more:
 
 * bureau: the feed table as of day D keeps the latest report per customer
-  (reports dated on or before D); one slice of customers is missing from the
-  last day, i.e. deleted at the source;
+  (reports dated on or before D); one slice of customers is missing from a
+  middle run and comes back at the next one (some with a newer report, some
+  without), another is missing from the last run, i.e. deleted at the source;
 * payments: each payment row becomes visible some days after its payment date
   (0-3 days late) and a few rows are corrected after they first appear
   (paid amount changed; payment date moved into the previous month).
@@ -21,33 +22,41 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Snapshot runs: days of January 2024 the feed is read; deletions on the last day.
-BUREAU_BATCH_DAYS = (5, 10, 15, 20, 25, 30)
-BUREAU_YEAR_MONTH = (2024, 1)
-BUREAU_DELETED_MOD = 20
+# Snapshot runs and incremental payment runs; their dates divide the data's own span
+# evenly and the last one covers everything.
+BUREAU_RUNS = 6
+PAYMENT_RUNS = 8
+# Customers missing from a run's feed: run -> remainder of customer_id modulo
+# BUREAU_AWAY_MOD. The first slice comes back at the next run, the last stays away.
+BUREAU_AWAY_MOD = 20
+BUREAU_AWAY = {4: 1, BUREAU_RUNS: 0}
 
-# Incremental payment runs: every 2 January from 1996 to 2003.
-PAYMENT_RUN_DATES = tuple(dt.date(y, 1, 2) for y in range(1996, 2004))
 
+def _divide(lo: dt.date | None, hi: dt.date | None, runs: int) -> list[dt.date]:
+    if lo is None or hi is None:  # no dated rows: the runs see nothing
+        lo = hi = dt.date(1970, 1, 1)
+    return [lo + dt.timedelta(days=(hi - lo).days * k // runs) for k in range(1, runs + 1)]
 
-def bureau_day(day: int) -> dt.date:
-    y, m = BUREAU_YEAR_MONTH
-    return dt.date(y, m, day)
 
+def bureau_days(feed: DataFrame) -> list[dt.date]:
+    """Feed day of each snapshot run, from the first and last report (two scalars)."""
+    lo, hi = feed.agg(F.min(F.to_date("report_ts")), F.max(F.to_date("report_ts"))).first()
+    return _divide(lo, hi, BUREAU_RUNS)
 
-def bureau_run_ts(day: int) -> dt.datetime:
-    """Snapshot run time for feed day D: the following midnight."""
-    return dt.datetime.combine(bureau_day(day) + dt.timedelta(days=1), dt.time())
 
+def bureau_run_ts(day: dt.date) -> dt.datetime:
+    """Snapshot run time for a feed day: the following midnight."""
+    return dt.datetime.combine(day + dt.timedelta(days=1), dt.time())
 
-def bureau_batch(spark: SparkSession, feed: DataFrame, day: int, with_deletes: bool) -> DataFrame:
-    """raw_credit_bureau as of ``day``: latest report per customer.
+
+def bureau_batch(spark: SparkSession, feed: DataFrame, day: dt.date, away: int | None) -> DataFrame:
+    """raw_credit_bureau as of ``day``: latest report per customer, without the slice
+    of customers that is ``away``.
 
     Uses ``max_by`` (partial aggregation) rather than a per-key window, so a
     customer with a very large number of reports does not land in one task.
     """
-    d = bureau_day(day)
-    latest = (feed.where(F.to_date("report_ts") <= F.lit(d))
+    latest = (feed.where(F.to_date("report_ts") <= F.lit(day))
               .groupBy("customer_id")
               .agg(F.max_by(F.struct("bureau_score", "total_debt_ars", "active_debts_count",
                                      "delinquencies_last_12m", "has_default_history", "report_ts"),
@@ -56,20 +65,29 @@ def bureau_batch(spark: SparkSession, feed: DataFrame, day: int, with_deletes: b
         "customer_id", "r.bureau_score", "r.active_debts_count", "r.delinquencies_last_12m",
         "r.total_debt_ars", "r.has_default_history",
         F.to_date("r.report_ts").alias("report_date"))
-    if with_deletes:
-        out = out.where(F.col("customer_id") % BUREAU_DELETED_MOD != 0)
+    if away is not None:
+        out = out.where(F.col("customer_id") % BUREAU_AWAY_MOD != away)
     return out
 
 
-def bureau_batch_sql(day: int, with_deletes: bool) -> str:
-    """Same batch for the DuckDB oracle (reads CTE ``bureau_feed``)."""
-    d = bureau_day(day).isoformat()
-    cond = f" and customer_id % {BUREAU_DELETED_MOD} <> 0" if with_deletes else ""
+# The same bounds and batches for the DuckDB oracle (CTE ``bureau_feed``).
+BUREAU_BOUNDS_SQL = """
+select coalesce(min(cast(report_ts as date)), date '1970-01-01') as lo,
+  coalesce(max(cast(report_ts as date)), date '1970-01-01') as hi
+from bureau_feed"""
+
+
+def bureau_day_sql(run: int) -> str:
+    return f"(select lo + cast((hi - lo) * {run} // {BUREAU_RUNS} as integer) from bureau_bounds)"
+
+
+def bureau_batch_sql(run: int) -> str:
+    cond = f" and customer_id % {BUREAU_AWAY_MOD} <> {BUREAU_AWAY[run]}" if run in BUREAU_AWAY else ""
     return f"""
 select customer_id, bureau_score, active_debts_count, delinquencies_last_12m, total_debt_ars,
   has_default_history, cast(report_ts as date) as report_date
 from (select *, row_number() over (partition by customer_id order by report_ts desc, event_id desc) as rn
-      from bureau_feed where cast(report_ts as date) <= date '{d}') x
+      from bureau_feed where cast(report_ts as date) <= {bureau_day_sql(run)}) x
 where rn = 1{cond}"""
 
 
@@ -87,36 +105,63 @@ from {raw_payments}"""
 
 PAYMENT_SOURCE = """
 select payment_id, origination_id, customer_id, installment_number, due_date,
-  case when date_fix and arrival + 1 < date '{run_date}' then payment_date - 1 else payment_date end as payment_date,
+  case when date_fix and arrival + 1 < {run_date} then payment_date - 1 else payment_date end as payment_date,
   due_amount_ars,
-  case when amount_fix and arrival + 1 < date '{run_date}'
+  case when amount_fix and arrival + 1 < {run_date}
        then paid_amount_ars + cast(1.00 as decimal(4,2)) else paid_amount_ars end as paid_amount_ars,
   payment_method
 from (""" + PAYMENT_ARRIVALS + """) s
-where arrival < date '{run_date}'
+where arrival < {run_date}
 """
 
 # Keys that appear or are corrected in [from_date, run_date).
 PAYMENT_CHANGES = """
 select payment_id
 from (""" + PAYMENT_ARRIVALS + """) s
-where (arrival >= date '{from_date}' and arrival < date '{run_date}')
-   or ((amount_fix or date_fix) and arrival + 1 >= date '{from_date}' and arrival + 1 < date '{run_date}')
+where (arrival >= {from_date} and arrival < {run_date})
+   or ((amount_fix or date_fix) and arrival + 1 >= {from_date} and arrival + 1 < {run_date})
+"""
+
+
+# First arrival, and the day after the last correction has arrived.
+PAYMENT_BOUNDS = """
+select min(arrival) as lo, max(arrival) + 2 as hi
+from (""" + PAYMENT_ARRIVALS + """) s
 """
 
 
+def _date(d: dt.date) -> str:
+    return f"date '{d.isoformat()}'"
+
+
+def payment_run_dates(spark: SparkSession, raw_payments: DataFrame) -> list[dt.date]:
+    """Run dates of the incremental load, from the arrivals' span (two scalars)."""
+    lo, hi = spark.sql(PAYMENT_BOUNDS, raw_payments=raw_payments).first()
+    return _divide(lo, hi, PAYMENT_RUNS)
+
+
+def payment_run_sql(run: int) -> str:
+    """Run date for the oracle (CTE ``payment_bounds``); run 0 is before everything."""
+    if run == 0:
+        return "date '0001-01-01'"
+    return f"(select lo + cast((hi - lo) * {run} // {PAYMENT_RUNS} as integer) from payment_bounds)"
+
+
 def payment_source(spark: SparkSession, raw_payments: DataFrame, run_date: dt.date) -> DataFrame:
-    return spark.sql(PAYMENT_SOURCE.replace("{run_date}", run_date.isoformat()),
-                     raw_payments=raw_payments)
+    return spark.sql(PAYMENT_SOURCE.replace("{run_date}", _date(run_date)), raw_payments=raw_payments)
 
 
-def payment_source_sql(run_date: dt.date) -> str:
-    return PAYMENT_SOURCE.replace("{run_date}", run_date.isoformat()).replace(
-        "{raw_payments}", "raw_payments")
+def payment_source_sql(run: int) -> str:
+    return PAYMENT_SOURCE.replace("{run_date}", payment_run_sql(run)).replace("{raw_payments}", "raw_payments")
 
 
 def payment_changes_between(spark: SparkSession, raw_payments: DataFrame, from_date: dt.date | None,
                             run_date: dt.date) -> DataFrame:
-    start = (from_date or dt.date(1, 1, 1)).isoformat()
-    sql = PAYMENT_CHANGES.replace("{run_date}", run_date.isoformat()).replace("{from_date}", start)
+    sql = PAYMENT_CHANGES.replace("{run_date}", _date(run_date)).replace(
+        "{from_date}", _date(from_date or dt.date(1, 1, 1)))
     return spark.sql(sql, raw_payments=raw_payments)
+
+
+def payment_changes_sql(run: int) -> str:
+    return PAYMENT_CHANGES.replace("{run_date}", payment_run_sql(run)).replace(
+        "{from_date}", payment_run_sql(run - 1)).replace("{raw_payments}", "raw_payments")

@@ -2,6 +2,7 @@
 
 import contextlib
 import io
+import datetime as dt
 import re
 
 from conftest import SF_SMALL
@@ -59,7 +60,7 @@ def test_bureau_day_filter_reaches_scan(spark):
     from loanmart.sources import batches
     from loanmart.sources.raw_fixtures import RawTables
     raw = RawTables(spark, SF_SMALL)
-    p = plan(batches.bureau_batch(spark, raw.bureau_feed, 10, False))
+    p = plan(batches.bureau_batch(spark, raw.bureau_feed, dt.date(2024, 1, 10), None))
     assert re.search(r"PushedFilters: \[.*LessThan\(ts,2024-01-11", p), p
 
 

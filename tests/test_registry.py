@@ -76,7 +76,7 @@ def test_incremental_equals_full_refresh(spark):
     common = inc.join(full.select("payment_id"), "payment_id", "left_semi").select(*inc.columns)
     assert common.exceptAll(full).count() == 0 and full.exceptAll(common).count() == 0
     extra = {r.payment_id for r in inc.join(full, "payment_id", "left_anti").collect()}
-    final_src = staging.stg_payments(batches.payment_source(spark, m.payment_source_table, R.RUNS[-1]))
+    final_src = staging.stg_payments(batches.payment_source(spark, m.payment_source_table, m.payment_run_dates[-1]))
     no_bucket = {r.payment_id for r in final_src.where(
         "days_past_due is null or days_past_due < 0 or days_past_due > 9999").collect()}
     assert extra <= no_bucket
