@@ -47,9 +47,17 @@ def accepted_values_violations(df: DataFrame, col: str, values: Sequence) -> Dat
 
 
 def relationship_violations(child: DataFrame, col: str, parent: DataFrame, field_: str) -> DataFrame:
+    """Child rows with a key that no parent row has (or that is none of its type).
+
+    Orphan keys are found among the distinct ones, so a hot key is one row in
+    the join with the parents; their rows then come from a join on those keys.
+    """
+    ptype = parent.schema[field_].dataType
+    key = F.col(col) if child.schema[col].dataType == ptype else F.col(col).try_cast(ptype)
     keys = parent.select(F.col(field_).alias("__to")).distinct()
-    return (child.where(F.col(col).isNotNull())
-            .join(keys, F.col(col) == F.col("__to"), "left_anti"))
+    orphans = (child.where(F.col(col).isNotNull()).select(F.col(col).alias("__orphan"), key.alias("__key")).distinct()
+               .join(keys, F.col("__key") == F.col("__to"), "left_anti").select("__orphan"))
+    return child.join(orphans, F.col(col) == F.col("__orphan"), "left_semi")
 
 
 def rule_violations(df: DataFrame, ok: Column) -> DataFrame:
@@ -195,7 +203,7 @@ def _relationship_counts(items: list[tuple[TableChecks, Check]]) -> DataFrame:
     for t, c in items:
         k = F.col(c.columns[0])
         if t.df.schema[c.columns[0]].dataType != ptype:
-            k = k.cast(ptype)
+            k = k.try_cast(ptype)  # a key that does not cast has no parent: NULL matches none
         children.append(t.df.where(F.col(c.columns[0]).isNotNull()).groupBy(k.alias("__k"))
                         .agg(F.count(F.lit(1)).alias("__n"))
                         .select(F.lit(c.name).alias("assertion"), "__k", "__n"))

@@ -19,10 +19,10 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loanmart.session import materialize, scratch_path
+from loanmart.session import materialize
 
 
 DUPLICATE_KEY_MESSAGE = "merge batch has a duplicate key:"
@@ -31,19 +31,16 @@ DUPLICATE_KEY_MESSAGE = "merge batch has a duplicate key:"
 def guard_unique(batch: DataFrame, keys: Sequence[str]) -> DataFrame:
     """``batch`` unchanged, but evaluating it fails if a non-NULL key occurs twice.
 
-    The check rides along with whatever job evaluates the batch (one shuffle
-    by key), so no separate job is spent on it.
+    Only the keys are counted (combined before the shuffle); rows with a NULL
+    key are not looked at. The check rides along with whatever job evaluates
+    the batch: its one boolean is a scalar subquery.
     """
     keys = list(keys)
-    not_null = F.lit(True)
-    for k in keys:
-        not_null = not_null & F.col(k).isNotNull()
-    n = "__key_rows"
-    ok = F.when(not_null & (F.col(n) > 1),
-                F.raise_error(F.concat(F.lit(f"{DUPLICATE_KEY_MESSAGE} "),
-                                       F.to_json(F.struct(*keys))))).otherwise(F.lit(True))
-    return (batch.withColumn(n, F.count(F.lit(1)).over(Window.partitionBy(*keys)))
-            .where(ok).drop(n))
+    counted = batch.select(*keys).dropna(subset=keys).groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
+    twice = counted.where("__n > 1").agg(F.min(F.to_json(F.struct(*keys))).alias("k")).scalar()
+    ok = F.when(twice.isNotNull(),
+                F.raise_error(F.concat(F.lit(f"{DUPLICATE_KEY_MESSAGE} "), twice))).otherwise(F.lit(True))
+    return batch.where(ok)
 
 
 def upsert(target: DataFrame, batch: DataFrame, keys: Sequence[str], check_unique: bool = True,
@@ -97,66 +94,73 @@ def month_of(col: str) -> F.Column:
 def merge_into_partitions(spark: SparkSession, target_path: str, batch: DataFrame,
                           keys: Sequence[str], date_col: str, partition_col: str = "payment_month",
                           cluster_by: Sequence[str] = (), first_run: bool = False,
-                          max_broadcast_rows: int = 0) -> None:
+                          max_broadcast_rows: int = 0, version_col: str | None = None) -> None:
     """Merge ``batch`` into the month-partitioned Parquet table at ``target_path``.
 
     Only months that receive batch rows, or that hold an old version of a
-    batch key, are rewritten (dynamic partition overwrite). The new content of
-    those months is first written to the shared scratch folder, so the
-    overwrite never reads the files it replaces. Rows are clustered within
-    each month by ``cluster_by`` (min/max statistics then skip row groups).
+    batch key, are rewritten (dynamic partition overwrite); rows without a date
+    are the NULL month. What those months keep is first written to the shared
+    scratch folder, so the overwrite never reads the files it replaces, and
+    rows are clustered within each month by ``cluster_by`` in the one write
+    that stays (min/max statistics then skip row groups).
+
+    With ``version_col`` a batch row replaces an existing one only if its
+    version is not older (a NULL version is the oldest), so deliveries may come
+    out of order.
+
+    A crash between the overwrite and the emptying of a month that lost its
+    last row leaves that row in both months until the run is repeated.
     """
     keys = list(keys)
 
-    def write(df: DataFrame, path: str, cluster: bool) -> None:
+    def write(df: DataFrame) -> None:
         out = df
-        if cluster and cluster_by:
+        if cluster_by:
             # Range partitioning on (month, cluster keys): every month is split
             # over several tasks (a month holding most rows is not one task) and
             # each file covers a narrow key range, which row-group statistics skip.
             out = out.repartitionByRange(partition_col, *cluster_by).sortWithinPartitions(
                 partition_col, *cluster_by)
         (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy(partition_col).parquet(path))
+         .partitionBy(partition_col).parquet(target_path))
+
+    def in_months(months: list):
+        cond = F.col(partition_col).isin([m for m in months if m is not None])
+        return cond | F.col(partition_col).isNull() if None in months else cond
 
     if first_run:
-        write(guard_unique(batch, keys).withColumn(partition_col, month_of(date_col)), target_path, True)
+        write(guard_unique(batch, keys).withColumn(partition_col, month_of(date_col)))
         return
 
     # The batch is read by several jobs below; write it once (duplicate keys fail here).
     staged = materialize(guard_unique(batch, keys).withColumn(partition_col, month_of(date_col)),
                          "merge_batch")
     target = spark.read.option("mergeSchema", "true").parquet(target_path)
-    # Months holding an old version of a batch key (reads key + month columns only).
-    # A bounded batch is broadcast, so the target's key column is never shuffled.
+    # Where the batch keys are now (reads key, month and version columns only). A
+    # bounded batch is broadcast, so the target's key column is never shuffled.
     batch_keys = staged.select(*keys)
     if max_broadcast_rows and staged.count() <= max_broadcast_rows:
         batch_keys = F.broadcast(batch_keys)
-    old_months = target.join(batch_keys, keys, "left_semi").select(partition_col)
-    months = [r[0] for r in staged.select(partition_col).union(old_months).distinct().collect()]
+    versions = [version_col] if version_col else []
+    old = materialize(target.join(batch_keys, keys, "left_semi").select(*keys, partition_col, *versions), "merge_old")
+    if version_col:
+        newest = old.groupBy(*keys).agg(F.max(version_col).alias("__version"))
+        staged = (staged.join(newest, keys, "left")
+                  .where(F.col("__version").isNull() | (F.col(version_col) >= F.col("__version")))
+                  .drop("__version"))
+        batch_keys = staged.select(*keys)
+        old = old.join(batch_keys, keys, "left_semi")
+    months = [r[0] for r in staged.select(partition_col).union(old.select(partition_col)).distinct().collect()]
     if not months:
         return
-    affected = target.where(F.col(partition_col).isin(months))
-    kept = affected.join(batch_keys, keys, "left_anti")
-    scratch = scratch_path(spark, "merge_months")
+    kept = materialize(target.where(in_months(months)).join(batch_keys, keys, "left_anti"), "merge_kept")
     merged = kept.unionByName(staged, allowMissingColumns=True)
-    write(merged, scratch, False)
-    new_content = spark.read.schema(merged.schema).parquet(scratch)
-    present = _partition_values(new_content, partition_col)
-    write(new_content, target_path, True)
+    present = {r[0] for r in merged.select(partition_col).distinct().collect()}
+    write(merged)
     # A month emptied by the merge (its only rows moved away) is overwritten
     # with no rows, so it contributes nothing to later reads.
     for m in months:
-        if str(m) not in present:
-            empty = new_content.drop(partition_col).where(F.lit(False))
-            empty.write.mode("overwrite").parquet(f"{target_path.rstrip('/')}/{partition_col}={m}")
-
-
-def _partition_values(df: DataFrame, col: str) -> set[str]:
-    """Partition values present in a partitioned table, from its file listing (no job)."""
-    out = set()
-    for f in df.inputFiles():
-        for part in f.split("/"):
-            if part.startswith(col + "="):
-                out.add(part.split("=", 1)[1])
-    return out
+        if m not in present:
+            empty = merged.drop(partition_col).where(F.lit(False))
+            name = "__HIVE_DEFAULT_PARTITION__" if m is None else m
+            empty.write.mode("overwrite").parquet(f"{target_path.rstrip('/')}/{partition_col}={name}")

@@ -84,11 +84,12 @@ def applications_outcome(stg_applications: DataFrame, stg_originations: DataFram
 
 
 def payments_bucketed(stg_payments: DataFrame, buckets: DataFrame, p: RunParams = DEFAULT,
-                      bucket_rows: int | None = SEED_ROWS["buckets"], carry: tuple[str, ...] = ()) -> DataFrame:
+                      bucket_rows: int | None = None, carry: tuple[str, ...] = ()) -> DataFrame:
     """Each payment classified into its days-past-due bucket (inner range join).
 
     Payments whose days past due fall in no bucket (early: negative; unpaid:
-    NULL; beyond the last bucket) have no partner and are dropped.
+    NULL; beyond the last bucket) have no partner and are dropped. Without
+    ``bucket_rows`` the bands are counted before one plan or the other is chosen.
     """
     joined = range_join(stg_payments.drop("dbt_loaded_at"), F.col("days_past_due"), buckets,
                         "dpd_min", "dpd_max", how="inner",

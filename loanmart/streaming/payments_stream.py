@@ -5,7 +5,9 @@ time it was delivered). A file-source stream picks them up; each micro-batch
 runs the staging and bucketing models, keeps the latest delivered version of
 every payment (``max_by``, partial aggregation) and merges it into the
 month-partitioned payment fact with
-:func:`loanmart.operators.upsert.merge_into_partitions`.
+:func:`loanmart.operators.upsert.merge_into_partitions`. The table keeps each
+row's delivery time, and a row only replaces one that was not delivered later:
+files may arrive in any order.
 
 Late rows need no lookback window here: a row is processed when it is
 delivered, whatever its payment date. ``foreachBatch`` may replay a
@@ -30,6 +32,9 @@ from loanmart.params import DEFAULT, RunParams
 from loanmart.plans import facts, intermediate, staging
 from loanmart.sources import batches
 
+# Column of the target that orders the versions of a payment.
+VERSION = "delivered_at"
+
 RAW_PAYMENT_SCHEMA = T.StructType([
     T.StructField("payment_id", T.StringType()),
     T.StructField("origination_id", T.LongType()),
@@ -59,7 +64,7 @@ def write_deliveries(spark: SparkSession, raw_payments: DataFrame, run_dates: Se
         delivery = (snap.join(changed, "payment_id", "left_semi")
                     .withColumn("delivered_at", F.lit(d - dt.timedelta(days=1))))
         (delivery.select(*[f.name for f in RAW_PAYMENT_SCHEMA.fields])
-         .coalesce(1).write.mode("append").parquet(landing_dir))
+         .write.mode("append").parquet(landing_dir))
         prev = d
 
 
@@ -90,12 +95,13 @@ def start_payment_load(spark: SparkSession, stream: DataFrame, target_path: str,
         carry = ("delivered_at",)
         bucketed = intermediate.payments_bucketed(staging.stg_payments(batch_df, p, carry), buckets, p,
                                                   carry=carry)
-        latest = latest_delivered(bucketed.drop("dbt_loaded_at")).drop("delivered_at")
-        fct = facts.fct_payments(latest, p)
+        latest = latest_delivered(bucketed.drop("dbt_loaded_at"))
+        fct = facts.fct_payments(latest, p, [*facts.FCT_PAYMENT_COLUMNS, VERSION])
         exists = _table_exists(spark, target_path)
         up.merge_into_partitions(spark, target_path, fct, [facts.PAYMENT_KEY], "payment_date",
                                  facts.PAYMENT_PARTITION, facts.PAYMENT_CLUSTER,
-                                 first_run=not exists, max_broadcast_rows=p.max_broadcast_rows)
+                                 first_run=not exists, max_broadcast_rows=p.max_broadcast_rows,
+                                 version_col=VERSION)
 
     w = (stream.writeStream.foreachBatch(process)
          .option("checkpointLocation", checkpoint_location)
@@ -108,5 +114,7 @@ def _table_exists(spark: SparkSession, path: str) -> bool:
     try:
         spark.read.parquet(path).schema  # resolving the path fails if nothing was written yet
         return True
-    except AnalysisException:
-        return False
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return False
+        raise
