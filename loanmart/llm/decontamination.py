@@ -34,7 +34,7 @@ PHRASE_WORDS = 200_000
 #: Every so many-th text position of the index is sampled.
 SAMPLE = 16
 #: Text bytes of one shard.
-SHARD_BYTES = 16 << 20
+SHARD_BYTES = 4 << 20
 
 
 class WaveletMatrix:

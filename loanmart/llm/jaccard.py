@@ -4,7 +4,7 @@ Jaccard distance is a metric, and most texts are at distance 1 from each other,
 made in two levels.
 
 1. Pivots of the first level are single shingles. A set's home is the region of its first
-   shingle in a common order (shingles of very many sets last, then by hash); its window are
+   shingle in a common order (frequent shingles last, then by hash); its window are
    the regions of the first floor(n / 4) + 1 shingles: of two sets within distance 1/4, each
    has at most a quarter of its shingles outside the other, so their first common shingle lies
    in both windows. Boundary sets are replicated to all regions of their window.
@@ -14,7 +14,9 @@ made in two levels.
    components meet: the region splits into Voronoi cells of pivots in Hamming space (parity
    bitmaps, whose distance is at most the size of the sets' symmetric difference), sets within
    the triangle inequality's window of a cell's border are replicated into it, and cells split
-   again until they are small. Pairs that the bitmaps don't rule out are compared exactly.
+   again until they are small. Pairs that the bitmaps don't rule out are compared exactly: first
+   only as many as could join a region's components, round after round while that finds links,
+   then all that are still apart.
 
 Equal sets are one class from the start, so copies are never compared. Every set pair at or
 over the threshold is linked or in one component already; nothing is capped or sampled.
@@ -33,16 +35,16 @@ from pyspark.sql import functions as F
 from loanmart.llm.common import LOWER, NOT_SPACE, materialize, mix, run_hashes, schema_with, span_hashes, text_blocks, word_spans
 
 WIDTH = 5
-#: A shingle is common (sorted last) if this share of the sets has it; the table of common ones
-#: is bounded by the mean set size over this share.
-COMMON_SHARE = 1e-3
+#: Shingles that several sets of a shard share are counted, and the most frequent ones are sorted
+#: last. The table only fixes an order, and any order gives the same links: its bound drops nothing.
+COMMON_LEAST, COMMON_MOST = 8, 1_000_000
 #: Members of a region that one task compares; larger regions are dealt out in pairs of blocks.
 BLOCK_MEMBERS = 2048
 #: Cells of at most so many members are compared directly; pivots of a larger one.
 LEAF, PIVOTS = 64, 8
 #: Bits of the filter that says which sets a comparison needs.
 FILTER_BITS = 1 << 22
-SHARD_BYTES = 8 << 20
+SHARD_BYTES = 4 << 20
 
 
 def shingle_sets(data: np.ndarray, offsets: np.ndarray, width: int = WIDTH) -> tuple[np.ndarray, np.ndarray]:
@@ -113,33 +115,28 @@ def profiles(docs: DataFrame, keep: tuple[str, ...], width: int = WIDTH) -> Data
     return picked.mapInArrow(run, schema_with(picked.drop("_text"), "n_shingles long, key long, bitmap binary"))
 
 
-def common_shingles(docs: DataFrame, n_sets: int, width: int) -> tuple[np.ndarray, np.ndarray]:
-    """Shingles of at least COMMON_SHARE of the sets, ascending, and their counts.
-
-    A shingle that common in the whole is that common in some shard, so shards only pass on
-    those; copies inside a shard count once.
-    """
+def common_shingles(docs: DataFrame, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Frequent shingles, ascending, and their counts in shards that hold them more than once."""
 
     def run(batches):
         for _, lo, hi, hashes, owner, _, keys in _shards(batches, "text", width):
-            _, first = np.unique(keys, return_index=True)
+            _, first = np.unique(keys, return_index=True)  # copies inside a shard count once
             once = np.zeros(hi - lo, bool)
             once[first] = True
             value, n = np.unique(hashes[once[owner]], return_counts=True)
-            often = n >= max(4, COMMON_SHARE * len(first))
-            yield pa.RecordBatch.from_arrays([pa.array(value[often].view(np.int64), pa.int64()), pa.array(n[often], pa.int64())], ["s", "n"])
+            yield pa.RecordBatch.from_arrays([pa.array(value[n > 1].view(np.int64), pa.int64()), pa.array(n[n > 1], pa.int64())], ["s", "n"])
 
     counts = docs.select("text").mapInArrow(run, "s long, n long").groupBy("s").agg(F.sum("n").alias("n"))
-    rows = counts.where(F.col("n") >= max(16, COMMON_SHARE * n_sets)).toPandas()  # bounded: see COMMON_SHARE
+    rows = counts.where(F.col("n") >= COMMON_LEAST).orderBy(F.desc("n"), "s").limit(COMMON_MOST).toPandas()
     value = rows["s"].to_numpy(np.int64).view(np.uint64)
     order = np.argsort(value)
     return value[order], rows["n"].to_numpy(np.int64)[order]
 
 
-def memberships(docs: DataFrame, n_sets: int, width: int = WIDTH) -> DataFrame:
+def memberships(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     """(shingle, key, n, place, pivot, pivot_n): members of all regions of two sets or more."""
     spark = docs.sparkSession
-    common = spark.sparkContext.broadcast(common_shingles(docs, n_sets, width))
+    common = spark.sparkContext.broadcast(common_shingles(docs, width))
 
     def windows(batches):
         value, count = common.value
@@ -230,7 +227,7 @@ def near_pairs(bits: np.ndarray, size: np.ndarray, allowed, index: np.ndarray) -
         return [np.stack([a[ok], b[ok]], axis=1)]
     reach = 2 * int(size[index].max()) // 7
     pivots = index[np.linspace(0, n - 1, PIVOTS).astype(np.int64)]
-    step = max(LEAF, (1 << 18) // (LEAF * bits.shape[1]) * LEAF)  # bounds the arrays of one comparison
+    step = max(LEAF, (1 << 19) // (LEAF * bits.shape[1]))  # bounds the arrays of one comparison
     d = np.concatenate([_hamming(bits[index[k : k + step]], bits[pivots]) for k in range(0, n, step)])
     home = d.argmin(axis=1)
     window = d <= d[np.arange(n), home][:, None] + 2 * reach
@@ -255,15 +252,35 @@ def near_pairs(bits: np.ndarray, size: np.ndarray, allowed, index: np.ndarray) -
     return out
 
 
-def region_pairs(key, component, size, place, bitmaps, part) -> np.ndarray:
+def spanning(pairs: np.ndarray, distance: np.ndarray, component: np.ndarray) -> np.ndarray:
+    """The pairs, nearest first, that join components which earlier ones have not."""
+    _, part = np.unique(component, return_inverse=True)
+    parent = list(range(int(part.max()) + 1)) if len(part) else []
+
+    def top(k):
+        while parent[k] != k:
+            parent[k] = parent[parent[k]]
+            k = parent[k]
+        return k
+
+    kept = []
+    for i in np.argsort(distance, kind="stable").tolist():
+        a, b = top(part[pairs[i, 0]]), top(part[pairs[i, 1]])
+        if a != b:
+            parent[a] = b
+            kept.append(i)
+    return pairs[kept]
+
+
+def region_pairs(key, component, size, place, bitmaps, part, forest: bool) -> np.ndarray:
     """Pairs of members of different components that may be linked, in one region (or block pair).
 
     Only pairs whose places allow this to be their first common shingle are needed. ``part``:
     0 and 1 are the two blocks of a pair of different blocks, whose pairs within a block are
-    compared elsewhere.
+    compared elsewhere. ``forest``: only pairs that would join all those components.
     """
     words = np.array([len(b) // 8 for b in bitmaps])
-    out = []
+    out, distance = [], []
 
     def allowed(a, b):
         total = size[a] + size[b]
@@ -280,8 +297,12 @@ def region_pairs(key, component, size, place, bitmaps, part) -> np.ndarray:
             at = np.flatnonzero(words == v)
             if len(at):
                 bits[at] = _fold(np.frombuffer(b"".join(bitmaps[k] for k in at.tolist()), np.uint64).reshape(len(at), v), w)
-        out += near_pairs(bits, size, allowed, index)
+        found = near_pairs(bits, size, allowed, index)
+        out += found
+        distance += [np.bitwise_count(bits[f[:, 0]] ^ bits[f[:, 1]]).sum(axis=1) for f in found]
     pairs = np.concatenate([*out, np.zeros((0, 2), np.int64)])
+    if forest and len(pairs):
+        pairs = spanning(pairs, np.concatenate(distance), component)
     a, b = key[pairs[:, 0]], key[pairs[:, 1]]
     return np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], axis=1), axis=0)
 
@@ -374,8 +395,11 @@ def components(edges: DataFrame) -> DataFrame:
     return stars.select(F.col("u").alias("key"), F.col("v").alias("component")).unionByName(stars.select(F.col("v").alias("key"), F.col("v").alias("component")).distinct())
 
 
-def cross_pairs(members: DataFrame, classes: DataFrame, labels: DataFrame) -> DataFrame:
-    """Pairs of different components that meet in a region and may be linked."""
+def cross_pairs(members: DataFrame, classes: DataFrame, labels: DataFrame, forest: bool = False) -> DataFrame:
+    """Pairs of different components that meet in a region and may be linked.
+
+    ``forest``: of each region only as many as could join its components.
+    """
     named = members.select("shingle", "key", "n", "place").join(labels, "key", "left").withColumn("component", F.coalesce("component", "key"))
     mixed = (named.groupBy("shingle").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count(F.lit(1)).alias("members")).where("lo <> hi")
              .select("shingle", F.ceil(F.col("members") / BLOCK_MEMBERS).cast("int").alias("blocks")))
@@ -398,7 +422,7 @@ def cross_pairs(members: DataFrame, classes: DataFrame, labels: DataFrame) -> Da
             found = []
             for a, b in zip(begins.tolist(), [*begins[1:].tolist(), table.num_rows]):
                 if b - a > 1:
-                    found.append(region_pairs(cols["key"][a:b], cols["component"][a:b], cols["n"][a:b].astype(np.int64), cols["place"][a:b].astype(np.int64), bitmaps[a:b], cols["part"][a:b]))
+                    found.append(region_pairs(cols["key"][a:b], cols["component"][a:b], cols["n"][a:b].astype(np.int64), cols["place"][a:b].astype(np.int64), bitmaps[a:b], cols["part"][a:b], forest))
             pairs = np.unique(np.concatenate([*found, np.zeros((0, 2), np.int64)]), axis=0)
             return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0], pa.int64()), pa.array(pairs[:, 1], pa.int64())], ["a", "b"])
 
@@ -429,12 +453,23 @@ def near_classes(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), width: in
     rows = materialize(profiles(docs, (*keep, "row"), width), "jaccard-profiles")
     # copies may be a third of all rows: grouped with a combine before the shuffle
     classes = materialize(rows.where("n_shingles > 0").groupBy("key").agg(F.min("row").alias("row"), F.max("n_shingles").alias("n_shingles"), F.max("bitmap").alias("bitmap")), "jaccard-classes")
-    members = materialize(memberships(docs, classes.count(), width), "jaccard-members")
+    members = materialize(memberships(docs, width), "jaccard-members")
     stars = members.where("key <> pivot and 4 * least(n, pivot_n) >= 3 * greatest(n, pivot_n)").select(F.col("pivot").alias("a"), F.col("key").alias("b")).distinct()
     first = materialize(linked(materialize(prune(stars, classes), "jaccard-stars"), docs, classes, width), "jaccard-links")
     labels = components(first)
-    second = linked(materialize(cross_pairs(members, classes, labels), "jaccard-pairs"), docs, classes, width)
-    return rows, components(first.unionByName(second))
+    while True:  # join components by few pairs, as long as that finds links
+        new = materialize(linked(materialize(cross_pairs(members, classes, labels, True), "jaccard-pairs"), docs, classes, width), "jaccard-links")
+        if new.isEmpty():
+            break
+        labels = materialize(_joined(labels, new), "jaccard-labels")
+    # what is left apart is compared in full
+    last = linked(materialize(cross_pairs(members, classes, labels), "jaccard-pairs"), docs, classes, width)
+    return rows, _joined(labels, last)
+
+
+def _joined(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """Components after more links: those of the old ones' edges and the new."""
+    return components(labels.select(F.col("key").alias("a"), F.col("component").alias("b")).unionByName(links.select("a", "b")))
 
 
 def jaccard_components(docs: DataFrame, width: int = WIDTH) -> DataFrame:
