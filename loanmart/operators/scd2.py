@@ -37,6 +37,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from loanmart.session import materialize
+
 META = ["dbt_scd_id", "dbt_updated_at", "dbt_valid_from", "dbt_valid_to"]
 
 
@@ -129,13 +131,16 @@ def as_of(history: DataFrame, ts: Column) -> DataFrame:
 
 def replay(batches: Sequence[tuple[DataFrame, dt.datetime]], key: str, updated_at: str,
            invalidate_hard_deletes: bool = True) -> DataFrame:
-    """Apply batches in order within one plan and return the final history."""
+    """Apply batches in order and return the final history.
+
+    Each step is written once: the next one reads it several times.
+    """
     if not batches:
         raise ValueError("no batches")
     out = None
     for batch, run_ts in batches:
-        out = (initial_history(batch, key, updated_at) if out is None
-               else merge(out, batch, key, updated_at, run_ts, invalidate_hard_deletes))
+        out = materialize(initial_history(batch, key, updated_at) if out is None
+                          else merge(out, batch, key, updated_at, run_ts, invalidate_hard_deletes), "history")
     return out
 
 

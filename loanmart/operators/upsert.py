@@ -99,7 +99,7 @@ def merge_into_partitions(spark: SparkSession, target_path: str, batch: DataFram
 
     Only months that receive batch rows, or that hold an old version of a
     batch key, are rewritten (dynamic partition overwrite); rows without a date
-    are the NULL month. What those months keep is first written to the shared
+    are the NULL month. With ``first_run`` the batch replaces the whole table. What those months keep is first written to the shared
     scratch folder, so the overwrite never reads the files it replaces, and
     rows are clustered within each month by ``cluster_by`` in the one write
     that stays (min/max statistics then skip row groups).
@@ -113,7 +113,7 @@ def merge_into_partitions(spark: SparkSession, target_path: str, batch: DataFram
     """
     keys = list(keys)
 
-    def write(df: DataFrame) -> None:
+    def write(df: DataFrame, replace: str) -> None:
         out = df
         if cluster_by:
             # Range partitioning on (month, cluster keys): every month is split
@@ -121,7 +121,7 @@ def merge_into_partitions(spark: SparkSession, target_path: str, batch: DataFram
             # each file covers a narrow key range, which row-group statistics skip.
             out = out.repartitionByRange(partition_col, *cluster_by).sortWithinPartitions(
                 partition_col, *cluster_by)
-        (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        (out.write.mode("overwrite").option("partitionOverwriteMode", replace)
          .partitionBy(partition_col).parquet(target_path))
 
     def in_months(months: list):
@@ -129,7 +129,7 @@ def merge_into_partitions(spark: SparkSession, target_path: str, batch: DataFram
         return cond | F.col(partition_col).isNull() if None in months else cond
 
     if first_run:
-        write(guard_unique(batch, keys).withColumn(partition_col, month_of(date_col)))
+        write(guard_unique(batch, keys).withColumn(partition_col, month_of(date_col)), "static")
         return
 
     # The batch is read by several jobs below; write it once (duplicate keys fail here).
@@ -156,7 +156,7 @@ def merge_into_partitions(spark: SparkSession, target_path: str, batch: DataFram
     kept = materialize(target.where(in_months(months)).join(batch_keys, keys, "left_anti"), "merge_kept")
     merged = kept.unionByName(staged, allowMissingColumns=True)
     present = {r[0] for r in merged.select(partition_col).distinct().collect()}
-    write(merged)
+    write(merged, "dynamic")
     # A month emptied by the merge (its only rows moved away) is overwritten
     # with no rows, so it contributes nothing to later reads.
     for m in months:

@@ -107,17 +107,22 @@ def incremental_runs(sources: Sequence[tuple[DataFrame, RunParams]], cut: Callab
     return target
 
 
+def incremental_step(spark: SparkSession, target_path: str, bucketed: DataFrame, p: RunParams,
+                     first_run: bool, lookback_days: int = LOOKBACK_DAYS) -> None:
+    """One run of the payment fact on its month-partitioned table: everything on the
+    first run (or a full refresh), else the lookback slice merged by ``payment_id``."""
+    target = None if first_run else spark.read.option("mergeSchema", "true").parquet(target_path)
+    batch = payments_increment(bucketed, target, p, lookback_days)
+    up.merge_into_partitions(spark, target_path, batch, [PAYMENT_KEY], "payment_date",
+                             PAYMENT_PARTITION, PAYMENT_CLUSTER, first_run=first_run,
+                             max_broadcast_rows=p.max_broadcast_rows)
+
+
 def incremental_runs_partitioned(spark: SparkSession, target_path: str,
                                  sources: Sequence[tuple[DataFrame, RunParams]],
                                  lookback_days: int = LOOKBACK_DAYS) -> DataFrame:
     """Same runs, persisted as a month-partitioned Parquet table clustered by
     (bucket_code, customer_sk, due_date); each run rewrites only touched months."""
-    exists = False
-    for bucketed, p in sources:
-        target = spark.read.option("mergeSchema", "true").parquet(target_path) if exists else None
-        batch = payments_increment(bucketed, target, p, lookback_days)
-        up.merge_into_partitions(spark, target_path, batch, [PAYMENT_KEY], "payment_date",
-                                 PAYMENT_PARTITION, PAYMENT_CLUSTER, first_run=not exists,
-                                 max_broadcast_rows=p.max_broadcast_rows)
-        exists = True
+    for k, (bucketed, p) in enumerate(sources):
+        incremental_step(spark, target_path, bucketed, p, k == 0, lookback_days)
     return spark.read.option("mergeSchema", "true").parquet(target_path)

@@ -10,7 +10,6 @@ from loanmart.functions.columns import days_between, first_match, flag
 from loanmart.operators import scd2
 from loanmart.operators.range_join import range_join
 from loanmart.params import DEFAULT, RunParams
-from loanmart.sources.seeds import SEED_ROWS
 
 # --- fixed values (must equal the reference's for equal results) -----------
 # Three-level risk tier from the current bureau score (score >= threshold).

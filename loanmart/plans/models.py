@@ -33,7 +33,13 @@ def snapshot_input(raw_bureau: DataFrame) -> DataFrame:
 
 
 class Models:
-    def __init__(self, spark: SparkSession, sf_dir: str, params: RunParams = DEFAULT):
+    """``seed_dir``: folder of the seed CSVs; without it the built-in lists and the
+    holiday rule are used. ``holidays``: a holiday table that takes the rule's place."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str, params: RunParams = DEFAULT,
+                 seed_dir: str | None = None, holidays: DataFrame | None = None):
+        self.seed_dir = seed_dir
+        self.holidays = seeds.read_seed(spark, seed_dir, "holidays") if seed_dir and holidays is None else holidays
         self.spark = spark
         self.sf_dir = sf_dir
         self.p = params
@@ -115,11 +121,16 @@ class Models:
     # --- seeds ----------------------------------------------------------------
     @cached_property
     def buckets(self) -> DataFrame:
-        return seeds.delinquency_buckets(self.spark)
+        return seeds.read_seed(self.spark, self.seed_dir, "buckets") if self.seed_dir else seeds.delinquency_buckets(self.spark)
+
+    @property
+    def bucket_rows(self) -> int | None:
+        """Rows of the bands where they are the built-in list; a file's rows are counted."""
+        return None if self.seed_dir else seeds.SEED_ROWS["buckets"]
 
     @cached_property
     def product_catalog(self) -> DataFrame:
-        return seeds.products(self.spark)
+        return seeds.read_seed(self.spark, self.seed_dir, "products") if self.seed_dir else seeds.products(self.spark)
 
     # --- intermediate ---------------------------------------------------------
     @cached_property
@@ -132,7 +143,7 @@ class Models:
 
     @cached_property
     def payments_bucketed(self) -> DataFrame:
-        return intermediate.payments_bucketed(self.stg_payments, self.buckets, self.p)
+        return intermediate.payments_bucketed(self.stg_payments, self.buckets, self.p, self.bucket_rows)
 
     # --- dims -------------------------------------------------------------------
     @cached_property
@@ -146,7 +157,7 @@ class Models:
     @cached_property
     def calendar_bounds(self) -> DataFrame:
         """Whole years around every application, origination, due and payment date."""
-        a, o, pay = self.raw.applications, self.raw.originations, self.raw.payments
+        a, o, pay = self.raw.applications, self.raw.originations, self.payment_source_table  # written once
         return dims.data_calendar_bounds(
             [[F.col("application_date")], [F.col("origination_date")],
              [F.col("due_date"), F.col("payment_date")]],
@@ -154,7 +165,7 @@ class Models:
 
     @cached_property
     def dim_date(self) -> DataFrame:
-        return dims.dim_date(self.calendar_bounds, None, self.p)
+        return dims.dim_date(self.calendar_bounds, self.holidays, self.p)
 
     # --- facts ------------------------------------------------------------------
     @cached_property
@@ -178,7 +189,7 @@ class Models:
     def bucketed_as_of(self, run_date: dt.date) -> DataFrame:
         """The bucketed payment view over the payment source as seen on ``run_date``."""
         src = batches.payment_source(self.spark, self.payment_source_table, run_date)
-        return intermediate.payments_bucketed(staging.stg_payments(src, self.p), self.buckets, self.p)
+        return intermediate.payments_bucketed(staging.stg_payments(src, self.p), self.buckets, self.p, self.bucket_rows)
 
     @cached_property
     def payment_run_dates(self) -> list[dt.date]:

@@ -24,6 +24,7 @@ from loanmart.operators import scd2
 from loanmart.params import DEFAULT, RunParams
 from loanmart.plans import customer360 as c360
 from loanmart.plans import dims, facts, intermediate, metrics, quality, staging
+from loanmart.plans.build import build
 from loanmart.plans.models import Models
 from loanmart.session import apply_conf, cut_lineage, scratch_path
 from loanmart.sources import batches
@@ -251,6 +252,22 @@ def q_dim_date(spark, sf_dir):
     return canonical(_models(spark, sf_dir).dim_date)
 
 
+@register("dim_date_csv", _oracle("dim_date"))
+def q_dim_date_csv(spark, sf_dir):
+    """The calendar with its holidays, bands and products read from CSV files (here written
+    from the holiday rule and the built-in lists)."""
+    from loanmart.sources import seeds
+    m = _models(spark, sf_dir)
+    folder = scratch_path(spark, "seed_csv")
+    rows = {"buckets": m.buckets, "products": m.product_catalog,
+            "holidays": seeds.holidays_between(m.calendar_bounds, F.col("start"), F.col("end"))}
+    for name, (file, schema) in seeds.SEED_FILES.items():
+        rows[name].select(*schema.fieldNames()).write.option("header", True).csv(f"{folder}/{file}.csv")
+    fed = Models(spark, sf_dir, seed_dir=folder)
+    fed.__dict__["calendar_bounds"] = m.calendar_bounds
+    return canonical(fed.dim_date)
+
+
 # --- facts ---------------------------------------------------------------------------
 
 _FCT_APP_MONEY = ("requested_amount_ars", "approved_amount_ars")
@@ -354,6 +371,27 @@ def q_payments_partitioned(spark, sf_dir):
     return canonical(facts.incremental_runs_partitioned(spark, path, m.payment_runs(RUNS)))
 
 
+_run_ctes(EVOLUTION_RUNS, "bt")
+_BT_FINAL = _merge_chain_sql("bt", 2)
+
+
+@register("build_twice", O.sql_for(
+    _cast_sql(f"(select * exclude (run) from {_BT_FINAL})", _PAY_MONEY, ("severity_order",)),
+    (_BT_FINAL,)))
+def q_build_twice(spark, sf_dir):
+    """Two builds of the stateful tables over successive inputs; the payment fact after
+    the second one (whose history holds two snapshot runs)."""
+    m = _models(spark, sf_dir)
+    database = f"lm_{scratch_path(spark, 'build')[-12:]}"
+    for attr in (database, f"{database}_snapshots"):  # tables live in the shared scratch folder
+        spark.sql(f"CREATE DATABASE `{attr}` LOCATION '{scratch_path(spark, attr)}'")
+    feeds = m.bureau_batches()
+    for feed, source in zip((feeds[2], feeds[-1]), m.payment_runs(EVOLUTION_RUNS)):
+        fresh = Models(spark, sf_dir, m.p)
+        out = build(fresh, database, bureau=feed, payments=source, only=("bureau_history", "fct_payments"))
+    return canonical(spark.table(out["fct_payments"]).drop(facts.PAYMENT_PARTITION))
+
+
 @register("payments_schema_evolution", O.sql_for(
     _cast_sql(f"(select * exclude (run) from {_EVO_FINAL})", _PAY_MONEY, ("severity_order",)),
     (_EVO_FINAL,)))

@@ -84,6 +84,14 @@ EASTER_HOLIDAYS = [
     (-3, "Semana Santa (jueves)", "observance", False),
     (-2, "Viernes Santo", "national", True),
 ]
+# National holidays that move to a Monday: from Tuesday or Wednesday to the one before,
+# from Thursday or Friday to the one after.
+MOVED_HOLIDAYS = [
+    (6, 17, "Día Paso a la Inmortalidad del Gral Güemes"),
+    (8, 17, "Día Paso a la Inmortalidad del Gral San Martín"),
+    (10, 12, "Día del Respeto a la Diversidad Cultural"),
+    (11, 20, "Día de la Soberanía Nacional"),
+]
 # ---------------------------------------------------------------------------
 
 # Lookups are created on the driver from the lists above, so their size is
@@ -107,11 +115,23 @@ def read_seed_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataF
             .csv(path))
 
 
+SEED_FILES = {"buckets": ("delinquency_buckets", BUCKET_SCHEMA), "products": ("products", PRODUCT_SCHEMA),
+              "holidays": ("holidays", HOLIDAY_SCHEMA)}
+
+
+def read_seed(spark: SparkSession, seed_dir: str, name: str) -> DataFrame:
+    """The seed ``name`` of SEED_FILES from its CSV file or folder under ``seed_dir``."""
+    file, schema = SEED_FILES[name]
+    return read_seed_csv(spark, f"{seed_dir.rstrip('/')}/{file}.csv", schema)
+
+
 def holidays_for_years(years: DataFrame, year_col: str = "year") -> DataFrame:
     """Holiday rows for each year in ``years`` (one row per holiday per year).
 
     Includes one observance (not a bank holiday) per year and, in years where
-    Good Friday falls on April 2, two holidays on one date.
+    Good Friday falls on April 2, two holidays on one date. Bridge days and
+    single decrees follow no rule: a holiday table or CSV takes the rule's place
+    where they matter.
     """
     y = F.col(year_col).cast("int")
     fixed = [F.struct(F.make_date(y, F.lit(m), F.lit(d)).alias("date"),
@@ -119,6 +139,11 @@ def holidays_for_years(years: DataFrame, year_col: str = "year") -> DataFrame:
                       F.lit("national").alias("holiday_type"),
                       F.lit(True).alias("is_bank_holiday"))
              for m, d, name in FIXED_HOLIDAYS]
+    for m, d, name in MOVED_HOLIDAYS:
+        day = F.make_date(y, F.lit(m), F.lit(d))
+        shift = F.element_at(F.array(*map(F.lit, (0, 0, -1, -2, 4, 3, 0))), F.dayofweek(day))  # Sunday first
+        fixed.append(F.struct(F.date_add(day, shift).alias("date"), F.lit(name).alias("holiday_name"),
+                              F.lit("national").alias("holiday_type"), F.lit(True).alias("is_bank_holiday")))
     easter = easter_sunday(y)
     moving = [F.struct(F.date_add(easter, off).alias("date"),
                        F.lit(name).alias("holiday_name"),

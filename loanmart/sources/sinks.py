@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from loanmart.session import materialize
+
 # Database suffix per kind of table (models of the core marts use the base name).
 ROUTES = {"seeds": "seeds", "snapshots": "snapshots", "core": "core"}
 
@@ -24,12 +26,34 @@ def create_view(df: DataFrame, name: str) -> None:
 
 def write_table(df: DataFrame, database: str, name: str, partition_by: list[str] | None = None,
                 fmt: str = "parquet") -> str:
-    """Full rebuild of a catalog table (overwrite); returns the qualified name."""
+    """Full rebuild of a catalog table (overwrite); returns the qualified name.
+
+    A table that exists may be among the inputs: its new rows are written to
+    the scratch folder before it is replaced.
+    """
     spark = df.sparkSession
     ensure_database(spark, database)
     qualified = f"`{database}`.`{name}`"
+    if spark.catalog.tableExists(qualified):
+        df = materialize(df, name)
     w = df.write.mode("overwrite").format(fmt)
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.saveAsTable(qualified)
     return qualified
+
+
+def table_path(spark: SparkSession, database: str, name: str) -> str:
+    """Folder of a table that jobs write by path."""
+    ensure_database(spark, database)
+    return f"{spark.catalog.getDatabase(database).locationUri.rstrip('/')}/{name}"
+
+
+def attach_table(spark: SparkSession, database: str, name: str, path: str) -> str:
+    """Catalog entry of a partitioned Parquet folder, with the partitions it has now."""
+    ensure_database(spark, database)
+    qualified = f"`{database}`.`{name}`"
+    spark.sql(f"DROP TABLE IF EXISTS {qualified}")
+    spark.sql(f"CREATE TABLE {qualified} USING parquet LOCATION '{path}'")
+    spark.catalog.recoverPartitions(qualified)
+    return qualified

@@ -42,3 +42,14 @@ def test_relationships_grouped_by_parent(spark):
     s.table("c2", c2).relationships("fk", parent.where("kind = 'a'"), "pid", "p_a", "r3")
     got = {r.assertion: r.failures for r in A.failure_report(s).collect()}
     assert got == {"r1": 2, "r2": 1, "r3": 2}
+
+
+def test_malformed_keys_are_orphans(spark):
+    from loanmart.operators import assertions as A
+
+    child = spark.createDataFrame([("1",), ("7",), ("abc",), (None,), ("abc",)], "k string")
+    parent = spark.createDataFrame([(1,), (2,)], "id bigint")
+    suite = A.Suite()
+    suite.table("child", child).relationships("k", parent, "id", "parent", "fk")
+    assert [(r.assertion, r.failures) for r in A.failure_report(suite).collect()] == [("fk", 3)]
+    assert sorted(r.k for r in A.relationship_violations(child, "k", parent, "id").collect()) == ["7", "abc", "abc"]

@@ -189,3 +189,19 @@ def test_customer_360_rules(spark):
     assert got[3].current_risk_status == "CURRENT" and not got[3].is_healthy_active_customer  # blocked
     assert got[4].approval_rate is None and got[4].total_applications == 0
     assert got[1].total_credit_granted_ars == Decimal("10.00") and got[4].total_credit_granted_ars == 0
+
+
+def test_many_and_open_ended_bands(spark):
+    from pyspark.sql import functions as F
+
+    from loanmart.operators.range_join import range_join
+
+    n = 200_000
+    bands = spark.range(n).selectExpr("id as band", "id * 10 as lo", "id * 10 + 9 as hi").union(
+        spark.createDataFrame([(-1, 5, 2**62)], "band bigint, lo bigint, hi bigint"))
+    values = spark.createDataFrame([(v,) for v in (-3, 0, 4, 5, 19, 1_999_999, 2_000_000, None)], "v bigint")
+    out = range_join(values, F.col("v"), bands, "lo", "hi", max_broadcast_rows=100_000)
+    got = sorted((r.v, r.band) for r in out.collect())
+    assert got == [(0, 0), (4, 0), (5, -1), (5, 0), (19, -1), (19, 1), (1_999_999, -1), (1_999_999, 199_999), (2_000_000, -1)]
+    left = range_join(values, F.col("v"), bands, "lo", "hi", how="left", max_broadcast_rows=100_000)
+    assert sorted(str(r.v) for r in left.where("band is null").collect()) == ["-3", "None"]

@@ -36,3 +36,26 @@ def test_build_views_tables_and_routing(spark):
     parts = spark.sql("show partitions lm_test.fct_payments").count()
     assert parts > 1
     assert spark.table("stg_payments").count() > 0
+
+
+def test_build_runs_again(spark):
+    """The same graph builds twice; the history gains a run and the payment fact merges."""
+    from conftest import SF_SMALL
+    from loanmart.plans.build import build
+    from loanmart.plans.models import Models
+
+    m = Models(spark, SF_SMALL)
+    first, second = m.bureau_batches()[2], m.bureau_batches()[-1]
+    early, late = m.payment_runs([3])[0], m.payment_runs([8])[0]
+    only = ("bureau_history", "dim_products", "fct_payments", "fct_applications")
+    build(m, "lm_again", bureau=first, payments=early, only=only)
+    before = spark.table("lm_again.fct_payments").count()
+    out = build(m, "lm_again", bureau=second, payments=late, only=only)
+    runs = spark.table("lm_again_snapshots.scd_credit_bureau_runs")
+    assert runs.select("snapshot_run").distinct().count() == 2
+    history = spark.table(out["bureau_history"])
+    assert history.where("dbt_valid_to is null").groupBy("customer_id").count().where("count > 1").count() == 0
+    assert spark.table("lm_again.fct_payments").count() > before
+    # a full refresh holds exactly the newest source
+    build(m, "lm_again", full_refresh=True, bureau=second, payments=late, only=("fct_payments",))
+    assert spark.table("lm_again.fct_payments").count() == late[0].count()

@@ -72,3 +72,28 @@ def test_partitioned_merge_matches_logical(spark):
     with pytest.raises(Exception, match="duplicate key"):
         up.merge_into_partitions(spark, path, df(spark, [("z", 1, D(2024, 3, 2))] * 2), ["payment_id"],
                                  "payment_date", "m")
+
+
+def test_null_month_keeps_its_rows(spark):
+    path = scratch_path(spark, "null_month")
+    up.merge_into_partitions(spark, path, df(spark, [("a", 1, None), ("b", 2, D(2024, 1, 2))]), ["payment_id"], "payment_date", first_run=True)
+    up.merge_into_partitions(spark, path, df(spark, [("c", 3, None), ("b", 4, None)]), ["payment_id"], "payment_date")
+    assert state(spark.read.parquet(path)) == [("a", 1, None), ("b", 4, None), ("c", 3, None)]
+    up.merge_into_partitions(spark, path, df(spark, [("a", 5, D(2024, 1, 3)), ("b", 4, D(2024, 1, 3)), ("c", 3, D(2024, 2, 3))]), ["payment_id"], "payment_date")
+    assert state(spark.read.parquet(path)) == [("a", 5, D(2024, 1, 3)), ("b", 4, D(2024, 1, 3)), ("c", 3, D(2024, 2, 3))]
+
+
+def test_an_older_version_replaces_nothing(spark):
+    schema = SCHEMA + ", delivered_at date"
+    path = scratch_path(spark, "versions")
+
+    def merge(*rows, first=False):
+        up.merge_into_partitions(spark, path, df(spark, list(rows), schema), ["payment_id"], "payment_date", first_run=first, version_col="delivered_at")
+
+    merge(("a", 99, D(2024, 1, 5), D(2024, 2, 2)), first=True)
+    merge(("a", 1, D(2024, 1, 5), D(2024, 2, 1)), ("b", 2, D(2024, 1, 6), D(2024, 2, 1)))
+    assert state(spark.read.parquet(path)) == [("a", 99, D(2024, 1, 5)), ("b", 2, D(2024, 1, 6))]
+    merge(("a", 7, D(2024, 3, 5), D(2024, 2, 3)))
+    assert state(spark.read.parquet(path)) == [("a", 7, D(2024, 3, 5)), ("b", 2, D(2024, 1, 6))]
+    merge(("a", 8, D(2024, 1, 5), D(2024, 1, 1)))
+    assert state(spark.read.parquet(path)) == [("a", 7, D(2024, 3, 5)), ("b", 2, D(2024, 1, 6))]
