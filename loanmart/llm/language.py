@@ -111,7 +111,7 @@ def text_evidence(records: DataFrame, model: np.ndarray, keep: tuple[str, ...])
             for lo, hi, data, offsets in text_blocks(batch.column("text")):
                 feature, row = features(data, offsets)
                 n = np.bincount(row, minlength=hi - lo)
-                sums = np.stack([np.bincount(row, weights=table[feature, k], minlength=hi - lo) for k in range(L)], axis=1) if L else np.zeros((hi - lo, 0))
+                sums = np.stack([np.bincount(row, weights=table[feature, k], minlength=hi - lo) for k in range(L)], axis=1).astype(float) if L else np.zeros((hi - lo, 0))
                 sums *= np.minimum(1.0, TEXT_CAP / np.maximum(n, 1))[:, None]
                 sums -= sums.max(axis=1, keepdims=True) if L else 0
                 lists = pa.ListArray.from_arrays(pa.array(np.arange(hi - lo + 1) * L, pa.int32()), pa.array(sums.ravel(), pa.float64()))
