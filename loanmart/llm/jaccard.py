@@ -40,6 +40,8 @@ WIDTH = 5
 COMMON_LEAST, COMMON_MOST = 8, 1_000_000
 #: Members of a region that one task compares; larger regions are dealt out in pairs of blocks.
 BLOCK_MEMBERS = 2048
+#: Regions of at most so many members give their pairs at once, without bitmaps.
+SMALL_REGION = 32
 #: Cells of at most so many members are compared directly; pivots of a larger one.
 LEAF, PIVOTS = 64, 8
 #: Bits of the filter that says which sets a comparison needs.
@@ -307,23 +309,73 @@ def region_pairs(key, component, size, place, bitmaps, part, forest: bool) -> np
     return np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], axis=1), axis=0)
 
 
-def prune(edges: DataFrame, classes: DataFrame) -> DataFrame:
-    """Edges (a, b) that the bitmaps of both classes don't rule out."""
+def prune(edges: DataFrame, classes: DataFrame, forest: bool = False) -> DataFrame:
+    """Edges (a, b) that the bitmaps of both classes don't rule out.
+
+    ``forest``: with the ends' components in (ca, cb), a task only keeps those that join
+    components which its earlier ones have not.
+    """
     left = classes.select(F.col("key").alias("a"), F.col("n_shingles").alias("na"), F.col("bitmap").alias("ba"))
     right = classes.select(F.col("key").alias("b"), F.col("n_shingles").alias("nb"), F.col("bitmap").alias("bb"))
 
     def run(batches):
+        parent: dict[int, int] = {}
+
+        def top(k):
+            while parent.setdefault(k, k) != k:
+                parent[k] = parent[parent[k]]
+                k = parent[k]
+            return k
+
         for batch in batches:
             na, nb = batch.column("na").to_numpy(), batch.column("nb").to_numpy()
             ok = 4 * np.minimum(na, nb) >= 3 * np.maximum(na, nb)
+            ends = [batch.column(c).to_numpy() for c in ("ca", "cb")] if forest else None
             for i in np.flatnonzero(ok).tolist():
                 x, y = (np.frombuffer(batch.column(c)[i].as_buffer(), np.uint64)[None, :] for c in ("ba", "bb"))
                 w = min(x.shape[1], y.shape[1])
                 ok[i] = 7 * int(np.bitwise_count(_fold(x, w) ^ _fold(y, w)).sum()) <= na[i] + nb[i]
+                if ok[i] and forest:
+                    p, q = top(int(ends[0][i])), top(int(ends[1][i]))
+                    ok[i] = p != q
+                    parent[p] = q
             kept = batch.filter(pa.array(ok))
             yield pa.RecordBatch.from_arrays([kept.column("a"), kept.column("b")], ["a", "b"])
 
-    return edges.join(right, "b").join(left, "a").select("a", "b", "na", "nb", "ba", "bb").mapInArrow(run, "a long, b long")
+    parts = ["ca", "cb"] if forest else []
+    return edges.join(right, "b").join(left, "a").select("a", "b", "na", "nb", "ba", "bb", *parts).mapInArrow(run, "a long, b long")
+
+
+def small_region_pairs(batches):
+    """Pairs (a, b) with their components (ca, cb) from rows sorted by shingle."""
+    names = ("shingle", "key", "component", "n", "place")
+    held = [np.zeros(0, np.int64)] * len(names)
+
+    def pairs(cols):
+        s, key, part, n, place = cols
+        found = [np.zeros((0, 4), np.int64)]
+        for lag in range(1, SMALL_REGION):
+            i, j = np.arange(max(0, len(s) - lag)), np.arange(lag, max(lag, len(s)))
+            same = s[i] == s[j]
+            if not same.any():
+                break
+            ok = (same & (part[i] != part[j]) & (4 * np.minimum(n[i], n[j]) >= 3 * np.maximum(n[i], n[j])) & (7 * (place[i] + place[j]) <= n[i] + n[j]))
+            i, j = i[ok], j[ok]
+            less = key[i] < key[j]
+            i, j = np.where(less, i, j), np.where(less, j, i)
+            found.append(np.stack([key[i], key[j], part[i], part[j]], axis=1))
+        out = np.unique(np.concatenate(found), axis=0)
+        return pa.RecordBatch.from_arrays([pa.array(out[:, k], pa.int64()) for k in range(4)], ["a", "b", "ca", "cb"])
+
+    for batch in batches:
+        cols = [np.concatenate([h, batch.column(c).to_numpy().astype(np.int64)]) for h, c in zip(held, names)]
+        if len(cols[0]):
+            ends = np.flatnonzero(cols[0] != cols[0][-1])
+            cut = int(ends[-1]) + 1 if len(ends) else 0
+            if cut:
+                yield pairs([c[:cut] for c in cols])
+            held = [c[cut:] for c in cols]
+    yield pairs(held)
 
 
 def _filter_places(key: np.ndarray, row: np.ndarray) -> np.ndarray:
@@ -402,8 +454,12 @@ def cross_pairs(members: DataFrame, classes: DataFrame, labels: DataFrame, fores
     """
     named = members.select("shingle", "key", "n", "place").join(labels, "key", "left").withColumn("component", F.coalesce("component", "key"))
     mixed = (named.groupBy("shingle").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count(F.lit(1)).alias("members")).where("lo <> hi")
-             .select("shingle", F.ceil(F.col("members") / BLOCK_MEMBERS).cast("int").alias("blocks")))
+             .select("shingle", "members", F.ceil(F.col("members") / BLOCK_MEMBERS).cast("int").alias("blocks")))
     chosen = named.join(mixed, "shingle")
+    small = (chosen.where(F.col("members") <= SMALL_REGION).select("shingle", "key", "component", "n", "place")
+             .repartition("shingle").sortWithinPartitions("shingle").mapInArrow(small_region_pairs, "a long, b long, ca long, cb long")
+             .dropDuplicates(["a", "b"]))
+    chosen = chosen.where(F.col("members") > SMALL_REGION).drop("members")
     # a member of a region of several blocks goes to every pair of blocks that has its own
     block = F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int")
     dealt = (chosen.withColumn("block", block).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
@@ -444,7 +500,8 @@ def cross_pairs(members: DataFrame, classes: DataFrame, labels: DataFrame, fores
             yield pairs_of(pa.Table.from_batches(held))
 
     dealt = dealt.select("shingle", "pair", "key", "component", "n", "place", "part", "bitmap").repartition("shingle", "pair").sortWithinPartitions("shingle", "pair")
-    return dealt.mapInArrow(run, "a long, b long").distinct()
+    large = dealt.mapInArrow(run, "a long, b long").distinct()
+    return prune(small, classes, forest).unionByName(large).distinct()
 
 
 def near_classes(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), width: int = WIDTH) -> tuple[DataFrame, DataFrame]:
