@@ -233,24 +233,19 @@ def near_pairs(bits: np.ndarray, size: np.ndarray, allowed, index: np.ndarray) -
     d = np.concatenate([_hamming(bits[index[k : k + step]], bits[pivots]) for k in range(0, n, step)])
     home = d.argmin(axis=1)
     window = d <= d[np.arange(n), home][:, None] + 2 * reach
-    out = []
-    for c in range(PIVOTS):
-        # each pair of cells meets in the earlier cell's region
-        own, guests = index[home == c], index[window[:, c] & (home > c)]
-        if not len(own):
-            continue
-        if len(own) + len(guests) < 0.9 * n:
-            out += near_pairs(bits, size, allowed, np.concatenate([own, guests]))
-        else:  # the pivots don't divide these sets: compare them in strips
-            both = np.concatenate([own, guests])
-            for k in range(0, len(own), LEAF):
-                strip, rest = own[k : k + LEAF], both[k:]
-                for m in range(0, len(rest), step):
-                    e = _hamming(bits[strip], bits[rest[m : m + step]])
-                    i, j = np.nonzero(7 * e <= size[strip][:, None] + size[rest[m : m + step]][None, :])
-                    a, b = strip[i], rest[m : m + step][j]
-                    ok = (a != b) & allowed(a, b)
-                    out.append(np.stack([a[ok], b[ok]], axis=1))
+    # each pair of cells meets in the earlier cell's region
+    cells = [(index[home == c], index[window[:, c] & (home > c)]) for c in range(PIVOTS)]
+    if sum((len(own) + len(guests)) ** 2 for own, guests in cells if len(own)) <= n * n / 2:
+        return [p for own, guests in cells if len(own) for p in near_pairs(bits, size, allowed, np.concatenate([own, guests]))]
+    out = []  # the pivots don't divide these sets: compare them in strips
+    for k in range(0, n, LEAF):
+        strip, rest = index[k : k + LEAF], index[k:]
+        for m in range(0, len(rest), step):
+            e = _hamming(bits[strip], bits[rest[m : m + step]])
+            i, j = np.nonzero(7 * e <= size[strip][:, None] + size[rest[m : m + step]][None, :])
+            a, b = strip[i], rest[m : m + step][j]
+            ok = (a != b) & allowed(a, b)
+            out.append(np.stack([a[ok], b[ok]], axis=1))
     return out
 
 
@@ -265,12 +260,15 @@ def spanning(pairs: np.ndarray, distance: np.ndarray, component: np.ndarray) ->
             k = parent[k]
         return k
 
-    kept = []
+    kept, apart = [], len(parent) - 1
     for i in np.argsort(distance, kind="stable").tolist():
+        if not apart:
+            break
         a, b = top(part[pairs[i, 0]]), top(part[pairs[i, 1]])
         if a != b:
             parent[a] = b
             kept.append(i)
+            apart -= 1
     return pairs[kept]
 
 
