@@ -4,8 +4,7 @@ One attention head looks at the last ``SPAN`` input ids. Ids are embedded by row
 ids have rows of their own, the others share rows by hash). The output is factored: a softmax
 over classes, then a softmax over the members of the class. Frequent ids are dealt into classes
 of ``MEMBERS`` neighbours in the order of their bytes; the others are classed by whether they
-start a word and by their first letter, and take their share of the class in the training
-corpus. All ids together have probability 1.
+start a word, and take their share of the class in the training corpus. All ids together have probability 1.
 
 A text is cut into chunks of ``SPAN`` positions; a window is a chunk with the one before it,
 so windows overlap and each position is scored once, with its full span of context. All
@@ -21,7 +20,9 @@ WIDTH = 16
 OWN_ROWS, SHARED_ROWS = 1023, 1024
 CLASSES, MEMBERS = 64, 32
 #: Learning rate of AdaGrad and chunks of a step.
-RATE, STEP_CHUNKS = 0.3, 64
+RATE, STEP_CHUNKS = 0.3, 128
+#: Chunks whose windows go through attention together when scoring.
+SLICE_CHUNKS = 512
 
 # window mask: query q of a chunk sees keys q+1 .. q+SPAN of the window (its own input last)
 _Q, _K = np.arange(SPAN)[:, None], np.arange(2 * SPAN)[None, :]
@@ -45,13 +46,9 @@ class Layout:
         modelled = sorted(order[: CLASSES * MEMBERS].tolist(), key=lambda i: bytes_of[i].lower())
         self.kind[modelled] = np.arange(len(modelled)) // MEMBERS
         self.member[modelled] = np.arange(len(modelled)) % MEMBERS
-        rest = order[CLASSES * MEMBERS :]
-        for i in rest.tolist():
-            b = bytes_of[i]
-            starts, first = b[:1] == b" ", (b.lstrip(b" ").lower() or b" ")[0]
-            letter = first - 97 if 97 <= first < 123 else 26 if 48 <= first < 58 else 27 if first >= 128 else 28
-            self.kind[i] = CLASSES + 29 * starts + letter
-        self.n_rows, self.n_classes = OWN_ROWS + SHARED_ROWS, CLASSES + 58
+        for i in order[CLASSES * MEMBERS :].tolist():
+            self.kind[i] = CLASSES + (bytes_of[i][:1] == b" ")
+        self.n_rows, self.n_classes = OWN_ROWS + SHARED_ROWS, CLASSES + 2
         mass = counts + 0.1
         per_class = np.bincount(self.kind, weights=mass, minlength=self.n_classes)
         self.share_log = np.log(mass / per_class[self.kind]).astype(np.float32)
@@ -123,23 +120,52 @@ class Model:
         h = np.tanh(own.reshape(-1, WIDTH) @ p["W"] + o.reshape(-1, WIDTH) @ p["Wo"])
         return h, (x, k, v, q, a, o, own)
 
-    def id_logs(self, rows, before, has_before, ids: np.ndarray) -> np.ndarray:
-        """log P(id) of the target of every position (flat)."""
-        layout = self.layout
-        h, _ = self.forward(rows, before, has_before)
+    def id_logs(self, rows, has_before, ids: np.ndarray) -> np.ndarray:
+        """log P(id) of the target of every position (flat) of successive chunks.
+
+        The first chunk's predecessor, where it has one, comes as one more row in front.
+        """
+        p, layout, n = self.p, self.layout, len(has_before)
+        rows = rows if len(rows) > n else np.concatenate([rows[:1], rows])
         kind = layout.kind[ids]
-        z = h @ self.p["U"] + self.p["b"]
-        out = z[np.arange(len(z)), kind]
-        z = np.exp(z, out=z)  # logits are small: tanh units and bounded steps
-        out = out - np.log(z.sum(axis=1))
+        h, out = np.empty((n * SPAN, WIDTH), np.float32), np.empty(n * SPAN, np.float32)
+        for k in range(0, n, SLICE_CHUNKS):
+            t = slice(k * SPAN, min(k + SLICE_CHUNKS, n) * SPAN)
+            h[t] = self._hidden(rows[k : k + SLICE_CHUNKS + 1], has_before[k : k + SLICE_CHUNKS])
+            z = h[t] @ p["U"]
+            z += p["b"]
+            out[t] = z[np.arange(len(z)), kind[t]]
+            out[t] -= np.log(np.exp(z, out=z).sum(axis=1))  # logits are small: tanh units and bounded steps
         for k, at in _by_class(kind):
             if k < CLASSES:
-                m = h[at] @ self.p["M"][k] + self.p["c"][k]
-                out[at] += m[np.arange(len(at)), layout.member[ids[at]]] - np.log(np.exp(m).sum(axis=1))
+                m = h[at] @ p["M"][k]
+                m += p["c"][k]
+                target = m[np.arange(len(at)), layout.member[ids[at]]]
+                out[at] += target - np.log(np.exp(m, out=m).sum(axis=1))
             else:
                 out[at] += layout.share_log[ids[at]]
         return out
 
+    def _hidden(self, rows, has_before) -> np.ndarray:
+        """Hidden values of successive chunks; rows[0] is the chunk before the first."""
+        p, B = self.p, len(has_before)
+        flat = p["E"][rows].reshape(-1, WIDTH)
+        own = flat[SPAN:]
+        kv = (flat @ np.concatenate([p["Wk"], p["Wv"]], axis=1)).reshape(B + 1, SPAN, 2 * WIDTH)
+        kv = np.concatenate([kv[:-1], kv[1:]], axis=1)  # each chunk with the one before it
+        q = (own @ (p["Wq"] * np.float32(WIDTH**-0.5))).reshape(B, SPAN, WIDTH)
+        a = q @ kv[:, :, :WIDTH].transpose(0, 2, 1)
+        a += np.where(_SEEN, p["rel"][_REL], np.float32(-1e9))
+        if a.max() > 60:  # else the exponentials are safe as they are
+            a -= a.max(axis=2, keepdims=True)
+        np.exp(a, out=a)
+        a[~has_before, :, :SPAN] = 0
+        o = (a @ kv[:, :, WIDTH:]).reshape(-1, WIDTH)
+        o /= (a @ np.ones(2 * SPAN, np.float32)).reshape(-1, 1)
+        h = own @ p["W"]
+        h += o @ p["Wo"]
+        return np.tanh(h, out=h)
+
     def step(self, rows, before, has_before, ids, real, state: np.ndarray) -> float:
         """One AdaGrad step on the real positions of some chunks; the mean loss before it."""
         p, layout = self.p, self.layout

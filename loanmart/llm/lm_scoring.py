@@ -30,13 +30,13 @@ from loanmart.llm.bpe import SpacedWordStore, vocabulary
 from loanmart.llm.common import LOWER, NOT_SPACE, crc_bucket, materialize, offsets_of, segment_arange, shuffle_partitions, span_hashes, text_blocks, word_spans
 
 #: Rounds of training; share and least number of a document's words that train.
-ROUNDS, TRAIN_SHARE, TRAIN_WORDS = 4, 8, 64
+ROUNDS, TRAIN_SHARE, TRAIN_WORDS = 4, 32, 64
 #: Steps a block of documents gives at least, by at most so many passes over its spans.
 BLOCK_STEPS, BLOCK_PASSES = 96, 8
 #: Weight of the attention model in the interpolation.
 ATTENTION_WEIGHT = 0.7
 #: Chunks of positions scored at once.
-BATCH_CHUNKS = 512
+BATCH_CHUNKS = 4096
 
 
 class Words:
@@ -52,17 +52,51 @@ class Words:
 
     def ids(self, store: SpacedWordStore, codes: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
         """Subword ids of the words (or of some of them), and how many each word has."""
+        blocks = np.zeros(len(self.distinct), np.int64)
+        number = store.add(self.distinct, blocks, lambda _, places: self.bytes_of(places))[self.codes if codes is None else codes]
+        begin, each = offsets_of(store.lengths)[number], store.lengths[number]
+        return store.ids[np.repeat(begin, each) + segment_arange(each)], each
+
+    def bytes_of(self, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Bytes of some distinct words one after the other, and their lengths."""
         first = np.zeros(len(self.distinct), np.int64)
         first[self.codes[::-1]] = np.arange(len(self.codes))[::-1]
+        at = first[places]
+        sizes = self.ends[at] - self.starts[at]
+        return self.data[np.repeat(self.starts[at], sizes) + segment_arange(sizes)], sizes
+
+
+class Lexicon:
+    """Distinct words of several blocks, to be encoded in one sweep."""
+
+    def __init__(self):
+        self.known = np.zeros(0, np.uint64)
+        self.hashes, self.data, self.sizes = [], [], []
+
+    def see(self, words: Words) -> None:
+        at = np.searchsorted(self.known, words.distinct)
+        new = np.ones(len(words.distinct), bool)
+        inside = at < len(self.known)
+        new[inside] = self.known[at[inside]] != words.distinct[inside]
+        new = np.flatnonzero(new)
+        data, sizes = words.bytes_of(new)
+        self.hashes.append(words.distinct[new])
+        self.data.append(data)
+        self.sizes.append(sizes)
+        self.known = np.sort(np.concatenate([self.known, words.distinct[new]]))
+
+    def store(self, path: str) -> tuple[SpacedWordStore, np.ndarray, np.ndarray]:
+        """A store of all words seen, their hashes, and their numbers in it."""
+        store = SpacedWordStore(vocabulary(path))
+        if not self.hashes:
+            return store, self.known, np.zeros(0, np.int64)
+        hashes, data, bounds = np.concatenate(self.hashes), np.concatenate(self.data), offsets_of(np.concatenate(self.sizes))
 
         def words_of(_, places):
-            at = first[places]
-            sizes = self.ends[at] - self.starts[at]
-            return self.data[np.repeat(self.starts[at], sizes) + segment_arange(sizes)], sizes
+            sizes = np.diff(bounds)[places]
+            return data[np.repeat(bounds[places], sizes) + segment_arange(sizes)], sizes
 
-        number = store.add(self.distinct, np.zeros(len(self.distinct), np.int64), words_of)[self.codes if codes is None else codes]
-        begin, each = offsets_of(store.lengths)[number], store.lengths[number]
-        return store.ids[np.repeat(begin, each) + segment_arange(each)], each
+        return store, hashes, store.add(hashes, np.zeros(len(hashes), np.int64), words_of)
 
 
 def group_words(docs: DataFrame, path: str) -> DataFrame:
@@ -70,15 +104,20 @@ def group_words(docs: DataFrame, path: str) -> DataFrame:
     training documents; kind 1, counts of subword ids in training documents."""
 
     def run(batches):
-        store = SpacedWordStore(vocabulary(path))
-        subwords = np.zeros(store.vocab.size, np.int64)
+        subwords = np.zeros(vocabulary(path).size, np.int64)
         held: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {}
-        size = 0
+        lexicon, size = Lexicon(), 0
 
         def out(kind, group, word, n):
             return pa.RecordBatch.from_arrays([pa.array(np.full(len(word), kind), pa.int32()), pa.array(np.full(len(word), group), pa.int32()), pa.array(word.view(np.int64), pa.int64()), pa.array(n, pa.int64())], ["kind", "group", "word", "n"])
 
         def flush():
+            store, hashes, number = lexicon.store(path)
+            every = np.zeros(len(store.lengths), np.int64)
+            order = np.argsort(hashes)
+            for word, n in (part for parts in held.values() for part in parts):
+                every += np.bincount(number[order[np.searchsorted(hashes, word, sorter=order)]], weights=n, minlength=len(every)).astype(np.int64)
+            subwords[:] += np.bincount(store.ids, weights=np.repeat(every, store.lengths), minlength=len(subwords)).astype(np.int64)
             for group, parts in held.items():
                 word, place = np.unique(np.concatenate([w for w, _ in parts]), return_inverse=True)
                 yield out(0, group, word, np.bincount(place, weights=np.concatenate([n for _, n in parts]), minlength=len(word)).astype(np.int64))
@@ -91,9 +130,7 @@ def group_words(docs: DataFrame, path: str) -> DataFrame:
                 if not len(words.codes):
                     continue
                 trains = ~outside[lo:hi][words.row]
-                n = np.bincount(words.codes[trains], minlength=len(words.distinct))
-                ids, each = words.ids(store, np.arange(len(words.distinct)))
-                subwords += np.bincount(ids, weights=np.repeat(n, each), minlength=len(subwords)).astype(np.int64)
+                lexicon.see(words)
                 own = groups[lo:hi][words.row]
                 for group in np.unique(own).tolist():
                     at = own == group
@@ -164,11 +201,11 @@ def _score_block(words: Words, ids, each, count, model: Model, layout, end: int,
     n = words.n_rows
     per_row = np.bincount(words.row, minlength=n)
     bounds = offsets_of(each)[offsets_of(per_row)]
-    rows, before, has_before, target, _, place, ends = chunks_of(ids, bounds, layout, end)
+    rows, _, has_before, target, _, place, ends = chunks_of(ids, bounds, layout, end)
     logs = np.empty(len(target))
     for k in range(0, len(rows), BATCH_CHUNKS):
         s, t = slice(k, k + BATCH_CHUNKS), slice(k * SPAN, (k + BATCH_CHUNKS) * SPAN)
-        logs[t] = model.id_logs(rows[s], before[s], has_before[s], target[t])
+        logs[t] = model.id_logs(rows[max(0, k - 1) : k + BATCH_CHUNKS], has_before[s], target[t])
     by_word = np.add.reduceat(logs[place], offsets_of(each)[:-1]) if len(each) else np.zeros(0)
     share = np.array([1.0, 0.0]) if not n_train else np.array([ATTENTION_WEIGHT, 1 - ATTENTION_WEIGHT])
     with np.errstate(divide="ignore"):
@@ -218,7 +255,11 @@ def score_documents(docs: DataFrame, path: str) -> DataFrame:
 
     def score(texts: pa.Table, vocab: pa.Table) -> pa.Table:
         layout, flat = shared.value
-        model, store = Model(flat.copy(), layout), SpacedWordStore(vocabulary(path))
+        model, lexicon = Model(flat.copy(), layout), Lexicon()
+        for batch in texts.to_batches():
+            for _, _, data, offsets in text_blocks(batch.column("text")):
+                lexicon.see(Words(data, offsets))
+        store = lexicon.store(path)[0]
         hashes = vocab.column("word").to_numpy().view(np.uint64)
         order = np.argsort(hashes)
         hashes, c = np.append(hashes[order], np.uint64(2**64 - 1)), np.append(vocab.column("c").to_numpy()[order], 0)

@@ -62,7 +62,7 @@ def test_every_position_is_scored_once_with_its_own_context():
     texts = [rng.integers(0, 5000, n) for n in (0, 1, 15, 16, 17, 70)]
     ids, bounds = np.concatenate(texts), np.concatenate([[0], np.cumsum([len(t) for t in texts])])
     rows, before, has, target, real, place, ends = chunks_of(ids, bounds, layout, 50256)
-    logs = model.id_logs(rows, before, has, target)
+    logs = model.id_logs(rows, has, target)
     assert real.sum() == len(ids) + len(texts) and (target[place] == ids).all() and (target[ends] == 50256).all()
     # one position at a time: the inputs of the last SPAN positions, nothing else
     p = model.p
@@ -91,10 +91,10 @@ def test_all_ids_have_probability_one_together():
     chunk = np.zeros((1, SPAN), np.int32)
     for k in range(0, n, 2048):
         ids = np.arange(k, min(k + 2048, n))
-        rows = np.repeat(chunk, len(ids), axis=0)
+        rows = np.repeat(chunk, len(ids) + 1, axis=0)
         target = np.zeros(len(ids) * SPAN, np.int64)
         target[SPAN - 1 :: SPAN] = ids
-        total += np.exp(model.id_logs(rows, rows, np.ones(len(ids), bool), target)[SPAN - 1 :: SPAN].astype(float)).sum()
+        total += np.exp(model.id_logs(rows, np.ones(len(ids), bool), target)[SPAN - 1 :: SPAN].astype(float)).sum()
     assert abs(total - 1) < 1e-3
 
 
@@ -103,7 +103,7 @@ def test_gradients():
     rng = np.random.default_rng(5)
     ids = rng.integers(0, 5000, 60)
     rows, before, has, target, real, _, _ = chunks_of(ids, np.array([0, 25, 60]), layout, 50256)
-    loss = lambda m: -m.id_logs(rows, before, has, target)[real].mean(dtype=float)
+    loss = lambda m: -m.id_logs(rows, has, target)[real].mean(dtype=float)
     flat, state = model.flat.copy(), np.zeros_like(model.flat)
     model.step(rows, before, has, target, real, state)
     got, at = np.sqrt(state), 0  # after one step the state is the squared gradient
