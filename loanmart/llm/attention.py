@@ -4,7 +4,8 @@ One attention head looks at the last ``SPAN`` input ids. Ids are embedded by row
 ids have rows of their own, the others share rows by hash). The output is factored: a softmax
 over classes, then a softmax over the members of the class. Frequent ids are dealt into classes
 of ``MEMBERS`` neighbours in the order of their bytes; the others are classed by whether they
-start a word, and take their share of the class in the training corpus. All ids together have probability 1.
+start a word and by their first letter, and take their share of the class in the training
+corpus. All ids together have probability 1.
 
 A text is cut into chunks of ``SPAN`` positions; a window is a chunk with the one before it,
 so windows overlap and each position is scored once, with its full span of context. All
@@ -19,6 +20,8 @@ SPAN = 16
 WIDTH = 16
 OWN_ROWS, SHARED_ROWS = 1023, 1024
 CLASSES, MEMBERS = 64, 32
+#: First letters that tell tail classes apart: a-z, digits, beyond ASCII, others.
+TAIL_LETTERS = 29
 #: Learning rate of AdaGrad and chunks of a step.
 RATE, STEP_CHUNKS = 0.3, 128
 #: Chunks whose windows go through attention together when scoring.
@@ -47,8 +50,11 @@ class Layout:
         self.kind[modelled] = np.arange(len(modelled)) // MEMBERS
         self.member[modelled] = np.arange(len(modelled)) % MEMBERS
         for i in order[CLASSES * MEMBERS :].tolist():
-            self.kind[i] = CLASSES + (bytes_of[i][:1] == b" ")
-        self.n_rows, self.n_classes = OWN_ROWS + SHARED_ROWS, CLASSES + 2
+            b = bytes_of[i]
+            starts, first = b[:1] == b" ", (b.lstrip(b" ").lower() or b" ")[0]
+            letter = first - 97 if 97 <= first < 123 else 26 if 48 <= first < 58 else 27 if first >= 128 else 28
+            self.kind[i] = CLASSES + TAIL_LETTERS * starts + letter
+        self.n_rows, self.n_classes = OWN_ROWS + SHARED_ROWS, CLASSES + 2 * TAIL_LETTERS
         mass = counts + 0.1
         per_class = np.bincount(self.kind, weights=mass, minlength=self.n_classes)
         self.share_log = np.log(mass / per_class[self.kind]).astype(np.float32)

@@ -7,7 +7,7 @@ encoded one by one as a space and the word, and a text closes with an end.
 
 What is gathered from the corpus is whole: word counts, subword counts and the output layer's
 shares come from every training document. The attention weights are learnt in rounds: each
-training document gives a span of its words to one round, every task takes gradient steps
+training document gives all its words to one round, every task takes gradient steps
 from the round's weights, and the tasks' weights are averaged.
 
 Documents are dealt into groups by a hash; each group's distinct words meet their counts
@@ -29,9 +29,9 @@ from loanmart.llm.attention import SPAN, STEP_CHUNKS, Layout, Model, chunks_of,
 from loanmart.llm.bpe import SpacedWordStore, vocabulary
 from loanmart.llm.common import LOWER, NOT_SPACE, crc_bucket, materialize, offsets_of, segment_arange, shuffle_partitions, span_hashes, text_blocks, word_spans
 
-#: Rounds of training; share and least number of a document's words that train.
-ROUNDS, TRAIN_SHARE, TRAIN_WORDS = 4, 32, 64
-#: Steps a block of documents gives at least, by at most so many passes over its spans.
+#: Rounds of training.
+ROUNDS = 4
+#: Steps a block of documents gives at least, by at most so many passes over its texts.
 BLOCK_STEPS, BLOCK_PASSES = 96, 8
 #: Weight of the attention model in the interpolation.
 ATTENTION_WEIGHT = 0.7
@@ -164,18 +164,9 @@ def _train_round(docs: DataFrame, path: str, layout, flat: np.ndarray, state: np
                 words = Words(data, offsets)
                 if not len(words.codes):
                     continue
-                # a span of each text, at a place given by its first word and length
-                per_row = np.bincount(words.row, minlength=words.n_rows)
-                size = np.minimum(per_row, np.maximum(per_row // TRAIN_SHARE, TRAIN_WORDS))
-                first = np.cumsum(per_row) - per_row
-                has = per_row > 0
-                skip = np.zeros(words.n_rows, np.int64)
-                skip[has] = (words.distinct[words.codes[first[has]]] % np.uint64(1 << 31)).astype(np.int64) % (per_row - size + 1)[has]
-                picked = np.repeat(first + skip, size) + segment_arange(size)
-                ids, each = words.ids(store, words.codes[picked])
-                bounds = offsets_of(each)[offsets_of(size)]
-                rows, before, has_before, target, real, _, ends = chunks_of(ids, bounds, layout, end)
-                real[ends[skip + size < per_row]] = False  # a span that stops inside a text has no end to learn
+                ids, each = words.ids(store)
+                bounds = offsets_of(each)[offsets_of(np.bincount(words.row, minlength=words.n_rows))]
+                rows, before, has_before, target, real, _, _ = chunks_of(ids, bounds, layout, end)
                 target, real = target.reshape(-1, SPAN), real.reshape(-1, SPAN)
                 steps = -(-len(rows) // STEP_CHUNKS)
                 for _ in range(min(BLOCK_PASSES, max(1, BLOCK_STEPS // steps))):

@@ -8,7 +8,7 @@ import numpy as np
 from loanmart.llm import queries
 from loanmart.llm.attention import SPAN, WIDTH, Layout, Model, chunks_of, initial, shapes
 from loanmart.llm.bpe import vocabulary
-from loanmart.llm.lm_scoring import score_documents
+from loanmart.llm.lm_scoring import _train_round, score_documents
 from tests.conftest import SF_MID
 
 PATH = queries.tokenizer_path()
@@ -116,3 +116,28 @@ def test_gradients():
             slope = (loss(Model(up, layout)) - loss(Model(down, layout))) / 2e-2
             assert abs(abs(slope) - got[k]) < 2e-3 + 0.05 * got[k], name
         at += size
+
+
+def test_all_words_of_a_long_text_train(spark):
+    vocab = vocabulary(PATH)
+    seen = [k for k in range(vocab.size) if re.fullmatch(rb" [a-z]{3,}", vocab.bytes_of[k])][:900]
+    counts = np.zeros(vocab.size)
+    counts[seen] = 10
+    layout = Layout(counts, vocab.bytes_of, 50256)
+    text = " ".join(vocab.bytes_of[k].decode().strip() for k in seen for _ in range(8))
+    flat = initial(layout)
+    _, state = _train_round(spark.createDataFrame([(text,)], "text string"), PATH, layout, flat, np.full_like(flat, 1e-10), 50256)
+    learnt = state[: layout.n_rows * WIDTH].reshape(-1, WIDTH).max(axis=1) > 1.5e-10
+    assert learnt[layout.row[seen]].all()
+
+
+def test_tail_classes_tell_first_letters_apart():
+    layout, _ = small()
+    bytes_of = vocabulary(PATH).bytes_of
+    tail = [k for k in range(4000, 50000) if layout.kind[k] >= 64]
+    firsts = {}
+    for k in tail:
+        b = bytes_of[k].lower()
+        if re.match(rb" ?[a-z]", b):
+            firsts.setdefault(int(layout.kind[k]), set()).add(b[:2] if b[:1] == b" " else b[:1])
+    assert len(firsts) == 52 and all(len(x) == 1 for x in firsts.values())
