@@ -29,10 +29,8 @@ from loanmart.llm.attention import SPAN, STEP_CHUNKS, Layout, Model, chunks_of,
 from loanmart.llm.bpe import SpacedWordStore, vocabulary
 from loanmart.llm.common import LOWER, NOT_SPACE, crc_bucket, materialize, offsets_of, segment_arange, shuffle_partitions, span_hashes, text_blocks, word_spans
 
-#: Rounds of training.
-ROUNDS = 4
-#: Steps a block of documents gives at least, by at most so many passes over its texts.
-BLOCK_STEPS, BLOCK_PASSES = 96, 8
+#: Rounds of training, and passes over the texts of a round, whatever the size of a block.
+ROUNDS, PASSES = 4, 1
 #: Weight of the attention model in the interpolation.
 ATTENTION_WEIGHT = 0.7
 #: Chunks of positions scored at once.
@@ -168,8 +166,7 @@ def _train_round(docs: DataFrame, path: str, layout, flat: np.ndarray, state: np
                 bounds = offsets_of(each)[offsets_of(np.bincount(words.row, minlength=words.n_rows))]
                 rows, before, has_before, target, real, _, _ = chunks_of(ids, bounds, layout, end)
                 target, real = target.reshape(-1, SPAN), real.reshape(-1, SPAN)
-                steps = -(-len(rows) // STEP_CHUNKS)
-                for _ in range(min(BLOCK_PASSES, max(1, BLOCK_STEPS // steps))):
+                for _ in range(PASSES):
                     order = rng.permutation(len(rows))
                     for k in range(0, len(order), STEP_CHUNKS):
                         q = order[k : k + STEP_CHUNKS]

@@ -141,3 +141,16 @@ def test_tail_classes_tell_first_letters_apart():
         if re.match(rb" ?[a-z]", b):
             firsts.setdefault(int(layout.kind[k]), set()).add(b[:2] if b[:1] == b" " else b[:1])
     assert len(firsts) == 52 and all(len(x) == 1 for x in firsts.values())
+
+
+def test_a_small_block_is_passed_once(spark):
+    layout, _ = small()
+    flat = initial(layout)
+    start = np.full_like(flat, 1e-6)
+    weights, state = _train_round(spark.createDataFrame([("one two three four five",)], "text string"), PATH, layout, flat, start, 50256)
+    vocab = vocabulary(PATH).bytes_of
+    ids = np.array([vocab.index(w) for w in (b" one", b" two", b" three", b" four", b" five")])
+    rows, before, has, target, real, _, _ = chunks_of(ids, np.array([0, 5]), layout, 50256)
+    want, squares = flat.copy(), start.copy()
+    Model(want, layout).step(rows, before, has, target, real, squares)
+    assert np.allclose(weights, want, atol=1e-6) and np.allclose(state, squares, rtol=1e-4, atol=1e-12)
