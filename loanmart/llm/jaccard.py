@@ -544,13 +544,22 @@ def jaccard_components(docs: DataFrame, width: int = WIDTH) -> DataFrame:
 
 
 def keep_one(docs: DataFrame, width: int = WIDTH) -> DataFrame:
-    """One document of each component: the smallest id (then text); those without words all stay."""
+    """One row of each component: the smallest id (then text); those without words all stay.
+
+    Of rows that repeat the kept id and text (or its text without an id) the one with the
+    smallest other columns stays.
+    """
     ids = docs.select("doc_id", "text").withColumn("tie", F.xxhash64("text"))
     rows, labels = near_classes(ids, ("doc_id", "tie"), width)
     own = rows.where("n_shingles > 0").join(labels, "key", "left").withColumn("component", F.coalesce("component", "key"))
     first = own.groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "tie")).alias("first"))
     kept = first.select("first.doc_id", "first.tie")
-    gone = own.select("doc_id", "tie").distinct().join(kept.withColumn("kept", F.lit(True)).distinct(), (own["doc_id"].eqNullSafe(kept["doc_id"])) & (own["tie"] == kept["tie"]), "left").where("kept is null").select(own["doc_id"].alias("_gone_id"), own["tie"].alias("_gone_tie"))
-    gone = materialize(gone, "jaccard-gone")
-    left = docs.join(gone, docs["doc_id"].eqNullSafe(gone["_gone_id"]) & (F.xxhash64(docs["text"]) == gone["_gone_tie"]), "left_anti")
-    return left
+    pairs = own.groupBy("doc_id", "tie").agg(F.count(F.lit(1)).alias("n"))
+    marks = pairs.join(kept.withColumn("kept", F.lit(True)).distinct(), (pairs["doc_id"].eqNullSafe(kept["doc_id"])) & (pairs["tie"] == kept["tie"]), "left").where("kept is null or n > 1").select(pairs["doc_id"].alias("_id"), pairs["tie"].alias("_tie"), F.col("kept").isNotNull().alias("_repeats"))
+    marks = materialize(marks, "jaccard-gone")
+    same = docs["doc_id"].eqNullSafe(marks["_id"]) & (F.xxhash64(docs["text"]) == marks["_tie"])
+    left = docs.join(marks, same, "left_anti")
+    # repeats of a kept row, combined before the shuffle
+    repeats = docs.join(marks.where("_repeats"), same, "left_semi")
+    one = repeats.groupBy("doc_id", F.xxhash64("text").alias("_tie")).agg(F.min(F.struct(*docs.columns)).alias("_row"))
+    return left.unionByName(one.select("_row.*"))

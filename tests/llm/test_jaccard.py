@@ -101,6 +101,17 @@ def test_keep_one_and_empty(spark):
     assert jaccard_components(df.limit(0)).collect() == [] and keep_one(df.limit(0)).collect() == []
 
 
+def test_keep_one_of_repeated_rows(spark):
+    text = lambda c: " ".join(f"{c}{k}" for k in range(12))
+    docs = [(7, text("a"), "b"), (7, text("a"), "a"), (7, text("a"), "b"), (8, text("a"), "a"), (None, text("a"), "a")]
+    docs += [(None, text("n"), "x")] * 30 + [(None, text("m"), "x")] * 3 + [(9, text("m"), "x")]
+    docs += [(None, text("o"), "x")] * 2 + [(None, text("o").upper(), "x")] * 2
+    docs += [(5, "", "x")] * 2 + [(None, None, "x")] * 3
+    kept = keep_one(spark.createDataFrame(docs, "doc_id long, text string, lang string").repartition(4)).collect()
+    got = sorted((str(r.doc_id), (r.text or "").lower(), r.lang) for r in kept)
+    assert got == sorted([("7", text("a"), "a"), ("None", text("n"), "x"), ("9", text("m"), "x"), ("None", text("o"), "x"), *[("5", "", "x")] * 2, *[("None", "", "x")] * 3])
+
+
 def test_voronoi_cells_lose_no_pair():
     rng = np.random.default_rng(1)
     sets = []
