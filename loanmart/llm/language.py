@@ -14,7 +14,10 @@ One host may hold a third of all rows: counts combine before the shuffle, and ho
 the rows by host and salt, without texts.
 
 Defined results: NULL or empty texts give no text evidence; a NULL or unknown declared language
-gives none either; a NULL address is the address ''. Without any declared language the
+gives none either; a NULL address is the address ''. Every language that ``LEAST_ROWS`` rows
+declare is known, whatever the total (in tables of less than LEAST_ROWS / LEAST_SHARE declared
+rows a share of LEAST_SHARE is enough); rarer declared values count as unknown. The text model
+is held and applied in blocks of ``BLOCK_LANGUAGES``. Without any declared language the
 language is NULL with confidence 0. A row is kept if it has words and its confidence reaches
 ``MIN_CONFIDENCE``. Ties go to the first language in alphabetical order.
 """
@@ -30,8 +33,10 @@ from loanmart.llm.common import ALNUM, LOWER, materialize, run_hashes, schema_wi
 
 BITS = 16
 ROWS_PER_LANGUAGE = 2000
-#: Languages with at least this share of the declared rows are known; at most so many.
-LEAST_SHARE, MOST_LANGUAGES = 0.001, 64
+#: Languages with so many declared rows, or at least this share of them, are known.
+LEAST_ROWS, LEAST_SHARE = 20, 0.001
+#: Languages of a block of the text model.
+BLOCK_LANGUAGES = 64
 TEXT_CAP = 60
 #: Pseudo-rows of the smoothing: suffix towards all rows, host towards suffix, confusion table.
 SUFFIX_WEIGHT, HOST_WEIGHT, CONFUSION_WEIGHT = 20.0, 20.0, 5.0
@@ -52,27 +57,56 @@ def features(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
     return np.concatenate([words >> shift, grams >> shift]).astype(np.int64), np.concatenate([row, np.searchsorted(offsets, at, "right") - 1])
 
 
+def one_by_one(blocks: list):
+    """Blocks of the model in turn; with several, each is let go before the next is loaded."""
+    for b in blocks:
+        yield b.value
+        if len(blocks) > 1:
+            b.__dict__.pop("_value", None)
+
+
 def languages(records: DataFrame) -> list[str]:
     """Declared languages that are common enough to be known, in alphabetical order."""
     counts = records.where("declared is not null and declared <> ''").groupBy("declared").count()
     total = counts.agg(F.sum("count")).first()[0] or 0
-    top = counts.where(F.col("count") >= total * LEAST_SHARE).orderBy(F.desc("count"), "declared").limit(MOST_LANGUAGES).collect()
-    return sorted(r["declared"] for r in top)
+    found = counts.where(F.col("count") >= min(LEAST_ROWS, total * LEAST_SHARE)).collect()
+    return sorted(r["declared"] for r in found)
 
 
-def fit_text(records: DataFrame, known: list[str], rows_per_language: int = ROWS_PER_LANGUAGE) -> np.ndarray:
-    """Log-probabilities (language, feature) of a naive Bayes model."""
-    L = len(known)
-    if not L:
-        return np.zeros((0, 1 << BITS), np.float32)
+def _sampled(labelled: DataFrame, rows_per_language: int) -> DataFrame:
+    """The smallest hashes of each declared language: of each task's rows first, then of all."""
+
+    def least(batches):
+        import pandas as pd
+
+        held, size = [], 0
+
+        def cut():
+            t = pd.concat(held).sort_values(["declared", "_order"], kind="stable")
+            return t[t.groupby("declared").cumcount() < rows_per_language]
+
+        for batch in batches:
+            held.append(batch.to_pandas())
+            size += batch.num_rows
+            if size > 1_000_000:
+                held = [cut()]
+                size = 0
+        if held:
+            yield pa.RecordBatch.from_pandas(cut(), pa.schema([("declared", pa.string()), ("_order", pa.int64())]), preserve_index=False)
+
+    schema = "declared string, _order long"
+    return labelled.select("declared", "_order").mapInArrow(least, schema).repartition("declared").mapInArrow(least, schema)
+
+
+def fit_text(records: DataFrame, known: list[str], rows_per_language: int = ROWS_PER_LANGUAGE) -> list:
+    """Broadcast log-probabilities (feature, language) of a naive Bayes model, in blocks of languages."""
+    spark = records.sparkSession
     number = {x: i for i, x in enumerate(known)}
+    if not number:
+        return []
     labelled = records.where(F.col("declared").isin(known)).withColumn("_order", F.xxhash64("key", "text"))
-    sample = None
-    for x in known:  # hashes of the sampled rows: at most rows_per_language each
-        part = labelled.where(F.col("declared") == x).select("_order").orderBy("_order").limit(rows_per_language)
-        sample = part if sample is None else sample.unionByName(part)
-    sample = materialize(sample.distinct(), "language-sample")
-    chosen = labelled.join(F.broadcast(sample), "_order").select("declared", "text")
+    sample = materialize(_sampled(labelled, rows_per_language).select("_order").distinct(), "language-sample")
+    chosen = labelled.join(F.broadcast(sample) if len(known) <= BLOCK_LANGUAGES else sample, "_order").select("declared", "text")
 
     def count(batches):
         for batch in batches:
@@ -80,38 +114,42 @@ def fit_text(records: DataFrame, known: list[str], rows_per_language: int = ROWS
             for lo, hi, data, offsets in text_blocks(batch.column("text")):
                 feature, row = features(data, offsets)
                 key, n = np.unique((lang[lo:hi][row] << BITS) | feature, return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array([key.tolist()], pa.list_(pa.int64())), pa.array([n.tolist()], pa.list_(pa.int64()))], ["key", "n"])
+                of, first = np.unique(key >> BITS, return_index=True)
+                bounds = pa.array(np.append(first, len(key)), pa.int32())
+                yield pa.RecordBatch.from_arrays([pa.array(of, pa.int32()), pa.ListArray.from_arrays(bounds, pa.array(key & ((1 << BITS) - 1), pa.int64())), pa.ListArray.from_arrays(bounds, pa.array(n, pa.int64()))], ["lang", "feature", "n"])
 
     def total(batches):
-        out = np.zeros(L << BITS)
+        held = {}  # languages of the task
         for batch in batches:
-            for key, n in zip(batch.column("key"), batch.column("n")):
-                out[np.asarray(key.values)] += np.asarray(n.values)
-        at = np.flatnonzero(out)
-        yield pa.RecordBatch.from_arrays([pa.array([at.tolist()], pa.list_(pa.int64())), pa.array([out[at].tolist()], pa.list_(pa.float64()))], ["key", "n"])
-
-    schema = "key array<long>, n array<{}>"
-    got = chosen.mapInArrow(count, schema.format("long")).repartition(1).mapInArrow(total, schema.format("double")).first()
-    counts = np.zeros(L << BITS)
-    if got is not None:
-        counts[np.array(got["key"], np.int64)] = got["n"]
-    counts = counts.reshape(L, -1) + 0.05
-    return np.log(counts / counts.sum(axis=1, keepdims=True)).astype(np.float32)
-
-
-def text_evidence(records: DataFrame, model: np.ndarray, keep: tuple[str, ...]) -> DataFrame:
+            for lang, feature, n in zip(batch.column("lang").to_pylist(), batch.column("feature"), batch.column("n")):
+                held.setdefault(lang, np.zeros(1 << BITS))[np.asarray(feature.values)] += np.asarray(n.values)
+        for lang, counts in held.items():
+            counts += 0.05
+            logs = np.log(counts / counts.sum()).astype(np.float32)
+            yield pa.RecordBatch.from_arrays([pa.array([lang], pa.int32()), pa.array([logs.tobytes()], pa.binary())], ["lang", "logs"])
+
+    fitted = materialize(chosen.mapInArrow(count, "lang int, feature array<long>, n array<long>").repartition("lang").mapInArrow(total, "lang int, logs binary"), "language-model")
+    blocks = []
+    for a in range(0, len(known), BLOCK_LANGUAGES):  # one block at a time is in the driver's memory
+        block = np.full((min(BLOCK_LANGUAGES, len(known) - a), 1 << BITS), -BITS * np.log(2), np.float32)  # without any feature, all alike
+        for r in fitted.where((F.col("lang") >= a) & (F.col("lang") < a + BLOCK_LANGUAGES)).collect():
+            block[r["lang"] - a] = np.frombuffer(r["logs"], np.float32)
+        blocks.append(spark.sparkContext.broadcast(np.ascontiguousarray(block.T)))
+    return blocks
+
+
+def text_evidence(records: DataFrame, blocks: list, keep: tuple[str, ...]) -> DataFrame:
     """``keep`` columns, has_words, and tempered log-likelihoods of the known languages."""
-    shared = records.sparkSession.sparkContext.broadcast(np.ascontiguousarray(model.T))
     picked = records.select(*keep, "text")
 
     def run(batches):
-        table = shared.value
-        L = table.shape[1]
         for batch in batches:
             for lo, hi, data, offsets in text_blocks(batch.column("text")):
                 feature, row = features(data, offsets)
                 n = np.bincount(row, minlength=hi - lo)
-                sums = np.stack([np.bincount(row, weights=table[feature, k], minlength=hi - lo) for k in range(L)], axis=1).astype(float) if L else np.zeros((hi - lo, 0))
+                sums = [np.bincount(row, weights=table[feature, k], minlength=hi - lo) for table in one_by_one(blocks) for k in range(table.shape[1])]
+                L = len(sums)
+                sums = np.stack(sums, axis=1).astype(float) if L else np.zeros((hi - lo, 0))
                 sums *= np.minimum(1.0, TEXT_CAP / np.maximum(n, 1))[:, None]
                 sums -= sums.max(axis=1, keepdims=True) if L else 0
                 lists = pa.ListArray.from_arrays(pa.array(np.arange(hi - lo + 1) * L, pa.int32()), pa.array(sums.ravel(), pa.float64()))
@@ -137,13 +175,13 @@ def identify(records: DataFrame, keep: tuple[str, ...]) -> DataFrame:
     records = records.select(*dict.fromkeys((*keep, "key")), "text", F.lower(F.trim(F.col("declared"))).alias("declared"), F.coalesce("address", F.lit("")).alias("address"))
     known = languages(records)
     L = len(known)
-    model = fit_text(records, known)
+    blocks = fit_text(records, known)
     host = F.lower(F.when(F.col("address").rlike("^[A-Za-z][A-Za-z0-9+.-]*://"), F.regexp_extract("address", r"^[^:]+://(?:[^/?#@]*@)?([^/:?#]*)", 1)).otherwise(F.col("address")))
     placed = records.withColumn("host", host).withColumn("suffix", F.when(F.instr("host", ".") > 0, F.regexp_extract("host", r"\.([^.]*)$", 1)).otherwise(F.lit("")))
     if not L:
-        none = text_evidence(placed, model, (*keep, "declared"))
+        none = text_evidence(placed, blocks, (*keep, "declared"))
         return none.select(*keep, F.lit(None).cast("string").alias("language"), F.lit(0.0).alias("confidence"), F.lit(None).cast("string").alias("text_language"), "declared", "has_words", F.lit(False).alias("kept"))
-    told = materialize(text_evidence(placed, model, (*keep, "declared", "host", "suffix")), "language-text")
+    told = materialize(text_evidence(placed, blocks, (*keep, "declared", "host", "suffix")), "language-text")
     share = F.when(F.col("has_words"), _posterior(F.col("likelihood"))).otherwise(F.array_repeat(F.lit(0.0), L))
     told = told.withColumn("share", share)
     # all rows: how often each declared language goes with each text language

@@ -80,6 +80,22 @@ def test_language_of_held_texts(spark):
     assert len(out) == len(rows) and np.mean([r.language == r.truth for r in out]) > 0.99 and all(r.kept for r in out)
 
 
+def test_rare_language_in_a_large_table(spark):
+    schema = "key string, text string, declared string, address string"
+    rows = [(f"e{k}", f"the house and garden {k % 90}", "en", None) for k in range(26_000)]
+    rows += [(f"q{k}", f"qvex jurpo zimt wolux {k}", "qq", None) for k in range(24)] + [("z", "qvex jurpo zimt wolux", None, None)]
+    out = {r.key: r for r in identify(spark.createDataFrame(rows, schema).repartition(4), ("key",)).where("key like 'q%' or key = 'z'").collect()}
+    assert len(out) == 25 and all(r.text_language == "qq" for r in out.values())
+    assert all(out[f"q{k}"].language == "qq" and out[f"q{k}"].kept for k in range(24))
+
+
+def test_more_languages_than_a_block(spark):
+    names = [chr(97 + k // 26) + chr(97 + k % 26) for k in range(70)]
+    rows = [(f"{x}{k}", f"{x}vor {x}lum {x}qis {x}dan {k}", x, None, x) for x in names for k in range(25)]
+    out = identify(spark.createDataFrame(rows, "key string, text string, declared string, address string, truth string"), ("key", "truth")).collect()
+    assert len(out) == len(rows) and all(r.language == r.truth == r.text_language and r.kept for r in out)
+
+
 def test_addresses_decide_short_texts(spark):
     words = {"en": "the house and garden of that man", "de": "das haus und der garten von dem mann"}
     rows = [(f"{l}{k}", words[l], l, f"http://www{k % 5}.example.{'uk' if l == 'en' else 'de'}/p") for l in words for k in range(60)]
