@@ -98,6 +98,73 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return grade_documents(read_table(spark, sf_dir, "documents").select("doc_id", "text"), read_table(spark, sf_dir, "labels"))
 
 
+def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Manifest and proofs of all documents, checked against tampered rows."""
+    from loanmart.llm.merkle import tampered_manifest
+
+    return tampered_manifest(read_table(spark, sf_dir, "documents"))
+
+
+_FIELD = "case when {0} is null then '-' else octet_length(encode({0}::varchar))::varchar || ':' || {0}::varchar end"
+
+
+def _leaf_sql(n_chars: str) -> str:
+    return "sha256(" + " || ".join(_FIELD.format(c) for c in ("doc_id", "source", "lang", n_chars, '"text"')) + ")"
+
+
+# crc32 bit by bit over the digits of the id; nodes of each tree level by level; siblings by
+# the flipped last bit of a node's place on each level
+OP11_SQL = f"""
+with recursive crc as (
+  select id, xor(list_reduce(list_prepend(4294967295::bigint, list_transform(string_split(id::varchar, ''), lambda d: ascii(d)::bigint)),
+    lambda c, b: list_reduce(list_prepend(xor(c, b), [0, 0, 0, 0, 0, 0, 0, 0]::bigint[]), lambda x, _: xor(x >> 1, (x & 1) * 3988292384))), 4294967295) as crc
+  from (select distinct doc_id as id from documents where doc_id is not null) ids),
+leaves as (
+  select doc_id, coalesce('=' || lang, '') as g, {_leaf_sql("n_chars")} as leaf,
+    case when crc % 7 = 0 then {_leaf_sql("(n_chars::hugeint + 1)")} else {_leaf_sql("n_chars")} end as now
+  from documents d left join crc c on d.doc_id = c.id),
+placed as (
+  select *, row_number() over (partition by g order by doc_id nulls first, leaf) - 1 as place, count(*) over (partition by g) as n
+  from leaves),
+tree as (
+  select g, 0 as level, place, n, leaf as h from placed
+  union all
+  select g, level + 1, place // 2, (n + 1) // 2, sha256(string_agg(h, '' order by place))
+  from tree where n > 1 group by g, level, place // 2, n),
+subroots as (select g, h, row_number() over (order by g) - 1 as place, count(*) over () as n from tree where n = 1),
+trunk as (
+  select 0 as level, place, n, h from subroots
+  union all
+  select level + 1, place // 2, (n + 1) // 2, sha256(string_agg(h, '' order by place))
+  from trunk where n > 1 group by level, place // 2, n),
+steps as (
+  select p.g, p.place, t.level, xor(p.place >> t.level, 1) as beside, (p.place >> t.level) % 2 = 1 as is_right
+  from placed p join (select distinct g, level, n from tree) t on t.g = p.g and t.n > 1
+  union all
+  select p.g, p.place, 1000 + t.level, xor(s.place >> t.level, 1), (s.place >> t.level) % 2 = 1
+  from placed p join subroots s on s.g = p.g join (select distinct level, n from trunk) t on t.n > 1),
+siblings as (
+  select s.g, s.place, s.level, s.is_right, coalesce(case when s.level < 1000 then t.h else u.h end, '') as h
+  from steps s
+  left join tree t on t.g = s.g and t.level = s.level and t.place = s.beside
+  left join trunk u on u.level = s.level - 1000 and u.place = s.beside),
+paths as (
+  select g, place, string_agg(h, '' order by level) as hashes, list({{'r': is_right, 'h': h}} order by level) as way
+  from siblings group by g, place),
+folding as (
+  select p.g, p.place, p.now as h, 1 as step, w.way from placed p left join paths w on w.g = p.g and w.place = p.place
+  union all
+  select g, place, sha256(case when way[step].r then way[step].h || h else h || way[step].h end), step + 1, way
+  from folding where step <= len(way))
+select p.doc_id, p.leaf, s.h as subroot, r.h as root, sha256(coalesce(w.hashes, '')) as proof_sha256,
+  f.h as folded_root, f.h = r.h as verified
+from placed p join subroots s on s.g = p.g
+join (select h from trunk where n = 1) r on true
+left join paths w on w.g = p.g and w.place = p.place
+join folding f on f.g = p.g and f.place = p.place and f.step = 1 + coalesce(len(w.way), 0)
+"""
+
+
 def _ready(query):
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         ship_package(spark)
@@ -117,8 +184,9 @@ _PLAIN = {
     "op8_licences": op8_licences,
     "op9_bpe": op9_bpe,
     "op10_quality": op10_quality,
+    "op11_merkle": op11_merkle,
 }
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {k: _ready(f) for k, f in _PLAIN.items()}
 
-ORACLE_SQL: dict[str, str] = {"op6_warc": OP6_SQL}
+ORACLE_SQL: dict[str, str] = {"op6_warc": OP6_SQL, "op11_merkle": OP11_SQL}
