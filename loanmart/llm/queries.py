@@ -165,6 +165,57 @@ join folding f on f.g = p.g and f.place = p.place and f.step = 1 + coalesce(len(
 """
 
 
+def op12_subspace(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and components of all embeddings."""
+    from loanmart.llm.subspace import near_vectors
+
+    return near_vectors(read_table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label"))
+
+
+_NUMBERS = "embedding is not null and len(embedding) > 0 and len(list_filter(embedding, lambda c: c is null or not isfinite(c))) = 0"
+
+OP12_SQL = f"""
+with recursive v as (
+  select row_number() over () as r, vec_id, label, embedding::double[] as e,
+    coalesce(label is not null and {_NUMBERS} and len(list_filter(embedding, lambda c: c <> 0)) > 0, false) as ok
+  from embeddings),
+links as (
+  select a.r as a, b.r as b from v a join v b on a.label = b.label and a.r <> b.r
+  where a.ok and b.ok and len(a.e) = len(b.e) and list_cosine_similarity(a.e, b.e) >= 0.98),
+reach as (select r, r as other from v union select reach.r, links.b from reach join links on links.a = reach.other),
+least as (select reach.r, min(vec_id) as component_id from reach join v on v.r = reach.other group by reach.r)
+select vec_id, (select count(*) from links where a = v.r) as n_links, component_id,
+  coalesce(vec_id = component_id, false) as kept
+from v join least on least.r = v.r
+"""
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of the anchors among all embeddings."""
+    from loanmart.llm.hard_negatives import hard_negatives
+
+    return hard_negatives(read_table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label"))
+
+
+OP13_SQL = f"""
+with v as (
+  select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+    list_transform(embedding, lambda c: floor(256 * c::double)) as q
+  from embeddings where label is not null and {_NUMBERS}),
+scores as (
+  select a.vec_id as anchor_id, b.vec_id as other_id, a.label = b.label as same, list_dot_product(a.q, b.q)::bigint as score
+  from v a join v b on a.vec_id % 100 = 0 and a.vec_id <> b.vec_id and len(a.q) = len(b.q)),
+positives as (
+  select anchor_id, other_id as positive_id, score as positive_score from scores where same
+  qualify row_number() over (partition by anchor_id order by score desc, other_id) <= 5)
+select p.anchor_id, positive_id, other_id as negative_id, positive_score, score as negative_score,
+  cast(row_number() over (partition by p.anchor_id, positive_id order by score desc, other_id) as integer) as rank
+from positives p join scores s on s.anchor_id = p.anchor_id and not same
+  and 30 * positive_score <= 100 * score and 100 * score <= 90 * positive_score
+qualify rank <= 10
+"""
+
+
 def _ready(query):
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         ship_package(spark)
@@ -185,8 +236,10 @@ _PLAIN = {
     "op9_bpe": op9_bpe,
     "op10_quality": op10_quality,
     "op11_merkle": op11_merkle,
+    "op12_subspace": op12_subspace,
+    "op13_hard_negatives": op13_hard_negatives,
 }
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {k: _ready(f) for k, f in _PLAIN.items()}
 
-ORACLE_SQL: dict[str, str] = {"op6_warc": OP6_SQL, "op11_merkle": OP11_SQL}
+ORACLE_SQL: dict[str, str] = {"op6_warc": OP6_SQL, "op11_merkle": OP11_SQL, "op12_subspace": OP12_SQL, "op13_hard_negatives": OP13_SQL}
