@@ -20,11 +20,16 @@ Rules for one batch (the batch has at most one row per key):
   never overlap, and ``dbt_scd_id`` (key and start of validity) stays unique;
 * closed versions are never touched.
 
-A stored history (:func:`run_snapshot`) is one Parquet table partitioned by run
-and by open / closed. A run writes its own partition only: the versions it
-closed and all versions open after it. Current versions are the open partition
-of the newest run, so reading them is one scan after any number of runs, and
-running a run again gives the same files.
+An open version whose start lies past the run time is void once its key is missing: it
+was never valid, and leaves no version.
+
+A stored history (:func:`run_snapshot`) is one Parquet table partitioned by run and by
+what the run did. A run writes only its changes: the versions it opened and those it
+closed (a void one as an empty interval). Of the rows of one ``dbt_scd_id`` the newest
+run's counts. :func:`compact` folds the open versions of all runs so far into a base,
+published as a whole (:mod:`loanmart.operators.published`); current versions are then
+that base and the runs after it, still one scan. Closed versions are never rewritten.
+Running a run again gives the same rows.
 """
 
 from __future__ import annotations
@@ -37,6 +42,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from loanmart.operators.published import publish, published
 from loanmart.session import materialize
 
 META = ["dbt_scd_id", "dbt_updated_at", "dbt_valid_from", "dbt_valid_to"]
@@ -73,12 +79,14 @@ def merge(history: DataFrame, batch: DataFrame, key: str, updated_at: str,
 
 
 def merge_open(open_: DataFrame, closed: DataFrame, batch: DataFrame, key: str, updated_at: str,
-               run_ts: dt.datetime, invalidate_hard_deletes: bool = True) -> DataFrame:
+               run_ts: dt.datetime, invalidate_hard_deletes: bool = True, changes_only: bool = False) -> DataFrame:
     """Merge one batch into the *open* versions only.
 
     Returns the versions this run touches or keeps open: open versions left
     unchanged, versions it closes, and versions it opens. Of the closed versions
     only key and end of validity are read, for batch keys without an open version.
+    With ``changes_only`` unchanged versions are left out, and a version that turns out
+    void is an empty interval.
     """
     cols = [c for c in open_.columns if c not in META]
     unmatched = batch.select(key).join(open_.select(key), key, "left_anti")
@@ -99,7 +107,11 @@ def merge_open(open_: DataFrame, closed: DataFrame, batch: DataFrame, key: str,
     if invalidate_hard_deletes:
         close_at = F.when(s_key.isNull(), run).otherwise(close_at)
 
-    old_version = F.when(h_key.isNotNull(), F.struct(
+    # a version that would end where it starts is replaced by its successor, under the same id
+    kept = close_at.isNull() | (close_at > F.col("h.dbt_valid_from"))
+    if changes_only:
+        kept = close_at.isNotNull() & (s_key.isNull() | (close_at > F.col("h.dbt_valid_from")))
+    old_version = F.when(h_key.isNotNull() & kept, F.struct(
         *[F.col(f"h.{c}").alias(c) for c in cols],
         F.col("h.dbt_scd_id").alias("dbt_scd_id"),
         F.col("h.dbt_updated_at").alias("dbt_updated_at"),
@@ -113,9 +125,7 @@ def merge_open(open_: DataFrame, closed: DataFrame, batch: DataFrame, key: str,
         opens_at.alias("dbt_valid_from"),
         F.lit(None).cast("timestamp").alias("dbt_valid_to"),
     ))
-    # a version that would end where it starts is replaced by its successor
-    return j.select(F.inline(F.filter(F.array(old_version, new_version), lambda v: v.isNotNull() & (
-        v["dbt_valid_to"].isNull() | (v["dbt_valid_to"] > v["dbt_valid_from"])))))
+    return j.select(F.inline(F.array_compact(F.array(old_version, new_version))))
 
 
 def current(history: DataFrame) -> DataFrame:
@@ -146,7 +156,8 @@ def replay(batches: Sequence[tuple[DataFrame, dt.datetime]], key: str, updated_a
 
 # --- stored history -----------------------------------------------------------
 
-RUN, IS_OPEN = "snapshot_run", "is_open"
+RUN, PART = "snapshot_run", "part"
+OPENED, CLOSED, BASE = "opened", "closed", "base"
 
 
 def run_id(run_ts: dt.datetime) -> str:
@@ -158,50 +169,92 @@ def _stored(spark: SparkSession, root: str, schema: T.StructType | None) -> Data
     reader = spark.read
     if schema is not None:
         reader = reader.schema(T.StructType([*schema.fields, T.StructField(RUN, T.StringType()),
-                                             T.StructField(IS_OPEN, T.BooleanType())]))
+                                             T.StructField(PART, T.StringType())]))
     try:
-        return reader.parquet(root)
+        return reader.parquet(f"{root.rstrip('/')}/runs")
     except AnalysisException as e:
-        if e.getCondition() == "PATH_NOT_FOUND":
+        if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             return None
         raise
 
 
+def _base(spark: SparkSession, root: str) -> dict:
+    """Run up to which versions are folded, and where; before the first one an empty base."""
+    return published(spark, root)[1] or {"run": "", "at": ""}
+
+
+def _since(base: dict) -> Column:
+    return (F.col(RUN) == base["at"]) | ((F.col(RUN) > base["run"]) & (F.col(PART) != BASE))
+
+
+def _newest(stored: DataFrame, base: dict) -> DataFrame:
+    """The newest row of every version that is open in the base or touched by a later run."""
+    cols = [c for c in stored.columns if c not in (RUN, PART)]
+    latest = stored.where(_since(base)).groupBy("dbt_scd_id").agg(F.max_by(F.struct(*cols), RUN).alias("v"))
+    return latest.select(*[F.col(f"v.{c}").alias(c) for c in cols])
+
+
+def _ended() -> Column:
+    return (F.col(PART) == CLOSED) & (F.col("dbt_valid_to") > F.col("dbt_valid_from"))
+
+
 def run_snapshot(root: str, batch: DataFrame, key: str, updated_at: str, run_ts: dt.datetime,
                  invalidate_hard_deletes: bool = True) -> None:
     """One scheduled run: merge the batch into the history stored under ``root``.
 
-    Reads the newest run before ``run_ts``; replaces what an earlier attempt at
-    this run wrote.
+    Reads the runs before ``run_ts`` and writes this run's changes, replacing what an
+    earlier attempt at this run wrote.
     """
     spark = batch.sparkSession
     this = run_id(run_ts)
+    version, state = published(spark, root)
+    if state and state["run"] >= this:  # a folded run is run again: its base no longer counts
+        publish(spark, root, version + 1, {"run": "", "at": ""})
     first = initial_history(batch, key, updated_at)
     stored = _stored(spark, root, first.schema)
     before = stored.where(F.col(RUN) < this) if stored is not None else None
-    last = before.agg(F.max(RUN)).first()[0] if before is not None else None
-    if last is None:
+    if before is None or before.isEmpty():
         step = first
     else:
-        open_ = before.where((F.col(RUN) == last) & F.col(IS_OPEN)).drop(RUN, IS_OPEN)
-        closed = before.where(~F.col(IS_OPEN)).drop(RUN, IS_OPEN)
-        step = merge_open(open_, closed, batch, key, updated_at, run_ts, invalidate_hard_deletes)
-    (step.withColumn(IS_OPEN, F.col("dbt_valid_to").isNull())
-     .write.mode("overwrite").partitionBy(IS_OPEN).parquet(f"{root.rstrip('/')}/{RUN}={this}"))
+        open_ = _newest(before, _base(spark, root)).where("dbt_valid_to is null")
+        closed = before.where(_ended()).drop(RUN, PART)
+        step = merge_open(open_, closed, batch, key, updated_at, run_ts, invalidate_hard_deletes, changes_only=True)
+    part = F.when(F.col("dbt_valid_to").isNull(), OPENED).otherwise(CLOSED)
+    (step.withColumn(PART, part)
+     .write.mode("overwrite").partitionBy(PART).parquet(f"{root.rstrip('/')}/runs/{RUN}={this}"))
 
 
-def stored_history(spark: SparkSession, root: str, schema: T.StructType | None = None) -> DataFrame:
-    """The whole history: closed versions of all runs and the open ones of the newest."""
+def compact(spark: SparkSession, root: str, schema: T.StructType | None = None) -> None:
+    """Fold the open versions of all runs so far into a new base. Readers use it once it is
+    published; the rows it stands for stay until their files are removed."""
     stored = _stored(spark, root, schema)
-    last = stored.agg(F.max(RUN)).first()[0]
-    return stored.where(~F.col(IS_OPEN) | (F.col(RUN) == last)).drop(RUN, IS_OPEN)
+    last = None if stored is None else stored.where(F.col(PART) != BASE).agg(F.max(RUN)).first()[0]
+    if last is None:
+        return
+    version, _ = published(spark, root)
+    at = f"{last}-{version + 1:06d}"  # sorts after its run and before the next one
+    current = _newest(stored, _base(spark, root)).where("dbt_valid_to is null")
+    current.write.mode("overwrite").parquet(f"{root.rstrip('/')}/runs/{RUN}={at}/{PART}={BASE}")
+    publish(spark, root, version + 1, {"run": last, "at": at})
+
+
+def history_sql(runs: str, columns: Sequence[str], spark: SparkSession, root: str) -> str:
+    """The whole history as SQL over a catalog table of the runs' folder, as published now."""
+    base, cols = _base(spark, root), ", ".join(f"`{c}`" for c in columns)
+    return f"""SELECT {cols} FROM {runs} WHERE {PART} = '{CLOSED}' AND dbt_valid_to > dbt_valid_from
+UNION ALL SELECT v.* FROM (SELECT max_by(struct({cols}), {RUN}) AS v FROM {runs}
+  WHERE {RUN} = '{base["at"]}' OR ({RUN} > '{base["run"]}' AND {PART} <> '{BASE}') GROUP BY dbt_scd_id) WHERE v.dbt_valid_to IS NULL"""
+
+
+def stored_history(spark: SparkSession, root: str, schema: T.StructType | None = None) -> DataFrame:
+    """The whole history: the versions closed by all runs and the open ones."""
+    closed = _stored(spark, root, schema).where(_ended())
+    return closed.drop(RUN, PART).unionByName(stored_open(spark, root, schema))
 
 
 def stored_open(spark: SparkSession, root: str, schema: T.StructType | None = None) -> DataFrame:
-    """Current versions: one scan of the newest run's open partition."""
-    stored = _stored(spark, root, schema)
-    last = stored.agg(F.max(RUN)).first()[0]
-    return stored.where((F.col(RUN) == last) & F.col(IS_OPEN)).drop(RUN, IS_OPEN)
+    """Current versions: one scan of the base and the runs after it."""
+    return _newest(_stored(spark, root, schema), _base(spark, root)).where("dbt_valid_to is null")
 
 
 def deleted_keys(history: DataFrame, key: str) -> DataFrame:

@@ -47,15 +47,15 @@ TABLES = [
 
 
 def _bureau_history(m: Models, database: str, name: str, bureau: tuple[DataFrame, dt.datetime]) -> str:
-    path = sinks.table_path(m.spark, database, f"{name}_runs")
+    root = sinks.table_path(m.spark, database, f"{name}_runs")
     batch, run_ts = bureau
-    scd2.run_snapshot(path, snapshot_input(batch), "customer_id", "report_date", run_ts)
-    runs = sinks.attach_table(m.spark, database, f"{name}_runs", path)
-    m.__dict__["bureau_history"] = scd2.stored_history(m.spark, path)
-    m.__dict__["bureau_open"] = scd2.stored_open(m.spark, path)
+    scd2.run_snapshot(root, snapshot_input(batch), "customer_id", "report_date", run_ts)
+    # what the runs wrote, then the history that follows from it
+    runs = sinks.attach_table(m.spark, database, f"{name}_runs", f"{root}/runs")
+    m.__dict__["bureau_history"] = scd2.stored_history(m.spark, root)
+    m.__dict__["bureau_open"] = scd2.stored_open(m.spark, root)
     qualified = f"`{database}`.`{name}`"
-    m.spark.sql(f"CREATE OR REPLACE VIEW {qualified} AS SELECT * EXCEPT ({scd2.RUN}, {scd2.IS_OPEN}) FROM {runs} "
-                f"WHERE NOT {scd2.IS_OPEN} OR {scd2.RUN} = (SELECT max({scd2.RUN}) FROM {runs})")
+    m.spark.sql(f"CREATE OR REPLACE VIEW {qualified} AS {scd2.history_sql(runs, m.bureau_history.columns, m.spark, root)}")
     return qualified
 
 

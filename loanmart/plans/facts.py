@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,6 +10,7 @@ from pyspark.sql import functions as F
 
 from loanmart.functions.columns import days_between, ratio, surrogate_key
 from loanmart.operators import upsert as up
+from loanmart.operators.keyed_store import KeyedStore
 from loanmart.params import DEFAULT, RunParams
 
 LOOKBACK_DAYS = 3
@@ -107,6 +109,33 @@ def incremental_runs(sources: Sequence[tuple[DataFrame, RunParams]], cut: Callab
     return target
 
 
+def payments_since(feed: Callable[[dt.date | None], DataFrame], newest: dt.date | None, first_run: bool,
+                   p: RunParams = DEFAULT, lookback_days: int = LOOKBACK_DAYS,
+                   columns: Sequence[str] = FCT_PAYMENT_COLUMNS) -> DataFrame:
+    """The rows one incremental run loads, read from a feed that skips what is older.
+
+    ``newest``: newest payment date of the target; None for an empty one, which loads nothing.
+    """
+    if first_run:
+        return fct_payments(feed(None), p, columns)
+    since = None if newest is None else newest - dt.timedelta(days=lookback_days)
+    return fct_payments(up.lookback_slice_from(feed(since), newest, "payment_date", lookback_days), p, columns)
+
+
+def incremental_runs_stored(spark: SparkSession, root: str, feeds: Sequence[tuple[Callable, RunParams]],
+                            lookback_days: int = LOOKBACK_DAYS,
+                            columns_per_run: Sequence[Sequence[str]] | None = None, buckets: int = 8) -> DataFrame:
+    """The runs on a table bucketed by ``payment_id``: each writes its lookback slice and nothing
+    else (:class:`loanmart.operators.keyed_store.KeyedStore`)."""
+    store = KeyedStore(spark, root, [PAYMENT_KEY], buckets)
+    for k, (feed, p) in enumerate(feeds):
+        cols = columns_per_run[k] if columns_per_run else FCT_PAYMENT_COLUMNS
+        first = not store.exists()
+        newest = None if first else store.max_value("payment_date")
+        store.merge(payments_since(feed, newest, first, p, lookback_days, cols))
+    return store.read()
+
+
 def incremental_step(spark: SparkSession, target_path: str, bucketed: DataFrame, p: RunParams,
                      first_run: bool, lookback_days: int = LOOKBACK_DAYS) -> None:
     """One run of the payment fact on its month-partitioned table: everything on the

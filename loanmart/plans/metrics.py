@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from loanmart.functions.columns import avg_exact, count_if_true, first_match
+from loanmart.operators.asof import asof_join
 from loanmart.operators.broadcast import broadcast_if_small
 from loanmart.params import DEFAULT, RunParams
 from loanmart.plans.intermediate import ENRICHED_SCORE_ELSE, ENRICHED_SCORE_TIERS
@@ -147,6 +148,13 @@ def score_monthly(history: DataFrame, p: RunParams = DEFAULT) -> DataFrame:
         F.max("bureau_score").alias("max_bureau_score"))
 
 
+def application_bureau(reviews: DataFrame, history: DataFrame) -> DataFrame:
+    """Every application with the bureau version that held at its ``review_ts`` (NULLs: none)."""
+    return asof_join(reviews, history, "customer_id", "review_ts", "dbt_valid_from", "dbt_valid_to",
+                     ["bureau_score", "total_debt_ars", "active_debts_count", "delinquencies_last_12m",
+                      "has_default_history", "dbt_valid_from"])
+
+
 def freshness(sources: dict[str, tuple[DataFrame, str]], p: RunParams = DEFAULT) -> DataFrame:
     """Hours since the newest load field of each source, against warn / error targets."""
     now = F.lit(p.run_ts).cast("timestamp")

@@ -8,8 +8,8 @@ node (Spark can then reuse its exchanges).
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
-from functools import cached_property
+from collections.abc import Callable, Sequence
+from functools import cached_property, partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -157,7 +157,7 @@ class Models:
     @cached_property
     def calendar_bounds(self) -> DataFrame:
         """Whole years around every application, origination, due and payment date."""
-        a, o, pay = self.raw.applications, self.raw.originations, self.payment_source_table  # written once
+        a, o, pay = self.raw.applications, self.raw.originations, self.raw.payments
         return dims.data_calendar_bounds(
             [[F.col("application_date")], [F.col("origination_date")],
              [F.col("due_date"), F.col("payment_date")]],
@@ -182,29 +182,35 @@ class Models:
 
     @cached_property
     def payment_source_table(self) -> DataFrame:
-        """The raw payment table written once, so successive runs scan a table
-        instead of rebuilding it from the driver tables."""
-        return materialize(self.raw.payments, "raw_payments")
-
-    def bucketed_as_of(self, run_date: dt.date) -> DataFrame:
-        """The bucketed payment view over the payment source as seen on ``run_date``."""
-        src = batches.payment_source(self.spark, self.payment_source_table, run_date)
+        """The raw payment table landed once by month of payment, so successive runs scan
+        the months they need instead of rebuilding it from the driver tables."""
+        return batches.land_payments(self.raw.payments, scratch_path(self.spark, "raw_payments"))
+
+    def bucketed_as_of(self, run_date: dt.date, since: dt.date | None = None) -> DataFrame:
+        """The bucketed payment view over the payment source as seen on ``run_date``; with
+        ``since`` at least its payments dated on or after that day."""
+        src = batches.payment_source(self.spark, self.payment_source_table, run_date, since)
         return intermediate.payments_bucketed(staging.stg_payments(src, self.p), self.buckets, self.p, self.bucket_rows)
 
     @cached_property
     def payment_run_dates(self) -> list[dt.date]:
         return batches.payment_run_dates(self.spark, self.payment_source_table)
 
-    def payment_runs(self, runs: Sequence[int] | None = None) -> list[tuple[DataFrame, RunParams]]:
-        """(bucketed payments as of the run, run parameters) of the numbered runs (from 1; default all)."""
+    def payment_feeds(self, runs: Sequence[int] | None = None) -> list[tuple[Callable[[dt.date | None], DataFrame], RunParams]]:
+        """(feed, run parameters) of the numbered runs (from 1; default all); ``feed(since)`` gives the
+        bucketed payments as of the run, at least those dated on or after ``since`` (None: all)."""
         out = []
         for k in runs or range(1, len(self.payment_run_dates) + 1):
             d = self.payment_run_dates[k - 1]
             p = RunParams(as_of=d, run_ts=dt.datetime.combine(d, dt.time(6)), mask_pii=self.p.mask_pii,
                           max_broadcast_rows=self.p.max_broadcast_rows)
-            out.append((self.bucketed_as_of(d), p))
+            out.append((partial(self.bucketed_as_of, d), p))
         return out
 
+    def payment_runs(self, runs: Sequence[int] | None = None) -> list[tuple[DataFrame, RunParams]]:
+        """(bucketed payments as of the run, run parameters) of the numbered runs (from 1; default all)."""
+        return [(feed(None), p) for feed, p in self.payment_feeds(runs)]
+
     # --- aggregate ----------------------------------------------------------------
     @cached_property
     def customer_360(self) -> DataFrame:

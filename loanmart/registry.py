@@ -21,12 +21,13 @@ from loanmart import oracle as O
 from loanmart.functions.columns import PII_KINDS, mask_pii, surrogate_key
 from loanmart.operators import assertions as A
 from loanmart.operators import scd2
+from loanmart.operators.upsert import max_value
 from loanmart.params import DEFAULT, RunParams
 from loanmart.plans import customer360 as c360
 from loanmart.plans import dims, facts, intermediate, metrics, quality, staging
 from loanmart.plans.build import build
-from loanmart.plans.models import Models
-from loanmart.session import apply_conf, cut_lineage, scratch_path
+from loanmart.plans.models import Models, snapshot_input
+from loanmart.session import apply_conf, scratch_path
 from loanmart.sources import batches
 
 STAMPS = ("dbt_loaded_at", "dbt_updated_at")
@@ -189,6 +190,33 @@ def q_bureau_current(spark, sf_dir):
     return canonical(intermediate.bureau_current(_models(spark, sf_dir).bureau_open))
 
 
+@register("bureau_history_stored", _oracle("bureau_scd2", money=_BUREAU_MONEY, ints=_BUREAU_INTS))
+def q_bureau_history_stored(spark, sf_dir):
+    """The stored history when it is compacted between runs and after the last one."""
+    m = _models(spark, sf_dir)
+    root = scratch_path(spark, "bureau_compacted")
+    for k, (batch, ts) in enumerate(m.bureau_batches(), start=1):
+        scd2.run_snapshot(root, snapshot_input(batch), "customer_id", "report_date", ts)
+        if k % 2 == 0:
+            scd2.compact(spark, root)
+    return canonical(scd2.stored_history(spark, root), drop=())
+
+
+O.cte("application_reviews", ("raw_applications", "bureau_bounds"), batches.APPLICATION_REVIEWS_SQL)
+
+
+@register("application_bureau_asof", O.sql_for(_cast_sql("""(
+select r.application_id, r.customer_id, r.review_ts, v.bureau_score, v.total_debt_ars, v.active_debts_count,
+  v.delinquencies_last_12m, v.has_default_history, v.dbt_valid_from
+from application_reviews r left join bureau_scd2 v on v.customer_id = r.customer_id
+  and v.dbt_valid_from <= r.review_ts and (v.dbt_valid_to is null or r.review_ts < v.dbt_valid_to))""",
+                                                       _BUREAU_MONEY, _BUREAU_INTS), ("application_reviews", "bureau_scd2")))
+def q_application_bureau_asof(spark, sf_dir):
+    """Every application with the bureau report that held when it was reviewed."""
+    m = _models(spark, sf_dir)
+    return canonical(metrics.application_bureau(batches.application_reviews(m.raw.applications, m.raw.bureau_feed), m.bureau_history))
+
+
 # --- intermediate ----------------------------------------------------------------
 
 _ENRICHED_MONEY = ("monthly_income_ars", "total_debt_ars")
@@ -354,9 +382,10 @@ _run_ctes(LOOKBACK_RUNS, "lb")
     (_INC_FINAL,)))
 def q_payments_upsert(spark, sf_dir):
     """Incremental runs (3-day lookback + merge by payment_id) over the payment
-    source as seen at each yearly run date; returns the final fact table."""
+    source as seen at each run date, on a table bucketed by key; returns the final
+    fact table."""
     m = _models(spark, sf_dir)
-    return canonical(facts.incremental_runs(m.payment_runs(RUNS), cut=cut_lineage))
+    return canonical(facts.incremental_runs_stored(spark, scratch_path(spark, "fct_payments_keyed"), m.payment_feeds(RUNS)))
 
 
 @register("payments_partitioned", O.sql_for(
@@ -399,9 +428,8 @@ def q_payments_schema_evolution(spark, sf_dir):
     """Two runs; the first loads without payment_method / payment_variance_ars,
     the second adds them (appended columns, NULL in rows it does not reload)."""
     m = _models(spark, sf_dir)
-    runs = m.payment_runs(EVOLUTION_RUNS)
-    out = facts.incremental_runs(runs, cut=cut_lineage,
-                                 columns_per_run=[EVOLUTION_FIRST_COLUMNS, facts.FCT_PAYMENT_COLUMNS])
+    out = facts.incremental_runs_stored(spark, scratch_path(spark, "fct_payments_evolving"), m.payment_feeds(EVOLUTION_RUNS),
+                                        columns_per_run=[EVOLUTION_FIRST_COLUMNS, facts.FCT_PAYMENT_COLUMNS])
     return canonical(out.select(*facts.FCT_PAYMENT_COLUMNS))
 
 
@@ -411,11 +439,12 @@ where payment_date >= (select max(payment_date) - 3 from lb_bk1))""", _PAY_MONEY
     ("lb_bk1", "lb_bk2")))
 def q_payments_lookback(spark, sf_dir):
     """Rows one incremental run loads: source at the later run date, dated within
-    3 days of the newest payment of the table loaded at the earlier run date."""
+    3 days of the newest payment of the table loaded at the earlier run date. Only
+    the source's months from that day on are read."""
     m = _models(spark, sf_dir)
-    (t_src, t_p), (s_src, s_p) = m.payment_runs(LOOKBACK_RUNS)
-    target = facts.fct_payments(t_src, t_p)
-    return canonical(facts.payments_increment(s_src, target, s_p))
+    (loaded, t_p), (feed, p) = m.payment_feeds(LOOKBACK_RUNS)
+    newest = max_value(facts.fct_payments(loaded(None), t_p), "payment_date")
+    return canonical(facts.payments_since(feed, newest, False, p))
 
 
 def _delivery_ctes() -> str:

@@ -13,6 +13,10 @@ statements give exactly that, in the raw schemas, and nothing more:
   (paid amount changed; payment date moved into the previous month).
 
 The SQL text is shared with the DuckDB oracle, like ``raw_fixtures``.
+
+The payment source is landed as a table partitioned by month of payment
+(:func:`land_payments`), so a run that only wants recent payments reads recent
+months.
 """
 
 from __future__ import annotations
@@ -91,6 +95,30 @@ from (select *, row_number() over (partition by customer_id order by report_ts d
 where rn = 1{cond}"""
 
 
+# Moments at which applications are looked at again, for joins with the history: the
+# applications' own span of days is laid over the bureau feed's, two days longer, so that
+# some lie before a customer's first report and some after the last run.
+def application_reviews(applications: DataFrame, feed: DataFrame) -> DataFrame:
+    """application_id, customer_id and ``review_ts`` of every application (four scalars are read)."""
+    first, last = applications.agg(F.min("application_date"), F.max("application_date")).first()
+    lo, hi = feed.agg(F.min(F.to_date("report_ts")), F.max(F.to_date("report_ts"))).first()
+    rows = applications.select("application_id", "customer_id", "application_date")
+    if first is None or lo is None:
+        return rows.select("application_id", "customer_id", F.col("application_date").cast("timestamp").alias("review_ts"))
+    days, span = (hi - lo).days + 3, (last - first).days + 1
+    at = F.floor(F.datediff("application_date", F.lit(first)) * F.lit(days) / F.lit(span)).cast("int")
+    seconds = F.unix_timestamp(F.date_add(F.lit(lo), at).cast("timestamp")) + F.col("application_id") % 24 * 3600
+    return rows.select("application_id", "customer_id", F.timestamp_seconds(seconds).alias("review_ts"))
+
+
+APPLICATION_REVIEWS_SQL = """
+select application_id, customer_id,
+  cast(b.lo + cast((application_date - a.lo) * (b.hi - b.lo + 3) // (a.hi - a.lo + 1) as integer) as timestamp)
+    + to_hours(cast(application_id % 24 as integer)) as review_ts
+from raw_applications, bureau_bounds b,
+  (select min(application_date) as lo, max(application_date) as hi from raw_applications) a"""
+
+
 # Payment source as of a run date. arrival = payment day (or due day if
 # unpaid) + (installment_number % 4) days. Corrections arrive one day after
 # the row itself: amount +1.00 on one slice of rows; on another slice, a
@@ -147,8 +175,28 @@ def payment_run_sql(run: int) -> str:
     return f"(select lo + cast((hi - lo) * {run} // {PAYMENT_RUNS} as integer) from payment_bounds)"
 
 
-def payment_source(spark: SparkSession, raw_payments: DataFrame, run_date: dt.date) -> DataFrame:
-    return spark.sql(PAYMENT_SOURCE.replace("{run_date}", _date(run_date)), raw_payments=raw_payments)
+PAYMENT_MONTH = "payment_month"
+
+
+def land_payments(raw_payments: DataFrame, path: str) -> DataFrame:
+    """Write the payment source by month of payment (unpaid rows are the NULL month) and read it back.
+
+    Rows are dealt by ranges of month and key: a month is a few files, a month that
+    holds most rows many.
+    """
+    dated = raw_payments.withColumn(PAYMENT_MONTH, F.trunc("payment_date", "month"))
+    (dated.repartitionByRange(PAYMENT_MONTH, "payment_id").write.mode("overwrite")
+     .partitionBy(PAYMENT_MONTH).parquet(path))
+    return raw_payments.sparkSession.read.schema(dated.schema).parquet(path)
+
+
+def payment_source(spark: SparkSession, raw_payments: DataFrame, run_date: dt.date,
+                   since: dt.date | None = None) -> DataFrame:
+    """The payment source as of a run date; with ``since`` (of a landed source) at least its
+    payments dated on or after that day. Corrections only move a payment to an earlier day, so
+    such payments were landed in that day's month or a later one: the others are not read."""
+    rows = raw_payments if since is None else raw_payments.where(F.col(PAYMENT_MONTH) >= F.lit(since.replace(day=1)))
+    return spark.sql(PAYMENT_SOURCE.replace("{run_date}", _date(run_date)), raw_payments=rows)
 
 
 def payment_source_sql(run: int) -> str:

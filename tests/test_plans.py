@@ -82,3 +82,32 @@ def test_no_python_udfs_in_models(spark):
     for key in ["customer_360", "dim_date", "payments_bucketed", "dq_report"]:
         p = plan(R.QUERIES[key](spark, SF_SMALL), "simple")
         assert "BatchEvalPython" not in p and "ArrowEvalPython" not in p, key
+
+
+def test_lookback_reads_recent_months_only(spark):
+    from pyspark.sql import functions as F
+
+    from loanmart import registry as R
+    m = R._models(spark, SF_SMALL)
+    feed, _ = m.payment_feeds([8])[0]
+    last = m.payment_run_dates[-1]
+    files = {}
+    for since in (None, last - dt.timedelta(days=900), last - dt.timedelta(days=100)):
+        df = feed(since)
+        p = plan(df)
+        pruned = re.search(r"PartitionFilters: \[[^\]]*payment_month[^\]]*>= ", p)
+        assert bool(pruned) == (since is not None), p
+        read = m.payment_source_table if since is None else m.payment_source_table.where(F.col("payment_month") >= F.lit(since.replace(day=1)))
+        files[since] = read.select(F.input_file_name().alias("f")).distinct().count()
+        if since is not None:  # nothing wanted is pruned
+            want = feed(None).where(F.col("payment_date") >= F.lit(since))
+            assert want.exceptAll(df).count() == 0 and df.where(F.col("payment_date") >= F.lit(since)).count() == want.count()
+    counts = list(files.values())
+    assert counts[0] > counts[1] > counts[2] > 0
+
+
+def test_calendar_bounds_write_no_table(spark):
+    from loanmart.plans.models import Models
+    m = Models(spark, SF_SMALL)
+    p = plan(m.calendar_bounds)
+    assert "payment_source_table" not in m.__dict__ and "payment_method" not in p.split("ReadSchema")[-1]

@@ -2,6 +2,7 @@
 hard deletes close, returning keys reopen, equal timestamps change nothing."""
 
 import datetime as dt
+import os
 
 from pyspark.sql import functions as F
 
@@ -64,10 +65,61 @@ def test_stored_history_reads_like_the_replay(spark, tmp_path):
     assert versions(scd2.stored_history(spark, root)) == versions(run(spark, days))
     current = scd2.stored_open(spark, root)
     assert sorted((r.customer_id, r.bureau_score) for r in current.collect()) == [(1, 500), (2, 650)]
-    plan = current._jdf.queryExecution().executedPlan().toString()
+    plan = current._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
     assert plan.count("FileScan") == 1
 
 
+def stored_rows(root):
+    """Rows in the files of each run's folder."""
+    import pyarrow.parquet as pq
+    out = {}
+    for folder, _, files in os.walk(root):
+        for f in files:
+            if f.endswith(".parquet") and "/runs/" in folder:
+                run = folder.split("snapshot_run=")[1].split("/")[0]
+                out[run] = out.get(run, 0) + pq.read_metadata(os.path.join(folder, f)).num_rows
+    return out
+
+
+def test_a_run_writes_its_changes_only(spark, tmp_path):
+    root = str(tmp_path / "changes")
+    base = [(k, 500, T(1)) for k in range(200)]
+    days = [base, base, [(k, 510, T(2)) if k < 3 else (k, 500, T(1)) for k in range(199)]]
+    for i, rows in enumerate(days):
+        scd2.run_snapshot(root, spark.createDataFrame(rows, SCHEMA), "customer_id", "report_date", T(i + 20))
+    # a run without changes writes nothing; three changes and a delete are seven rows
+    assert stored_rows(root) == {scd2.run_id(T(20)): 200, scd2.run_id(T(22)): 7}
+
+
+def test_compaction_changes_no_reader(spark, tmp_path):
+    root = str(tmp_path / "compacted")
+    days = [[(1, 500, T(1)), (2, 600, T(1)), (3, 1, T(1))], [(2, 610, T(3)), (3, 1, T(1))], [(1, 500, T(1)), (2, 610, T(3)), (3, 2, T(4))],
+            [(1, 505, T(22)), (3, 2, T(4))], [(1, 505, T(22)), (2, 700, T(24)), (3, 2, T(4))]]
+    dfs = [spark.createDataFrame(rows, SCHEMA) for rows in days]
+    schema = scd2.initial_history(dfs[0], "customer_id", "report_date").schema
+    scd2.compact(spark, root, schema)  # nothing stored yet
+    for i, batch in enumerate(dfs):
+        scd2.run_snapshot(root, batch, "customer_id", "report_date", T(i + 20))
+        want = versions(run(spark, days[:i + 1]))
+        assert versions(scd2.stored_history(spark, root)) == want
+        if i != 3:
+            scd2.compact(spark, root)
+            assert versions(scd2.stored_history(spark, root)) == want
+            assert versions(scd2.stored_open(spark, root)) == [v for v in want if v[3] is None]
+    # a folded run that is run again with other rows is folded no more
+    scd2.run_snapshot(root, spark.createDataFrame([(1, 505, T(22))], SCHEMA), "customer_id", "report_date", T(24))
+    assert versions(scd2.stored_history(spark, root)) == versions(run(spark, days[:4] + [[(1, 505, T(22))]]))
+
+
+def test_a_version_that_starts_past_the_run_is_void_when_deleted(spark, tmp_path):
+    root = str(tmp_path / "void")
+    days = [[(1, 500, T(1)), (2, 600, T(28))], [(1, 500, T(1))], [(1, 500, T(1)), (2, 600, T(28))]]
+    for i, rows in enumerate(days):
+        scd2.run_snapshot(root, spark.createDataFrame(rows, SCHEMA), "customer_id", "report_date", T(i + 20))
+        assert versions(scd2.stored_history(spark, root)) == versions(run(spark, days[:i + 1]))
+    assert (2, 600, T(28), None) in versions(scd2.stored_history(spark, root))
+
+
 def test_replay_is_noop_and_invariants(spark):
     import random
     rnd = random.Random(7)
