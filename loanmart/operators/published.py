@@ -31,5 +31,5 @@ def published(spark: SparkSession, root: str) -> tuple[int, dict | None]:
 
 def publish(spark: SparkSession, root: str, version: int, state: dict) -> None:
     """Make ``state`` the newest one; ``version`` is the number that :func:`published` gave, plus one."""
-    row = spark.createDataFrame([(version, json.dumps(state))], SCHEMA).coalesce(1)
-    row.write.mode("overwrite").parquet(f"{root.rstrip('/')}/states/{version:010d}")
+    row = spark.range(1).select(F.lit(version).cast("bigint").alias("version"), F.lit(json.dumps(state)).alias("state"))
+    row.coalesce(1).write.mode("overwrite").parquet(f"{root.rstrip('/')}/states/{version:010d}")

@@ -99,10 +99,10 @@ def merge_into_partitions(spark: SparkSession, target_path: str, batch: DataFram
 
     Only months that receive batch rows, or that hold an old version of a
     batch key, are rewritten (dynamic partition overwrite); rows without a date
-    are the NULL month. With ``first_run`` the batch replaces the whole table. What those months keep is first written to the shared
-    scratch folder, so the overwrite never reads the files it replaces, and
-    rows are clustered within each month by ``cluster_by`` in the one write
-    that stays (min/max statistics then skip row groups).
+    are the NULL month. With ``first_run`` the batch replaces the whole table. The
+    overwrite replaces a month's files when its job commits, after they have been read,
+    so what a month keeps is written once; rows are clustered within each month by
+    ``cluster_by`` (min/max statistics then skip row groups).
 
     With ``version_col`` a batch row replaces an existing one only if its
     version is not older (a NULL version is the oldest), so deliveries may come
@@ -153,7 +153,7 @@ def merge_into_partitions(spark: SparkSession, target_path: str, batch: DataFram
     months = [r[0] for r in staged.select(partition_col).union(old.select(partition_col)).distinct().collect()]
     if not months:
         return
-    kept = materialize(target.where(in_months(months)).join(batch_keys, keys, "left_anti"), "merge_kept")
+    kept = target.where(in_months(months)).join(batch_keys, keys, "left_anti")
     merged = kept.unionByName(staged, allowMissingColumns=True)
     present = {r[0] for r in merged.select(partition_col).distinct().collect()}
     write(merged, "dynamic")

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from loanmart.functions.columns import days_between, ratio, surrogate_key
 from loanmart.operators import upsert as up
 from loanmart.operators.keyed_store import KeyedStore
+from loanmart.operators.partition_store import PartitionStore
 from loanmart.params import DEFAULT, RunParams
 
 LOOKBACK_DAYS = 3
@@ -136,6 +137,18 @@ def incremental_runs_stored(spark: SparkSession, root: str, feeds: Sequence[tupl
     return store.read()
 
 
+def incremental_runs_by_month(spark: SparkSession, root: str, feeds: Sequence[tuple[Callable, RunParams]],
+                              lookback_days: int = LOOKBACK_DAYS) -> DataFrame:
+    """The runs on a table partitioned by payment month and clustered by (bucket_code, customer_sk,
+    due_date); each rewrites the months it touches, once, and publishes them together."""
+    store = None
+    for feed, p in feeds:
+        store = PartitionStore(spark, root, [PAYMENT_KEY], "payment_date", PAYMENT_PARTITION, PAYMENT_CLUSTER, p.max_broadcast_rows)
+        first = not store.exists()
+        store.merge(payments_since(feed, None if first else store.newest_date(), first, p, lookback_days))
+    return store.read()
+
+
 def incremental_step(spark: SparkSession, target_path: str, bucketed: DataFrame, p: RunParams,
                      first_run: bool, lookback_days: int = LOOKBACK_DAYS) -> None:
     """One run of the payment fact on its month-partitioned table: everything on the

@@ -394,10 +394,10 @@ def q_payments_upsert(spark, sf_dir):
     (_INC_FINAL,)))
 def q_payments_partitioned(spark, sf_dir):
     """Same runs written to a month-partitioned Parquet table (only touched months
-    rewritten per run), read back."""
+    rewritten per run, published together), read back."""
     m = _models(spark, sf_dir)
     path = scratch_path(spark, "fct_payments")
-    return canonical(facts.incremental_runs_partitioned(spark, path, m.payment_runs(RUNS)))
+    return canonical(facts.incremental_runs_by_month(spark, path, m.payment_feeds(RUNS)))
 
 
 _run_ctes(EVOLUTION_RUNS, "bt")
