@@ -9,7 +9,6 @@ its minimum and maximum rule it out for predicates on any of them.
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -17,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 #: Equal parts of a column: 2**BITS.
-BITS = 5
+BITS = 4
 
 
 def number(df: DataFrame, column: str) -> Column:
@@ -47,8 +46,9 @@ def interleaved(df: DataFrame, columns: Sequence[str], borders: Sequence[list |
     ranks = []
     for c, marks in zip(columns, borders):
         value = number(df, c)
-        # a value that many rows share is a border several times
-        above = [F.when(value >= F.lit(b), times).otherwise(0) for b, times in sorted(Counter(marks or []).items())]
+        # as one array: the generated code is the same for any borders, so it is compiled once
+        ordered = F.array(*map(F.lit, sorted(marks or [])))
+        above = [F.when(value >= ordered[k], 1).otherwise(0) for k in range(len(marks or []))]
         ranks.append(sum(above, F.lit(0)).cast("long"))
     out = F.lit(0).cast("long")
     for bit in range(bits):
