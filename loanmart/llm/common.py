@@ -30,8 +30,16 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+#: Bytes of rows sent to a Python worker at once; 10,000 rows of long texts would be gigabytes.
+BATCH_BYTES = 16 << 20
+
+
 def ship_package(spark: SparkSession) -> None:
-    """Let Python workers import this package: as a py-file, unless PYTHONPATH already has it."""
+    """Let Python workers import this package: as a py-file, unless PYTHONPATH already has it.
+
+    Also bounds the bytes of the batches that they get.
+    """
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     root = str(Path(__file__).resolve().parents[2])
     sc = spark.sparkContext
     if root in os.environ.get("PYTHONPATH", "").split(os.pathsep) or getattr(sc, "_loanmart_shipped", False):
@@ -50,6 +58,12 @@ def crc_bucket(col, n: int):
     return (F.crc32(F.coalesce(F.col(col).cast("string"), F.lit("")).cast("binary")) % n).cast("int")
 
 
+def one_text(rows: DataFrame) -> DataFrame:
+    """One row for each (doc_id, _y): of several texts of an id that with the smallest hash."""
+    first = F.min(F.struct(F.xxhash64("_text").alias("h"), "_text")).alias("t")
+    return rows.groupBy("doc_id", "_y").agg(first).select("doc_id", F.col("t._text").alias("_text"), "_y")
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -13,7 +13,8 @@ go to the tasks in blocks of about ``PHRASE_WORDS`` item words; a task holds one
 and searches each shard for every block, so memory is bounded whatever the size of the benchmark.
 
 Defined results: a NULL or empty text has no words and no hits; items without words (or NULL
-items) hit nothing; repeated items of one id count once; several rows of one document id are
+texts) hit nothing; an item without an id hits words like any other but is in no list of items;
+repeated items of one id count once; several rows of one document id are
 separate rows. Spans are in bytes of the UTF-8 text, ascending and disjoint.
 """
 
@@ -26,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loanmart.llm.common import ALNUM, LOWER, offsets_of, schema_with, segment_arange, span_hashes, text_blocks, word_spans
+from loanmart.llm.common import ALNUM, LOWER, materialize, offsets_of, schema_with, segment_arange, span_hashes, text_blocks, word_spans
 
 WIDTH = 10
 #: Words of benchmark items whose phrases are broadcast together.
@@ -230,9 +231,9 @@ def merged_spans(starts, ends, row, hit, n_rows: int) -> list[list[tuple[int, in
 def phrase_blocks(benchmark: DataFrame, width: int, item_id: str, text: str) -> list:
     """Broadcast phrase sets of blocks of items; a block has a bounded number of words (or one item)."""
     spark = benchmark.sparkSession
-    size = F.size(F.split(F.col("_text"), r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"))
+    size = F.size(F.split(F.lower("_text"), r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"))
     items = (benchmark.select(F.col(item_id).cast("string").alias("_id"), F.coalesce(F.col(text), F.lit("")).alias("_text"))
-             .where("_id is not null").dropDuplicates(["_id", "_text"]).withColumn("_size", size))
+             .dropDuplicates(["_id", "_text"]).withColumn("_size", size))
     blocks, block, words = [], {}, 0
     for r in items.orderBy("_id").toLocalIterator():  # one block is in memory at a time
         block.setdefault(r["_id"], []).append(r["_text"])
@@ -278,7 +279,8 @@ def scan(docs: DataFrame, benchmark: DataFrame, keep: tuple[str, ...] = ("doc_id
                 items = [set() for _ in range(n)]
                 for rows, ids in pairs:
                     for r, i in zip(rows.tolist(), ids):
-                        items[r].add(i)
+                        if i is not None:
+                            items[r].add(i)
                 spans = [[{"start": a - int(offsets[k]), "end": b - int(offsets[k])} for a, b in row_spans] for k, row_spans in enumerate(merged_spans(starts, ends, row, hit, n))]
                 yield pa.RecordBatch.from_arrays([*(batch.column(c).slice(lo, n) for c in keep), pa.array(per_row, pa.int64()), pa.array(np.bincount(row[hit], minlength=n), pa.int64()), pa.array(spans, pa.list_(span_type)), pa.array([sorted(x) for x in items], pa.list_(pa.string()))],
                                                  [*keep, "n_words", "n_hit", "spans", "items"])
@@ -297,20 +299,24 @@ def cut(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH) -> DataFrame:
 
     Columns are those of ``docs``; n_chars, where there is one, counts the new text.
     """
-    rows = docs.select(F.struct("*").alias("row"), F.col("text"))
-    found = scan(rows.withColumn("own", F.col("text")), benchmark, ("row", "own"), width=width)
-    raw = F.col("own").cast("binary")
-    ends = F.concat(F.array(F.lit(0).cast("long")), F.transform("spans", lambda s: s["end"]))
-    starts = F.concat(F.transform("spans", lambda s: s["start"]), F.array(F.octet_length("own").cast("long")))
+    hashed = F.xxhash64("text")
+    found = scan(docs.select("doc_id", hashed.alias("hash"), "text"), benchmark, ("doc_id", "hash"), width=width)
+    # of the texts with hits only their spans leave the scan
+    marks = found.where("n_hit > 0").select(F.col("doc_id").alias("_id"), F.col("hash").alias("_hash"), F.when(F.col("n_hit") < F.col("n_words"), F.col("spans")).alias("_spans")).dropDuplicates(["_id", "_hash"])
+    marks = materialize(marks, "decontamination-spans")
+    met = docs.select(F.struct("*").alias("row"), F.col("doc_id").alias("own_id"), hashed.alias("own_hash")).join(marks, F.col("own_id").eqNullSafe(F.col("_id")) & (F.col("own_hash") == F.col("_hash")), "left")
+    own = F.col("row")["text"]
+    raw, hit = own.cast("binary"), F.col("_hash").isNotNull()
+    ends = F.concat(F.array(F.lit(0).cast("long")), F.transform("_spans", lambda s: s["end"]))
+    starts = F.concat(F.transform("_spans", lambda s: s["start"]), F.array(F.octet_length(own).cast("long")))
     pieces = F.transform(F.arrays_zip(ends.alias("a"), starts.alias("b")), lambda p: F.substring(raw, (p["a"] + 1).cast("int"), (p["b"] - p["a"]).cast("int")).cast("string"))
-    text = F.when(F.col("n_hit") > 0, F.array_join(pieces, "\n")).otherwise(F.col("own"))
-    left = found.where((F.col("n_hit") == 0) | (F.col("n_hit") < F.col("n_words"))).withColumn("cleaned", text)
+    left = met.where(~hit | F.col("_spans").isNotNull()).withColumn("cleaned", F.when(hit, F.array_join(pieces, "\n")).otherwise(own))
     columns = []
     for f in docs.schema.fields:
         if f.name == "text":
             columns.append(F.col("cleaned").alias("text"))
         elif f.name == "n_chars":
-            columns.append(F.when(F.col("n_hit") > 0, F.length("cleaned")).otherwise(F.col("row")[f.name]).cast(f.dataType).alias("n_chars"))
+            columns.append(F.when(hit, F.length("cleaned")).otherwise(F.col("row")[f.name]).cast(f.dataType).alias("n_chars"))
         else:
             columns.append(F.col("row")[f.name].alias(f.name))
     return left.select(*columns)

@@ -3,7 +3,9 @@
 log P(l | all) = text likelihood + log P(declared | l) + log prior of the host, normalised:
 
 * text: naive Bayes over hashed words and byte trigrams of the whole text, tempered so that a
-  long text counts as at most ``TEXT_CAP`` features; learnt from a bounded sample of declared rows;
+  long text counts as at most ``TEXT_CAP`` features; learnt from a bounded sample of declared rows.
+  A language's share of a feature is mixed with the mean share over all languages, by the same
+  weight for all of them: one with few rows gains nothing on features that none has seen;
 * declared language (markup attribute or column): a confusion table of declared against text
   language, counted over all rows;
 * address: prior of the host, smoothed towards the prior of its suffix (last label), smoothed
@@ -14,10 +16,9 @@ One host may hold a third of all rows: counts combine before the shuffle, and ho
 the rows by host and salt, without texts.
 
 Defined results: NULL or empty texts give no text evidence; a NULL or unknown declared language
-gives none either; a NULL address is the address ''. Every language that ``LEAST_ROWS`` rows
-declare is known, whatever the total (in tables of less than LEAST_ROWS / LEAST_SHARE declared
-rows a share of LEAST_SHARE is enough); rarer declared values count as unknown. The text model
-is held and applied in blocks of ``BLOCK_LANGUAGES``. Without any declared language the
+gives none either; a NULL address is the address ''. Every language that some row declares is
+known, whatever the size of the table. The text model is held and applied in blocks of
+``BLOCK_LANGUAGES``; a row holds one likelihood for each known language. Without any declared language the
 language is NULL with confidence 0. A row is kept if it has words and its confidence reaches
 ``MIN_CONFIDENCE``. Ties go to the first language in alphabetical order.
 """
@@ -33,8 +34,8 @@ from loanmart.llm.common import ALNUM, LOWER, materialize, run_hashes, schema_wi
 
 BITS = 16
 ROWS_PER_LANGUAGE = 2000
-#: Languages with so many declared rows, or at least this share of them, are known.
-LEAST_ROWS, LEAST_SHARE = 20, 0.001
+#: Weight of the mean over all languages in a language's share of a feature.
+MEAN_WEIGHT = 0.3
 #: Languages of a block of the text model.
 BLOCK_LANGUAGES = 64
 TEXT_CAP = 60
@@ -66,11 +67,8 @@ def one_by_one(blocks: list):
 
 
 def languages(records: DataFrame) -> list[str]:
-    """Declared languages that are common enough to be known, in alphabetical order."""
-    counts = records.where("declared is not null and declared <> ''").groupBy("declared").count()
-    total = counts.agg(F.sum("count")).first()[0] or 0
-    found = counts.where(F.col("count") >= min(LEAST_ROWS, total * LEAST_SHARE)).collect()
-    return sorted(r["declared"] for r in found)
+    """All declared languages, in alphabetical order."""
+    return sorted(r["declared"] for r in records.where("declared is not null and declared <> ''").select("declared").distinct().collect())
 
 
 def _sampled(labelled: DataFrame, rows_per_language: int) -> DataFrame:
@@ -124,16 +122,28 @@ def fit_text(records: DataFrame, known: list[str], rows_per_language: int = ROWS
             for lang, feature, n in zip(batch.column("lang").to_pylist(), batch.column("feature"), batch.column("n")):
                 held.setdefault(lang, np.zeros(1 << BITS))[np.asarray(feature.values)] += np.asarray(n.values)
         for lang, counts in held.items():
-            counts += 0.05
-            logs = np.log(counts / counts.sum()).astype(np.float32)
-            yield pa.RecordBatch.from_arrays([pa.array([lang], pa.int32()), pa.array([logs.tobytes()], pa.binary())], ["lang", "logs"])
+            shares = (counts / max(counts.sum(), 1)).astype(np.float32)
+            yield pa.RecordBatch.from_arrays([pa.array([lang], pa.int32()), pa.array([shares.tobytes()], pa.binary())], ["lang", "shares"])
 
-    fitted = materialize(chosen.mapInArrow(count, "lang int, feature array<long>, n array<long>").repartition("lang").mapInArrow(total, "lang int, logs binary"), "language-model")
+    def add(batches):
+        sums = np.zeros(1 << BITS)
+        for batch in batches:
+            for shares in batch.column("shares"):
+                sums += np.frombuffer(shares.as_buffer(), np.float32)
+        yield pa.RecordBatch.from_arrays([pa.array([sums.tobytes()], pa.binary())], ["sums"])
+
+    fitted = materialize(chosen.mapInArrow(count, "lang int, feature array<long>, n array<long>").repartition("lang").mapInArrow(total, "lang int, shares binary"), "language-model")
+    mean = np.full(1 << BITS, 1.0)  # a pseudo-language that has all features alike
+    mean /= mean.sum()
+    for r in fitted.mapInArrow(add, "sums binary").toLocalIterator():  # a row of fixed size for each task
+        mean += np.frombuffer(r["sums"])
+    mean *= MEAN_WEIGHT / (len(known) + 1)
     blocks = []
     for a in range(0, len(known), BLOCK_LANGUAGES):  # one block at a time is in the driver's memory
-        block = np.full((min(BLOCK_LANGUAGES, len(known) - a), 1 << BITS), -BITS * np.log(2), np.float32)  # without any feature, all alike
+        block = np.zeros((min(BLOCK_LANGUAGES, len(known) - a), 1 << BITS))
         for r in fitted.where((F.col("lang") >= a) & (F.col("lang") < a + BLOCK_LANGUAGES)).collect():
-            block[r["lang"] - a] = np.frombuffer(r["logs"], np.float32)
+            block[r["lang"] - a] = np.frombuffer(r["shares"], np.float32)
+        block = np.log((1 - MEAN_WEIGHT) * block + mean).astype(np.float32)
         blocks.append(spark.sparkContext.broadcast(np.ascontiguousarray(block.T)))
     return blocks
 

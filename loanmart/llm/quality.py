@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loanmart.llm.common import LOWER, NOT_SPACE, crc_bucket, materialize, mix, run_hashes, schema_with, span_hashes, text_blocks, word_spans
+from loanmart.llm.common import LOWER, NOT_SPACE, crc_bucket, materialize, mix, one_text, run_hashes, schema_with, span_hashes, text_blocks, word_spans
 
 BITS = 16
 ROWS_PER_GRADE = 4000
@@ -115,7 +115,7 @@ def fit(docs: DataFrame, ratings: DataFrame, rows_per_grade: int = ROWS_PER_GRAD
         part = known.where(F.col("_y") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows_per_grade)
         sample = part if sample is None else sample.unionByName(part)
     sample = materialize(sample, "quality-sample")  # grades * rows_per_grade ids: small enough to broadcast
-    chosen = docs.select("doc_id", F.col("text").alias("_text")).join(F.broadcast(sample), "doc_id").dropDuplicates(["doc_id"])
+    chosen = one_text(docs.select("doc_id", F.col("text").alias("_text")).join(F.broadcast(sample), "doc_id"))
 
     def extract(batches):
         for batch in batches:
@@ -173,5 +173,8 @@ def grade_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
 def keep_selected(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The documents that the classifier selects, with their columns; learnt from all ratings."""
     model = fit(docs, grades_of(labels))
-    rows = docs.select(F.struct("*").alias("row"), F.col("text"))  # whatever else the columns are called
-    return score(rows, model, ("row",)).where("selected").select("row.*")
+    hashed = F.xxhash64("text")
+    scored = score(docs.select("doc_id", hashed.alias("hash"), "text"), model, ("doc_id", "hash"))
+    # only the rejects' ids leave the scoring; rows of one id and text share its fate
+    gone = materialize(scored.where("not selected").select(F.col("doc_id").alias("_id"), F.col("hash").alias("_hash")).distinct(), "quality-rejects")
+    return docs.join(gone, docs["doc_id"].eqNullSafe(gone["_id"]) & (hashed == gone["_hash"]), "left_anti")

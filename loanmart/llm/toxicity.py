@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loanmart.llm.common import ALNUM, BASE, LOWER, crc_bucket, materialize, mix, run_hashes, schema_with, span_hashes, text_blocks, word_spans
+from loanmart.llm.common import ALNUM, BASE, LOWER, crc_bucket, materialize, mix, one_text, run_hashes, schema_with, span_hashes, text_blocks, word_spans
 
 BITS = 22
 #: Beginnings of longer words, in bytes, that count as words of their own (crude stems).
@@ -97,7 +97,7 @@ def fit(docs: DataFrame, labels: DataFrame, rows_per_class: int = ROWS_PER_CLASS
         part = known.where(F.col("_y") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows_per_class)
         sample = part if sample is None else sample.unionByName(part)
     sample = materialize(sample, "toxic-sample")  # at most 2 * rows_per_class ids: small enough to broadcast
-    chosen = docs.select("doc_id", F.col("text").alias("_text")).join(F.broadcast(sample), "doc_id").dropDuplicates(["doc_id"])
+    chosen = one_text(docs.select("doc_id", F.col("text").alias("_text")).join(F.broadcast(sample), "doc_id"))
 
     def extract(batches):
         for batch in batches:

@@ -3,6 +3,7 @@
 import zlib
 
 import numpy as np
+import pytest
 
 from loanmart.llm import queries
 from loanmart.llm.language import identify, keep_identified
@@ -89,6 +90,27 @@ def test_rare_language_in_a_large_table(spark):
     assert all(out[f"q{k}"].language == "qq" and out[f"q{k}"].kept for k in range(24))
 
 
+@pytest.mark.parametrize("others", [20, 100_000])
+def test_a_language_of_one_row_is_known_at_any_size(spark, others):
+    schema = "key string, text string, declared string, address string"
+    n = others // 20
+    rows = [(f"e{k}", f"the house and garden {k}", "en", None) for k in range(n)] + [(f"d{k}", f"das haus und der garten {k}", "de", None) for k in range(others - n)]
+    rows += [("q", "qvex jurpo zimt wolux plint", "qq", None), ("z", "jurpo wolux zimt", None, None), ("u", "xyzzy plugh", "en", None)]
+    out = {r.key: r for r in identify(spark.createDataFrame(rows, schema).repartition(4), ("key",)).where("key in ('q', 'z', 'u', 'e0', 'd0')").collect()}
+    assert out["q"].language == out["z"].language == out["z"].text_language == "qq" and out["q"].kept
+    # words that no language has seen do not speak for the rare one
+    assert out["u"].language == out["e0"].language == "en" and out["d0"].language == "de"
+
+
+def test_repeated_ids_learn_from_one_text(spark):
+    rows = [(k, f"{'good fine text here' if k % 2 else 'bad junk junk spam'} {k}", k % 2) for k in range(60)]
+    docs = [(k, t) for k, t, _ in rows] + [(k, f"another {t}") for k, t, _ in rows]
+    labels = spark.createDataFrame([(k, y, 1 - y) for k, _, y in rows], "doc_id long, quality int, toxic int")
+    one, two = (spark.createDataFrame(docs[::step], "doc_id long, text string").repartition(parts) for step, parts in ((1, 2), (-1, 5)))
+    for run in (grade_documents, score_documents):
+        assert sorted(map(tuple, run(one, labels).collect())) == sorted(map(tuple, run(two, labels).collect()))
+
+
 def test_more_languages_than_a_block(spark):
     names = [chr(97 + k // 26) + chr(97 + k % 26) for k in range(70)]
     rows = [(f"{x}{k}", f"{x}vor {x}lum {x}qis {x}dan {k}", x, None, x) for x in names for k in range(25)]
