@@ -9,21 +9,22 @@ Failure counts follow the usual generic-test definitions:
 * ``relationships``     number of child rows (non-NULL key) without a parent row
 * ``rule``              number of rows violating a row predicate
 
-:func:`failure_report` evaluates a whole suite with few passes: per table,
-all not-null and rule checks share one aggregation; accepted-values checks
-shuffle only the rows holding an unaccepted value; all uniqueness checks share
-one shuffle (keys stacked as (check, value)); and foreign keys are checked
-on pre-aggregated distinct child keys (skew-free), one anti-join per parent.
+:func:`failure_report` evaluates a whole suite with few passes. Not-null, accepted-values
+and rule checks need one look at each row: for a table that is written anyway they are
+gathered while it is written (:func:`observed_write`) and cost no scan; for others, per
+table, one aggregation. The rest is stacked over all tables: one shuffle of (check, key)
+for uniqueness, one for the few rows with an unaccepted value, and one anti-join of
+pre-aggregated distinct child keys (skew-free) for all foreign keys.
 """
 
 from __future__ import annotations
 
 from collections import OrderedDict
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 # --- row-level forms (what a failing test shows) ---------------------------
@@ -133,104 +134,123 @@ class _TableBuilder:
         return self._add(Check(name, "rule", (), predicate=ok))
 
 
-def _scan_counts(t: TableChecks, checks: list[Check]) -> DataFrame | None:
+def _row_checks(checks: Sequence[Check]) -> list[Check]:
+    return [c for c in checks if c.kind in ("not_null", "rule")]
+
+
+def _row_count(c: Check) -> Column:
+    bad = F.col(c.columns[0]).isNull() if c.kind == "not_null" else ~c.predicate
+    return F.count(F.when(bad, F.lit(1))).cast("bigint")
+
+
+def _unaccepted(c: Check) -> Column:
+    return F.when(~F.col(c.columns[0]).isin(list(c.values)), F.col(c.columns[0]).cast("string"))
+
+
+# --- checks gathered while a table is written ------------------------------------
+
+def observed_write(df: DataFrame, checks: Sequence[Check], write: Callable[[DataFrame], DataFrame]) -> tuple[DataFrame, dict[str, int]]:
+    """``write(df)`` and the failures of the checks that one look at each row decides.
+
+    The metrics ride along with the write. Of unaccepted values only the least and the
+    greatest are kept: none or one distinct value is a count, with more of them the check
+    is left to :func:`failure_report`, which counts them exactly.
+    """
+    rows, listed = _row_checks(checks), [c for c in checks if c.kind == "accepted_values"]
+    metrics = [_row_count(c).alias(f"r{k}") for k, c in enumerate(rows)]
+    for k, c in enumerate(listed):
+        metrics += [F.min(_unaccepted(c)).alias(f"lo{k}"), F.max(_unaccepted(c)).alias(f"hi{k}")]
+    if not metrics:
+        return write(df), {}
+    seen = Observation()
+    out = write(df.observe(seen, *metrics))
+    got = seen.get
+    failures = {c.name: int(got[f"r{k}"] or 0) for k, c in enumerate(rows)}
+    for k, c in enumerate(listed):
+        lo, hi = got[f"lo{k}"], got[f"hi{k}"]
+        if lo == hi:
+            failures[c.name] = 0 if lo is None else 1
+    return out, failures
+
+
+# --- the report --------------------------------------------------------------------
+
+def _scan_counts(t: TableChecks, checks: list[Check]) -> DataFrame:
     """not_null and rule checks of one table in one aggregation (no shuffle of rows)."""
-    aggs = []
-    for c in checks:
-        if c.kind == "not_null":
-            aggs.append(F.count(F.when(F.col(c.columns[0]).isNull(), F.lit(1))).alias(c.name))
-        elif c.kind == "rule":
-            aggs.append(F.count(F.when(~c.predicate, F.lit(1))).alias(c.name))
-    if not aggs:
-        return None
-    row = t.df.agg(*aggs)
+    row = t.df.agg(*[_row_count(c).alias(f"r{k}") for k, c in enumerate(checks)])
     return row.select(F.inline(F.array(*[
-        F.struct(F.lit(c.name).alias("assertion"), F.col(f"`{c.name}`").cast("bigint").alias("failures"))
-        for c in checks])))
-
-
-def _accepted_counts(t: TableChecks, checks: list[Check]) -> DataFrame | None:
-    """Accepted-values checks of one table: only rows with an unaccepted value are
-    stacked as (check, value) and shuffled; distinct values are counted per check."""
-    if not checks:
-        return None
-    stacked = [F.when(~F.col(c.columns[0]).isin(list(c.values)),
-                      F.struct(F.lit(c.name).alias("assertion"),
-                               F.col(c.columns[0]).cast("string").alias("v")))
-               for c in checks]
-    bad = t.df.select(F.inline(F.filter(F.array(*stacked), lambda s: s.isNotNull())))
-    per_check = (bad.groupBy("assertion", "v").agg(F.count(F.lit(1)).alias("n"))
-                 .groupBy("assertion").agg(F.count(F.lit(1)).alias("failures")))
-    names = t.df.sparkSession.createDataFrame([(c.name,) for c in checks], "assertion string")
-    return (names.join(per_check, "assertion", "left")
-            .select("assertion", F.coalesce(F.col("failures"), F.lit(0)).cast("bigint").alias("failures")))
-
-
-def _unique_counts(t: TableChecks, checks: list[Check]) -> DataFrame | None:
-    """All uniqueness checks of one table through one shuffle on (check, key)."""
-    if not checks:
-        return None
+        F.struct(F.lit(c.name).alias("assertion"), F.col(f"r{k}").alias("failures")) for k, c in enumerate(checks)])))
+
+
+def _stacked(t: TableChecks, items: list[Column]) -> DataFrame:
+    """The non-NULL ones among some structs of each row, one under the other."""
+    return t.df.select(F.inline(F.array_compact(F.array(*items))))
+
+
+def _accepted_values(t: TableChecks, checks: list[Check]) -> DataFrame:
+    """(assertion, v) of the rows that hold an unaccepted value."""
+    return _stacked(t, [F.when(_unaccepted(c).isNotNull(), F.struct(F.lit(c.name).alias("assertion"), _unaccepted(c).alias("v"))) for c in checks])
+
+
+def _unique_keys(t: TableChecks, checks: list[Check]) -> DataFrame:
+    """(assertion, k) of the keys that have to be unique."""
     stacked = []
     for c in checks:
         # keys as array<string>: one type for single and composite keys, and a
         # NULL element stays distinct from any value
         k = F.array(*[F.col(x).cast("string") for x in c.columns])
-        if c.kind == "unique":
-            keep = F.col(c.columns[0]).isNotNull()
-        else:  # combination: NULLs take part in the grouping
-            keep = F.lit(True)
+        # combination: NULLs take part in the grouping
+        keep = F.col(c.columns[0]).isNotNull() if c.kind == "unique" else F.lit(True)
         stacked.append(F.when(keep, F.struct(F.lit(c.name).alias("assertion"), k.alias("k"))))
-    keys = t.df.select(F.inline(F.filter(F.array(*stacked), lambda s: s.isNotNull())))
-    dup = (keys.groupBy("assertion", "k").agg(F.count(F.lit(1)).alias("n"))
-           .where(F.col("n") > 1).groupBy("assertion").agg(F.count(F.lit(1)).alias("failures")))
-    names = t.df.sparkSession.createDataFrame([(c.name,) for c in checks], "assertion string")
-    return (names.join(dup, "assertion", "left")
-            .select("assertion", F.coalesce(F.col("failures"), F.lit(0)).cast("bigint").alias("failures")))
+    return _stacked(t, stacked)
 
 
-def _relationship_counts(items: list[tuple[TableChecks, Check]]) -> DataFrame:
-    """Foreign-key checks that share one parent (same DataFrame and key).
+def _child_keys(t: TableChecks, c: Check, parent: str) -> DataFrame:
+    """(assertion, parent, k, n): distinct keys of a child with their rows, as text of the parent's type."""
+    k, ptype = F.col(c.columns[0]), c.parent.schema[c.parent_field].dataType
+    if t.df.schema[c.columns[0]].dataType != ptype:
+        k = k.try_cast(ptype)  # a key that does not cast has no parent: NULL matches none
+    counted = t.df.where(F.col(c.columns[0]).isNotNull()).groupBy(k.cast("string").alias("k")).agg(F.count(F.lit(1)).alias("n"))
+    return counted.select(F.lit(c.name).alias("assertion"), F.lit(parent).alias("parent"), "k", "n")
 
-    Child keys are pre-aggregated per check (one row per distinct key with its
-    row count), so a hot key cannot skew the join; all children of the parent
-    are stacked and anti-joined with the parent's distinct keys once, so a
-    large dimension is shuffled once per suite, not once per check.
-    """
-    parent_field = items[0][1].parent_field
-    parent = items[0][1].parent
-    ptype = parent.schema[parent_field].dataType
-    children = []
-    for t, c in items:
-        k = F.col(c.columns[0])
-        if t.df.schema[c.columns[0]].dataType != ptype:
-            k = k.try_cast(ptype)  # a key that does not cast has no parent: NULL matches none
-        children.append(t.df.where(F.col(c.columns[0]).isNotNull()).groupBy(k.alias("__k"))
-                        .agg(F.count(F.lit(1)).alias("__n"))
-                        .select(F.lit(c.name).alias("assertion"), "__k", "__n"))
-    child = reduce(DataFrame.unionByName, children)
-    keys = parent.select(F.col(parent_field).alias("__k")).distinct()
-    counts = (child.join(keys, "__k", "left_anti").groupBy("assertion")
-              .agg(F.sum("__n").alias("failures")))
-    names = parent.sparkSession.createDataFrame([(c.name,) for _, c in items], "assertion string")
-    return (names.join(counts, "assertion", "left")
-            .select("assertion", F.coalesce(F.col("failures"), F.lit(0)).cast("bigint").alias("failures")))
-
-
-def failure_report(suite: Suite) -> DataFrame:
-    """One row per assertion: (assertion, failures)."""
-    parts: list[DataFrame] = []
-    rel_groups: OrderedDict[tuple, list] = OrderedDict()
-    for t in suite.tables.values():
-        scan = [c for c in t.checks if c.kind in ("not_null", "rule")]
-        accepted = [c for c in t.checks if c.kind == "accepted_values"]
-        uniq = [c for c in t.checks if c.kind in ("unique", "unique_combination")]
-        rels = [c for c in t.checks if c.kind == "relationships"]
-        for part in (_scan_counts(t, scan), _accepted_counts(t, accepted), _unique_counts(t, uniq)):
-            if part is not None:
-                parts.append(part)
-        for c in rels:
-            rel_groups.setdefault((id(c.parent), c.parent_field), []).append((t, c))
-    parts.extend(_relationship_counts(items) for items in rel_groups.values())
-    if not parts:
-        raise ValueError("empty suite")
+
+def _union(parts: Sequence[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
+
+
+def failure_report(suite: Suite, observed: dict[str, int] | None = None) -> DataFrame:
+    """One row per assertion: (assertion, failures). ``observed``: failures known already."""
+    known = observed or {}
+    names = [c.name for _, c in suite.checks()]
+    if not names:
+        raise ValueError("empty suite")
+    spark = next(iter(suite.tables.values())).df.sparkSession
+    # every assertion has a row, whether or not anything fails
+    rows = F.array(*[F.struct(F.lit(n).alias("assertion"), F.lit(known.get(n, 0)).cast("bigint").alias("failures")) for n in names])
+    parts = [spark.range(1).select(F.inline(rows))]
+    accepted, unique, children, parents = [], [], [], OrderedDict()
+    for t in suite.tables.values():
+        open_ = [c for c in t.checks if c.name not in known]
+        if scan := _row_checks(open_):
+            parts.append(_scan_counts(t, scan))
+        if listed := [c for c in open_ if c.kind == "accepted_values"]:
+            accepted.append(_accepted_values(t, listed))
+        if keys := [c for c in open_ if c.kind in ("unique", "unique_combination")]:
+            unique.append(_unique_keys(t, keys))
+        for c in open_:
+            if c.kind == "relationships":
+                tag, _ = parents.setdefault((id(c.parent), c.parent_field), (f"p{len(parents)}", c))
+                children.append(_child_keys(t, c, tag))
+    count = F.count(F.lit(1))
+    if accepted:
+        values = _union(accepted).groupBy("assertion", "v").agg(count.alias("n"))
+        parts.append(values.groupBy("assertion").agg(count.alias("failures")))
+    if unique:
+        twice = _union(unique).groupBy("assertion", "k").agg(count.alias("n")).where("n > 1")
+        parts.append(twice.groupBy("assertion").agg(count.alias("failures")))
+    if children:
+        keys = _union([c.parent.where(F.col(c.parent_field).isNotNull()).select(F.lit(tag).alias("parent"), F.col(c.parent_field).cast("string").alias("k"))
+                       for tag, c in parents.values()]).distinct()
+        orphans = _union(children).join(keys, ["parent", "k"], "left_anti")
+        parts.append(orphans.groupBy("assertion").agg(F.sum("n").alias("failures")))
+    return _union(parts).groupBy("assertion").agg(F.sum("failures").cast("bigint").alias("failures"))

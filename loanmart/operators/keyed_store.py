@@ -12,8 +12,8 @@ every part the rows whose key no later part has, which is the merge of
 * two batch rows with one key fail; NULL keys never match and may repeat;
 * columns new in a batch are appended (older rows NULL), missing ones stay.
 
-:meth:`KeyedStore.compact` folds all parts into one; a merge does so by itself once
-there are more than ``max_parts``. Parts are named by a published state
+:meth:`KeyedStore.compact` folds all parts into one; a merge does so first if there are
+``max_parts`` already. Parts are named by a published state
 (:mod:`loanmart.operators.published`): readers see a merge or a compaction as a whole
 or not at all.
 
@@ -43,6 +43,8 @@ class KeyedStore:
         self.version, state = published(spark, self.root)
         self.parts: list[str] = state["parts"] if state else []
         self.buckets: int = state["buckets"] if state else buckets
+        self.merges: int = state["merges"] if state else 0  # merges and refreshes so far
+        self.extra: dict = state.get("extra", {}) if state else {}  # what the last writer noted with its state
         if state and state["keys"] != self.keys:
             raise ValueError(f"{root} is keyed by {state['keys']}")
 
@@ -71,9 +73,9 @@ class KeyedStore:
          .option("path", f"{self.root}/parts/{name}").saveAsTable(table))
         return name
 
-    def _publish(self, parts: list[str]) -> None:
-        publish(self.spark, self.root, self.version + 1, {"parts": parts, "keys": self.keys, "buckets": self.buckets})
-        self.version, self.parts = self.version + 1, parts
+    def _publish(self, parts: list[str], merges: int, extra: dict) -> None:
+        publish(self.spark, self.root, self.version + 1, {"parts": parts, "keys": self.keys, "buckets": self.buckets, "merges": merges, "extra": extra})
+        self.version, self.parts, self.merges, self.extra = self.version + 1, parts, merges, extra
 
     # --- readers and writers ------------------------------------------------------
     def exists(self) -> bool:
@@ -92,20 +94,20 @@ class KeyedStore:
             current.append(rows.select(*tables[k].columns))
         return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), current)
 
-    def merge(self, batch: DataFrame) -> None:
-        """Merge a batch by key."""
-        self._publish([*self.parts, self._write(guard_unique(batch, self.keys))])
-        if len(self.parts) > self.max_parts:
+    def merge(self, batch: DataFrame, extra: dict | None = None) -> None:
+        """Merge a batch by key; ``extra`` is published with it."""
+        if len(self.parts) >= self.max_parts:
             self.compact()
+        self._publish([*self.parts, self._write(guard_unique(batch, self.keys))], self.merges + 1, extra or {})
 
-    def replace(self, rows: DataFrame) -> None:
+    def replace(self, rows: DataFrame, extra: dict | None = None) -> None:
         """Full refresh: the rows are the whole table."""
-        self._publish([self._write(guard_unique(rows, self.keys))])
+        self._publish([self._write(guard_unique(rows, self.keys))], self.merges + 1, extra or {})
 
     def compact(self) -> None:
         """Fold all parts into one; the table's rows stay what they are."""
         if len(self.parts) > 1:
-            self._publish([self._write(self.read())])
+            self._publish([self._write(self.read())], self.merges, self.extra)
 
     def max_value(self, column: str):
         """Greatest value of a column (one scalar), or None for an empty table."""

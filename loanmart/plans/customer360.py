@@ -58,10 +58,15 @@ def payments_summary(fct_payments: DataFrame) -> DataFrame:
 def customer_360(dim_customers: DataFrame, fct_applications: DataFrame,
                  fct_originations: DataFrame, fct_payments: DataFrame,
                  p: RunParams = DEFAULT) -> DataFrame:
+    return from_summaries(dim_customers, apps_summary(fct_applications), originations_summary(fct_originations),
+                          payments_summary(fct_payments), p)
+
+
+def from_summaries(dim_customers: DataFrame, applications: DataFrame, originations: DataFrame,
+                   payments: DataFrame, p: RunParams = DEFAULT) -> DataFrame:
+    """The customer 360 of a dimension and the three summaries, one row per customer each."""
     c = dim_customers.alias("c")
-    a = apps_summary(fct_applications).alias("a")
-    o = originations_summary(fct_originations).alias("o")
-    pay = payments_summary(fct_payments).alias("p")
+    a, o, pay = applications.alias("a"), originations.alias("o"), payments.alias("p")
     cid = F.col("c.customer_id")
     j = (c.join(a, cid == F.col("a.customer_id"), "left")
          .join(o, cid == F.col("o.customer_id"), "left")

@@ -45,8 +45,9 @@ class Models:
         self.p = params
         self.raw = RawTables(spark, sf_dir)
         self._written: set[str] = set()
+        self.observed: dict[str, dict[str, int]] = {}  # failures gathered while a table was written
 
-    def write_tables(self, names: list[str]) -> None:
+    def write_tables(self, names: list[str], write: Callable[[str, DataFrame], DataFrame] = lambda name, df: materialize(df, name)) -> None:
         """Write the named tables once and use the written copies from then on.
 
         For queries that read the same tables many times (the quality suite):
@@ -59,9 +60,9 @@ class Models:
                 continue
             if n in self.raw._cache or n.startswith("raw_") and n != "raw_credit_bureau" \
                     or n in ("lineitem", "customer", "orders", "events"):
-                self.raw._cache[n] = materialize(self.raw.get(n), n)
+                self.raw._cache[n] = write(n, self.raw.get(n))
             else:
-                self.__dict__[n] = materialize(getattr(self, n), n)
+                self.__dict__[n] = write(n, getattr(self, n))
             self._written.add(n)
 
     # --- raw bureau as a sequence of daily feed states ----------------------

@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loanmart.operators import assertions as A
+from loanmart.session import materialize
 
 # --- fixed values (must equal the reference's for equal results) -----------
 SEGMENTS = ["A", "B", "C", "D"]
@@ -209,6 +210,18 @@ def build_suite(tables: dict[str, DataFrame], checks) -> A.Suite:
     return suite
 
 
+def write_observed(m, names: list[str]) -> None:
+    """Write tables of the model graph once, and note in ``m.observed`` the failures of their
+    not-null, accepted-values and rule checks, gathered in the same pass."""
+    def write(name: str, df: DataFrame) -> DataFrame:
+        own = [c for c in all_checks() if c[0] == name and c[1] in ("not_null", "accepted_values")]
+        checks = build_suite({name: df}, own).tables[name].checks if own else []
+        out, m.observed[name] = A.observed_write(df, checks, lambda d: materialize(d, name))
+        return out
+
+    m.write_tables(names, write)
+
+
 def rule_count(name: str, violations: DataFrame) -> DataFrame:
     return violations.agg(F.count(F.lit(1)).cast("bigint").alias("failures")).select(
         F.lit(name).alias("assertion"), "failures")

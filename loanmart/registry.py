@@ -26,6 +26,7 @@ from loanmart.params import DEFAULT, RunParams
 from loanmart.plans import customer360 as c360
 from loanmart.plans import dims, facts, intermediate, metrics, quality, staging
 from loanmart.plans.build import build
+from loanmart.plans.customer360_incremental import PaymentTotals
 from loanmart.plans.models import Models, snapshot_input
 from loanmart.session import apply_conf, scratch_path
 from loanmart.sources import batches
@@ -284,6 +285,11 @@ def q_dim_date(spark, sf_dir):
 def q_dim_date_csv(spark, sf_dir):
     """The calendar with its holidays, bands and products read from CSV files (here written
     from the holiday rule and the built-in lists)."""
+    return canonical(_from_csv(spark, sf_dir).dim_date)
+
+
+def _from_csv(spark, sf_dir) -> Models:
+    """The model graph with all seeds read from CSV files."""
     from loanmart.sources import seeds
     m = _models(spark, sf_dir)
     folder = scratch_path(spark, "seed_csv")
@@ -293,7 +299,47 @@ def q_dim_date_csv(spark, sf_dir):
         rows[name].select(*schema.fieldNames()).write.option("header", True).csv(f"{folder}/{file}.csv")
     fed = Models(spark, sf_dir, seed_dir=folder)
     fed.__dict__["calendar_bounds"] = m.calendar_bounds
-    return canonical(fed.dim_date)
+    return fed
+
+
+@register("payments_bucketed_csv", _oracle("payments_bucketed", money=("due_amount_ars", "paid_amount_ars", "payment_variance_ars"), ints=("severity_order",)))
+def q_payments_bucketed_csv(spark, sf_dir):
+    """Payments classified by bands read from a CSV file."""
+    return canonical(_from_csv(spark, sf_dir).payments_bucketed)
+
+
+@register("dim_products_csv", _oracle("dim_products", money=("min_amount_ars", "max_amount_ars")))
+def q_dim_products_csv(spark, sf_dir):
+    """Products read from a CSV file, referenced by the applications."""
+    m = _from_csv(spark, sf_dir)
+    used = m.raw.applications.select("product_code").distinct()
+    return canonical(m.dim_products.join(used, "product_code", "left_semi"))
+
+
+# Holiday lines of a wrong kind: by day and month, a date that is none, a name left out, a
+# flag that is none, a comma too many.
+@register("seed_rejects", O.sql_for("""
+select * from (
+  select if(day(date) % 9 = 0, '2024-13-45', cast(date as varchar)) as date, if(month(date) = 8, null, holiday_name) as holiday_name,
+    if(month(date) = 7, 'wrong number of columns', concat_ws('; ', if(day(date) % 9 = 0, 'date: not a date', null),
+      if(month(date) = 8, 'holiday_name: missing', null), if(month(date) = 5, 'is_bank_holiday: not a boolean', null))) as reason
+  from holidays) r""", ("holidays",)))
+def q_seed_rejects(spark, sf_dir):
+    """Holiday lines of a damaged seed file: rejects with their reason, accepted ones with none ('')."""
+    from loanmart.sources import seeds
+    b = _models(spark, sf_dir).calendar_bounds
+    rows = seeds.holidays_between(b, F.col("start"), F.col("end"))
+    day, month = F.dayofmonth("date"), F.month("date")
+    damaged = rows.select(
+        F.when(day % 9 == 0, "2024-13-45").otherwise(F.col("date").cast("string")).alias("date"),
+        F.when(month != 8, F.col("holiday_name")).alias("holiday_name"),
+        F.when(month == 7, "one,too many").otherwise(F.col("holiday_type")).alias("holiday_type"),
+        F.when(month == 5, "maybe").otherwise(F.col("is_bank_holiday").cast("string")).alias("is_bank_holiday"))
+    path = scratch_path(spark, "damaged_seed")
+    damaged.write.option("header", True).option("quote", "\u0000").csv(path)  # no quotes: commas divide
+    accepted, rejects = seeds.split_seed_csv(spark, path, seeds.HOLIDAY_SCHEMA)
+    taken = accepted.select(F.col("date").cast("string").alias("date"), "holiday_name", F.lit("").alias("reason"))
+    return rejects.select("date", "holiday_name", "reason").unionByName(taken)
 
 
 # --- facts ---------------------------------------------------------------------------
@@ -513,6 +559,26 @@ def q_customer_360(spark, sf_dir):
     return canonical(_models(spark, sf_dir).customer_360)
 
 
+O.cte("customer_events_loaded", ("fct_applications", "fct_originations", _INC_FINAL),
+      O.CTES["customer_events"][0].replace("from fct_payments", f"from {_INC_FINAL}"))
+O.cte("customer_360_loaded", ("dim_customers", "customer_events_loaded", "risk_bands"),
+      O.CTES["customer_360"][0].replace("customer_events", "customer_events_loaded"))
+
+
+@register("customer_360_incremental", _oracle("customer_360_loaded", money=("monthly_income_ars", "total_credit_granted_ars"), ints=_C360_INTS))
+def q_customer_360_incremental(spark, sf_dir):
+    """The customer 360 after all payment runs, its payment totals kept up to date by each
+    run's changes."""
+    m = _models(spark, sf_dir)
+    kept = PaymentTotals(spark, scratch_path(spark, "payment_totals"))
+    for feed, p in m.payment_feeds(RUNS):
+        first = not kept.facts.exists()
+        newest = None if first else kept.facts.max_value("payment_date")
+        kept.load(facts.payments_since(feed, newest, first, p))
+    return canonical(c360.from_summaries(m.dim_customers, c360.apps_summary(m.fct_applications), c360.originations_summary(m.fct_originations),
+                                         kept.summary(), m.p))
+
+
 # --- data quality ---------------------------------------------------------------------------
 
 _SUITE_TABLES = ["raw_customers", "raw_applications", "raw_originations", "raw_payments",
@@ -522,11 +588,11 @@ _SUITE_TABLES = ["raw_customers", "raw_applications", "raw_originations", "raw_p
 
 def _quality_tables(m: Models, checks) -> dict[str, DataFrame]:
     """Tables the checks read; those read by more than one part of the report are
-    written once before."""
+    written once before, and their row checks are gathered meanwhile."""
     reads = Counter()
     for table, parts in quality.parts_by_table(checks).items():
         reads[table] += len(parts)
-    m.write_tables([t for t in _SUITE_TABLES if reads[t] > 1])
+    quality.write_observed(m, [t for t in _SUITE_TABLES if reads[t] > 1])
     get = {
         "raw_customers": lambda: m.raw.customers, "raw_applications": lambda: m.raw.applications,
         "raw_originations": lambda: m.raw.originations, "raw_payments": lambda: m.raw.payments,
@@ -555,10 +621,13 @@ def _dq_oracle(checks) -> str:
     return O.sql_for(_dq_union_sql(checks), deps)
 
 
+def _failures(m: Models, checks) -> DataFrame:
+    suite = quality.build_suite(_quality_tables(m, checks), checks)
+    return A.failure_report(suite, {name: n for of_table in m.observed.values() for name, n in of_table.items()})
+
+
 def _dq(spark, sf_dir, kind):
-    m = _models(spark, sf_dir)
-    checks = quality.checks_of_kind(kind)
-    return A.failure_report(quality.build_suite(_quality_tables(m, checks), checks))
+    return _failures(_models(spark, sf_dir), quality.checks_of_kind(kind))
 
 
 @register("dq_unique", _dq_oracle(quality.checks_of_kind("unique")))
@@ -651,7 +720,7 @@ def q_dq_amount_rule(spark, sf_dir):
 def q_dq_report(spark, sf_dir):
     """Every declared assertion plus the fixture ones: (assertion, failures)."""
     m = _models(spark, sf_dir)
-    report = A.failure_report(quality.build_suite(_quality_tables(m, quality.all_checks()), quality.all_checks()))
+    report = _failures(m, quality.all_checks())
     raised = staging.stg_originations(quality.raised_originations(m.raw.originations))
     fo_raised = facts.fct_originations(raised, m.stg_applications)
     rules = [quality.rule_count(quality.AMOUNT_RULE,

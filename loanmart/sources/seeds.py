@@ -7,14 +7,15 @@ derived by Spark from the calendar's own date range.
 
 Seeds may also be read from CSV files with an explicit schema
 (:func:`read_seed_csv`); header, CRLF line ends and UTF-8 are handled by the
-CSV reader.
+CSV reader. It fails on a wrong row; :func:`split_seed_csv` sets wrong rows
+aside with the reason instead.
 """
 
 from __future__ import annotations
 
 from decimal import Decimal
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -125,6 +126,51 @@ def read_seed(spark: SparkSession, seed_dir: str, name: str) -> DataFrame:
     return read_seed_csv(spark, f"{seed_dir.rstrip('/')}/{file}.csv", schema)
 
 
+# A condition on the rows of a seed, and the column that identifies them.
+SEED_RULES = {"buckets": "dpd_min <= dpd_max", "products": "min_amount_ars <= max_amount_ars", "holidays": None}
+SEED_KEYS = {"buckets": "bucket_code", "products": "product_code", "holidays": None}
+
+
+def split_seed_csv(spark: SparkSession, path: str, schema: T.StructType, rule: str | None = None,
+                   key: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """(accepted rows, rejects) of a seed CSV read permissively.
+
+    Rejects hold the columns as they stand in the file and a ``reason``: a wrong number of
+    columns; or, per column in order, a value that is not of its type or a missing one (empty
+    or blank) where the schema wants one; or a broken ``rule``; or a ``key`` that an accepted
+    row has already (the least row of a key is accepted). Several reasons are joined by "; ".
+    """
+    raw = T.StructType([*[T.StructField(f.name, T.StringType()) for f in schema.fields], T.StructField("_line", T.StringType())])
+    read = (spark.read.schema(raw).option("header", True).option("encoding", "UTF-8")
+            .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_line").csv(path))
+    typed, problems = [], []
+    for f in schema.fields:
+        text = F.trim(F.col(f"raw.{f.name}"))
+        value = F.when(text != "", text).try_cast(f.dataType)
+        typed.append(value.alias(f.name))
+        found = F.when((text != "") & value.isNull(), f"{f.name}: not a {f.dataType.simpleString()}")
+        problems.append(found if f.nullable else found.when(F.coalesce(text, F.lit("")) == "", f"{f.name}: missing"))
+    line = F.when(F.col("raw._line").isNotNull(), F.array(F.lit("wrong number of columns")))
+    rows = read.select(F.struct("*").alias("raw")).select("raw", *typed, line.otherwise(F.array_compact(F.array(*problems))).alias("problems"))
+    good = F.size("problems") == 0
+    if rule:
+        rows = rows.withColumn("problems", F.when(good & ~F.expr(rule), F.array(F.lit(f"not {rule}"))).otherwise(F.col("problems")))
+    if key:
+        # seeds are short lists; only rows that share a key meet
+        names = schema.fieldNames()
+        place = F.row_number().over(Window.partitionBy(key, good).orderBy(*names))
+        rows = rows.withColumn("_place", place).withColumn("problems", F.when(good & (F.col("_place") > 1), F.array(F.lit(f"{key}: repeated"))).otherwise(F.col("problems")))
+    accepted = rows.where(good).select(*schema.fieldNames())
+    rejects = rows.where(~good).select(*[F.col(f"raw.{f.name}").alias(f.name) for f in schema.fields], F.array_join("problems", "; ").alias("reason"))
+    return accepted, rejects
+
+
+def split_seed(spark: SparkSession, seed_dir: str, name: str) -> tuple[DataFrame, DataFrame]:
+    """(accepted rows, rejects) of the seed ``name`` of SEED_FILES under ``seed_dir``."""
+    file, schema = SEED_FILES[name]
+    return split_seed_csv(spark, f"{seed_dir.rstrip('/')}/{file}.csv", schema, SEED_RULES[name], SEED_KEYS[name])
+
+
 def holidays_for_years(years: DataFrame, year_col: str = "year") -> DataFrame:
     """Holiday rows for each year in ``years`` (one row per holiday per year).
 

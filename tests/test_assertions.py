@@ -1,5 +1,6 @@
 """Each assertion kind with one planted violation, fused report == row-level forms."""
 
+from pyspark.sql import functions as F
 
 from loanmart.operators import assertions as A
 
@@ -53,3 +54,32 @@ def test_malformed_keys_are_orphans(spark):
     suite.table("child", child).relationships("k", parent, "id", "parent", "fk")
     assert [(r.assertion, r.failures) for r in A.failure_report(suite).collect()] == [("fk", 3)]
     assert sorted(r.k for r in A.relationship_violations(child, "k", parent, "id").collect()) == ["7", "abc", "abc"]
+
+
+def test_checks_are_gathered_while_writing(spark):
+    from loanmart.session import materialize
+    df = spark.createDataFrame([(1, "a", 5.0), (None, "x", 1.0), (3, "x", None), (None, None, -1.0)], "id int, code string, v double")
+    suite = A.Suite()
+    (suite.table("t", df).not_null("id").not_null("v").accepted_values("code", ["a"], "one_bad").accepted_values("code", ["a", "x"], "none_bad")
+     .accepted_values("code", ["z"], "two_bad").rule("positive", F.col("v") > 0))
+    checks = suite.tables["t"].checks
+    written, failures = A.observed_write(df, checks, lambda d: materialize(d, "observed"))
+    assert written.count() == 4
+    # several unaccepted values are left to the report
+    assert failures == {"not_null_t_id": 2, "not_null_t_v": 1, "one_bad": 1, "none_bad": 0, "positive": 1}
+    want = {r.assertion: r.failures for r in A.failure_report(suite).collect()}
+    assert want == {**failures, "two_bad": 2}
+    assert {r.assertion: r.failures for r in A.failure_report(suite, failures).collect()} == want
+    empty, none = A.observed_write(df.limit(0), checks, lambda d: materialize(d, "observed"))
+    assert empty.count() == 0 and set(none.values()) == {0}
+
+
+def test_observed_checks_cost_no_scan(spark):
+    from loanmart.session import materialize
+    df = spark.range(5).select(F.col("id").cast("int").alias("id"), F.lit("a").alias("code"))
+    suite = A.Suite()
+    suite.table("t", df).not_null("id").accepted_values("code", ["a"])
+    written, failures = A.observed_write(df, suite.tables["t"].checks, lambda d: materialize(d, "observed"))
+    suite.tables["t"].df = written
+    plan = A.failure_report(suite, failures)._jdf.queryExecution().executedPlan().toString()
+    assert "FileScan" not in plan
