@@ -34,7 +34,7 @@ PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\
 #: Pre-tokens known by a task before it starts again with an empty store.
 MAX_WORDS = 2_000_000
 #: Text bytes whose new pre-tokens are encoded in one sweep.
-SWEEP_BYTES = 16 << 20
+SWEEP_BYTES = 8 << 20
 
 
 def byte_alphabet() -> dict[str, int]:

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loanmart.llm.common import LOWER, NOT_SPACE, crc_bucket, materialize, mix, one_text, run_hashes, schema_with, span_hashes, text_blocks, word_spans
+from loanmart.llm.common import LOWER, NOT_SPACE, crc_bucket, materialize, mix, offsets_of, one_text, run_hashes, schema_with, span_hashes, text_blocks, word_spans
 
 BITS = 16
 ROWS_PER_GRADE = 4000
@@ -65,11 +65,28 @@ def features(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
     return key >> BITS, key & ((1 << BITS) - 1), np.sqrt(np.bincount(at, weights=np.concatenate(weights), minlength=len(key)))
 
 
+#: Entries of the training rows that one step looks at together.
+CHUNK = 1 << 20
+
+
 def cumulative_link(x, grades: np.ndarray, n_grades: int) -> tuple[np.ndarray, np.ndarray]:
-    """Weights and ordered thresholds by AdaGrad on the mean log-likelihood; x: (row, feature, value)."""
+    """Weights and ordered thresholds by AdaGrad on the mean log-likelihood; x: (row, feature, value), rows ascending."""
     row, feature, value = x
-    used, place = np.unique(feature, return_inverse=True)
-    n = len(grades)
+    return fitted_link(np.bincount(row, minlength=len(grades)), feature, value, grades, n_grades)
+
+
+def fitted_link(entries: np.ndarray, feature: np.ndarray, value: np.ndarray, grades: np.ndarray, n_grades: int) -> tuple[np.ndarray, np.ndarray]:
+    """The same from the number of entries of each row and the rows' entries one after the other.
+
+    Besides the entries a step holds one chunk of them.
+    """
+    used = np.flatnonzero(np.bincount(feature, minlength=1 << BITS))
+    number = np.zeros(1 << BITS, np.uint16)
+    number[used] = np.arange(len(used))
+    place, n = number[feature], len(grades)
+    at = offsets_of(entries)
+    cuts = np.unique(np.append(np.searchsorted(at, np.arange(0, at[-1], CHUNK), "right") - 1, [0, n]))
+    chunks = [(a, b, at[a], at[b]) for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist())]
     w, gw = np.zeros(len(used)), np.full(len(used), 1e-8)
     first = np.searchsorted(np.cumsum(np.bincount(grades, minlength=n_grades)) / n, 0.5)
     base, gaps = -0.5 * max(int(first), 1), np.zeros(max(n_grades - 2, 0))
@@ -77,14 +94,16 @@ def cumulative_link(x, grades: np.ndarray, n_grades: int) -> tuple[np.ndarray, n
     sig = lambda v: 1 / (1 + np.exp(-np.clip(v, -40, 40)))
     for _ in range(STEPS):
         theta = base + np.concatenate([[0.0], np.cumsum(np.exp(gaps))])
-        m = np.bincount(row, weights=w[place] * value, minlength=n)
+        m = np.concatenate([np.bincount(np.repeat(np.arange(b - a), entries[a:b]), weights=w[place[lo:hi]] * value[lo:hi], minlength=b - a) for a, b, lo, hi in chunks])
         edges = np.concatenate([[-np.inf], theta, [np.inf]])
         hi, lo = sig(edges[grades + 1] - m), sig(edges[grades] - m)
         p = np.maximum(hi - lo, 1e-12)
         dhi, dlo = hi * (1 - hi) / p, lo * (1 - lo) / p
         dm = (dhi - dlo) / n  # of the negative log-likelihood
         dtheta = np.array([(-dhi[grades == k].sum() + dlo[grades == k + 1].sum()) / n for k in range(n_grades - 1)])
-        g = np.bincount(place, weights=dm[row] * value, minlength=len(used)) + L2 * w
+        g = L2 * w
+        for a, b, lo, hi in chunks:
+            g += np.bincount(place[lo:hi], weights=np.repeat(dm[a:b], entries[a:b]) * value[lo:hi], minlength=len(used))
         gw += g * g
         w -= STEP * g / np.sqrt(gw)
         dbase, dgaps = dtheta.sum(), np.array([dtheta[k + 1 :].sum() for k in range(len(gaps))]) * np.exp(gaps) if len(gaps) else gaps
@@ -133,9 +152,12 @@ def fit(docs: DataFrame, ratings: DataFrame, rows_per_grade: int = ROWS_PER_GRAD
             vs += [np.asarray(x.values) for x in batch.column("value")]
         if ids:
             order = sorted(range(len(ids)), key=ids.__getitem__)
-            row = np.repeat(np.arange(len(order)), [len(fs[i]) for i in order])
             grade = np.searchsorted(values, [ys[i] for i in order])
-            w, theta = cumulative_link((row, np.concatenate([fs[i] for i in order]), np.concatenate([vs[i] for i in order]).astype(float)), grade, len(values))
+            entries = np.array([len(fs[i]) for i in order])
+            feature, value = np.concatenate([fs[i] for i in order]), np.concatenate([vs[i] for i in order])
+            fs.clear()
+            vs.clear()
+            w, theta = fitted_link(entries, feature, value, grade, len(values))
             yield pa.RecordBatch.from_arrays([pa.array([w.tolist()], pa.list_(pa.float32())), pa.array([theta.tolist()], pa.list_(pa.float64()))], ["w", "theta"])
 
     model = chosen.mapInArrow(extract, "id string, y double, feature array<int>, value array<float>").repartition(1).mapInArrow(learn, "w array<float>, theta array<double>").first()
