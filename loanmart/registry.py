@@ -21,6 +21,7 @@ from loanmart import oracle as O
 from loanmart.functions.columns import PII_KINDS, mask_pii, surrogate_key
 from loanmart.operators import assertions as A
 from loanmart.operators import scd2
+from loanmart.operators.unique_keys import UniqueKeys
 from loanmart.operators.upsert import max_value
 from loanmart.params import DEFAULT, RunParams
 from loanmart.plans import customer360 as c360
@@ -30,6 +31,7 @@ from loanmart.plans.customer360_incremental import PaymentTotals
 from loanmart.plans.models import Models, snapshot_input
 from loanmart.session import apply_conf, scratch_path
 from loanmart.sources import batches
+from loanmart.sources.sinks import ROUTES
 
 STAMPS = ("dbt_loaded_at", "dbt_updated_at")
 
@@ -450,21 +452,53 @@ _run_ctes(EVOLUTION_RUNS, "bt")
 _BT_FINAL = _merge_chain_sql("bt", 2)
 
 
+BUILD_FEEDS = (3, batches.BUREAU_RUNS)  # bureau feeds of the two builds
+
+# The history that two snapshot runs leave: the same rules over the two feeds they saw.
+O.cte("bt_runs", ("bureau_runs",), " union all ".join(f"select {k} as k, run_ts from bureau_runs where k = {run}" for k, run in enumerate(BUILD_FEEDS, start=1)))
+O.cte("bt_seen", tuple(f"bureau_b{run}" for run in BUILD_FEEDS), f"""
+select *, lag(k) over w as k_before, lag(report_date) over w as date_before
+from ({" union all ".join(f"select *, {k} as k from bureau_b{run}" for k, run in enumerate(BUILD_FEEDS, start=1))}) u
+window w as (partition by customer_id order by k)""")
+for _name in ("starts", "scd2", "current"):
+    O.cte(f"bt_{_name}", tuple(d.replace("bureau_", "bt_") for d in O.CTES[f"bureau_{_name}"][1]),
+          reduce(lambda sql, n: sql.replace(f"bureau_{n}", f"bt_{n}"), ("seen", "runs", "starts", "scd2"), O.CTES[f"bureau_{_name}"][0]))
+O.cte("bt_customers_enriched", ("stg_customers", "bt_current"), O.CTES["customers_enriched"][0].replace("bureau_current", "bt_current"))
+O.cte("bt_dim_customers", ("bt_customers_enriched", "age_bands", "income_bands"),
+      O.CTES["dim_customers"][0].replace("customers_enriched", "bt_customers_enriched"))
+
+
+def _built_twice(spark, sf_dir) -> dict[str, str]:
+    """Two builds of all models over successive feeds; model -> table or view after the second."""
+    m = _models(spark, sf_dir)
+    if "built_twice" not in m.__dict__:
+        database = f"lm_{scratch_path(spark, 'build')[-12:]}"
+        for attr in (database, *(f"{database}_{r}" for r in ROUTES.values())):  # tables live in the shared scratch folder
+            spark.sql(f"CREATE DATABASE `{attr}` LOCATION '{scratch_path(spark, attr)}'")
+        feeds = m.bureau_batches()
+        for run, source in zip(BUILD_FEEDS, m.payment_runs(EVOLUTION_RUNS)):
+            m.__dict__["built_twice"] = build(Models(spark, sf_dir, m.p), database, bureau=feeds[run - 1], payments=source)
+    return m.__dict__["built_twice"]
+
+
 @register("build_twice", O.sql_for(
     _cast_sql(f"(select * exclude (run) from {_BT_FINAL})", _PAY_MONEY, ("severity_order",)),
     (_BT_FINAL,)))
 def q_build_twice(spark, sf_dir):
-    """Two builds of the stateful tables over successive inputs; the payment fact after
-    the second one (whose history holds two snapshot runs)."""
-    m = _models(spark, sf_dir)
-    database = f"lm_{scratch_path(spark, 'build')[-12:]}"
-    for attr in (database, f"{database}_snapshots"):  # tables live in the shared scratch folder
-        spark.sql(f"CREATE DATABASE `{attr}` LOCATION '{scratch_path(spark, attr)}'")
-    feeds = m.bureau_batches()
-    for feed, source in zip((feeds[2], feeds[-1]), m.payment_runs(EVOLUTION_RUNS)):
-        fresh = Models(spark, sf_dir, m.p)
-        out = build(fresh, database, bureau=feed, payments=source, only=("bureau_history", "fct_payments"))
-    return canonical(spark.table(out["fct_payments"]).drop(facts.PAYMENT_PARTITION))
+    """The payment fact after the second of two builds."""
+    return canonical(spark.table(_built_twice(spark, sf_dir)["fct_payments"]).drop(facts.PAYMENT_PARTITION))
+
+
+@register("build_twice_history", _oracle("bt_scd2", money=_BUREAU_MONEY, ints=_BUREAU_INTS))
+def q_build_twice_history(spark, sf_dir):
+    """The snapshot's history after the second build, through its view in the snapshots database."""
+    return canonical(spark.table(_built_twice(spark, sf_dir)["bureau_history"]), drop=())
+
+
+@register("build_twice_customers", _oracle("bt_dim_customers", money=_DIM_CUST_MONEY, ints=_BUREAU_INTS))
+def q_build_twice_customers(spark, sf_dir):
+    """The customer dimension, rebuilt in full, after the second build."""
+    return canonical(spark.table(_built_twice(spark, sf_dir)["dim_customers"]))
 
 
 @register("payments_schema_evolution", O.sql_for(
@@ -493,20 +527,25 @@ def q_payments_lookback(spark, sf_dir):
     return canonical(facts.payments_since(feed, newest, False, p))
 
 
-def _delivery_ctes() -> str:
+O.cte("delivery_dates", ("payment_bounds",), " union all ".join(f"select {k} as k, {batches.payment_run_sql(k)} as run_date" for k in RUNS))
+
+
+def _delivery_ctes(left_out: int = 0) -> str:
     """DuckDB: bucketed delivery k = run-k source rows that appeared or changed in window k;
-    the table keeps, per key, the latest delivered version that has a bucket."""
-    parts = []
+    the table keeps, per key, the latest delivered version that has a bucket. One delivery may
+    be left out."""
+    parts, name = [], f"dlv_latest{left_out or ''}"
     for k in RUNS:
         O.cte(f"dlv{k}", (f"inc_bk{k}", "raw_payments", "payment_bounds"),
               f"select *, {k} as k from inc_bk{k} where payment_id in ({batches.payment_changes_sql(k)})")
-        parts.append(f"select * from dlv{k}")
-    O.cte("dlv_latest", tuple(f"dlv{k}" for k in range(1, len(RUNS) + 1)), f"""
-select * exclude (rn, k) from (
+        if k != left_out:
+            parts.append(f"select * from dlv{k}")
+    O.cte(name, tuple(f"dlv{k}" for k in range(1, len(RUNS) + 1)), f"""
+select * exclude (rn) from (
   select *, row_number() over (partition by payment_id order by k desc) as rn
   from ({' union all '.join(parts)}) u) r
 where rn = 1""")
-    return "dlv_latest"
+    return name
 
 
 @register("payments_stream", O.sql_for(_cast_sql(f"""(
@@ -529,6 +568,38 @@ def q_payments_stream(spark, sf_dir):
     return canonical(spark.read.option("mergeSchema", "true").parquet(target).drop(ps.VERSION))
 
 
+#: The order in which deliveries land: one is repeated, one comes a window late, one much too late.
+LANDING_ORDER = (1, 3, 3, 4, 6, 5, 2, 7, 8)
+TOO_LATE = 2
+
+_loaded = _delivery_ctes(TOO_LATE)
+
+
+@register("payments_event_time", O.sql_for(f"""
+select 'loaded' as kind, payment_id, payment_date, cast(paid_amount_ars as double) as paid_amount_ars, cast(d.run_date - 1 as date) as delivered_at
+from {_loaded} l join delivery_dates d using (k)
+union all
+select 'late', payment_id, payment_date, cast(paid_amount_ars as double), cast(d.run_date - 1 as date)
+from inc_src{TOO_LATE} s join delivery_dates d on d.k = {TOO_LATE}
+where payment_id in ({batches.payment_changes_sql(TOO_LATE)})""", (_loaded, f"inc_src{TOO_LATE}", "delivery_dates", "raw_payments", "payment_bounds")))
+def q_payments_event_time(spark, sf_dir):
+    """Payment deliveries that land out of order: the fact without repeats, and the rows that
+    came later than the watermark allows (one and a half windows)."""
+    from loanmart.streaming import event_time as et
+    from loanmart.streaming import payments_stream as ps
+    m = _models(spark, sf_dir)
+    dates = m.payment_run_dates
+    landing, target, taken, progress = (scratch_path(spark, f"event_time_{x}") for x in ("landing", "fact", "taken", "progress"))
+    delay = f"{max(1, (dates[-1] - dates[0]).days * 3 // (2 * max(1, len(dates) - 1)))} days"
+    for k in LANDING_ORDER:
+        ps.write_delivery(spark, m.payment_source_table, dates, k - 1, landing)
+        et.run_load(spark, landing, target, taken, progress, delay, m.buckets, m.p)
+    columns = ["payment_id", "payment_date", "paid_amount_ars", ps.VERSION]
+    loaded = spark.read.parquet(target).select(F.lit("loaded").alias("kind"), *columns)
+    late = et.late_rows(spark, landing, taken).select(F.lit("late").alias("kind"), *columns)
+    return canonical(loaded).unionByName(canonical(late))
+
+
 # --- customer 360 ------------------------------------------------------------------------
 
 @register("apps_summary", _oracle("apps_summary", ints=("approved_applications", "rejected_applications",
@@ -659,6 +730,35 @@ def q_dq_rows_unique(spark, sf_dir):
     return canonical(A.unique_combination_violations(_models(spark, sf_dir).raw.get("lineitem"), ("l_orderkey", "l_linenumber")))
 
 
+#: Batches of line items, by ship date, that the repeated keys are looked for in.
+LINE_BATCHES = 6
+
+
+@register("dq_rows_unique_incremental", O.sql_for("""
+select l_orderkey, l_linenumber, count(*) as n_records from lineitem
+group by all having count(*) > 1""", ()))
+def q_dq_rows_unique_incremental(spark, sf_dir):
+    """The repeated line keys, found batch by batch as line items arrive by ship date; each
+    batch is compared with the fingerprints of those before it."""
+    apply_conf(spark)
+    columns = ["l_orderkey", "l_linenumber"]
+    lines = spark.read.parquet(f"{sf_dir.rstrip('/')}/lineitem.parquet").select(*columns, F.to_date("l_shipdate").alias("day"))
+    lo, hi = lines.agg(F.min("day"), F.max("day")).first()
+    borders = [] if lo is None else [lo + (hi - lo) * k / LINE_BATCHES for k in range(1, LINE_BATCHES)]
+    edges = [None, *borders, None]
+
+    def batch(k):  # rows without a date come first
+        low, high = edges[k], edges[k + 1]
+        rows = lines if high is None else lines.where((F.col("day") < F.lit(high)) | F.col("day").isNull())
+        return rows if low is None else rows.where(F.col("day") >= F.lit(low))
+
+    check = UniqueKeys(spark, scratch_path(spark, "line_keys"), columns)
+    older = lambda names: reduce(DataFrame.unionByName, [batch(int(n)) for n in names])
+    found = [check.check(batch(k), str(k), older) for k in range(len(edges) - 1)]
+    # a key may be reported by several batches: the last one counts all of its rows
+    return canonical(reduce(DataFrame.unionByName, found).groupBy(*columns).agg(F.max("n_records").alias("n_records")))
+
+
 @register("dq_rows_not_null", O.sql_for("""
 select payment_id, origination_id, cast(installment_number as bigint) as installment_number
 from raw_payments where payment_date is null""", ("raw_payments",)))

@@ -57,15 +57,19 @@ def write_deliveries(spark: SparkSession, raw_payments: DataFrame, run_dates: Se
     was corrected in ``[run_dates[k-1], run_dates[k])`` (see
     :mod:`loanmart.sources.batches` for the arrival rules).
     """
-    prev = None
-    for d in run_dates:
-        snap = batches.payment_source(spark, raw_payments, d)
-        changed = batches.payment_changes_between(spark, raw_payments, prev, d)
-        delivery = (snap.join(changed, "payment_id", "left_semi")
-                    .withColumn("delivered_at", F.lit(d - dt.timedelta(days=1))))
-        (delivery.select(*[f.name for f in RAW_PAYMENT_SCHEMA.fields])
-         .write.mode("append").parquet(landing_dir))
-        prev = d
+    for k in range(len(run_dates)):
+        write_delivery(spark, raw_payments, run_dates, k, landing_dir)
+
+
+def write_delivery(spark: SparkSession, raw_payments: DataFrame, run_dates: Sequence[dt.date], k: int, landing_dir: str) -> None:
+    """Land delivery ``k`` (from 0)."""
+    d, prev = run_dates[k], run_dates[k - 1] if k else None
+    snap = batches.payment_source(spark, raw_payments, d)
+    changed = batches.payment_changes_between(spark, raw_payments, prev, d)
+    delivery = (snap.join(changed, "payment_id", "left_semi")
+                .withColumn("delivered_at", F.lit(d - dt.timedelta(days=1))))
+    (delivery.select(*[f.name for f in RAW_PAYMENT_SCHEMA.fields])
+     .write.mode("append").parquet(landing_dir))
 
 
 def payment_stream(spark: SparkSession, landing_dir: str, max_files_per_trigger: int = 4) -> DataFrame:
