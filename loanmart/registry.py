@@ -463,7 +463,7 @@ window w as (partition by customer_id order by k)""")
 for _name in ("starts", "scd2", "current"):
     O.cte(f"bt_{_name}", tuple(d.replace("bureau_", "bt_") for d in O.CTES[f"bureau_{_name}"][1]),
           reduce(lambda sql, n: sql.replace(f"bureau_{n}", f"bt_{n}"), ("seen", "runs", "starts", "scd2"), O.CTES[f"bureau_{_name}"][0]))
-O.cte("bt_customers_enriched", ("stg_customers", "bt_current"), O.CTES["customers_enriched"][0].replace("bureau_current", "bt_current"))
+O.cte("bt_customers_enriched", ("stg_customers", "bt_current", "score_bands"), O.CTES["customers_enriched"][0].replace("bureau_current", "bt_current"))
 O.cte("bt_dim_customers", ("bt_customers_enriched", "age_bands", "income_bands"),
       O.CTES["dim_customers"][0].replace("customers_enriched", "bt_customers_enriched"))
 
