@@ -34,7 +34,9 @@ PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\
 #: Pre-tokens known by a task before it starts again with an empty store.
 MAX_WORDS = 2_000_000
 #: Text bytes whose new pre-tokens are encoded in one sweep.
-SWEEP_BYTES = 8 << 20
+SWEEP_BYTES = 4 << 20
+#: Bytes of them split and hashed at once.
+SPLIT_BYTES = 1 << 20
 
 
 def byte_alphabet() -> dict[str, int]:
@@ -267,7 +269,7 @@ def encode_column(column: pa.Array, store: TokenStore):
                     of_row.append(i)
             texts = pa.array(segments, pa.large_string())
         blocks = []
-        for a, b, data, offsets in text_blocks(texts):
+        for a, b, data, offsets in text_blocks(texts, SPLIT_BYTES):
             starts = split_words(data, offsets) if len(data) else np.zeros(0, np.int64)
             ends = np.append(starts[1:], len(data)) if len(starts) else starts
             codes, distinct = pd.factorize(span_hashes(data, starts, ends))
@@ -351,18 +353,22 @@ def encode(docs: DataFrame, path: str, text: str = "text", keep: tuple[str, ...]
     return picked.mapInArrow(run, schema)
 
 
-def encode_digests(docs: DataFrame, path: str, text: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """``keep`` columns, n_tokens, ids_sha256 and decoded_sha256: the encoding without its ids."""
+def encode_digests(docs: DataFrame, path: str, text: str = "text", keep: tuple[str, ...] = ("doc_id",), with_ids: bool = False) -> DataFrame:
+    """``keep`` columns, n_tokens, ids_sha256 and decoded_sha256: the encoding without its ids, or with them."""
     picked = docs.select(*keep, F.col(text).alias("_text"))
-    schema = schema_with(picked.drop("_text"), "n_tokens long, ids_sha256 string, decoded_sha256 string")
+    more = "n_tokens long, ids_sha256 string, decoded_sha256 string"
+    schema = schema_with(picked.drop("_text"), f"{more}, ids array<int>" if with_ids else more)
 
     def run(batches):
         store = TokenStore(vocabulary(path))
         for batch in batches:
             for lo, ids, back in encode_rows(batch.column("_text"), store):
-                counts = pa.array([len(x) for x in ids], pa.int64())
-                hashed = pa.array([hashlib.sha256(x.astype("<u4").tobytes()).hexdigest() for x in ids], pa.string())
-                decoded = pa.array([hashlib.sha256(x.decode("utf-8", errors="replace").encode("utf-8")).hexdigest() for x in back], pa.string())
-                yield pa.RecordBatch.from_arrays([*(batch.column(c).slice(lo, len(ids)) for c in keep), counts, hashed, decoded], [*keep, "n_tokens", "ids_sha256", "decoded_sha256"])
+                columns = [batch.column(c).slice(lo, len(ids)) for c in keep]
+                columns.append(pa.array([len(x) for x in ids], pa.int64()))
+                columns.append(pa.array([hashlib.sha256(x.astype("<u4").tobytes()).hexdigest() for x in ids], pa.string()))
+                columns.append(pa.array([hashlib.sha256(x.decode("utf-8", errors="replace").encode("utf-8")).hexdigest() for x in back], pa.string()))
+                if with_ids:
+                    columns.append(pa.ListArray.from_arrays(pa.array(offsets_of([len(x) for x in ids]), pa.int32()), pa.array(np.concatenate(ids), pa.int32())))
+                yield pa.RecordBatch.from_arrays(columns, schema.names)
 
     return picked.mapInArrow(run, schema)
