@@ -16,9 +16,8 @@ A NULL id, text, language or source is carried along as the operators' docstring
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from loanmart.llm.bpe import encode
+from loanmart.llm.bpe import encode_digests
 from loanmart.llm.common import materialize, read_table, ship_package
 from loanmart.llm.decontamination import cut
 from loanmart.llm.jaccard import keep_one
@@ -49,7 +48,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ship_package(spark)
-    return encode(docs, tokenizer_path()).select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids", F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+    return encode_digests(docs, tokenizer_path(), with_ids=True).select("doc_id", "n_tokens", "ids", "decoded_sha256")
 
 
 STAGES = [
