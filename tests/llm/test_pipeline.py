@@ -1,5 +1,7 @@
 """The pipeline's stages on planted rows, and the whole of it on the smallest tables."""
 
+from pyspark.sql import functions as F
+
 import corpus_pipeline as P
 from loanmart.llm import decontamination, jaccard, quality
 from loanmart.session import materialize
@@ -36,3 +38,19 @@ def test_stages_take_odd_and_empty_rows(spark):
         for name, stage in P.STAGES:
             now = materialize(stage(spark, now, SF_SMALL), "pipeline-odd")
         assert now.columns == ["doc_id", "n_tokens", "ids", "decoded_sha256"] and now.count() <= len(data)
+
+
+def test_clashing_columns_pass_all_stages(spark):
+    names = ["_id", "_hash", "_tie", "_text", "_y", "hash", "row", "key", "kept", "selected", "spans", "component"]
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
+    plain, now = docs, docs
+    for k, n in enumerate(names):
+        now = now.withColumn(n, F.concat(F.lit(f"{k}-"), F.col("doc_id").cast("string")))
+    wide = now.columns
+    for name, stage in P.STAGES:
+        plain, now = (materialize(stage(spark, d, SF_SMALL), "pipeline-clash") for d in (plain, now))
+        rows = lambda d: sorted(map(tuple, d.select(*plain.columns).drop("ids").collect()), key=str)
+        assert rows(now) == rows(plain), name
+        if name != "tokens":
+            assert now.columns == wide
+            assert all(r[n] == f"{k}-{r.doc_id}" for r in now.collect() for k, n in enumerate(names))
