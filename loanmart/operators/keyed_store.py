@@ -17,8 +17,10 @@ every part the rows whose key no later part has, which is the merge of
 (:mod:`loanmart.operators.published`): readers see a merge or a compaction as a whole
 or not at all.
 
-Size ``buckets`` so that a bucket of the whole table is about a gigabyte. It is fixed
-when the table is created.
+``buckets`` is the least number of buckets. A table that is written whole (its first
+merge, a refresh, a compaction) gets as many as its rows need, and a table whose buckets
+have outgrown their size is compacted into more before the next merge: what one task
+holds does not grow with the table.
 """
 
 from __future__ import annotations
@@ -33,6 +35,11 @@ from pyspark.sql import functions as F
 
 from loanmart.operators.published import publish, published
 from loanmart.operators.upsert import guard_unique
+from loanmart.session import materialize
+
+# Rows of a bucket when a table is written whole. It may grow to twice as many before the
+# table is dealt anew, into buckets of half as many.
+BUCKET_ROWS = 500_000
 
 
 class KeyedStore:
@@ -43,6 +50,7 @@ class KeyedStore:
         self.version, state = published(spark, self.root)
         self.parts: list[str] = state["parts"] if state else []
         self.buckets: int = state["buckets"] if state else buckets
+        self.rows: int = state.get("rows", 0) if state else 0  # of all parts, replaced ones included
         self.merges: int = state["merges"] if state else 0  # merges and refreshes so far
         self.extra: dict = state.get("extra", {}) if state else {}  # what the last writer noted with its state
         if state and state["keys"] != self.keys:
@@ -73,9 +81,21 @@ class KeyedStore:
          .option("path", f"{self.root}/parts/{name}").saveAsTable(table))
         return name
 
-    def _publish(self, parts: list[str], merges: int, extra: dict) -> None:
-        publish(self.spark, self.root, self.version + 1, {"parts": parts, "keys": self.keys, "buckets": self.buckets, "merges": merges, "extra": extra})
-        self.version, self.parts, self.merges, self.extra = self.version + 1, parts, merges, extra
+    def _publish(self, parts: list[str], merges: int, extra: dict, rows: int) -> None:
+        publish(self.spark, self.root, self.version + 1,
+                {"parts": parts, "keys": self.keys, "buckets": self.buckets, "rows": rows, "merges": merges, "extra": extra})
+        self.version, self.parts, self.merges, self.extra, self.rows = self.version + 1, parts, merges, extra, rows
+
+    def _write_whole(self, df: DataFrame, rows: int, spare: int = 1) -> str:
+        """Write the only part of the table, with ``spare`` times the buckets its rows need."""
+        self.buckets = max(self.buckets, -(-rows * spare // BUCKET_ROWS))
+        return self._write(df)
+
+    def _make_room(self, rows: int) -> None:
+        """Compact before a part of so many rows if there are too many parts or too few buckets."""
+        outgrown = self.rows + rows > 2 * BUCKET_ROWS * self.buckets
+        if outgrown or len(self.parts) >= self.max_parts:
+            self.compact(rows if outgrown else None)
 
     # --- readers and writers ------------------------------------------------------
     def exists(self) -> bool:
@@ -96,18 +116,29 @@ class KeyedStore:
 
     def merge(self, batch: DataFrame, extra: dict | None = None) -> None:
         """Merge a batch by key; ``extra`` is published with it."""
-        if len(self.parts) >= self.max_parts:
-            self.compact()
-        self._publish([*self.parts, self._write(guard_unique(batch, self.keys))], self.merges + 1, extra or {})
+        self.merge_written(materialize(guard_unique(batch, self.keys), "keyed_batch"), extra)
+
+    def merge_written(self, batch: DataFrame, extra: dict | None = None) -> None:
+        """Merge a batch that is a written table (counting its rows is cheap) without repeated keys."""
+        rows = batch.count()
+        if not self.parts:
+            return self._publish([self._write_whole(batch, rows)], self.merges + 1, extra or {}, rows)
+        self._make_room(rows)
+        self._publish([*self.parts, self._write(batch)], self.merges + 1, extra or {}, self.rows + rows)
 
     def replace(self, rows: DataFrame, extra: dict | None = None) -> None:
         """Full refresh: the rows are the whole table."""
-        self._publish([self._write(guard_unique(rows, self.keys))], self.merges + 1, extra or {})
-
-    def compact(self) -> None:
-        """Fold all parts into one; the table's rows stay what they are."""
-        if len(self.parts) > 1:
-            self._publish([self._write(self.read())], self.merges, self.extra)
+        written = materialize(guard_unique(rows, self.keys), "keyed_batch")
+        n = written.count()
+        self._publish([self._write_whole(written, n)], self.merges + 1, extra or {}, n)
+
+    def compact(self, room: int | None = None) -> None:
+        """Fold all parts into one; the table's rows stay what they are. With ``room`` the
+        buckets are made for so many rows more, and filled by half."""
+        if len(self.parts) > 1 or room is not None and self.parts:
+            whole = self.read()
+            part = self._write_whole(whole, self.rows) if room is None else self._write_whole(whole, self.rows + room, 2)
+            self._publish([part], self.merges, self.extra, self._part(part).count())
 
     def max_value(self, column: str):
         """Greatest value of a column (one scalar), or None for an empty table."""

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loanmart.operators.keyed_store import KeyedStore
-from loanmart.session import materialize
+from loanmart.session import dealt, materialize
 
 PRINT, BATCH = "key_print", "batch"
 
@@ -52,24 +52,30 @@ class UniqueKeys(KeyedStore):
         ``older(names)`` reads the rows of the named earlier batches. A batch that was checked
         before under this name is not checked against itself, nor noted again.
         """
-        own = batch.groupBy(*self.columns).agg(F.count(F.lit(1)).alias("n_records"), F.first(F.xxhash64(*self.columns)).alias(PRINT))
-        own = materialize(own, "batch_keys")
-        suspects = self._suspects(own.select(PRINT).distinct())
+        printed = batch.select(*self.columns, F.xxhash64(*self.columns).alias(PRINT))
+        own = dealt(printed, batch.count(), PRINT).groupBy(PRINT, *self.columns).agg(F.count(F.lit(1)).alias("n_records"))
+        own = materialize(own.select(*self.columns, "n_records", PRINT), "batch_keys")
+        n_own = own.count()
+        suspects = self._suspects(own.select(PRINT))
         again, total = False, own
         if suspects is not None:
             names = {r[0] for r in suspects.select(BATCH).distinct().collect()}  # at most one for each batch
             again = name in names
             names.discard(name)
             if names:
-                doubtful = own.join(suspects.where(F.col(BATCH) != name), PRINT, "left_semi").select(*self.columns)
-                rows = older(sorted(names)).select(*self.columns)
-                before = rows.join(doubtful, _same(rows, doubtful, self.columns), "left_semi").groupBy(*self.columns).agg(F.count(F.lit(1)).alias("n_before"))
-                met = own.join(before, _same(own, before, self.columns), "left")
+                # all joins by fingerprint: the keys that share one are few
+                met_prints = suspects.where(F.col(BATCH) != name).select(PRINT)
+                doubtful = materialize(dealt(own, n_own, PRINT).join(dealt(met_prints, n_own, PRINT), PRINT, "left_semi").select(PRINT, *self.columns), "doubtful")
+                rows = older(sorted(names)).select(*self.columns, F.xxhash64(*self.columns).alias(PRINT))
+                most = max(self.rows, n_own)
+                rows = dealt(rows, most, PRINT)
+                before = rows.join(dealt(doubtful, most, PRINT), (rows[PRINT] == doubtful[PRINT]) & _same(rows, doubtful, self.columns), "left_semi")
+                before = before.groupBy(PRINT, *self.columns).agg(F.count(F.lit(1)).alias("n_before"))
+                mine = dealt(own, most, PRINT)
+                met = mine.join(before, (own[PRINT] == before[PRINT]) & _same(own, before, self.columns), "left")
                 total = met.select(*[own[c] for c in self.columns], (own["n_records"] + F.coalesce(before["n_before"], F.lit(0))).alias("n_records"))
         out = materialize(total.where("n_records > 1").select(*self.columns, "n_records"), "repeated_keys")
         if not again:
-            if len(self.parts) >= self.max_parts:
-                self.compact()
-            part = self._write(own.select(PRINT, F.lit(name).alias(BATCH)).distinct())
-            self._publish([*self.parts, part], self.merges + 1, {})
+            # keys that share a fingerprint leave it once each: a part may repeat a print
+            self.merge_written(own.select(PRINT, F.lit(name).alias(BATCH)))
         return out
