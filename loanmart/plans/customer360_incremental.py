@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loanmart.operators.keyed_store import KeyedStore
+from loanmart.operators.upsert import guard_unique
 from loanmart.session import materialize
 
 PAIR = "struct<dpd:bigint,severity:bigint>"
@@ -78,12 +79,12 @@ class PaymentTotals:
             return self.rebuild()
         if self.totals.extra.get("facts") != self.facts.merges:
             self.rebuild()
-        staged = materialize(batch, "totals_batch")
+        staged = materialize(guard_unique(batch, self.facts.keys), "totals_batch")
         gone = self.facts.read().join(staged.select("payment_id"), "payment_id", "left_semi")
         delta = added_up(changes(staged, 1).unionByName(changes(gone, -1)))
         changed = materialize(merged(self.totals.read(), delta), "totals_changed")
-        self.facts.merge(staged)
-        self.totals.merge(changed, {"facts": self.facts.merges})
+        self.facts.merge_written(staged)
+        self.totals.merge_written(changed, {"facts": self.facts.merges})
         return changed
 
     def summary(self) -> DataFrame:
