@@ -24,10 +24,6 @@ from loanmart.session import dealt, materialize
 PRINT, BATCH = "key_print", "batch"
 
 
-def _same(a: DataFrame, b: DataFrame, keys: Sequence[str]):
-    return reduce(lambda x, y: x & y, [a[k].eqNullSafe(b[k]) for k in keys])
-
-
 class UniqueKeys(KeyedStore):
     """Fingerprints of the batches checked so far, under ``root``."""
 
@@ -63,17 +59,14 @@ class UniqueKeys(KeyedStore):
             again = name in names
             names.discard(name)
             if names:
-                # all joins by fingerprint: the keys that share one are few
-                met_prints = suspects.where(F.col(BATCH) != name).select(PRINT)
-                doubtful = materialize(dealt(own, n_own, PRINT).join(dealt(met_prints, n_own, PRINT), PRINT, "left_semi").select(PRINT, *self.columns), "doubtful")
+                # met by fingerprint alone, then grouped by the keys, so NULLs meet too
+                met = suspects.where(F.col(BATCH) != name).select(PRINT)
                 rows = older(sorted(names)).select(*self.columns, F.xxhash64(*self.columns).alias(PRINT))
                 most = max(self.rows, n_own)
-                rows = dealt(rows, most, PRINT)
-                before = rows.join(dealt(doubtful, most, PRINT), (rows[PRINT] == doubtful[PRINT]) & _same(rows, doubtful, self.columns), "left_semi")
-                before = before.groupBy(PRINT, *self.columns).agg(F.count(F.lit(1)).alias("n_before"))
-                mine = dealt(own, most, PRINT)
-                met = mine.join(before, (own[PRINT] == before[PRINT]) & _same(own, before, self.columns), "left")
-                total = met.select(*[own[c] for c in self.columns], (own["n_records"] + F.coalesce(before["n_before"], F.lit(0))).alias("n_records"))
+                rows = dealt(rows, most, PRINT).join(dealt(met, most, PRINT), PRINT, "left_semi")
+                both = own.withColumn("own", F.lit(True)).unionByName(rows.withColumn("n_records", F.lit(1).cast("bigint")).withColumn("own", F.lit(False)))
+                total = dealt(both, most + n_own, PRINT).groupBy(PRINT, *self.columns).agg(F.sum("n_records").alias("n_records"), F.max("own").alias("own"))
+                total = total.where("own")
         out = materialize(total.where("n_records > 1").select(*self.columns, "n_records"), "repeated_keys")
         if not again:
             # keys that share a fingerprint leave it once each: a part may repeat a print
