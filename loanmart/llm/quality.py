@@ -21,7 +21,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loanmart.llm.common import LOWER, NOT_SPACE, crc_bucket, materialize, mix, offsets_of, one_text, run_hashes, schema_with, span_hashes, text_blocks, word_spans
@@ -164,6 +164,19 @@ def fit(docs: DataFrame, ratings: DataFrame, rows_per_grade: int = ROWS_PER_GRAD
     return np.array(model["w"], np.float32), np.array(model["theta"]), values
 
 
+def _graded(texts: pa.Array, model, keep_grade: float):
+    """(first row, end row, expected grade, tail probability, selected) of row ranges of texts."""
+    w, theta, values = model
+    for lo, hi, data, offsets in text_blocks(texts):
+        row, feature, value = features(data, offsets)
+        m = np.bincount(row, weights=w[feature] * value, minlength=hi - lo)
+        above = 1 / (1 + np.exp(np.clip(theta[None, :] - m[:, None], -40, 40)))  # P(grade > k)
+        expected = values[0] + (above * np.diff(values)[None, :]).sum(axis=1)
+        k = int(np.searchsorted(values, keep_grade))
+        tail = np.ones(hi - lo) if k == 0 else np.zeros(hi - lo) if k == len(values) else above[:, k - 1]
+        yield lo, hi, expected, tail, tail >= KEEP_SHARE if len(theta) else np.ones(hi - lo, bool)
+
+
 def score(docs: DataFrame, model, keep: tuple[str, ...] = ("doc_id",), text: str = "text", keep_grade: float = KEEP_GRADE) -> DataFrame:
     """``keep`` columns, expected_grade, tail_probability (of a grade >= keep_grade) and selected."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
@@ -171,21 +184,24 @@ def score(docs: DataFrame, model, keep: tuple[str, ...] = ("doc_id",), text: str
     schema = schema_with(picked.drop("_text"), "expected_grade double, tail_probability double, selected boolean")
 
     def run(batches):
-        w, theta, values = shared.value
         for batch in batches:
-            for lo, hi, data, offsets in text_blocks(batch.column("_text")):
-                row, feature, value = features(data, offsets)
-                m = np.bincount(row, weights=w[feature] * value, minlength=hi - lo)
-                above = 1 / (1 + np.exp(np.clip(theta[None, :] - m[:, None], -40, 40)))  # P(grade > k)
-                expected = values[0] + (above * np.diff(values)[None, :]).sum(axis=1)
-                k = int(np.searchsorted(values, keep_grade))
-                tail = np.ones(hi - lo) if k == 0 else np.zeros(hi - lo) if k == len(values) else above[:, k - 1]
-                selected = tail >= KEEP_SHARE if len(theta) else np.ones(hi - lo, bool)
+            for lo, hi, expected, tail, selected in _graded(batch.column("_text"), shared.value, keep_grade):
                 yield pa.RecordBatch.from_arrays([*(batch.column(c).slice(lo, hi - lo) for c in keep), pa.array(expected, pa.float64()), pa.array(tail, pa.float64()), pa.array(selected)], [*keep, "expected_grade", "tail_probability", "selected"])
 
     return picked.mapInArrow(run, schema)
 
 
+def selects(spark: SparkSession, model, keep_grade: float = KEEP_GRADE):
+    """Column function that says of a text whether the classifier selects it."""
+    shared = spark.sparkContext.broadcast(model)
+
+    @F.arrow_udf("boolean")
+    def selected(texts: pa.Array) -> pa.Array:
+        return pa.array(np.concatenate([np.zeros(0, bool), *(part[-1] for part in _graded(texts, shared.value, keep_grade))]))
+
+    return selected
+
+
 def grade_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """Grades of all documents, learnt from those whose crc32 modulo 5 is not 1 (held_out)."""
     ids = docs.select("doc_id", "text", (crc_bucket("doc_id", 5) == 1).alias("held_out"))
@@ -195,8 +211,5 @@ def grade_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
 def keep_selected(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The documents that the classifier selects, with their columns; learnt from all ratings."""
     model = fit(docs, grades_of(labels))
-    hashed = F.xxhash64("text")
-    scored = score(docs.select("doc_id", hashed.alias("hash"), "text"), model, ("doc_id", "hash"))
-    # only the rejects' ids leave the scoring; rows of one id and text share its fate
-    gone = materialize(scored.where("not selected").select(F.col("doc_id").alias("_id"), F.col("hash").alias("_hash")).distinct(), "quality-rejects")
-    return docs.join(gone, docs["doc_id"].eqNullSafe(gone["_id"]) & (hashed == gone["_hash"]), "left_anti")
+    # a filter: only texts go to the classifier and only flags come back, no row is shuffled
+    return docs.where(selects(docs.sparkSession, model)("text"))

@@ -73,6 +73,16 @@ def test_odd_rows(spark):
     assert keep_selected(docs, none).count() == len(ODD)
 
 
+def test_keeping_selected_rows_joins_nothing(spark, capsys):
+    docs = spark.read.parquet(f"{SF_MID}/documents.parquet")
+    kept = keep_selected(docs, spark.read.parquet(f"{SF_MID}/labels.parquet"))
+    assert 0 < kept.count() < docs.count()
+    capsys.readouterr()
+    kept.explain()
+    plan = capsys.readouterr().out
+    assert "ArrowEvalPython" in plan and "Join" not in plan and "Exchange" not in plan
+
+
 def test_language_of_held_texts(spark):
     docs = spark.read.parquet(f"{SF_MID}/documents.parquet").collect()
     # a few documents declare a wrong language, come from odd sources, or declare none
