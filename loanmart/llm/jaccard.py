@@ -14,9 +14,10 @@ made in two levels.
    components meet: the region splits into Voronoi cells of pivots in Hamming space (parity
    bitmaps, whose distance is at most the size of the sets' symmetric difference), sets within
    the triangle inequality's window of a cell's border are replicated into it, and cells split
-   again until they are small. Pairs that the bitmaps don't rule out are compared exactly: first
-   only as many as could join a region's components, round after round while that finds links,
-   then all that are still apart.
+   again until they are small. Pairs that the bitmaps don't rule out are compared exactly: those
+   of small regions all at once; of large ones first only as many as could join a region's
+   components, round after round while that links enough of them, then all that are still apart.
+   Rounds only take along the regions that still have several components.
 
 Equal sets are one class from the start, so copies are never compared. Every set pair at or
 over the threshold is linked or in one component already; nothing is capped or sampled.
@@ -44,11 +45,22 @@ BLOCK_MEMBERS = 2048
 SMALL_REGION = 32
 #: Cells of at most so many members are compared directly; pivots of a larger one.
 LEAF, PIVOTS = 64, 8
+#: Rounds that compare few pairs end when fewer than one pair in so many is linked; the rest is then
+#: compared in full, so this only says when that is done.
+ROUND_MISSES = 4
 #: Bits of the filter that says which sets a comparison needs.
 FILTER_BITS = 1 << 22
 SHARD_BYTES = 4 << 20
 
 
+def owners_sorted(order: np.ndarray, owner: np.ndarray) -> np.ndarray:
+    """``order`` sorted by owner; entries of one owner keep their turn."""
+    own = owner[order]
+    if len(own) and own.max() < 1 << 16:
+        own = own.astype(np.uint16)  # sorted by digits
+    return order[np.argsort(own, kind="stable")]
+
+
 def shingle_sets(data: np.ndarray, offsets: np.ndarray, width: int = WIDTH) -> tuple[np.ndarray, np.ndarray]:
     """Distinct shingle hashes of every row, one row after the other, and the row of each.
 
@@ -72,7 +84,7 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray, width: int = WIDTH) -> t
         hashes.append(h)
         owner.append(at)
     hashes, owner = np.concatenate(hashes), np.concatenate(owner)
-    order = np.lexsort((hashes, owner))
+    order = owners_sorted(np.argsort(hashes), owner)
     hashes, owner = hashes[order], owner[order]
     new = np.ones(len(hashes), bool)
     new[1:] = (hashes[1:] != hashes[:-1]) | (owner[1:] != owner[:-1])
@@ -148,7 +160,7 @@ def memberships(docs: DataFrame, width: int = WIDTH) -> DataFrame:
             if len(value):
                 at = np.minimum(np.searchsorted(value, hashes), len(value) - 1)
                 rank = np.where(value[at] == hashes, count[at], 0)
-            order = np.lexsort((hashes, rank, owner))
+            order = owners_sorted(np.argsort(rank, kind="stable"), owner)  # hashes ascend already
             sizes = np.diff(cut)
             place = np.arange(len(hashes)) - cut[owner]  # after sorting; owners stay in place
             once = np.zeros(hi - lo, bool)
@@ -307,51 +319,33 @@ def region_pairs(key, component, size, place, bitmaps, part, forest: bool) -> np
     return np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], axis=1), axis=0)
 
 
-def prune(edges: DataFrame, classes: DataFrame, forest: bool = False) -> DataFrame:
-    """Edges (a, b) that the bitmaps of both classes don't rule out.
-
-    ``forest``: with the ends' components in (ca, cb), a task only keeps those that join
-    components which its earlier ones have not.
-    """
+def prune(edges: DataFrame, classes: DataFrame) -> DataFrame:
+    """Edges (a, b) that the bitmaps of both classes don't rule out."""
     left = classes.select(F.col("key").alias("a"), F.col("n_shingles").alias("na"), F.col("bitmap").alias("ba"))
     right = classes.select(F.col("key").alias("b"), F.col("n_shingles").alias("nb"), F.col("bitmap").alias("bb"))
 
     def run(batches):
-        parent: dict[int, int] = {}
-
-        def top(k):
-            while parent.setdefault(k, k) != k:
-                parent[k] = parent[parent[k]]
-                k = parent[k]
-            return k
-
         for batch in batches:
             na, nb = batch.column("na").to_numpy(), batch.column("nb").to_numpy()
             ok = 4 * np.minimum(na, nb) >= 3 * np.maximum(na, nb)
-            ends = [batch.column(c).to_numpy() for c in ("ca", "cb")] if forest else None
             for i in np.flatnonzero(ok).tolist():
                 x, y = (np.frombuffer(batch.column(c)[i].as_buffer(), np.uint64)[None, :] for c in ("ba", "bb"))
                 w = min(x.shape[1], y.shape[1])
                 ok[i] = 7 * int(np.bitwise_count(_fold(x, w) ^ _fold(y, w)).sum()) <= na[i] + nb[i]
-                if ok[i] and forest:
-                    p, q = top(int(ends[0][i])), top(int(ends[1][i]))
-                    ok[i] = p != q
-                    parent[p] = q
             kept = batch.filter(pa.array(ok))
             yield pa.RecordBatch.from_arrays([kept.column("a"), kept.column("b")], ["a", "b"])
 
-    parts = ["ca", "cb"] if forest else []
-    return edges.join(right, "b").join(left, "a").select("a", "b", "na", "nb", "ba", "bb", *parts).mapInArrow(run, "a long, b long")
+    return edges.join(right, "b").join(left, "a").select("a", "b", "na", "nb", "ba", "bb").mapInArrow(run, "a long, b long")
 
 
 def small_region_pairs(batches):
-    """Pairs (a, b) with their components (ca, cb) from rows sorted by shingle."""
+    """Pairs (a, b) of different components from rows sorted by shingle."""
     names = ("shingle", "key", "component", "n", "place")
     held = [np.zeros(0, np.int64)] * len(names)
 
     def pairs(cols):
         s, key, part, n, place = cols
-        found = [np.zeros((0, 4), np.int64)]
+        found = [np.zeros((0, 2), np.int64)]
         for lag in range(1, SMALL_REGION):
             i, j = np.arange(max(0, len(s) - lag)), np.arange(lag, max(lag, len(s)))
             same = s[i] == s[j]
@@ -361,9 +355,9 @@ def small_region_pairs(batches):
             i, j = i[ok], j[ok]
             less = key[i] < key[j]
             i, j = np.where(less, i, j), np.where(less, j, i)
-            found.append(np.stack([key[i], key[j], part[i], part[j]], axis=1))
+            found.append(np.stack([key[i], key[j]], axis=1))
         out = np.unique(np.concatenate(found), axis=0)
-        return pa.RecordBatch.from_arrays([pa.array(out[:, k], pa.int64()) for k in range(4)], ["a", "b", "ca", "cb"])
+        return pa.RecordBatch.from_arrays([pa.array(out[:, k], pa.int64()) for k in range(2)], ["a", "b"])
 
     for batch in batches:
         cols = [np.concatenate([h, batch.column(c).to_numpy().astype(np.int64)]) for h, c in zip(held, names)]
@@ -376,20 +370,20 @@ def small_region_pairs(batches):
     yield pairs(held)
 
 
-def _filter_places(key: np.ndarray, row: np.ndarray) -> np.ndarray:
-    h = mix(key.astype(np.uint64) ^ mix(row.astype(np.uint64)))
-    return (h & np.uint64(FILTER_BITS - 1)).astype(np.int64)
+def _filter_places(row: np.ndarray) -> np.ndarray:
+    return (mix(row.astype(np.uint64)) & np.uint64(FILTER_BITS - 1)).astype(np.int64)
 
 
 def sets_of(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
     """(key, shingles) of the wanted classes (key, row): ``row`` names the document to take them from.
 
-    A filter of fixed size tells tasks which documents' sets to send on.
+    A filter of fixed size tells tasks which documents to cut into shingles; the others' texts are
+    not looked at.
     """
 
     def places(batches):
         for batch in batches:
-            at = np.unique(_filter_places(batch.column("key").to_numpy().view(np.uint64), batch.column("row").to_numpy().view(np.uint64)))
+            at = np.unique(_filter_places(batch.column("row").to_numpy().view(np.uint64)))
             yield pa.RecordBatch.from_arrays([pa.array([at.tolist()], pa.list_(pa.int32()))], ["at"])
 
     def union(batches):
@@ -404,9 +398,10 @@ def sets_of(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
 
     def run(batches):
         bits = np.unpackbits(np.frombuffer(shared.value, np.uint8)).astype(bool)
-        for batch, lo, hi, hashes, _, cut, keys in _shards(batches, "text", width):
+        chosen = (batch.filter(pa.array(bits[_filter_places(batch.column("row").to_numpy().view(np.uint64))])) for batch in batches)
+        for batch, lo, hi, hashes, _, cut, keys in _shards(chosen, "text", width):
             row = batch.column("row").slice(lo, hi - lo).to_numpy().view(np.uint64)
-            use = np.flatnonzero(bits[_filter_places(keys, row)] & (np.diff(cut) > 0))
+            use = np.flatnonzero(np.diff(cut) > 0)
             lists = [hashes[cut[i] : cut[i + 1]].view(np.int64) for i in use.tolist()]
             flat = pa.array(np.concatenate(lists) if lists else np.zeros(0, np.int64), pa.int64())
             shingles = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum([len(x) for x in lists])]), pa.int32()), flat)
@@ -445,19 +440,29 @@ def components(edges: DataFrame) -> DataFrame:
     return stars.select(F.col("u").alias("key"), F.col("v").alias("component")).unionByName(stars.select(F.col("v").alias("key"), F.col("v").alias("component")).distinct())
 
 
-def cross_pairs(members: DataFrame, classes: DataFrame, labels: DataFrame, forest: bool = False) -> DataFrame:
-    """Pairs of different components that meet in a region and may be linked.
+def mixed_regions(members: DataFrame, labels: DataFrame) -> DataFrame:
+    """Members of the regions of several components, their components and the region's number of members.
 
-    ``forest``: of each region only as many as could join its components.
+    Components only grow, so a region left out here is never needed again.
     """
     named = members.select("shingle", "key", "n", "place").join(labels, "key", "left").withColumn("component", F.coalesce("component", "key"))
-    mixed = (named.groupBy("shingle").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count(F.lit(1)).alias("members")).where("lo <> hi")
-             .select("shingle", "members", F.ceil(F.col("members") / BLOCK_MEMBERS).cast("int").alias("blocks")))
-    chosen = named.join(mixed, "shingle")
-    small = (chosen.where(F.col("members") <= SMALL_REGION).select("shingle", "key", "component", "n", "place")
-             .repartition("shingle").sortWithinPartitions("shingle").mapInArrow(small_region_pairs, "a long, b long, ca long, cb long")
-             .dropDuplicates(["a", "b"]))
-    chosen = chosen.where(F.col("members") > SMALL_REGION).drop("members")
+    mixed = named.groupBy("shingle").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count(F.lit(1)).alias("members")).where("lo <> hi")
+    return named.join(mixed.select("shingle", "members"), "shingle").select("shingle", "key", "n", "place", "component", "members")
+
+
+def small_pairs(mixed: DataFrame, classes: DataFrame) -> DataFrame:
+    """All pairs of different components that meet in a small region of :func:`mixed_regions` and may be linked."""
+    rows = mixed.where(F.col("members") <= SMALL_REGION).select("shingle", "key", "component", "n", "place")
+    pairs = rows.repartition("shingle").sortWithinPartitions("shingle").mapInArrow(small_region_pairs, "a long, b long")
+    return prune(pairs.dropDuplicates(["a", "b"]), classes)
+
+
+def large_pairs(mixed: DataFrame, classes: DataFrame, forest: bool = False) -> DataFrame:
+    """The same of the other regions.
+
+    ``forest``: of each region only as many as could join its components.
+    """
+    chosen = mixed.where(F.col("members") > SMALL_REGION).withColumn("blocks", F.ceil(F.col("members") / BLOCK_MEMBERS).cast("int"))
     # a member of a region of several blocks goes to every pair of blocks that has its own
     block = F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int")
     dealt = (chosen.withColumn("block", block).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
@@ -498,8 +503,7 @@ def cross_pairs(members: DataFrame, classes: DataFrame, labels: DataFrame, fores
             yield pairs_of(pa.Table.from_batches(held))
 
     dealt = dealt.select("shingle", "pair", "key", "component", "n", "place", "part", "bitmap").repartition("shingle", "pair").sortWithinPartitions("shingle", "pair")
-    large = dealt.mapInArrow(run, "a long, b long").distinct()
-    return prune(small, classes, forest).unionByName(large).distinct()
+    return dealt.mapInArrow(run, "a long, b long").distinct()
 
 
 def near_classes(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), width: int = WIDTH) -> tuple[DataFrame, DataFrame]:
@@ -512,13 +516,22 @@ def near_classes(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), width: in
     stars = members.where("key <> pivot and 4 * least(n, pivot_n) >= 3 * greatest(n, pivot_n)").select(F.col("pivot").alias("a"), F.col("key").alias("b")).distinct()
     first = materialize(linked(materialize(prune(stars, classes), "jaccard-stars"), docs, classes, width), "jaccard-links")
     labels = components(first)
-    while True:  # join components by few pairs, as long as that finds links
-        new = materialize(linked(materialize(cross_pairs(members, classes, labels, True), "jaccard-pairs"), docs, classes, width), "jaccard-links")
-        if new.isEmpty():
+    mixed = materialize(mixed_regions(members, labels), "jaccard-mixed")
+    small = small_pairs(mixed, classes)  # compared in full at once, so later rounds have the large regions only
+    large = mixed.where(F.col("members") > SMALL_REGION)
+    while True:  # join components of large regions by few pairs, as long as that finds enough links
+        few = large_pairs(large, classes, True)
+        pairs = materialize(few if small is None else few.unionByName(small).distinct(), "jaccard-pairs")
+        new = materialize(linked(pairs, docs, classes, width), "jaccard-links")
+        n_pairs, n_new = pairs.count(), new.count()
+        if n_new:
+            labels = materialize(_joined(labels, new), "jaccard-labels")
+            large = materialize(mixed_regions(large, labels), "jaccard-mixed")
+        if n_new * ROUND_MISSES < n_pairs or not n_new:
             break
-        labels = materialize(_joined(labels, new), "jaccard-labels")
+        small = None
     # what is left apart is compared in full
-    last = linked(materialize(cross_pairs(members, classes, labels), "jaccard-pairs"), docs, classes, width)
+    last = linked(materialize(large_pairs(large, classes), "jaccard-pairs"), docs, classes, width)
     return rows, _joined(labels, last)
 
 

@@ -89,6 +89,24 @@ def test_large_regions_split_and_recurse(spark, monkeypatch):
     assert sorted(map(tuple, jaccard_components(df).collect()), key=str) == brute(docs)
 
 
+def test_later_rounds_hold_large_regions_only(spark, monkeypatch):
+    held = []
+    written = jaccard.materialize
+
+    def noted(df, name="stage"):
+        held.append((name, written(df, name)))
+        return held[-1][1]
+
+    monkeypatch.setattr(jaccard, "materialize", noted)
+    monkeypatch.setattr(jaccard, "SMALL_REGION", 4)
+    docs = near_texts(11, 200, 40)
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    assert sorted(map(tuple, jaccard_components(df).collect()), key=str) == brute(docs)
+    first, *later = [df for name, df in held if name == "jaccard-mixed"]
+    assert first.where("members <= 4").count() and first.where("members > 4").count()
+    assert later and not any(df.where("members <= 4").count() for df in later)
+
+
 def test_keep_one_and_empty(spark):
     docs = near_texts(5, 120)
     df = spark.createDataFrame([(i, t, "en", i) for i, t in docs], "doc_id long, text string, lang string, key long")
