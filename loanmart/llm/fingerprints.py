@@ -19,6 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 
 from loanmart.llm.common import offsets_of, schema_with, shuffle_partitions, span_hashes, text_blocks
 
@@ -163,13 +164,14 @@ def with_successor_runs(docs: DataFrame, order: str = "doc_id", text: str = "tex
     rows = rows.withColumn("_tie", F.xxhash64("_text"))
     firsts = {r["run"]: r["first"] for r in rows.groupBy("run").agg(F.min(F.struct("_id", "_tie")).alias("first")).collect()}
     runs = sorted(firsts)
+    # the first row of each run also goes to the run before it; met by a join, so the plan does not grow with the runs
+    before = [(runs[k - 1], r, firsts[r]["_id"], firsts[r]["_tie"]) for k, r in enumerate(runs)]
+    before = spark.createDataFrame(before, StructType([StructField("_before", IntegerType()), StructField("_run", IntegerType()), StructField("_first", rows.schema["_id"].dataType), StructField("_first_tie", LongType())]))
+    is_first = (F.col("run") == F.col("_run")) & F.col("_id").eqNullSafe(F.col("_first")) & (F.col("_tie") == F.col("_first_tie"))
     homes = F.array(F.struct(F.col("run").alias("run"), F.lit(False).alias("guest"), F.lit(0).alias("place")))
-    out = homes
-    for k, r in enumerate(runs):  # the first row of each run also goes to the run before it
-        f = firsts[r]
-        is_first = (F.col("run") == r) & F.col("_id").eqNullSafe(F.lit(f["_id"])) & (F.col("_tie") == F.lit(f["_tie"]))
-        guest = F.struct(F.lit(runs[k - 1]).alias("run"), F.lit(True).alias("guest"), F.lit(1).alias("place"))
-        out = F.when(is_first, F.concat(homes, F.array(guest))).otherwise(out)
+    guest = F.array(F.struct(F.col("_before").alias("run"), F.lit(True).alias("guest"), F.lit(1).alias("place")))
+    out = F.when(F.col("_before").isNull(), homes).otherwise(F.concat(homes, guest))
+    rows = rows.join(F.broadcast(before), is_first, "left")
     return rows.select("_id", "_text", "_tie", F.explode(out).alias("_at")).select("_at.run", "_at.guest", "_at.place", "_id", "_tie", "_text")
 
 

@@ -58,3 +58,19 @@ def test_a_row_does_not_depend_on_its_neighbours():
 
     ends, counts = chunk_ends(np.frombuffer(("y" * 500).encode(), np.uint8), np.array([0, 500]))
     assert ends[-1] == 500 and counts.tolist() == [len(ends)]
+
+
+def test_the_plan_does_not_grow_with_the_runs(spark):
+    from pyspark.sql import functions as F
+
+    df = spark.range(400).select(F.col("id").alias("doc_id"), F.concat(F.lit("text of document "), "id").alias("text"))
+    plan = lambda: len(edited_fingerprints(df)._jdf.queryExecution().analyzed().toString())
+    usual = spark.conf.get("spark.sql.shuffle.partitions")
+    few = plan()
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "97")
+        assert plan() < 2 * few
+        got = {r.doc_id: tuple(r)[1:] for r in edited_fingerprints(df).collect()}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", usual)
+    assert got == dict(enumerate(brute([f"text of document {i}" for i in range(400)])))
