@@ -127,7 +127,7 @@ _POWERS: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """BASE**j and BASE**-j modulo 2**64 for j < n; kept for the next block."""
     if len(_POWERS[0]) < n:
-        n = max(n, BLOCK_BYTES + 1)
+        n = max(n, min(2 * len(_POWERS[0]), BLOCK_BYTES + 1))  # as many as the blocks need
         for k, b in enumerate((BASE, BASE_INV)):
             p = np.full(n, b, np.uint64)
             p[0] = 1

@@ -28,6 +28,8 @@ from loanmart.llm.common import LOWER, NOT_SPACE, crc_bucket, materialize, mix,
 
 BITS = 16
 ROWS_PER_GRADE = 4000
+#: Text bytes whose features are made at once; their arrays take about a hundred times as much.
+SPLIT_BYTES = 1 << 20
 #: Full passes of the optimiser, its step, and the L2 penalty.
 STEPS, STEP, L2 = 300, 0.3, 1e-5
 #: A document is selected when P(grade >= KEEP_GRADE) is at least KEEP_SHARE.
@@ -138,7 +140,7 @@ def fit(docs: DataFrame, ratings: DataFrame, rows_per_grade: int = ROWS_PER_GRAD
 
     def extract(batches):
         for batch in batches:
-            for lo, hi, data, offsets in text_blocks(batch.column("_text")):
+            for lo, hi, data, offsets in text_blocks(batch.column("_text"), SPLIT_BYTES):
                 row, feature, value = features(data, offsets)
                 cut = pa.array(np.searchsorted(row, np.arange(hi - lo + 1)), pa.int32())
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(lo, hi - lo).cast(pa.string()), batch.column("_y").slice(lo, hi - lo).cast(pa.float64()), pa.ListArray.from_arrays(cut, pa.array(feature, pa.int32())), pa.ListArray.from_arrays(cut, pa.array(value, pa.float32()))], ["id", "y", "feature", "value"])
@@ -167,7 +169,7 @@ def fit(docs: DataFrame, ratings: DataFrame, rows_per_grade: int = ROWS_PER_GRAD
 def _graded(texts: pa.Array, model, keep_grade: float):
     """(first row, end row, expected grade, tail probability, selected) of row ranges of texts."""
     w, theta, values = model
-    for lo, hi, data, offsets in text_blocks(texts):
+    for lo, hi, data, offsets in text_blocks(texts, SPLIT_BYTES):
         row, feature, value = features(data, offsets)
         m = np.bincount(row, weights=w[feature] * value, minlength=hi - lo)
         above = 1 / (1 + np.exp(np.clip(theta[None, :] - m[:, None], -40, 40)))  # P(grade > k)

@@ -1,11 +1,13 @@
 """Toxicity, quality and language: held-out accuracy, learning rules, odd rows."""
 
+import tracemalloc
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
-from loanmart.llm import queries
+from loanmart.llm import quality, queries
 from loanmart.llm.language import identify, keep_identified
 from loanmart.llm.quality import cumulative_link, grade_documents, keep_selected
 from loanmart.llm.toxicity import ftrl, score_documents
@@ -83,6 +85,21 @@ def test_keeping_selected_rows_joins_nothing(spark, capsys):
     assert "ArrowEvalPython" in plan and "Join" not in plan and "Exchange" not in plan
 
 
+def test_grading_a_batch_takes_little_memory():
+    rng = np.random.default_rng(0)
+    texts = pa.array([" ".join(map(str, rng.integers(0, 10**6, 3000).tolist())) for _ in range(400)])  # 8 MB
+    model = rng.normal(size=1 << quality.BITS).astype(np.float32), np.array([0.0]), np.array([0.0, 1.0])
+    tracemalloc.start()
+    try:
+        tails = np.concatenate([part[3] for part in quality._graded(texts, model, 1)])
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < 200 << 20 and len(tails) == 400
+    alone = [next(quality._graded(texts.slice(k, 1), model, 1))[3][0] for k in (0, 57, 399)]
+    assert np.allclose(alone, tails[[0, 57, 399]])
+
+
 def test_language_of_held_texts(spark):
     docs = spark.read.parquet(f"{SF_MID}/documents.parquet").collect()
     # a few documents declare a wrong language, come from odd sources, or declare none
