@@ -338,12 +338,43 @@ def prune(edges: DataFrame, classes: DataFrame) -> DataFrame:
     return edges.join(right, "b").join(left, "a").select("a", "b", "na", "nb", "ba", "bb").mapInArrow(run, "a long, b long")
 
 
+def bit_distances(bitmaps: pa.Array, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Hamming distances of the bitmaps of rows i and j, the longer one folded to the shorter."""
+    offsets = np.frombuffer(bitmaps.buffers()[1], np.int32)[bitmaps.offset : bitmaps.offset + len(bitmaps) + 1]
+    begin, words = offsets[:-1] // 8, np.diff(offsets) // 8
+    data = np.frombuffer(bitmaps.buffers()[2], np.uint64, int(offsets[-1]) // 8)
+    out = np.zeros(len(i), np.int64)
+    least, most = np.minimum(words[i], words[j]), np.maximum(words[i], words[j])
+    for w, v in np.unique(np.stack([least, most], axis=1), axis=0).tolist():
+        at = np.flatnonzero((least == w) & (most == v))
+        for part in np.array_split(at, 1 + len(at) * v // (1 << 20)):  # bounds the arrays of one comparison
+            x, y = i[part], j[part]
+            x, y = np.where(words[x] == w, x, y), np.where(words[x] == w, y, x)
+            short = data[begin[x][:, None] + np.arange(w)]
+            out[part] = np.bitwise_count(short ^ _fold(data[begin[y][:, None] + np.arange(v)], w)).sum(axis=1)
+    return out
+
+
+def sketches(batches):
+    """(key, sketch): each bitmap folded to the power of two at or over 3/4 of its set's size.
+
+    Distances can only shrink. Of sets with little in common they stay near half the bits, over the
+    2/7 of a size that linked ones reach.
+    """
+    for batch in batches:
+        found = []
+        for bitmap, n in zip(batch.column("bitmap"), batch.column("n_shingles").to_pylist()):
+            bits = np.frombuffer(bitmap.as_buffer(), np.uint64)[None, :]
+            found.append(_fold(bits, max(64, 1 << (-(-3 * n // 4) - 1).bit_length()) // 64).tobytes())
+        yield pa.RecordBatch.from_arrays([batch.column("key"), pa.array(found, pa.binary())], ["key", "sketch"])
+
+
 def small_region_pairs(batches):
-    """Pairs (a, b) of different components from rows sorted by shingle."""
+    """Pairs (a, b) of different components that the bitmaps don't rule out, from rows sorted by shingle."""
     names = ("shingle", "key", "component", "n", "place")
-    held = [np.zeros(0, np.int64)] * len(names)
+    held, held_bits = [np.zeros(0, np.int64)] * len(names), pa.array([], pa.binary())
 
-    def pairs(cols):
+    def pairs(cols, bitmaps):
         s, key, part, n, place = cols
         found = [np.zeros((0, 2), np.int64)]
         for lag in range(1, SMALL_REGION):
@@ -353,6 +384,8 @@ def small_region_pairs(batches):
                 break
             ok = (same & (part[i] != part[j]) & (4 * np.minimum(n[i], n[j]) >= 3 * np.maximum(n[i], n[j])) & (7 * (place[i] + place[j]) <= n[i] + n[j]))
             i, j = i[ok], j[ok]
+            near = 7 * bit_distances(bitmaps, i, j) <= n[i] + n[j] if len(i) else np.zeros(0, bool)
+            i, j = i[near], j[near]
             less = key[i] < key[j]
             i, j = np.where(less, i, j), np.where(less, j, i)
             found.append(np.stack([key[i], key[j]], axis=1))
@@ -361,13 +394,15 @@ def small_region_pairs(batches):
 
     for batch in batches:
         cols = [np.concatenate([h, batch.column(c).to_numpy().astype(np.int64)]) for h, c in zip(held, names)]
+        bits = pa.concat_arrays([held_bits, batch.column("sketch").cast(pa.binary())])
         if len(cols[0]):
             ends = np.flatnonzero(cols[0] != cols[0][-1])
             cut = int(ends[-1]) + 1 if len(ends) else 0
             if cut:
-                yield pairs([c[:cut] for c in cols])
-            held = [c[cut:] for c in cols]
-    yield pairs(held)
+                yield pairs([c[:cut] for c in cols], bits.slice(0, cut))
+            held, held_bits = [c[cut:] for c in cols], bits.slice(cut)
+    if len(held[0]):
+        yield pairs(held, held_bits)
 
 
 def _filter_places(row: np.ndarray) -> np.ndarray:
@@ -443,18 +478,21 @@ def components(edges: DataFrame) -> DataFrame:
 def mixed_regions(members: DataFrame, labels: DataFrame) -> DataFrame:
     """Members of the regions of several components, their components and the region's number of members.
 
-    Components only grow, so a region left out here is never needed again.
+    Components only grow, so a region left out here is never needed again; nor is one of two members
+    that can't have this as their first common shingle.
     """
     named = members.select("shingle", "key", "n", "place").join(labels, "key", "left").withColumn("component", F.coalesce("component", "key"))
-    mixed = named.groupBy("shingle").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count(F.lit(1)).alias("members")).where("lo <> hi")
+    facts = F.min("component").alias("lo"), F.max("component").alias("hi"), F.count(F.lit(1)).alias("members"), F.sum("place").alias("places"), F.sum("n").alias("sizes"), F.min("n").alias("least"), F.max("n").alias("most")
+    # two members that cannot be linked here by their sizes or places are left out as well
+    mixed = named.groupBy("shingle").agg(*facts).where("lo <> hi and (members > 2 or (4 * least >= 3 * most and 7 * places <= sizes))")
     return named.join(mixed.select("shingle", "members"), "shingle").select("shingle", "key", "n", "place", "component", "members")
 
 
 def small_pairs(mixed: DataFrame, classes: DataFrame) -> DataFrame:
     """All pairs of different components that meet in a small region of :func:`mixed_regions` and may be linked."""
     rows = mixed.where(F.col("members") <= SMALL_REGION).select("shingle", "key", "component", "n", "place")
-    pairs = rows.repartition("shingle").sortWithinPartitions("shingle").mapInArrow(small_region_pairs, "a long, b long")
-    return prune(pairs.dropDuplicates(["a", "b"]), classes)
+    rows = rows.join(classes.select("key", "n_shingles", "bitmap").mapInArrow(sketches, "key long, sketch binary"), "key").select("shingle", "key", "component", "n", "place", "sketch")
+    return rows.repartition("shingle").sortWithinPartitions("shingle").mapInArrow(small_region_pairs, "a long, b long").distinct()
 
 
 def large_pairs(mixed: DataFrame, classes: DataFrame, forest: bool = False) -> DataFrame:

@@ -3,6 +3,7 @@ import re
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from loanmart.llm import jaccard, queries
@@ -155,3 +156,51 @@ def test_components_of_a_chain(spark):
     edges = [(names[k], names[k + 1]) for k in range(n - 1)] + [(2000, 2001), (2001, 2000), (3000, 3000)]
     got = dict(components(spark.createDataFrame(edges, "a long, b long")).collect())
     assert got == {x: min(names) for x in names} | {2000: 2000, 2001: 2000}
+
+
+def test_small_regions_give_only_pairs_that_may_be_linked():
+    """Members that share one shingle and little else give no pairs, whatever their number."""
+    rng = np.random.default_rng(4)
+
+    def made(n_regions):
+        cols = {c: [] for c in ("shingle", "key", "component", "n", "place", "sketch")}
+        near = set()
+        for s in range(n_regions):
+            base = rng.integers(0, 2**63, 400, dtype=np.uint64)
+            for m in range(8):  # the first two are near
+                own = np.concatenate([base[:360], rng.integers(0, 2**63, 40, dtype=np.uint64)]) if m < 2 else rng.integers(0, 2**63, 400 - m, dtype=np.uint64)
+                for c, v in zip(cols, (s, 8 * s + m, 8 * s + m, len(own), 0, jaccard.parity_bitmap(own))):
+                    cols[c].append(v)
+            near.add((8 * s, 8 * s + 1))
+        batch = pa.RecordBatch.from_pydict(cols)
+        sets = pa.RecordBatch.from_arrays([batch.column("key"), batch.column("n"), batch.column("sketch")], ["key", "n_shingles", "bitmap"])
+        sketch = next(iter(jaccard.sketches([sets]))).column("sketch")
+        assert all(len(x.as_py()) == 64 for x in sketch)
+        return pa.RecordBatch.from_arrays([*batch.columns[:5], sketch], batch.schema.names), near
+
+    batch, near = made(30)
+    for cuts in ([0, 240], [0, 3, 100, 101, 240]):
+        out = [x for b in jaccard.small_region_pairs(batch.slice(a, b - a) for a, b in zip(cuts, cuts[1:])) for x in zip(*(b.column(c).to_pylist() for c in "ab"))]
+        assert sorted(out) == sorted(near)
+
+
+def test_sketches_never_part_linked_sets():
+    rng = np.random.default_rng(5)
+    for n in (1, 3, 7, 20, 64, 85, 86, 130, 341, 342, 700, 1400):
+        a = rng.integers(0, 2**63, n, dtype=np.uint64)
+        b = np.concatenate([a[: n - n // 7], rng.integers(0, 2**63, n // 7, dtype=np.uint64)])
+        c = np.concatenate([a, rng.integers(0, 2**63, n // 3, dtype=np.uint64)])
+        sets = pa.RecordBatch.from_pydict({"key": [1, 2, 3], "n_shingles": [len(a), len(b), len(c)], "bitmap": [jaccard.parity_bitmap(x) for x in (a, b, c)]})
+        sketch = next(iter(jaccard.sketches([sets]))).column("sketch")
+        d = jaccard.bit_distances(sketch, np.array([0, 0]), np.array([1, 2]))
+        for x, y, far in ((a, b, d[0]), (a, c, d[1])):
+            both = len(np.intersect1d(x, y))
+            assert 4 * both < 3 * (len(x) + len(y) - both) or 7 * far <= len(x) + len(y)
+
+
+def test_pairs_that_cannot_be_linked_leave_their_region(spark):
+    rows = [(1, 10, 40, 0), (1, 11, 40, 10), (2, 20, 40, 8), (2, 21, 40, 4), (3, 30, 40, 0), (3, 31, 29, 0), (4, 40, 40, 9), (4, 41, 40, 9), (4, 42, 40, 9)]
+    members = spark.createDataFrame(rows, "shingle long, key long, n int, place int")
+    labels = spark.createDataFrame([], "key long, component long")
+    left = jaccard.mixed_regions(members, labels).select("shingle").distinct().collect()
+    assert sorted(r[0] for r in left) == [1, 4]  # 2: places too far on, 3: sizes too unlike
