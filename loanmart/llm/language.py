@@ -33,6 +33,8 @@ from pyspark.sql import functions as F
 from loanmart.llm.common import ALNUM, LOWER, materialize, run_hashes, schema_with, span_hashes, text_blocks, word_spans
 
 BITS = 16
+#: Text bytes whose features are made at once; their arrays take about sixty times as much.
+SPLIT_BYTES = 1 << 20
 ROWS_PER_LANGUAGE = 2000
 #: Weight of the mean over all languages in a language's share of a feature.
 MEAN_WEIGHT = 0.3
@@ -58,6 +60,12 @@ def features(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
     return np.concatenate([words >> shift, grams >> shift]).astype(np.int64), np.concatenate([row, np.searchsorted(offsets, at, "right") - 1])
 
 
+def feature_blocks(column: pa.Array):
+    """(first row, end row, features, row of each in the block) of row ranges of texts."""
+    for lo, hi, data, offsets in text_blocks(column, SPLIT_BYTES):
+        yield lo, hi, *features(data, offsets)
+
+
 def one_by_one(blocks: list):
     """Blocks of the model in turn; with several, each is let go before the next is loaded."""
     for b in blocks:
@@ -109,8 +117,7 @@ def fit_text(records: DataFrame, known: list[str], rows_per_language: int = ROWS
     def count(batches):
         for batch in batches:
             lang = np.array([number[x] for x in batch.column("declared").to_pylist()], np.int64)
-            for lo, hi, data, offsets in text_blocks(batch.column("text")):
-                feature, row = features(data, offsets)
+            for lo, hi, feature, row in feature_blocks(batch.column("text")):
                 key, n = np.unique((lang[lo:hi][row] << BITS) | feature, return_counts=True)
                 of, first = np.unique(key >> BITS, return_index=True)
                 bounds = pa.array(np.append(first, len(key)), pa.int32())
@@ -154,8 +161,7 @@ def text_evidence(records: DataFrame, blocks: list, keep: tuple[str, ...]) -> Da
 
     def run(batches):
         for batch in batches:
-            for lo, hi, data, offsets in text_blocks(batch.column("text")):
-                feature, row = features(data, offsets)
+            for lo, hi, feature, row in feature_blocks(batch.column("text")):
                 n = np.bincount(row, minlength=hi - lo)
                 sums = [np.bincount(row, weights=table[feature, k], minlength=hi - lo) for table in one_by_one(blocks) for k in range(table.shape[1])]
                 L = len(sums)

@@ -7,7 +7,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from loanmart.llm import quality, queries
+from loanmart.llm import language, quality, queries
 from loanmart.llm.language import identify, keep_identified
 from loanmart.llm.quality import cumulative_link, grade_documents, keep_selected
 from loanmart.llm.toxicity import ftrl, score_documents
@@ -159,3 +159,13 @@ def test_keep_identified_odd_rows(spark):
     assert keep_identified(docs).columns == docs.columns
     assert {r.text for r in keep_identified(docs).collect()} <= {"word", "x " * 60_000}
     assert keep_identified(docs.limit(0)).count() == 0
+
+
+def test_language_features_of_many_texts_take_bounded_memory():
+    rng = np.random.default_rng(7)
+    texts = pa.array(["".join(map(chr, rng.choice([32, *range(97, 123)], 4096))) for _ in range(1024)])
+    tracemalloc.start()
+    rows = sum(hi - lo for lo, hi, _, _ in language.feature_blocks(texts))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert rows == 1024 and peak < 150 << 20
