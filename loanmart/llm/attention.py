@@ -101,30 +101,17 @@ def _by_class(kind: np.ndarray):
             yield int(kind[part[0]]), part
 
 
+def _in_classes(kind: np.ndarray) -> tuple[np.ndarray, list[tuple[int, int, int]]]:
+    """Places of modelled ids, class by class, and (class, begin, end) of those that occur."""
+    order = np.argsort(kind.astype(np.uint8), kind="stable")
+    edges = np.searchsorted(kind[order], np.arange(CLASSES + 1))
+    return order[: edges[-1]], [(c, a, b) for c, (a, b) in enumerate(zip(edges[:-1].tolist(), edges[1:].tolist())) if a < b]
+
+
 class Model:
     def __init__(self, flat: np.ndarray, layout: Layout):
         self.p, self.layout, self.flat = unpack(flat, layout), layout, flat
-
-    def forward(self, rows: np.ndarray, before: np.ndarray, has_before: np.ndarray):
-        """Hidden values (positions, WIDTH) of chunks (B, SPAN) of input rows.
-
-        ``before``: input rows of the chunk before each; used where ``has_before``.
-        """
-        p, B = self.p, len(rows)
-        x = p["E"][np.concatenate([before, rows], axis=1)]  # (B, 2 SPAN, d)
-        flat = x.reshape(-1, WIDTH)
-        k = (flat @ p["Wk"]).reshape(x.shape)
-        v = (flat @ p["Wv"]).reshape(x.shape)
-        own = np.ascontiguousarray(x[:, SPAN:])
-        q = (own.reshape(-1, WIDTH) @ p["Wq"]).reshape(own.shape)
-        s = q @ k.transpose(0, 2, 1) * np.float32(WIDTH**-0.5) + np.where(_SEEN, p["rel"][_REL], np.float32(-1e9))
-        s[~has_before, :, :SPAN] = -1e9
-        s -= s.max(axis=2, keepdims=True)
-        a = np.exp(s, out=s)
-        a /= a.sum(axis=2, keepdims=True)
-        o = a @ v
-        h = np.tanh(own.reshape(-1, WIDTH) @ p["W"] + o.reshape(-1, WIDTH) @ p["Wo"])
-        return h, (x, k, v, q, a, o, own)
+        self.cells = np.arange(layout.n_rows * WIDTH).reshape(-1, WIDTH)
 
     def id_logs(self, rows, has_before, ids: np.ndarray) -> np.ndarray:
         """log P(id) of the target of every position (flat) of successive chunks.
@@ -173,55 +160,85 @@ class Model:
         return np.tanh(h, out=h)
 
     def step(self, rows, before, has_before, ids, real, state: np.ndarray) -> float:
-        """One AdaGrad step on the real positions of some chunks; the mean loss before it."""
-        p, layout = self.p, self.layout
-        h, (x, k, v, q, a, o, own) = self.forward(rows, before, has_before)
+        """One AdaGrad step on the real positions of some chunks; the mean loss before it.
+
+        ``before``: input rows of the chunk before each; used where ``has_before``.
+        """
+        p, layout, B, n = self.p, self.layout, len(rows), len(ids)
+        scale, both = np.float32(WIDTH**-0.5), np.concatenate([p["Wk"], p["Wv"]], axis=1)
+        given = np.concatenate([before, rows], axis=1)
+        x = p["E"].take(given.ravel(), axis=0)
+        kv = (x @ both).reshape(B, 2 * SPAN, 2 * WIDTH)
+        k, v = np.ascontiguousarray(kv[:, :, :WIDTH]), np.ascontiguousarray(kv[:, :, WIDTH:])
+        own = np.ascontiguousarray(x.reshape(B, 2 * SPAN, WIDTH)[:, SPAN:]).reshape(-1, WIDTH)
+        q = (own @ (p["Wq"] * scale)).reshape(B, SPAN, WIDTH)
+        a = q @ k.transpose(0, 2, 1)
+        a += np.where(_SEEN, p["rel"][_REL], np.float32(-1e9))
+        a[~has_before, :, :SPAN] = -1e9
+        if a.max() > 60:  # else the exponentials are safe as they are
+            a -= a.max(axis=2, keepdims=True)
+        np.exp(a, out=a)
+        a *= 1 / (a @ np.ones((2 * SPAN, 1), np.float32))
+        o = (a @ v).reshape(-1, WIDTH)
+        h = np.ones((n, WIDTH + 1), np.float32)  # the last column goes with the intercepts
+        np.tanh(own @ p["W"] + o @ p["Wo"], out=h[:, :WIDTH])
         kind, weight = layout.kind[ids], (real / max(1, real.sum())).astype(np.float32)
-        z = h @ p["U"] + p["b"]
-        z -= z.max(axis=1, keepdims=True)
-        e = np.exp(z)
-        e /= e.sum(axis=1, keepdims=True)
-        at = np.arange(len(z))
-        logs = np.log(np.maximum(e[at, kind], 1e-30))
-        e[at, kind] -= 1
-        e *= weight[:, None]
-        g = {"U": h.T @ e, "b": e.sum(axis=0), "M": np.zeros_like(p["M"]), "c": np.zeros_like(p["c"])}
-        dh = e @ p["U"].T
-        for c, at in _by_class(kind):
-            if c < CLASSES:
-                m = h[at] @ p["M"][c] + p["c"][c]
-                m -= m.max(axis=1, keepdims=True)
-                m = np.exp(m)
-                m /= m.sum(axis=1, keepdims=True)
-                i, t = np.arange(len(at)), layout.member[ids[at]]
-                logs[at] += np.log(np.maximum(m[i, t], 1e-30))
-                m[i, t] -= 1
-                m *= weight[at][:, None]
-                g["M"][c], g["c"][c] = h[at].T @ m, m.sum(axis=0)
-                dh[at] += m @ p["M"][c].T
-            else:
-                logs[at] += layout.share_log[ids[at]]
+        # classes
+        z = h @ np.concatenate([p["U"], p["b"][None]])
+        at = np.arange(n)
+        logs = z[at, kind]
+        np.exp(z, out=z)  # logits are small: tanh units and bounded steps
+        total = z @ np.ones(z.shape[1], np.float32)
+        logs -= np.log(total)
+        z *= (weight / total)[:, None]
+        z[at, kind] -= weight
+        both_u = h.T @ z
+        g = {"U": both_u[:-1], "b": both_u[-1]}
+        dh = z @ p["U"].T
+        # members: the positions of a class one after the other
+        tail = kind >= CLASSES
+        logs[tail] += layout.share_log[ids[tail]]
+        places, classes = _in_classes(kind)
+        inner, at, goal, share = h.take(places, axis=0), np.arange(len(places)), layout.member[ids[places]], weight[places]
+        m, both_m = np.empty((len(places), MEMBERS), np.float32), np.concatenate([p["M"], p["c"][:, None]], axis=1)
+        for c, i, j in classes:
+            np.matmul(inner[i:j], both_m[c], out=m[i:j])
+        of_goal = m[at, goal]
+        np.exp(m, out=m)
+        total = m @ np.ones(MEMBERS, np.float32)
+        logs[places] += of_goal - np.log(total)
+        m *= (share / total)[:, None]
+        m[at, goal] -= share
+        g_m, back = np.zeros_like(both_m), np.empty((len(places), WIDTH), np.float32)
+        for c, i, j in classes:
+            np.matmul(inner[i:j].T, m[i:j], out=g_m[c])
+            np.matmul(m[i:j], p["M"][c].T, out=back[i:j])
+        g["M"], g["c"] = g_m[:, :-1], g_m[:, -1]
+        dh[places] += back
         loss = -logs[real].mean()
-        dh *= 1 - h * h
-        own_flat, o_flat = own.reshape(-1, WIDTH), o.reshape(-1, WIDTH)
-        g["W"], g["Wo"] = own_flat.T @ dh, o_flat.T @ dh
-        do = (dh @ p["Wo"].T).reshape(o.shape)
+        dh *= 1 - h[:, :WIDTH] * h[:, :WIDTH]
+        g["W"], g["Wo"] = own.T @ dh, o.T @ dh
+        do = (dh @ p["Wo"].T).reshape(B, SPAN, WIDTH)
         da = do @ v.transpose(0, 2, 1)
-        dv = a.transpose(0, 2, 1) @ do
-        ds = a * (da - (da * a).sum(axis=2, keepdims=True))
-        g["rel"] = np.bincount(_REL[_SEEN], weights=ds.sum(axis=0)[_SEEN], minlength=SPAN).astype(np.float32)
-        ds *= np.float32(WIDTH**-0.5)
-        dq, dk = ds @ k, ds.transpose(0, 2, 1) @ q
-        flat = x.reshape(-1, WIDTH)
-        dq, dk, dv = dq.reshape(-1, WIDTH), dk.reshape(-1, WIDTH), dv.reshape(-1, WIDTH)
-        g["Wq"], g["Wk"], g["Wv"] = own_flat.T @ dq, flat.T @ dk, flat.T @ dv
-        dx = (dk @ p["Wk"].T + dv @ p["Wv"].T).reshape(x.shape)
-        dx[:, SPAN:] += (dh @ p["W"].T + dq @ p["Wq"].T).reshape(own.shape)
-        given = np.concatenate([before, rows], axis=1).ravel()
-        g["E"] = np.stack([np.bincount(given, weights=dx.reshape(-1, WIDTH)[:, c], minlength=len(p["E"])) for c in range(WIDTH)], axis=1)
-        gradient = np.concatenate([g[name].ravel() for name, _ in shapes(self.layout)]).astype(np.float32)
+        dkv = np.empty_like(kv)
+        np.matmul(a.transpose(0, 2, 1), do, out=dkv[:, :, WIDTH:])
+        da -= (do * o.reshape(do.shape)) @ np.ones((WIDTH, 1), np.float32)  # the row's sum of da * a
+        da *= a
+        g["rel"] = np.bincount(_REL[_SEEN], weights=da.sum(axis=0)[_SEEN], minlength=SPAN)
+        np.matmul(da.transpose(0, 2, 1), q, out=dkv[:, :, :WIDTH])
+        dq = (da @ k).reshape(-1, WIDTH)
+        dq *= scale
+        dkv = dkv.reshape(-1, 2 * WIDTH)
+        g["Wq"], dboth = own.T @ dq, x.T @ dkv
+        g["Wk"], g["Wv"] = dboth[:, :WIDTH], dboth[:, WIDTH:]
+        dx = (dkv @ both.T).reshape(B, 2 * SPAN, WIDTH)
+        dx[:, SPAN:] += (dh @ p["W"].T + dq @ p["Wq"].T).reshape(B, SPAN, WIDTH)
+        g["E"] = np.bincount(self.cells.take(given.ravel(), axis=0).ravel(), weights=dx.ravel(), minlength=p["E"].size)
+        gradient = np.concatenate([g[name].ravel() for name, _ in shapes(layout)], dtype=np.float32, casting="same_kind")
         state += gradient * gradient
-        self.flat -= RATE * gradient / np.sqrt(state)
+        gradient *= RATE
+        gradient /= np.sqrt(state)
+        self.flat -= gradient
         return float(loss)
 
 

@@ -10,9 +10,11 @@ shares come from every training document. The attention weights are learnt in ro
 training document gives all its words to one round, every task takes gradient steps
 from the round's weights, and the tasks' weights are averaged.
 
-Documents are dealt into groups by a hash; each group's distinct words meet their counts
-in a join and come back to the group, so neither the vocabulary nor a group of documents is
-ever broadcast or collected. Words are told apart by 64-bit hashes.
+Every text is cut and encoded once, where it is read: documents become numbers of words in the
+table of distinct words of their window, some megabytes of successive texts. Training reads the
+subword ids kept with them; for scoring, the rows of each word meet, get its count and come back
+to their windows, so neither the vocabulary nor more documents than a window are ever
+broadcast, collected or held by a task. Words are told apart by 64-bit hashes.
 
 Defined results: a NULL or empty text is the end alone. Without training documents the score
 is that of the untrained attention model.
@@ -22,12 +24,14 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import pyarrow.compute as pc
+from pyspark import TaskContext
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from loanmart.llm.attention import SPAN, STEP_CHUNKS, Layout, Model, chunks_of, initial
-from loanmart.llm.bpe import SpacedWordStore, vocabulary
-from loanmart.llm.common import LOWER, NOT_SPACE, crc_bucket, materialize, offsets_of, segment_arange, shuffle_partitions, span_hashes, text_blocks, word_spans
+from loanmart.llm.bpe import MAX_WORDS, SpacedWordStore, vocabulary
+from loanmart.llm.common import BLOCK_BYTES, LOWER, NOT_SPACE, crc_bucket, materialize, offsets_of, segment_arange, span_hashes, text_blocks, word_spans
 
 #: Rounds of training, and passes over the texts of a round, whatever the size of a block.
 ROUNDS, PASSES = 4, 1
@@ -35,6 +39,10 @@ ROUNDS, PASSES = 4, 1
 ATTENTION_WEIGHT = 0.7
 #: Chunks of positions scored at once.
 BATCH_CHUNKS = 4096
+#: Text bytes of the documents that share a table of distinct words.
+WINDOW_BYTES = 16 << 20
+#: Weights that meet as one row.
+PART = 4096
 
 
 class Words:
@@ -48,12 +56,10 @@ class Words:
         self.n_rows = len(offsets) - 1
         self.codes, self.distinct = pd.factorize(span_hashes(self.data, self.starts, self.ends))
 
-    def ids(self, store: SpacedWordStore, codes: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
-        """Subword ids of the words (or of some of them), and how many each word has."""
+    def numbers(self, store: SpacedWordStore) -> np.ndarray:
+        """Number of each word in a store, which gets the words that it lacks."""
         blocks = np.zeros(len(self.distinct), np.int64)
-        number = store.add(self.distinct, blocks, lambda _, places: self.bytes_of(places))[self.codes if codes is None else codes]
-        begin, each = offsets_of(store.lengths)[number], store.lengths[number]
-        return store.ids[np.repeat(begin, each) + segment_arange(each)], each
+        return store.add(self.distinct, blocks, lambda _, places: self.bytes_of(places))[self.codes]
 
     def bytes_of(self, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Bytes of some distinct words one after the other, and their lengths."""
@@ -64,107 +70,124 @@ class Words:
         return self.data[np.repeat(self.starts[at], sizes) + segment_arange(sizes)], sizes
 
 
-class Lexicon:
-    """Distinct words of several blocks, to be encoded in one sweep."""
+def id_type(path: str) -> type:
+    return np.uint16 if vocabulary(path).size <= 1 << 16 else np.uint32
 
-    def __init__(self):
-        self.known = np.zeros(0, np.uint64)
-        self.hashes, self.data, self.sizes = [], [], []
 
-    def see(self, words: Words) -> None:
-        at = np.searchsorted(self.known, words.distinct)
-        new = np.ones(len(words.distinct), bool)
-        inside = at < len(self.known)
-        new[inside] = self.known[at[inside]] != words.distinct[inside]
-        new = np.flatnonzero(new)
-        data, sizes = words.bytes_of(new)
-        self.hashes.append(words.distinct[new])
-        self.data.append(data)
-        self.sizes.append(sizes)
-        self.known = np.sort(np.concatenate([self.known, words.distinct[new]]))
+def _places(bounds: np.ndarray, width: int):
+    """Byte places of the values of all rows, for the first byte of each value, then the second, ..."""
+    sizes = np.diff(bounds)
+    each = np.repeat(sizes, sizes)
+    at = np.arange(len(each)) + np.repeat(bounds[:-1] * (width - 1), sizes)
+    for _ in range(width):
+        yield at
+        at = at + each
 
-    def store(self, path: str) -> tuple[SpacedWordStore, np.ndarray, np.ndarray]:
-        """A store of all words seen, their hashes, and their numbers in it."""
-        store = SpacedWordStore(vocabulary(path))
-        if not self.hashes:
-            return store, self.known, np.zeros(0, np.int64)
-        hashes, data, bounds = np.concatenate(self.hashes), np.concatenate(self.data), offsets_of(np.concatenate(self.sizes))
 
-        def words_of(_, places):
-            sizes = np.diff(bounds)[places]
-            return data[np.repeat(bounds[places], sizes) + segment_arange(sizes)], sizes
+def binaries(values: np.ndarray, bounds: np.ndarray) -> pa.Array:
+    """Runs of values as a column of bytes."""
+    at = (bounds * values.itemsize).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(at) - 1, [None, pa.py_buffer(at), pa.py_buffer(np.ascontiguousarray(values))])
 
-        return store, hashes, store.add(hashes, np.zeros(len(hashes), np.int64), words_of)
 
+def planes(values: np.ndarray, bounds: np.ndarray) -> pa.Array:
+    """The same with all first bytes of a run, then all second ones, ...: the higher bytes of small numbers compress well."""
+    width = values.itemsize
+    own, out = np.ascontiguousarray(values).view(np.uint8).reshape(-1, width), np.empty(len(values) * width, np.uint8)
+    for k, at in enumerate(_places(bounds, width)):
+        out[at] = own[:, k]
+    return binaries(out, bounds * width)
 
-def group_words(docs: DataFrame, path: str) -> DataFrame:
-    """(kind, group, word, n): kind 0, the distinct words of each group with their counts in
-    training documents; kind 1, counts of subword ids in training documents."""
+
+def values_of(data: np.ndarray, offsets: np.ndarray, dtype) -> np.ndarray:
+    """Values of the runs of a block of such a column, one after the other."""
+    width = np.dtype(dtype).itemsize
+    out = np.empty((len(data) // width, width), np.uint8)
+    for k, at in enumerate(_places(offsets // width, width)):
+        out[:, k] = data[at]
+    return out.view(dtype)[:, 0]
+
+
+def spelled(ids: np.ndarray, lengths: np.ndarray, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of some words of a table of words, one after the other, and how many each has."""
+    each = lengths[numbers]
+    return ids[np.repeat(offsets_of(lengths)[numbers], each) + segment_arange(each)], each
+
+
+def encode_words(docs: DataFrame, path: str) -> DataFrame:
+    """Texts (doc_id, held_out, turn, text) as words of windows, each encoded once.
+
+    Kind 0, documents: doc_id, held_out, turn, the window, the 32-bit places of the words in it,
+    and, of training documents, the subword ids (16 bits where they fit, else 32). Kind 1, the
+    distinct words of a window: their place, hash, ids and count n in training documents. Kind 2,
+    counts n in training documents of subword ids (word).
+    """
+    id_kind = docs.schema["doc_id"].dataType.simpleString()
+    columns = [("kind", pa.int32()), ("window", pa.int64()), ("doc_id", None), ("held_out", pa.bool_()), ("turn", pa.int32()), ("words", pa.binary()), ("ids", pa.binary()), ("place", pa.int32()), ("word", pa.int64()), ("n", pa.int64())]
 
     def run(batches):
-        subwords = np.zeros(vocabulary(path).size, np.int64)
-        held: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {}
-        lexicon, size = Lexicon(), 0
-
-        def out(kind, group, word, n):
-            return pa.RecordBatch.from_arrays([pa.array(np.full(len(word), kind), pa.int32()), pa.array(np.full(len(word), group), pa.int32()), pa.array(word.view(np.int64), pa.int64()), pa.array(n, pa.int64())], ["kind", "group", "word", "n"])
-
-        def flush():
-            store, hashes, number = lexicon.store(path)
-            every = np.zeros(len(store.lengths), np.int64)
-            order = np.argsort(hashes)
-            for word, n in (part for parts in held.values() for part in parts):
-                every += np.bincount(number[order[np.searchsorted(hashes, word, sorter=order)]], weights=n, minlength=len(every)).astype(np.int64)
-            subwords[:] += np.bincount(store.ids, weights=np.repeat(every, store.lengths), minlength=len(subwords)).astype(np.int64)
-            for group, parts in held.items():
-                word, place = np.unique(np.concatenate([w for w, _ in parts]), return_inverse=True)
-                yield out(0, group, word, np.bincount(place, weights=np.concatenate([n for _, n in parts]), minlength=len(word)).astype(np.int64))
-            held.clear()
+        vocab, dtype = vocabulary(path), id_type(path)
+        subwords = np.zeros(vocab.size, np.int64)
+        window, size, store, counts = TaskContext.get().partitionId() << 32, 0, SpacedWordStore(vocab), np.zeros(0, np.int64)
+        doc_type = None
+
+        def out(rows, kind, **given):
+            given |= {"kind": pa.array(np.full(rows, kind), pa.int32()), "window": pa.array(np.full(rows, window), pa.int64())}
+            return pa.RecordBatch.from_arrays([given[c] if c in given else pa.nulls(rows, t or doc_type) for c, t in columns], [c for c, _ in columns])
+
+        def close():
+            word = np.empty(len(store.lengths), np.uint64)
+            word[store.number] = store.hashes
+            subwords[:] += np.bincount(store.ids, weights=np.repeat(counts, store.lengths), minlength=len(subwords)).astype(np.int64)
+            begin = offsets_of(store.lengths)
+            for a in range(0, len(word), 100_000):
+                b = min(a + 100_000, len(word))
+                ids = binaries(store.ids[begin[a] : begin[b]].astype(dtype), begin[a : b + 1] - begin[a])
+                yield out(b - a, 1, place=pa.array(np.arange(a, b), pa.int32()), word=pa.array(word[a:b].view(np.int64)), ids=ids, n=pa.array(counts[a:b]))
 
         for batch in batches:
-            groups, outside = batch.column("group").to_numpy(), batch.column("held_out").to_numpy(zero_copy_only=False)
+            doc_type = batch.schema.field("doc_id").type
             for lo, hi, data, offsets in text_blocks(batch.column("text")):
-                words = Words(data, offsets)
-                if not len(words.codes):
-                    continue
-                trains = ~outside[lo:hi][words.row]
-                lexicon.see(words)
-                own = groups[lo:hi][words.row]
-                for group in np.unique(own).tolist():
-                    at = own == group
-                    counts = np.bincount(words.codes[at & trains], minlength=len(words.distinct))
-                    seen = np.flatnonzero(np.bincount(words.codes[at], minlength=len(words.distinct)))
-                    held.setdefault(group, []).append((words.distinct[seen], counts[seen]))
-                    size += len(seen)
-                if size > 4_000_000:
-                    yield from flush()
-                    size = 0
-        yield from flush()
-        used = np.flatnonzero(subwords)
-        yield out(1, -1, used.astype(np.uint64), subwords[used])
-
-    return docs.select("group", "held_out", "text").mapInArrow(run, "kind int, group int, word long, n long")
+                words, held_out = Words(data, offsets), batch.column("held_out").slice(lo, hi - lo)
+                numbers = words.numbers(store)
+                ids, each = spelled(store.ids, store.lengths, numbers)
+                trains = ~held_out.to_numpy(zero_copy_only=False)[words.row]
+                seen = np.bincount(numbers[trains], minlength=len(store.lengths))
+                seen[: len(counts)] += counts
+                counts = seen
+                bounds = offsets_of(np.bincount(words.row, minlength=hi - lo))
+                learnt = pc.if_else(held_out, pa.scalar(None, pa.binary()), binaries(ids.astype(dtype), offsets_of(each)[bounds]))
+                yield out(hi - lo, 0, doc_id=batch.column("doc_id").slice(lo, hi - lo), held_out=held_out, turn=batch.column("turn").slice(lo, hi - lo), words=planes(numbers.astype(np.int32), bounds), ids=learnt)
+                size += len(data)
+                if size >= WINDOW_BYTES or len(store.lengths) > MAX_WORDS:
+                    yield from close()
+                    window, size, store, counts = window + 1, 0, SpacedWordStore(vocab), np.zeros(0, np.int64)
+        if doc_type is not None:
+            yield from close()
+            used = np.flatnonzero(subwords)
+            yield out(len(used), 2, word=pa.array(used), n=pa.array(subwords[used]))
+
+    schema = f"kind int, window long, doc_id {id_kind}, held_out boolean, turn int, words binary, ids binary, place int, word long, n long"
+    return docs.select("doc_id", "held_out", "turn", "text").mapInArrow(run, schema)
 
 
 def _train_round(docs: DataFrame, path: str, layout, flat: np.ndarray, state: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray]:
-    """Weights and optimiser state after one round: means over the tasks, by positions learnt."""
-    spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast((layout, flat, state))
+    """Weights and optimiser state after one round over the ids of documents (or over texts):
+    means over the tasks, by positions learnt."""
+    if "ids" not in docs.columns:
+        docs = encode_words(docs.select(F.lit(0).alias("doc_id"), F.lit(False).alias("held_out"), F.lit(0).alias("turn"), "text"), path).where("kind = 0")
+    shared = docs.sparkSession.sparkContext.broadcast((layout, flat, state))
 
     def run(batches):
         layout, flat, state = shared.value
         flat, state = flat.copy(), state.copy()
-        model = Model(flat, layout)
-        store, learnt = SpacedWordStore(vocabulary(path)), 0
+        model, learnt, dtype = Model(flat, layout), 0, np.dtype(id_type(path))
         rng = np.random.default_rng(len(flat))
         for batch in batches:
-            for _, _, data, offsets in text_blocks(batch.column("text")):
-                words = Words(data, offsets)
-                if not len(words.codes):
+            for _, _, data, offsets in text_blocks(batch.column("ids"), BLOCK_BYTES * 3 // 4):
+                if not len(data):
                     continue
-                ids, each = words.ids(store)
-                bounds = offsets_of(each)[offsets_of(np.bincount(words.row, minlength=words.n_rows))]
-                rows, before, has_before, target, real, _, _ = chunks_of(ids, bounds, layout, end)
+                rows, before, has_before, target, real, _, _ = chunks_of(data.view(dtype), offsets // dtype.itemsize, layout, end)
                 target, real = target.reshape(-1, SPAN), real.reshape(-1, SPAN)
                 for _ in range(PASSES):
                     order = rng.permutation(len(rows))
@@ -174,20 +197,30 @@ def _train_round(docs: DataFrame, path: str, layout, flat: np.ndarray, state: np
                             model.step(rows[q], before[q], has_before[q], target[q].ravel(), real[q].ravel(), state)
                 learnt += int(real.sum())
         if learnt:
-            yield pa.RecordBatch.from_arrays([pa.array([np.concatenate([flat, state]).tolist()], pa.list_(pa.float32())), pa.array([learnt], pa.int64())], ["weights", "learnt"])
+            every = np.concatenate([flat, state])
+            parts = -(-len(every) // PART)
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(parts), pa.int32()), binaries(every, np.minimum(np.arange(parts + 1) * PART, len(every))), pa.array(np.full(parts, learnt), pa.int64())], ["part", "weights", "learnt"])
+
+    def mean(batches):
+        sums, learnt = {}, {}  # of the task's parts
+        for batch in batches:
+            for part, weights, n in zip(batch.column("part").to_pylist(), batch.column("weights"), batch.column("learnt").to_pylist()):
+                sums[part] = sums.get(part, 0) + np.frombuffer(weights.as_buffer(), np.float32).astype(float) * n
+                learnt[part] = learnt.get(part, 0) + n
+        for part in sums:
+            yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([(sums[part] / learnt[part]).astype(np.float32).tobytes()], pa.binary())], ["part", "weights"])
 
-    told = docs.select("text").mapInArrow(run, "weights array<float>, learnt long")
-    mean = (told.select("learnt", F.posexplode("weights").alias("place", "value")).groupBy("place")
-            .agg((F.sum(F.col("value").cast("double") * F.col("learnt")) / F.sum("learnt")).alias("value"))).toPandas()
+    told = docs.select("ids").mapInArrow(run, "part int, weights binary, learnt long").repartition("part").mapInArrow(mean, "part int, weights binary")
     out = np.concatenate([flat, state])
-    out[mean["place"].to_numpy(np.int64)] = mean["value"].to_numpy(np.float32)
+    for r in told.collect():  # the weights of the model once
+        out[r["part"] * PART : (r["part"] + 1) * PART] = np.frombuffer(r["weights"], np.float32)
     return out[: len(flat)], out[len(flat) :]
 
 
-def _score_block(words: Words, ids, each, count, model: Model, layout, end: int, n_train: int, n_end: int, log_base: float):
+def _score_block(per_row, ids, each, count, model: Model, layout, end: int, n_train: int, n_end: int, log_base: float):
     """(tokens, known, base score, score) of the rows of a block; counts by word."""
-    n = words.n_rows
-    per_row = np.bincount(words.row, minlength=n)
+    n = len(per_row)
+    row = np.repeat(np.arange(n), per_row)
     bounds = offsets_of(each)[offsets_of(per_row)]
     rows, _, has_before, target, _, place, ends = chunks_of(ids, bounds, layout, end)
     logs = np.empty(len(target))
@@ -199,9 +232,9 @@ def _score_block(words: Words, ids, each, count, model: Model, layout, end: int,
     with np.errstate(divide="ignore"):
         mixed = np.logaddexp(np.log(share[0]) + by_word, np.log(share[1]) + np.log(count / max(n_train, 1)))
         closing = np.logaddexp(np.log(share[0]) + logs[ends], np.log(share[1]) + np.log(n_end / max(n_train, 1)))
-    score = (np.bincount(words.row, weights=mixed, minlength=n) + closing) / np.log(10)
-    base = np.bincount(words.row, weights=np.log10(count + 0.1), minlength=n) + np.log10(n_end + 0.1) - (per_row + 1) * log_base
-    known = np.bincount(words.row, weights=count > 0, minlength=n).astype(np.int64) + (n_end > 0)
+    score = (np.bincount(row, weights=mixed, minlength=n) + closing) / np.log(10)
+    base = np.bincount(row, weights=np.log10(count + 0.1), minlength=n) + np.log10(n_end + 0.1) - (per_row + 1) * log_base
+    known = np.bincount(row, weights=count > 0, minlength=n).astype(np.int64) + (n_end > 0)
     return per_row + 1, known, base, score
 
 
@@ -211,56 +244,48 @@ def score_documents(docs: DataFrame, path: str) -> DataFrame:
     Documents whose crc32 modulo 10 is 0 are held out of all learning.
     """
     spark = docs.sparkSession
-    n_groups = max(2, shuffle_partitions(spark))
+    turn = F.pmod(F.xxhash64("text", "doc_id"), F.lit(ROUNDS * 7919)) % ROUNDS
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), (crc_bucket("doc_id", 10) == 0).alias("held_out"))
-    rows = rows.withColumn("group", F.pmod(F.xxhash64("doc_id", "text"), F.lit(n_groups)).cast("int"))
+    told = materialize(encode_words(rows.withColumn("turn", turn.cast("int")), path), "lm-words", "zstd")
     end = next(iter(vocabulary(path).specials.values()))
 
-    told = materialize(group_words(rows.select("group", "held_out", "text").repartition(n_groups, "group"), path), "lm-words")
-    words = told.where("kind = 0")
-    counts = words.groupBy("word").agg(F.sum("n").alias("c")).where("c > 0")
-    counts = materialize(counts, "lm-counts")
-    total = counts.agg(F.sum("c").alias("n"), F.count(F.lit(1)).alias("v")).first()
-    n_end = rows.where("not held_out").count()
+    texts, words = told.where("kind = 0"), told.where("kind = 1")
+    # a word has one row for each window it occurs in
+    same = Window.partitionBy("word")
+    known = words.select(F.col("window").alias("of"), "place", "ids", "n", F.sum("n").over(same).alias("c"), (F.min("window").over(same) == F.col("window")).alias("first"))
+    known = materialize(known, "lm-counts", "zstd")
+    total = known.where("c > 0").agg(F.sum("n").alias("n"), F.count_if("first").alias("v")).first()
+    n_end = texts.where("not held_out").count()
     n_train, n_words = (total["n"] or 0) + n_end, total["v"] + (n_end > 0)
     log_base = float(np.log10(n_train + 0.1 * (n_words + 1)))
 
     subwords = np.zeros(vocabulary(path).size)
-    found = told.where("kind = 1").groupBy("word").agg(F.sum("n").alias("n")).toPandas()  # at most the tokenizer's ids
+    found = told.where("kind = 2").groupBy("word").agg(F.sum("n").alias("n")).toPandas()  # at most the tokenizer's ids
     subwords[found["word"].to_numpy(np.int64)] = found["n"].to_numpy()
     subwords[end] = n_end
     layout = Layout(subwords, vocabulary(path).bytes_of, end)
     flat = initial(layout)
     state = np.full_like(flat, 1e-6)
-    turn = F.pmod(F.xxhash64("text", "doc_id"), F.lit(ROUNDS * 7919)) % ROUNDS
     for k in range(ROUNDS):
-        flat, state = _train_round(rows.where(~F.col("held_out") & (turn == k)), path, layout, flat, state, end)
+        flat, state = _train_round(texts.where(~F.col("held_out") & (F.col("turn") == k)), path, layout, flat, state, end)
     shared = spark.sparkContext.broadcast((layout, flat))
-    # each distinct word of a group stands once for it, so no word has more rows than there are groups
-    known = words.select("group", "word").distinct().join(counts, "word").select("group", "word", "c")
     kind = docs.schema["doc_id"].dataType.simpleString()
     names = ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
 
     def score(texts: pa.Table, vocab: pa.Table) -> pa.Table:
         layout, flat = shared.value
-        model, lexicon = Model(flat.copy(), layout), Lexicon()
-        for batch in texts.to_batches():
-            for _, _, data, offsets in text_blocks(batch.column("text")):
-                lexicon.see(Words(data, offsets))
-        store = lexicon.store(path)[0]
-        hashes = vocab.column("word").to_numpy().view(np.uint64)
-        order = np.argsort(hashes)
-        hashes, c = np.append(hashes[order], np.uint64(2**64 - 1)), np.append(vocab.column("c").to_numpy()[order], 0)
+        model, dtype = Model(flat.copy(), layout), np.dtype(id_type(path))
+        vocab = vocab.sort_by("place")
+        c, lengths = vocab.column("c").to_numpy().astype(float), pc.binary_length(vocab.column("ids")).to_numpy().astype(np.int64) // dtype.itemsize
+        vocab_ids = np.concatenate([np.zeros(0, dtype), *(part[2].view(dtype) for chunk in vocab.column("ids").chunks for part in text_blocks(chunk))])
         out = []
         for batch in texts.to_batches():
-            for lo, hi, data, offsets in text_blocks(batch.column("text")):
-                words = Words(data, offsets)
-                at = np.searchsorted(hashes, words.distinct)
-                count = np.where(hashes[at] == words.distinct, c[at], 0)[words.codes].astype(float)
-                ids, each = words.ids(store)
-                tokens, n_known, base, total = _score_block(words, ids, each, count, model, layout, end, n_train, n_end, log_base)
+            for lo, hi, data, offsets in text_blocks(batch.column("words"), BLOCK_BYTES // 2):
+                numbers = values_of(data, offsets, np.int32)
+                ids, each = spelled(vocab_ids, lengths, numbers)
+                tokens, n_known, base, total = _score_block(np.diff(offsets) // 4, ids, each, c[numbers], model, layout, end, n_train, n_end, log_base)
                 out.append(pa.Table.from_arrays([batch.column("doc_id").slice(lo, hi - lo), batch.column("held_out").slice(lo, hi - lo), pa.array(tokens, pa.int64()), pa.array(n_known, pa.int64()), pa.array(np.full(hi - lo, n_train), pa.int64()), pa.array(base, pa.float64()), pa.array(total, pa.float64())], names))
         return pa.concat_tables(out) if out else pa.table({n: pa.array([], t) for n, t in zip(names, (texts.schema.field("doc_id").type, pa.bool_(), pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64()))})
 
-    both = rows.select("group", "doc_id", "held_out", "text").groupBy("group").cogroup(known.groupBy("group"))
+    both = texts.select("window", "doc_id", "held_out", "words").groupBy("window").cogroup(known.select("of", "place", "ids", "c").groupBy("of"))
     return both.applyInArrow(score, f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")

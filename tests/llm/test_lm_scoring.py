@@ -4,11 +4,12 @@ import zlib
 from collections import Counter
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from loanmart.llm import queries
 from loanmart.llm.attention import SPAN, WIDTH, Layout, Model, chunks_of, initial, shapes
 from loanmart.llm.bpe import vocabulary
-from loanmart.llm.lm_scoring import _train_round, score_documents
+from loanmart.llm.lm_scoring import _train_round, encode_words, planes, score_documents, values_of
 from tests.conftest import SF_MID
 
 PATH = queries.tokenizer_path()
@@ -154,3 +155,30 @@ def test_a_small_block_is_passed_once(spark):
     want, squares = flat.copy(), start.copy()
     Model(want, layout).step(rows, before, has, target, real, squares)
     assert np.allclose(weights, want, atol=1e-6) and np.allclose(state, squares, rtol=1e-4, atol=1e-12)
+
+
+def test_windows_share_counts_and_each_document_is_encoded_once(spark):
+    docs = [(i, " ".join(f"w{(i * k) % 97}" for k in range(1, 60))) for i in range(80)]
+    rows = spark.createDataFrame(docs, "doc_id long, text string").repartition(4).withColumns({"held_out": F.lit(False), "turn": F.lit(0)})
+    told = encode_words(rows, PATH).cache()
+    assert told.where("kind = 0").select("window").distinct().count() > 1
+    words = told.where("kind = 1")
+    assert words.count() == words.select("window", "word").distinct().count()
+    place = {(r.window, r.place): (r.word, np.frombuffer(r.ids, np.uint16).tolist()) for r in words.collect()}
+    hashes = {}
+    for r in told.where("kind = 0").collect():
+        text = docs[r.doc_id][1].split()
+        own = [place[r.window, p] for p in values_of(np.frombuffer(r.words, np.uint8), np.array([0, len(r.words)]), np.int32).tolist()]
+        assert np.frombuffer(r.ids, np.uint16).tolist() == [i for _, ids in own for i in ids]
+        for w, (h, _) in zip(text, own, strict=True):
+            assert hashes.setdefault(w, h) == h
+    counts = {r.word: r.n for r in words.groupBy("word").agg(F.sum("n").alias("n")).collect()}
+    assert {w: counts[h] for w, h in hashes.items()} == Counter(w for _, t in docs for w in t.split())
+    check(score_documents(rows.select("doc_id", "text"), PATH).collect(), docs)
+
+
+def test_runs_of_values_come_back():
+    values, bounds = np.arange(300_000, dtype=np.uint32)[::3], np.array([0, 0, 7, 99_000, 100_000])
+    column = planes(values, bounds)
+    data, offsets = np.frombuffer(column.buffers()[2], np.uint8), np.frombuffer(column.buffers()[1], np.int32).astype(np.int64)
+    assert (offsets == bounds * 4).all() and (values_of(data, offsets, np.uint32) == values).all()
