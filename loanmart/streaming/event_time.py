@@ -7,10 +7,12 @@ once the watermark has passed them, so the state holds the rows of one delay, wh
 the age of the stream. A row older than the watermark can not be told from a repeat any
 more; it does not reach the fact.
 
-What the stream took is noted, by micro-batch, in a table of (payment, delivery time)
-keys. Rows that landed and were not taken are the late ones (:func:`late_rows`); a side
-table keeps them for whoever has to decide about them. A replayed micro-batch
-overwrites its own note and merges the same rows again: both stay what they are.
+What the stream took is noted, by micro-batch, in a table of its rows. That write is the
+only pass through the stream's state; the merge reads the note, in as many tasks as its
+bytes need, and a micro-batch that only forgets rows merges nothing. Rows that landed and
+were not taken are the late ones (:func:`late_rows`); a side table keeps them for whoever
+has to decide about them. A replayed micro-batch overwrites its own note and merges the
+same rows again: both stay what they are.
 """
 
 from __future__ import annotations
@@ -38,16 +40,17 @@ def run_load(spark: SparkSession, landing: str, target: str, taken: str, checkpo
     """Load what has landed since the last run; returns the query once it has ended."""
 
     def process(batch: DataFrame, epoch: int) -> None:
-        batch.persist()  # read by the note and the merge
-        try:
-            batch.select(*KEYS).write.mode("overwrite").parquet(f"{taken.rstrip('/')}/epoch={epoch}")
-            carry = (VERSION,)
-            bucketed = intermediate.payments_bucketed(staging.stg_payments(batch, p, carry), buckets, p, carry=carry)
-            rows = facts.fct_payments(latest_delivered(bucketed.drop("dbt_loaded_at")), p, [*facts.FCT_PAYMENT_COLUMNS, VERSION])
-            up.merge_into_partitions(spark, target, rows, [facts.PAYMENT_KEY], "payment_date", facts.PAYMENT_PARTITION, facts.PAYMENT_CLUSTER,
-                                     first_run=not _table_exists(spark, target), max_broadcast_rows=p.max_broadcast_rows, version_col=VERSION)
-        finally:
-            batch.unpersist()
+        note = f"{taken.rstrip('/')}/epoch={epoch}"
+        batch.write.mode("overwrite").parquet(note)
+        took = spark.read.schema(batch.schema).parquet(note)  # in the caller's session: the batch's one plans without AQE
+        if took.isEmpty():
+            return
+        carry = (VERSION,)
+        bucketed = intermediate.payments_bucketed(staging.stg_payments(took, p, carry), buckets, p, carry=carry)
+        rows = facts.fct_payments(latest_delivered(bucketed.drop("dbt_loaded_at")), p, [*facts.FCT_PAYMENT_COLUMNS, VERSION])
+        up.merge_into_partitions(spark, target, rows, [facts.PAYMENT_KEY], "payment_date", facts.PAYMENT_PARTITION, facts.PAYMENT_CLUSTER,
+                                 first_run=not _table_exists(spark, target), max_broadcast_rows=p.max_broadcast_rows, version_col=VERSION,
+                                 check_unique=False)  # latest_delivered leaves one row a key
 
     landed = spark.readStream.schema(RAW_PAYMENT_SCHEMA).parquet(landing)
     query = (deduplicated(landed, delay).writeStream.foreachBatch(process).option("checkpointLocation", checkpoint)

@@ -45,3 +45,21 @@ def test_the_state_forgets_what_the_watermark_has_passed(spark):
     # the state holds the deliveries of one delay: it stops growing
     assert spark.read.parquet(target).count() == 300
     assert sizes[0] < sizes[1] and sizes[2:] == [sizes[2]] * 4 and sizes[2] <= 3 * sizes[0]
+
+
+def test_a_micro_batch_goes_through_the_state_once_and_merges_only_rows(spark, monkeypatch):
+    landing, target, taken, progress = (scratch_path(spark, f"et_{x}") for x in ("landing", "target", "taken", "progress"))
+    buckets, merges, merge = seeds.delinquency_buckets(spark), [], et.up.merge_into_partitions
+
+    def noted(spark, path, rows, *args, **kwargs):
+        merges.append(("DeduplicateWithinWatermark" in rows._jdf.queryExecution().analyzed().toString(), rows.count()))
+        merge(spark, path, rows, *args, **kwargs)
+
+    monkeypatch.setattr(et.up, "merge_into_partitions", noted)
+    for rows in ([row("a", 1, 1), row("b", 1, 1), row("b", 1, 1)], [row("c", 20, 1)], [row("d", 2, 1)], [row("a", 21, 2), row("c", 20, 1)]):
+        spark.createDataFrame(rows, RAW_PAYMENT_SCHEMA).write.mode("append").parquet(landing)
+        et.run_load(spark, landing, target, taken, progress, "4 days", buckets)
+    # batches that move the watermark only, or hold late rows only, are noted and not merged
+    assert merges == [(False, 2), (False, 1), (False, 1)]
+    assert sorted((r.payment_id, int(r.paid_amount_ars)) for r in spark.read.parquet(target).collect()) == [("a", 2), ("b", 1), ("c", 1)]
+    assert [r.payment_id for r in et.late_rows(spark, landing, taken).collect()] == ["d"]
