@@ -1,6 +1,7 @@
 """Payment deliveries: what changed is found by looking at each row, and a backlog takes few micro-batches."""
 
 import datetime as dt
+import re
 from decimal import Decimal
 
 from loanmart.session import scratch_path
@@ -37,3 +38,17 @@ def test_a_delivery_joins_repeated_keys_only(spark):
         want = batches.payment_source(spark, raw, until).join(changed, "payment_id", "left_semi")
         got = batches.payment_delivery(spark, raw, since, until, repeated).select(*want.columns)
         assert got.count() == want.count() > 0 and got.exceptAll(want).isEmpty()
+
+
+def test_a_delivery_of_a_landed_source_reads_the_months_around_it(spark):
+    rows = [(f"p{i % 700}" if i % 50 == 0 else f"p{i}", i, 1, i % 9 - 4, D(2024, 1, 1) + dt.timedelta(days=i % 200),
+             None if i % 9 == 0 else D(2023, 12, 28) + dt.timedelta(days=i % 210), Decimal(10), Decimal(i), "cash") for i in range(1500)]
+    raw = raw_payments(spark, rows)
+    landed = batches.land_payments(raw, scratch_path(spark, "landed"))
+    repeated = batches.repeated_payments(raw).cache()
+    assert repeated.count() > 0
+    for since, until in ((None, D(2024, 1, 20)), (D(2024, 3, 3), D(2024, 4, 1)), (D(2024, 4, 4), D(2024, 5, 29)), (D(2024, 5, 1), D(2024, 12, 1))):
+        want = batches.payment_delivery(spark, raw, since, until, repeated)
+        got = batches.payment_delivery(spark, landed, since, until, repeated).select(*want.columns)
+        assert got.count() == want.count() > 0 and got.exceptAll(want).isEmpty()
+        assert re.search(r"PartitionFilters: \[[^,]*payment_month", got._jdf.queryExecution().executedPlan().toString())
